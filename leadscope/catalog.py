@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .plans import reports_pv as rp
+from .plans import reports_vr as rv
 from .sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,14 +34,27 @@ def _pv_queries() -> dict[str, Query]:
     }
 
 
+def _vr_queries() -> dict[str, Query]:
+    return {
+        "vw09_validation_summary": lambda s, d: rv.validation_summary(fx.vr(s, d), VR),
+        "vw10_validation_metrics": lambda s, d: rv.validation_metrics(rv.validation_summary(fx.vr(s, d), VR)),
+        "vw11_validation_by_source": lambda s, d: rv.validation_by_source(rv.validation_summary(fx.vr(s, d), VR), VR),
+        "vw12_validation_trends": lambda s, d: rv.validation_trends(fx.vr(s, d)),
+        "vw13_trends_overall": lambda s, d: rv.simplified_trends_overall(fx.vr(s, d), VR),
+        "vw14_trends_by_source": lambda s, d: rv.simplified_trends_by_source(fx.vr(s, d), VR),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_pv_queries())
+    out.update(_vr_queries())
     return out
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import pv_reports
+    from .oracle import pv_reports, vr_reports
     out: dict[str, str] = {}
     out.update(pv_reports.ORACLE)
+    out.update(vr_reports.ORACLE)
     return {k: v for k, v in out.items() if k in queries()}

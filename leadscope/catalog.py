@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .plans import loaders as ld
 from .plans import reports_pv as rp
 from .plans import reports_vr as rv
 from .sources import fixtures as fx
@@ -45,16 +46,43 @@ def _vr_queries() -> dict[str, Query]:
     }
 
 
+RANGE = ("2001-07-01", "2001-07-31")
+
+
+def _loader_queries() -> dict[str, Query]:
+    return {
+        "lq02_lead_list": lambda s, d: ld.lead_list(fx.pv(s, d)),
+        "lq04_daily_trends": lambda s, d: ld.daily_trends(fx.pv(s, d), PV),
+        "lq05_recent_validations": lambda s, d: ld.recent_validations(fx.pv(s, d)),
+        "lq06_problematic_leads": lambda s, d: ld.problematic_leads(fx.pv(s, d)),
+        "lq07_category_analysis": lambda s, d: ld.quality_category_analysis(fx.pv(s, d)),
+        "lq09_top_worst_sources": lambda s, d: ld.top_worst_sources(fx.pv(s, d)),
+        "lq10_data_freshness": lambda s, d: ld.data_freshness(fx.pv(s, d), PV),
+        "lq11_daily_fake_leads": lambda s, d: ld.daily_fake_leads(fx.pv(s, d), *RANGE, PV),
+        "lq12_daily_fake_detail": lambda s, d: ld.daily_fake_leads_detail(fx.pv(s, d), *RANGE),
+        "lq13_last_refresh": lambda s, d: ld.last_refresh_time(fx.pv(s, d)),
+        "lq14_creation_months": lambda s, d: ld.creation_month_analysis(fx.pv(s, d)),
+        "lq15_source_months": lambda s, d: ld.source_month_performance(fx.pv(s, d)),
+        "fb1_overall_results": lambda s, d: ld.overall_results(fx.pv(s, d), PV, "All Time"),
+        "fb2_results_by_source": lambda s, d: ld.results_by_source(fx.pv(s, d), PV, "Last Month"),
+        "fb3_fake_leads": lambda s, d: ld.fake_leads(fx.pv(s, d), PV, "All Time"),
+        "fb4_trends_overall": lambda s, d: ld.trends_overall(fx.pv(s, d), PV),
+        "fb5_trends_by_source": lambda s, d: ld.trends_by_source(fx.pv(s, d), PV),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_pv_queries())
     out.update(_vr_queries())
+    out.update(_loader_queries())
     return out
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import pv_reports, vr_reports
+    from .oracle import loaders, pv_reports, vr_reports
     out: dict[str, str] = {}
+    out.update(loaders.ORACLE)
     out.update(pv_reports.ORACLE)
     out.update(vr_reports.ORACLE)
     return {k: v for k, v in out.items() if k in queries()}

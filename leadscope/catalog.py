@@ -11,6 +11,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from .operators import fraud as fr
+from .operators import rules as ru
 from .plans import loaders as ld
 from .plans import reports_pv as rp
 from .plans import reports_vr as rv
@@ -71,17 +76,57 @@ def _loader_queries() -> dict[str, Query]:
     }
 
 
+def _joined(c: str, sep: str = " | ") -> F.Column:
+    return F.array_join(F.col(c), sep).alias(c)
+
+
+def _rule_queries() -> dict[str, Query]:
+    def v(s, d):
+        return ru.validate_leads(fx.leads(s, d)).withColumnRenamed("Id", "lead_id")
+
+    return {
+        "frd1_scores": lambda s, d: fr.fraud_scores(fx.leads(s, d)).select(
+            F.col("Id").alias("lead_id"), "fraud_email_score", "fraud_phone_score", "fraud_name_score",
+            "fraud_company_score", "fraud_consistency_score", "fraud_score", "is_likely_fake", "risk_level",
+            _joined("fraud_indicators")),
+        "frd7_levels": lambda s, d: fr.fraud_scores(fx.leads(s, d)).groupBy("risk_level").agg(
+            F.count(F.lit(1)).alias("leads"), F.count_if("is_likely_fake").cast("bigint").alias("likely_fake")),
+        "val2_email": lambda s, d: v(s, d).select("lead_id", "email_valid", "email_score", _joined("email_issues")),
+        "val3_domain_typos": lambda s, d: ru.domain_typos(fx.leads(s, d)).select(
+            F.col("_domain").alias("domain"), F.col("_typo").alias("typo")),
+        "val4_phone": lambda s, d: v(s, d).select("lead_id", "phone_valid", "phone_score", "phone_e164",
+                                                  "phone_national", _joined("phone_issues")),
+        "val5_name": lambda s, d: v(s, d).select("lead_id", "name_score", "name_valid", _joined("name_issues")),
+        "val6_company": lambda s, d: v(s, d).select("lead_id", "company_score", "company_valid",
+                                                    _joined("company_issues")),
+        "val7_completeness": lambda s, d: v(s, d).select(
+            "lead_id", "completeness_score", "required_fields_filled", "important_fields_filled",
+            "total_fields_filled", _joined("completeness_issues")),
+        "val8_data_quality": lambda s, d: v(s, d).select("lead_id", "lint_score", "lint_checks", "lint_issue_count",
+                                                         _joined("lint_issues")),
+        "val9_quality_score": lambda s, d: v(s, d).select("lead_id", "data_quality_score"),
+        "val11_status": lambda s, d: v(s, d).select("lead_id", "data_quality_score", "fraud_score",
+                                                    "overall_score", "validation_status"),
+        "val12_results": lambda s, d: ru.validation_results(fx.leads(s, d), VR),
+        "val13_issues": lambda s, d: ru.issues_long(ru.validate_leads(fx.leads(s, d))).select(
+            "lead_id", "check", "issue",
+            F.count(F.lit(1)).over(Window.partitionBy("lead_id", "check")).alias("n_in_check")),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(_pv_queries())
     out.update(_vr_queries())
     out.update(_loader_queries())
+    out.update(_rule_queries())
     return out
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import loaders, pv_reports, vr_reports
+    from .oracle import loaders, pv_reports, rules, vr_reports
     out: dict[str, str] = {}
+    out.update(rules.ORACLE)
     out.update(loaders.ORACLE)
     out.update(pv_reports.ORACLE)
     out.update(vr_reports.ORACLE)

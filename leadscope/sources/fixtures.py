@@ -205,6 +205,8 @@ def with_ctes(body: str, *names: str) -> str:
     src = {"pv": pv_sql, "vr": vr_sql, "leads": leads_sql}
     ctes = ",\n".join(f"{n} AS (\n{src[n]()}\n)" for n in names)
     body = body.strip()
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {ctes},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"

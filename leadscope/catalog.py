@@ -15,6 +15,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .operators import fraud as fr
+from .operators import parse as ps
+from .sources import ingest as ing
+from .sources import render as rd
+from .sources import sinks as sk
 from .operators import rules as ru
 from .plans import loaders as ld
 from .plans import reports_pv as rp
@@ -114,8 +118,44 @@ def _rule_queries() -> dict[str, Query]:
     }
 
 
+def _parsed_roundtrip(s, d):
+    from .oracle.etl import ROUNDTRIP_COLUMNS
+    parsed = ps.parse_descriptions(rd.render_tasks(fx.pv(s, d)))
+    return parsed.withColumn("has_parse_error", F.col("parse_error").isNotNull()).select(*ROUNDTRIP_COLUMNS)
+
+
+def _upsert_inputs(s, d):
+    pv = fx.pv(s, d)
+    k = F.expr("CAST(substring(task_id, 2) AS BIGINT)")
+    old = pv.filter(k % 3 != 0)
+    new = (pv.filter(k % 2 == 0)
+           .withColumn("task_id", F.when(k % 97 == 0, F.lit(None)).when(k % 89 == 0, F.lit(""))
+                       .otherwise(F.col("task_id")))
+           .withColumn("api_quality_score", F.col("api_quality_score") + 1)
+           .withColumn("parsed_at", F.lit(PV).cast("timestamp_ntz")))
+    return old, new
+
+
+def _etl_queries() -> dict[str, Query]:
+    def tasks(s, d):
+        return rd.render_tasks(fx.pv(s, d))
+
+    task_cols = ["Id", "WhoId", "Subject", "LeadSource", "Company", "Email", "CreatedDate", "LastModifiedDate"]
+    return {
+        "prs_roundtrip": _parsed_roundtrip,
+        "prs12_counters": lambda s, d: ps.parse_counters(ps.parse_descriptions(tasks(s, d))),
+        "jon2_semi": lambda s, d: ing.validation_tasks(
+            tasks(s, d), force_refresh=True,
+            leads=fx.leads(s, d).filter(F.col("LeadSource").isNotNull())).select(*task_cols),
+        "src2_incremental": lambda s, d: ing.validation_tasks(tasks(s, d), as_of=PV, days_back=30).select(*task_cols),
+        "snk2_upsert": lambda s, d: sk.upsert_parsed(*_upsert_inputs(s, d)),
+        "snk7_touch": lambda s, d: sk.touch_latest(fx.pv(s, d), f"{PV} 12:00:00"),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
+    out.update(_etl_queries())
     out.update(_pv_queries())
     out.update(_vr_queries())
     out.update(_loader_queries())
@@ -124,8 +164,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import loaders, pv_reports, rules, vr_reports
+    from .oracle import etl, loaders, pv_reports, rules, vr_reports
     out: dict[str, str] = {}
+    out.update(etl.ORACLE)
     out.update(rules.ORACLE)
     out.update(loaders.ORACLE)
     out.update(pv_reports.ORACLE)

@@ -20,6 +20,7 @@ from .sources import ingest as ing
 from .sources import render as rd
 from .sources import sinks as sk
 from .operators import rules as ru
+from .plans import datasets as ds
 from .plans import loaders as ld
 from .plans import reports_pv as rp
 from .plans import reports_vr as rv
@@ -153,8 +154,51 @@ def _etl_queries() -> dict[str, Query]:
     }
 
 
+def _dataset_queries() -> dict[str, Query]:
+    def summary(s, d):
+        return rp.source_quality_summary(fx.pv(s, d), ordered=False)
+
+    def worst(s, d):
+        return rp.worst_lead_sources(summary(s, d), ordered=False)
+
+    def metrics(s, d):
+        return rv.validation_metrics(rv.validation_summary(fx.vr(s, d), VR))
+
+    def series(s, d):
+        return ds.top_source_series(ld.source_month_performance(fx.pv(s, d)))
+
+    return {
+        "dd01_daily_totals": lambda s, d: ds.daily_totals(fx.pv(s, d), *RANGE),
+        "dd02_source_table": lambda s, d: ds.source_table(ld.daily_fake_leads(fx.pv(s, d), *RANGE, PV)),
+        "dd03_sources_with_fakes": lambda s, d: ds.sources_with_fakes(ld.daily_fake_leads(fx.pv(s, d), *RANGE, PV)),
+        "dd05_problematic_export": lambda s, d: ds.problematic_export(ld.daily_fake_leads_detail(fx.pv(s, d), *RANGE)),
+        "dd06_suspicious_per_source": lambda s, d: ds.suspicious_per_source(ld.fake_leads(fx.pv(s, d), PV)),
+        "dd07_raw_json_details": lambda s, d: ds.raw_json_details(ld.fake_leads(fx.pv(s, d), PV)),
+        "dd08_top_source_series": series,
+        "dd09_latest_month": lambda s, d: ds.latest_month_slice(series(s, d)),
+        "dd10_month_over_month": lambda s, d: ds.month_over_month(
+            ld.creation_month_analysis(fx.pv(s, d)), ld.source_month_performance(fx.pv(s, d))),
+        "dd11_score_distribution": lambda s, d: ds.score_distribution(rp.validation_overview(fx.pv(s, d), PV)),
+        "dd12_score_histogram": lambda s, d: ds.score_histogram(ld.lead_list(fx.pv(s, d))),
+        "dd13_quadrants": lambda s, d: ds.quality_fraud_quadrants(summary(s, d)),
+        "dd14_worst_summary": lambda s, d: ds.worst_source_summary(worst(s, d)),
+        "dd15_source_overview": lambda s, d: ds.source_overview(summary(s, d), worst(s, d)),
+        "dd16_filtered_sources": lambda s, d: ds.filtered_sources(summary(s, d), "All", 10, "Fraud Rate"),
+        "dd17_trend_delta": lambda s, d: ds.trend_delta(ld.daily_trends(fx.pv(s, d), PV)),
+        "dd18_comprehensive_report": lambda s, d: ds.comprehensive_report(metrics(s, d),
+                                                                          ld.problematic_leads(fx.pv(s, d))),
+        "dd19_compliance_report": lambda s, d: ds.compliance_report(metrics(s, d), ld.problematic_leads(fx.pv(s, d))),
+        "dd20_top_sources": lambda s, d: ds.top_sources_by_count(fx.pv(s, d)),
+        "dd21_score_bands": lambda s, d: ds.etl_score_bands(fx.pv(s, d)),
+        "dd21_source_means": lambda s, d: ds.etl_source_means(fx.pv(s, d)),
+        "dd21_flag_sums": lambda s, d: ds.etl_flag_sums(fx.pv(s, d)),
+        "dd22_top_quality_sources": lambda s, d: ds.top_quality_sources(summary(s, d)),
+    }
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
+    out.update(_dataset_queries())
     out.update(_etl_queries())
     out.update(_pv_queries())
     out.update(_vr_queries())
@@ -164,8 +208,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import etl, loaders, pv_reports, rules, vr_reports
+    from .oracle import datasets, etl, loaders, pv_reports, rules, vr_reports
     out: dict[str, str] = {}
+    out.update(datasets.ORACLE)
     out.update(etl.ORACLE)
     out.update(rules.ORACLE)
     out.update(loaders.ORACLE)

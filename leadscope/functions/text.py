@@ -8,9 +8,15 @@ from pyspark.sql import functions as F
 from .exprs import col, ColumnOrName
 
 
+# The characters Python's str.strip() treats as whitespace.
+WHITESPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0        "
+              "        　")
+
+
 def strip(c: ColumnOrName) -> Column:
-    """Trim all leading/trailing whitespace (Spark's ``trim`` only removes spaces)."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    """Trim leading/trailing whitespace as Python's ``str.strip()`` does
+    (Spark's one-argument ``trim`` only removes spaces)."""
+    return F.trim(col(c), F.lit(WHITESPACE))
 
 
 def filled(c: ColumnOrName) -> Column:

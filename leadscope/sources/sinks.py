@@ -1,8 +1,7 @@
 """Sinks (SNK-1 .. SNK-7): keyed upserts, snapshots and CSV exports.
 
 Upserts are one shuffle on the key: old and new rows are unioned with a
-version tag and reduced per key with ``max_by`` (map-side partial
-aggregation, no sort of all rows, no join). The result is written as a new
+version tag and reduced per key in one window pass (no join). The result is written as a new
 snapshot; nothing is mutated in place, so a lost executor just re-runs tasks.
 """
 
@@ -10,19 +9,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _dedupe_batch(new: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key inside a batch: greatest ``order`` tuple wins."""
+def dedupe_batch(new: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """One row per key inside a batch (greatest ``order`` tuple wins). The
+    reduction is partial-aggregated map-side, so a key repeated millions of
+    times is collapsed before the shuffle instead of landing in one task."""
     other = [c for c in new.columns if c != key]
     ob = F.struct(*[F.col(c) for c in order]) if order else F.lit(0)
     return new.groupBy(key).agg(F.max_by(F.struct(*other), ob).alias("_r")).select(key, "_r.*")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "task_id", keep_old: Sequence[str] = (),
-           batch_order: Sequence[str] = ("last_modified_date",), default_now=None) -> DataFrame:
+           batch_order: Sequence[str] = ("last_modified_date",), default_now=None,
+           batch_unique: bool = False) -> DataFrame:
     """SNK-1/SNK-2/SET-3/JON-5: keyed replace.
 
     * rows of ``new`` with NULL or empty key are dropped;
@@ -31,30 +33,35 @@ def upsert(old: DataFrame, new: DataFrame, key: str = "task_id", keep_old: Seque
       from ``new`` and the ``keep_old`` columns keep the old value;
     * ``keep_old`` columns of inserted keys take ``new``'s value if supplied,
       else ``default_now``.
+
+    Plan: old and new rows are unioned with a version tag and shuffled once by
+    the key; one window pass (same partitioning and order for every window
+    expression, so a single sort) picks the winning row and carries the
+    kept-old values. No join, and no aggregate buffer holding wide rows.
     """
     new = new.filter(F.col(key).isNotNull() & (F.col(key) != ""))
-    order = [c for c in batch_order if c in new.columns]
-    order += [c for c in ("raw_description", "Description") if c in new.columns]  # deterministic tie-break
-    new = _dedupe_batch(new, key, order)
+    types = dict(old.dtypes)
     cols = old.columns
     supplied = set(new.columns)
+    order = [c for c in batch_order if c in supplied]
+    order += [c for c in ("raw_description", "Description") if c in supplied and c in cols]
+    if not batch_unique:
+        new = dedupe_batch(new, key, order)
     tagged_old = old.select(*[F.col(c) for c in cols], F.lit(0).alias("_v"))
-    new_full = new.select(*[F.col(c) if c in supplied else F.lit(None).cast(dict(old.dtypes)[c]).alias(c)
-                            for c in cols], F.lit(1).alias("_v"))
+    new_full = new.select(*[F.col(c) if c in supplied else F.lit(None).cast(types[c]).alias(c) for c in cols],
+                          F.lit(1).alias("_v"))
     u = tagged_old.unionByName(new_full)
-    aggs = []
+    w = Window.partitionBy(key).orderBy(F.col("_v").desc(), *[F.col(c).desc_nulls_last() for c in order])
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carried = {}
     for c in cols:
-        if c == key:
-            continue
-        if c in keep_old or c not in supplied:
-            # first non-NULL by version ascending: old value if the key existed
-            v = F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_v")))
+        if c != key and (c in keep_old or c not in supplied):
+            v = F.coalesce(F.first(F.when(F.col("_v") == 0, F.col(c)), ignorenulls=True).over(whole), F.col(c))
             if c in keep_old and default_now is not None:
-                v = F.coalesce(v, F.lit(default_now).cast(dict(old.dtypes)[c]))
-        else:
-            v = F.max_by(F.col(c), F.col("_v"))
-        aggs.append(v.alias(c))
-    return u.groupBy(key).agg(*aggs).select(*cols)
+                v = F.coalesce(v, F.lit(default_now).cast(types[c]))
+            carried[c] = v
+    ranked = u.withColumns({**carried, "_rn": F.row_number().over(w)})
+    return ranked.filter(F.col("_rn") == 1).select(*cols)
 
 
 def upsert_parsed(old: DataFrame, new: DataFrame, now=None) -> DataFrame:

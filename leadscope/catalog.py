@@ -198,6 +198,7 @@ def _dataset_queries() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
+    out.update(_stream_queries())
     out.update(_dataset_queries())
     out.update(_etl_queries())
     out.update(_pv_queries())
@@ -217,3 +218,37 @@ def oracle() -> dict[str, str]:
     out.update(pv_reports.ORACLE)
     out.update(vr_reports.ORACLE)
     return {k: v for k, v in out.items() if k in queries()}
+
+
+# ------------------------------------------------------------------ streaming (STR-1, STR-2)
+
+def _stream_base(spark: SparkSession) -> str:
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/leadscope-stream-{uuid.uuid4().hex[:12]}"
+
+
+def _str1(s, d):
+    from .oracle.etl import ROUNDTRIP_COLUMNS
+    from .streaming import stream as st
+    base = _stream_base(s)
+    st.land_tasks_json(rd.render_tasks(fx.pv(s, d)), f"{base}/landing")
+    q = st.start_task_ingest(s, f"{base}/landing", f"{base}/table", f"{base}/ckpt-ingest", now=PV,
+                             available_now=True)
+    q.awaitTermination()
+    out = s.read.parquet(st.latest_snapshot(s, f"{base}/table"))
+    return out.withColumn("has_parse_error", F.col("parse_error").isNotNull()).select(*ROUNDTRIP_COLUMNS)
+
+
+def _str2(s, d):
+    from .streaming import stream as st
+    base = _stream_base(s)
+    st.land_tasks_json(rd.render_tasks(fx.pv(s, d)), f"{base}/landing")
+    q = st.start_daily_monitor(s, f"{base}/landing", f"{base}/monitor", f"{base}/ckpt-monitor", available_now=True)
+    q.awaitTermination()
+    return s.read.parquet(st.latest_snapshot(s, f"{base}/monitor"))
+
+
+def _stream_queries() -> dict[str, Query]:
+    return {"str1_stream_ingest": _str1, "str2_daily_monitor": _str2}

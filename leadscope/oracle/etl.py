@@ -57,3 +57,11 @@ FROM pv""", "pv")
 
 ORACLE = {"prs_roundtrip": PRS_ROUNDTRIP, "prs12_counters": PRS_COUNTERS, "jon2_semi": JON2,
           "src2_incremental": SRC2, "snk2_upsert": SNK2, "snk7_touch": SNK7}
+
+STR2 = with_ctes("""
+SELECT date_trunc('day', created_date) AS day, COALESCE(lead_source, 'Unknown') AS lead_source,
+  COUNT(*) AS total_leads, COUNT(*) FILTER (WHERE COALESCE(api_fake_lead, FALSE)) AS fake_leads_count,
+  COUNT(*) FILTER (WHERE COALESCE(api_fraud_score, 0) >= 8) AS critical_fraud_count
+FROM pv WHERE parse_error IS NULL GROUP BY 1, 2""", "pv")
+
+ORACLE.update({"str1_stream_ingest": PRS_ROUNDTRIP, "str2_daily_monitor": STR2})

@@ -198,6 +198,7 @@ def _dataset_queries() -> dict[str, Query]:
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
+    out.update(_primitive_queries())
     out.update(_stream_queries())
     out.update(_dataset_queries())
     out.update(_etl_queries())
@@ -252,3 +253,31 @@ def _str2(s, d):
 
 def _stream_queries() -> dict[str, Query]:
     return {"str1_stream_ingest": _str1, "str2_daily_monitor": _str2}
+
+
+# ------------------------------------------------------------------ primitives (AGG-10, WIN-1, WIN-5, WIN-7)
+
+def _primitive_queries() -> dict[str, Query]:
+    from pyspark.sql import Window as W
+
+    from .functions.exprs import rank_by, trunc_ntz
+    from .functions.quantiles import grouped_median
+
+    def weekly(s, d):
+        v = fx.vr(s, d).withColumn("lead_source", F.coalesce("lead_source", F.lit("Unknown")))
+        return v.groupBy(trunc_ntz("week", "validation_timestamp").alias("week"), "lead_source").agg(
+            F.count(F.lit(1)).alias("validations"), F.sum("data_quality_score").alias("_s"))
+
+    return {
+        "agg10_median": lambda s, d: grouped_median(
+            fx.vr(s, d).withColumn("lead_source", F.coalesce("lead_source", F.lit("Unknown"))),
+            ["lead_source"], "overall_score", "median_overall_score"),
+        "win1_latest": lambda s, d: rv.latest_per_lead(fx.vr(s, d)).select(
+            "lead_id", "validation_timestamp", "event_id", "overall_score"),
+        "win5_rank_in_period": lambda s, d: weekly(s, d).select(
+            "week", "lead_source", "validations",
+            rank_by(F.col("validations").desc(), partition=["week"]).alias("volume_rank_in_week")),
+        "win7_lag": lambda s, d: weekly(s, d).select(
+            "week", "lead_source", "validations",
+            F.lag("validations").over(W.partitionBy("lead_source").orderBy("week")).alias("prev_validations")),
+    }

@@ -65,3 +65,17 @@ SELECT date_trunc('day', created_date) AS day, COALESCE(lead_source, 'Unknown')
 FROM pv WHERE parse_error IS NULL GROUP BY 1, 2""", "pv")
 
 ORACLE.update({"str1_stream_ingest": PRS_ROUNDTRIP, "str2_daily_monitor": STR2})
+
+_WEEKLY = """(SELECT date_trunc('week', validation_timestamp) AS week, COALESCE(lead_source, 'Unknown') AS lead_source,
+  COUNT(*) AS validations FROM vr GROUP BY 1, 2) w"""
+ORACLE.update({
+    "agg10_median": with_ctes("""SELECT COALESCE(lead_source, 'Unknown') AS lead_source,
+  MEDIAN(overall_score) AS median_overall_score FROM vr GROUP BY 1""", "vr"),
+    "win1_latest": with_ctes("""SELECT lead_id, validation_timestamp, event_id, overall_score FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY lead_id ORDER BY validation_timestamp DESC, event_id DESC) AS rn FROM vr) x
+  WHERE rn = 1""", "vr"),
+    "win5_rank_in_period": with_ctes(f"""SELECT week, lead_source, validations,
+  RANK() OVER (PARTITION BY week ORDER BY validations DESC) AS volume_rank_in_week FROM {_WEEKLY}""", "vr"),
+    "win7_lag": with_ctes(f"""SELECT week, lead_source, validations,
+  LAG(validations) OVER (PARTITION BY lead_source ORDER BY week) AS prev_validations FROM {_WEEKLY}""", "vr"),
+})

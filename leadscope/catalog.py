@@ -112,7 +112,10 @@ def _rule_queries() -> dict[str, Query]:
         "val9_quality_score": lambda s, d: v(s, d).select("lead_id", "data_quality_score"),
         "val11_status": lambda s, d: v(s, d).select("lead_id", "data_quality_score", "fraud_score",
                                                     "overall_score", "validation_status"),
-        "val12_results": lambda s, d: ru.validation_results(fx.leads(s, d), VR),
+        "val12_results": lambda s, d: ru.validation_results(fx.leads(s, d), VR).select(
+            "*", F.get_json_object("validation_details", "$.email.score").cast("double").alias("details_email_score"),
+            F.get_json_object("validation_details", "$.fraud.risk_level").alias("details_fraud_risk_level"),
+        ).drop("validation_details"),
         "val13_issues": lambda s, d: ru.issues_long(ru.validate_leads(fx.leads(s, d))).select(
             "lead_id", "check", "issue",
             F.count(F.lit(1)).over(Window.partitionBy("lead_id", "check")).alias("n_in_check")),

@@ -261,3 +261,16 @@ ORACLE = {
     "val6_company": VAL6, "val7_completeness": VAL7, "val8_data_quality": VAL8,
     "val9_quality_score": VAL9, "val11_status": VAL11, "val13_issues": VAL13,
 }
+
+VAL12 = _q(f"""SELECT Id AS lead_id, TIMESTAMP '2024-01-31 00:00:00' AS validation_timestamp, overall_score,
+  data_quality_score, fraud_score,
+  CASE WHEN overall_score >= 0.9 THEN 'Excellent' WHEN overall_score >= 0.8 THEN 'Good'
+       WHEN overall_score >= 0.6 THEN 'Fair' WHEN overall_score >= 0.4 THEN 'Poor' ELSE 'Invalid' END
+    AS validation_status,
+  FirstName AS first_name, LastName AS last_name, Email AS email, Phone AS phone, Company AS company,
+  Status AS status, LeadSource AS lead_source, CAST(NULL AS TIMESTAMP) AS created_date,
+  CAST(NULL AS TIMESTAMP) AS last_modified_date, CAST(NULL AS TIMESTAMP) AS converted_date,
+  lower(COALESCE(Status, '')) = 'converted' AS is_converted,
+  email_score AS details_email_score, risk_level AS details_fraud_risk_level
+FROM rules""")
+ORACLE["val12_results"] = VAL12

@@ -56,6 +56,20 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "m
     return pick.select(*keys, med.alias(out))
 
 
+def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], buckets: int = 1024) -> DataFrame:
+    """Several medians per group in one pass: the value columns are stacked
+    into (metric, value) rows, one :func:`grouped_median` runs with the metric
+    as an extra key, and the results are folded back to one row per group.
+    ``values`` maps output name -> input column."""
+    keys = list(keys)
+    pairs = F.array(*[F.struct(F.lit(out).alias("_metric"), F.col(c).cast("double").alias("_val"))
+                      for out, c in values.items()])
+    long = df.select(*keys, F.inline(pairs))
+    m = grouped_median(long, keys + ["_metric"], "_val", "_med", buckets)
+    return m.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == out, F.col("_med"))).alias(out)
+                                  for out in values])
+
+
 def global_median(df: DataFrame, value: str, out: str = "median", buckets: int = 1024) -> DataFrame:
     """Median over all rows (one output row, NULL when there is no value)."""
     g = df.withColumn("_all", F.lit(1))

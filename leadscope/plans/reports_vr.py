@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import (as_of_ts, count_if, date_diff_days, days_before, ladder, pct, rank_by,
                                ratio, round_half_away, trunc_ntz)
-from ..functions.quantiles import global_median, grouped_median
+from ..functions.quantiles import global_median, grouped_median, grouped_medians
 
 SUMMARY_COLUMNS = ["lead_id", "validation_timestamp", "overall_score", "validation_status", "first_name",
                    "last_name", "email", "phone", "company", "lead_status", "lead_source", "created_date",
@@ -45,9 +45,13 @@ def combine_rows(*frames: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- VW-9
 
 def latest_per_lead(vr: DataFrame, key: str = "lead_id", ts: str = "validation_timestamp",
-                    tie: str = "event_id") -> DataFrame:
-    """WIN-1: newest row per lead (ties broken by ``tie``), via ``max_by``."""
-    cols = [c for c in vr.columns if c != key]
+                    tie: str = "event_id", columns: Sequence[str] | None = None) -> DataFrame:
+    """WIN-1: newest row per lead (ties broken by ``tie``), via ``max_by``
+    (partial aggregation map-side, so a lead with very many validations is
+    reduced before the shuffle). Pass ``columns`` to carry only what the
+    caller needs: fields packed into the ``max_by`` struct are not pruned by
+    the optimizer."""
+    cols = [c for c in (columns or vr.columns) if c != key and c in vr.columns]
     order = F.struct(F.col(ts), F.col(tie)) if tie in vr.columns else F.col(ts)
     return (vr.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("_r"))
             .select(key, "_r.*"))
@@ -55,7 +59,8 @@ def latest_per_lead(vr: DataFrame, key: str = "lead_id", ts: str = "validation_t
 
 def validation_summary(vr: DataFrame, as_of) -> DataFrame:
     """VW-9: latest validation per lead with category, ages and conversion."""
-    latest = latest_per_lead(vr).withColumnRenamed("status", "lead_status")
+    base = [c if c != "lead_status" else "status" for c in SUMMARY_COLUMNS]
+    latest = latest_per_lead(vr, columns=base).withColumnRenamed("status", "lead_status")
     d = F.lit(str(as_of)).cast("date")
     conv = F.col("is_converted")
     return latest.select(
@@ -229,9 +234,8 @@ def _trend_frame(vr: DataFrame, as_of, window_days: int, by_source: bool) -> tup
     if by_source:
         aggs.append(count_if(fr >= 0.7).alias("likely_fake_count"))
     a = e.groupBy(*keys).agg(*aggs)
-    m1 = grouped_median(e, keys, "data_quality_score", "_med_dq")
-    m2 = grouped_median(e, keys, "fraud_score", "_med_fr")
-    a = a.join(m1, keys, "left").join(m2, keys, "left")
+    med = grouped_medians(e, keys, {"_med_dq": "data_quality_score", "_med_fr": "fraud_score"})
+    a = a.join(med, keys, "left")
     return a, keys
 
 

@@ -9,22 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .operators import fraud as fr
 from .operators import parse as ps
-from .sources import ingest as ing
-from .sources import render as rd
-from .sources import sinks as sk
 from .operators import rules as ru
 from .plans import datasets as ds
 from .plans import loaders as ld
 from .plans import reports_pv as rp
 from .plans import reports_vr as rv
 from .sources import fixtures as fx
+from .sources import ingest as ing
+from .sources import render as rd
+from .sources import sinks as sk
 
 Query = Callable[[SparkSession, str], DataFrame]
 

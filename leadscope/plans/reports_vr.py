@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import (as_of_ts, count_if, date_diff_days, days_before, ladder, pct, rank_by,
+from ..functions.exprs import (count_if, date_diff_days, days_before, ladder, pct, rank_by,
                                ratio, round_half_away, trunc_ntz)
 from ..functions.quantiles import global_median, grouped_median, grouped_medians
 
@@ -282,7 +282,3 @@ def simplified_trends_by_source(vr: DataFrame, as_of, window_days: int = 90,
         rank_by(F.col("_avg_dq").desc_nulls_last(), partition=["period_type", "trend_date"]).alias("daily_quality_rank"),
         rank_by(F.col("_avg_fr").asc_nulls_last(), partition=["period_type", "trend_date"]).alias("daily_fraud_safety_rank"),
     )
-
-
-def as_of_timestamp(as_of) -> Column:
-    return as_of_ts(as_of)

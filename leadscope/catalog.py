@@ -150,6 +150,7 @@ def _etl_queries() -> dict[str, Query]:
             tasks(s, d), force_refresh=True,
             leads=fx.leads(s, d).filter(F.col("LeadSource").isNotNull())).select(*task_cols),
         "src2_incremental": lambda s, d: ing.validation_tasks(tasks(s, d), as_of=PV, days_back=30).select(*task_cols),
+        "jon1_attach_who": lambda s, d: ing.attach_who(tasks(s, d), fx.leads(s, d)).select(*task_cols),
         "snk2_upsert": lambda s, d: sk.upsert_parsed(*_upsert_inputs(s, d)),
         "snk7_touch": lambda s, d: sk.touch_latest(fx.pv(s, d), f"{PV} 12:00:00"),
     }

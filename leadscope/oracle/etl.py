@@ -55,7 +55,13 @@ WITH top AS (SELECT task_id FROM pv WHERE parse_error IS NULL ORDER BY parsed_at
 SELECT {", ".join(f"CASE WHEN task_id IN (SELECT task_id FROM top) THEN TIMESTAMP '{PV_AS_OF} 12:00:00' ELSE parsed_at END AS parsed_at" if c == "parsed_at" else c for c in _ALL)}
 FROM pv""", "pv")
 
-ORACLE = {"prs_roundtrip": PRS_ROUNDTRIP, "prs12_counters": PRS_COUNTERS, "jon2_semi": JON2,
+JON1 = with_ctes("""
+SELECT task_id AS Id, who_id AS WhoId, 'Lead Validation Results' AS Subject, l.LeadSource, l.Company, l.Email,
+  created_date AS CreatedDate, COALESCE(last_modified_date, parsed_at) AS LastModifiedDate
+FROM pv LEFT JOIN (SELECT DISTINCT ON (Id) Id, LeadSource, Company, Email FROM leads ORDER BY Id) l ON pv.who_id = l.Id
+""", "pv", "leads")
+
+ORACLE = {"jon1_attach_who": JON1, "prs_roundtrip": PRS_ROUNDTRIP, "prs12_counters": PRS_COUNTERS, "jon2_semi": JON2,
           "src2_incremental": SRC2, "snk2_upsert": SNK2, "snk7_touch": SNK7}
 
 STR2 = with_ctes("""

@@ -270,7 +270,17 @@ def _primitive_queries() -> dict[str, Query]:
         return v.groupBy(trunc_ntz("week", "validation_timestamp").alias("week"), "lead_source").agg(
             F.count(F.lit(1)).alias("validations"), F.sum("data_quality_score").alias("_s"))
 
+    def listagg(s, d):
+        from .functions import scores as S
+        rows = ld.date_range_filter(S.good_rows(fx.pv(s, d)), *RANGE)
+        label = F.when(S.is_fake(), F.concat(F.coalesce("api_first_name", F.lit("")), F.lit(" "),
+                                             F.coalesce("api_last_name", F.lit("")), F.lit(" ("), "task_id", F.lit(")")))
+        return (rows.withColumn("_label", label)
+                .groupBy(trunc_ntz("day", "created_date").alias("day"), S.source().alias("lead_source"))
+                .agg(F.expr("listagg(_label, '; ') WITHIN GROUP (ORDER BY task_id)").alias("fake_leads_list")))
+
     return {
+        "agg12_listagg": listagg,
         "agg10_median": lambda s, d: grouped_median(
             fx.vr(s, d).withColumn("lead_source", F.coalesce("lead_source", F.lit("Unknown"))),
             ["lead_source"], "overall_score", "median_overall_score"),

@@ -5,8 +5,8 @@ group (a third of all rows) would have to fit in one executor. This operator
 finds the median in three distributed steps:
 
 1. per group: count, min, max (partial aggregation, tiny output);
-2. per (group, value bucket): row counts, cumulative over <= ``buckets``
-   buckets per group -> the bucket(s) holding the middle rank(s);
+2. per (group, value bucket): row counts, cumulative over min(n, ``buckets``)
+   equal-width buckets per group -> the bucket(s) holding the middle rank(s);
 3. only rows of those buckets: counts per distinct value and the exact rank.
 
 Interpolation for an even count is ``lo + (hi - lo) * 0.5`` (continuous
@@ -23,14 +23,19 @@ from pyspark.sql import functions as F
 
 
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                   buckets: int = 1024) -> DataFrame:
-    """Return ``keys + [out]``, one row per group that has a non-NULL value."""
+                   buckets: int = 1 << 20) -> DataFrame:
+    """Return ``keys + [out]``, one row per group that has a non-NULL value.
+
+    A group of n values gets ``min(n, buckets)`` equal-width buckets, so its
+    histogram never exceeds ``buckets`` rows and, for spread-out values, the
+    bucket holding the middle rank keeps about n / buckets values."""
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     stats = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
+    nb = F.least(F.col("_n"), F.lit(buckets))
     bucket = F.when(span <= 0, F.lit(0)).otherwise(
-        F.least(F.lit(buckets - 1), F.floor((F.col("_v") - F.col("_lo")) / span * buckets).cast("int")))
+        F.least(nb - 1, F.floor((F.col("_v") - F.col("_lo")) / span * nb)).cast("int"))
     vb = v.join(stats, keys).withColumn("_b", bucket)
 
     # step 2: bucket histogram per group and the target ranks
@@ -56,7 +61,7 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "m
     return pick.select(*keys, med.alias(out))
 
 
-def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], buckets: int = 1024) -> DataFrame:
+def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], buckets: int = 1 << 20) -> DataFrame:
     """Several medians per group in one pass: the value columns are stacked
     into (metric, value) rows, one :func:`grouped_median` runs with the metric
     as an extra key, and the results are folded back to one row per group.
@@ -70,7 +75,7 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str],
                                   for out in values])
 
 
-def global_median(df: DataFrame, value: str, out: str = "median", buckets: int = 1024) -> DataFrame:
+def global_median(df: DataFrame, value: str, out: str = "median", buckets: int = 1 << 20) -> DataFrame:
     """Median over all rows (one output row, NULL when there is no value)."""
     g = df.withColumn("_all", F.lit(1))
     m = grouped_median(g, ["_all"], value, out, buckets)

@@ -75,6 +75,13 @@ ORACLE.update({"str1_stream_ingest": PRS_ROUNDTRIP, "str2_daily_monitor": STR2})
 _WEEKLY = """(SELECT date_trunc('week', validation_timestamp) AS week, COALESCE(lead_source, 'Unknown') AS lead_source,
   COUNT(*) AS validations FROM vr GROUP BY 1, 2) w"""
 ORACLE.update({
+    "agg12_listagg": with_ctes("""SELECT date_trunc('day', created_date) AS day,
+  COALESCE(lead_source, 'Unknown') AS lead_source,
+  STRING_AGG(CASE WHEN COALESCE(api_fake_lead, FALSE) THEN COALESCE(api_first_name, '') || ' '
+                  || COALESCE(api_last_name, '') || ' (' || task_id || ')' END, '; ' ORDER BY task_id) AS fake_leads_list
+FROM pv WHERE parse_error IS NULL AND created_date >= TIMESTAMP '2001-07-01 00:00:00'
+  AND created_date <= TIMESTAMP '2001-07-31 23:59:59'
+GROUP BY 1, 2""", "pv"),
     "agg10_median": with_ctes("""SELECT COALESCE(lead_source, 'Unknown') AS lead_source,
   MEDIAN(overall_score) AS median_overall_score FROM vr GROUP BY 1""", "vr"),
     "win1_latest": with_ctes("""SELECT lead_id, validation_timestamp, event_id, overall_score FROM (

@@ -106,3 +106,40 @@ def rank_by(*order: Column, partition: Iterable[ColumnOrName] = ()) -> Column:
 
 def select_ordered(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(n) for n in names])
+
+
+# Higher-order functions (filter/exists/transform/aggregate, and array_compact,
+# which is a filter) are evaluated outside generated code and switch whole-stage
+# codegen off for the operator that contains them. The helpers below build the
+# same results from codegen-able expressions for per-row hot paths.
+
+def messages(*pairs: tuple[Column, Column | str]) -> Column:
+    """Ordered array of the messages whose condition holds (NULL condition = no)."""
+    empty = F.array().cast("array<string>")
+    parts = [F.when(c, F.array(m if isinstance(m, Column) else F.lit(m))).otherwise(empty) for c, m in pairs]
+    return F.concat(*parts) if parts else empty
+
+
+def first_contained(text: Column, needles: Sequence[str]) -> Column:
+    """First needle (in list order) that occurs in ``text``; NULL if none."""
+    out = None
+    for n in needles:
+        cond = F.instr(text, n) > 0
+        out = F.when(cond, F.lit(n)) if out is None else out.when(cond, F.lit(n))
+    return out
+
+
+def contains_any(text: Column, needles: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for n in needles:
+        out = out | (F.instr(text, n) > 0)
+    return out
+
+
+def first_null_index(arr: Column) -> Column:
+    """0-based index of the first NULL element of a string array; NULL if none."""
+    sep, null_mark = "\u0001", "\u0002"
+    joined = F.array_join(arr, sep, null_mark)
+    before = F.substring_index(joined, null_mark, 1)
+    idx = F.when(before == "", F.lit(0)).otherwise(F.size(F.split(before, sep)) - 1)
+    return F.when(F.instr(joined, null_mark) > 0, idx)

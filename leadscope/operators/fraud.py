@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ladder
+from ..functions.exprs import first_contained, ladder, messages
 from ..functions.text import digits, distinct_chars, strip
 
 # Indicator lists of the fraud engine (order matters: first hit wins).
@@ -40,16 +40,15 @@ def _email(email: Column) -> tuple[Column, Column]:
     low = F.lower(email)
     domain = F.coalesce(F.get(F.split(low, "@"), 1), F.lit(""))
     fake = F.coalesce(low.rlike(FAKE_EMAIL_REGEX), F.lit(False))
-    disp = F.get(F.filter(F.array(*[F.lit(d) for d in DISPOSABLE_DOMAINS]), lambda d: F.instr(domain, d) > 0), 0)
+    disp = first_contained(domain, DISPOSABLE_DOMAINS)
     longnum = F.coalesce(low.rlike(r"[0-9]{8,}"), F.lit(False))
     present = _truthy(email)
     base = F.when(disp.isNotNull(), F.lit(0.9)).otherwise(F.lit(0.0))
     score = (F.when(~present, 0.0).when(fake, 1.0)
              .otherwise(F.when(longnum, F.greatest(base, F.lit(0.6))).otherwise(base)))
-    ind = [F.when(present & fake, F.concat(F.lit("Fake email pattern: "), email)),
-           F.when(present & ~fake & disp.isNotNull(), F.concat(F.lit("Disposable email domain: "), domain)),
-           F.when(present & ~fake & longnum, F.lit("Email contains long number sequence"))]
-    return score, F.array(*ind)
+    return score, messages((present & fake, F.concat(F.lit("Fake email pattern: "), email)),
+                           (present & ~fake & disp.isNotNull(), F.concat(F.lit("Disposable email domain: "), domain)),
+                           (present & ~fake & longnum, "Email contains long number sequence"))
 
 
 def _phone(phone: Column) -> tuple[Column, Column]:
@@ -59,26 +58,24 @@ def _phone(phone: Column) -> tuple[Column, Column]:
     few = (distinct_chars(d) <= 2) & (F.length(d) >= 10)
     seq = d.isin(*SEQUENTIAL_PHONES)
     score = (F.when(~present, 0.0).when(fake, 1.0).when(seq, 0.95).when(few, 0.9).otherwise(0.0))
-    ind = [F.when(present & fake, F.concat(F.lit("Fake phone pattern: "), phone)),
-           F.when(present & ~fake & few, F.lit("Phone has too few unique digits")),
-           F.when(present & ~fake & seq, F.lit("Sequential phone number pattern"))]
-    return score, F.array(*ind)
+    return score, messages((present & fake, F.concat(F.lit("Fake phone pattern: "), phone)),
+                           (present & ~fake & few, "Phone has too few unique digits"),
+                           (present & ~fake & seq, "Sequential phone number pattern"))
 
 
 def _name(first: Column, last: Column) -> tuple[Column, Column]:
     present = _truthy(first) & _truthy(last)
     full = F.lower(F.concat(first, F.lit(" "), last))
-    hit = F.get(F.filter(F.array(*[F.lit(p) for p in FAKE_NAME_PATTERNS]), lambda p: F.instr(full, p) > 0), 0)
+    hit = first_contained(full, FAKE_NAME_PATTERNS)
     same = F.lower(first) == F.lower(last)
     single = (F.length(strip(first)) == 1) | (F.length(strip(last)) == 1)
     s = F.when(hit.isNotNull(), F.lit(0.8)).otherwise(F.lit(0.0))
     s = F.when(same, F.greatest(s, F.lit(0.7))).otherwise(s)
     s = F.when(single, F.greatest(s, F.lit(0.5))).otherwise(s)
     score = F.when(present, s).otherwise(F.lit(0.0))
-    ind = [F.when(present & hit.isNotNull(), F.concat(F.lit("Suspicious name pattern: "), hit)),
-           F.when(present & same, F.lit("Identical first and last name")),
-           F.when(present & single, F.lit("Single character name"))]
-    return score, F.array(*ind)
+    return score, messages((present & hit.isNotNull(), F.concat(F.lit("Suspicious name pattern: "), hit)),
+                           (present & same, "Identical first and last name"),
+                           (present & single, "Single character name"))
 
 
 def _company(company: Column) -> tuple[Column, Column]:
@@ -89,16 +86,15 @@ def _company(company: Column) -> tuple[Column, Column]:
     s = F.when(generic, F.lit(0.6)).otherwise(F.lit(0.0))
     s = F.when(short, F.greatest(s, F.lit(0.4))).otherwise(s)
     score = F.when(present, s).otherwise(F.lit(0.0))
-    ind = [F.when(present & generic, F.concat(F.lit("Generic company name: "), company)),
-           F.when(present & short, F.lit("Company name too short"))]
-    return score, F.array(*ind)
+    return score, messages((present & generic, F.concat(F.lit("Generic company name: "), company)),
+                           (present & short, "Company name too short"))
 
 
 def _consistency(email: Column, first: Column, last: Column) -> tuple[Column, Column]:
     e, f, l_ = (F.lower(F.coalesce(c, F.lit(""))) for c in (email, first, last))
     present = (F.length(e) > 0) & (F.length(f) > 0) & (F.length(l_) > 0)
     miss = present & (F.instr(e, f) == 0) & (F.instr(e, l_) == 0)
-    return F.when(miss, F.lit(0.3)).otherwise(F.lit(0.0)), F.array(F.when(miss, F.lit("Name not reflected in email address")))
+    return F.when(miss, F.lit(0.3)).otherwise(F.lit(0.0)), messages((miss, "Name not reflected in email address"))
 
 
 def risk_level(score: Column) -> Column:
@@ -117,7 +113,7 @@ def fraud_scores(leads: DataFrame, email: str = "Email", phone: str = "Phone", f
     total = F.lit(0.0)
     for k, w in WEIGHTS:
         total = total + F.col(f"fraud_{k}_score") * F.lit(w)
-    indicators = F.array_compact(F.concat(*[v[1] for v in parts.values()]))
+    indicators = F.concat(*[v[1] for v in parts.values()])
     return (df.withColumn("_raw_fraud", total)
               .withColumns({"fraud_score": F.least(F.col("_raw_fraud"), F.lit(1.0)),
                             "is_likely_fake": F.col("_raw_fraud") >= 0.7,

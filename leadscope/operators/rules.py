@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import ladder
+from ..functions.exprs import contains_any, ladder, messages
 from ..functions.text import digits, filled, fuzzy_ratio, is_upper, strip
 from . import fraud as fraud_ops
 
@@ -36,7 +36,7 @@ NANP = r"^1?[2-9][0-9]{2}[2-9][0-9]{6}$"
 
 
 def _issues(*pairs: tuple[Column, Column | str]) -> Column:
-    return F.array_compact(F.array(*[F.when(c, m if isinstance(m, Column) else F.lit(m)) for c, m in pairs]))
+    return messages(*pairs)
 
 
 # ------------------------------------------------------------------ VAL-3
@@ -99,7 +99,7 @@ def _name_cols(first: Column, last: Column) -> dict[str, Column]:
     lm, ln_len, ls = part(last)
     both = F.coalesce((F.length(first) > 0) & (F.length(last) > 0), F.lit(False))
     full = F.lower(F.concat(first, F.lit(" "), last))
-    sus = both & F.exists(F.array(*[F.lit(x) for x in NAME_SUSPICIOUS]), lambda p: F.instr(full, p) > 0)
+    sus = both & contains_any(full, NAME_SUSPICIOUS)
     factor = F.when(sus, F.lit(0.5)).otherwise(F.lit(1.0))
     # components are appended first-name then last-name and summed in that order
     score = F.lit(0.0) + fs * factor + ls * factor

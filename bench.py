@@ -58,8 +58,9 @@ def main() -> None:
         "vw06_fake_leads_detail": lambda: rp.fake_leads_detail(pv),
         "vw07_daily_fake_leads": lambda: rp.daily_fake_leads_by_source(pv, PV),
         "vw08_status_anomalies": lambda: rp.fake_leads_status_anomalies(pv, PV),
-        "vw10_validation_metrics": lambda: rv.validation_metrics(rv.validation_summary(vr, VR)),
-        "vw11_validation_by_source": lambda: rv.validation_by_source(rv.validation_summary(vr, VR), VR),
+        "vw10_validation_metrics": lambda: rv.validation_metrics(sinks.checkpointed(rv.validation_summary(vr, VR))),
+        "vw11_validation_by_source": lambda: rv.validation_by_source(
+            sinks.checkpointed(rv.validation_summary(vr, VR)), VR),
         "vw12_validation_trends": lambda: rv.validation_trends(vr),
         "vw14_trends_by_source": lambda: rv.simplified_trends_by_source(vr, VR),
         "lq02_lead_list": lambda: ld.lead_list(pv),

@@ -46,8 +46,12 @@ def _pv_queries() -> dict[str, Query]:
 def _vr_queries() -> dict[str, Query]:
     return {
         "vw09_validation_summary": lambda s, d: rv.validation_summary(fx.vr(s, d), VR),
-        "vw10_validation_metrics": lambda s, d: rv.validation_metrics(rv.validation_summary(fx.vr(s, d), VR)),
-        "vw11_validation_by_source": lambda s, d: rv.validation_by_source(rv.validation_summary(fx.vr(s, d), VR), VR),
+        # the per-lead summary feeds several passes (aggregate + exact median):
+        # materialise it once instead of recomputing latest-per-lead per pass
+        "vw10_validation_metrics": lambda s, d: rv.validation_metrics(
+            sk.checkpointed(rv.validation_summary(fx.vr(s, d), VR))),
+        "vw11_validation_by_source": lambda s, d: rv.validation_by_source(
+            sk.checkpointed(rv.validation_summary(fx.vr(s, d), VR)), VR),
         "vw12_validation_trends": lambda s, d: rv.validation_trends(fx.vr(s, d)),
         "vw13_trends_overall": lambda s, d: rv.simplified_trends_overall(fx.vr(s, d), VR),
         "vw14_trends_by_source": lambda s, d: rv.simplified_trends_by_source(fx.vr(s, d), VR),
@@ -164,7 +168,7 @@ def _dataset_queries() -> dict[str, Query]:
         return rp.worst_lead_sources(summary(s, d), ordered=False)
 
     def metrics(s, d):
-        return rv.validation_metrics(rv.validation_summary(fx.vr(s, d), VR))
+        return rv.validation_metrics(sk.checkpointed(rv.validation_summary(fx.vr(s, d), VR)))
 
     def series(s, d):
         return ds.top_source_series(ld.source_month_performance(fx.pv(s, d)))

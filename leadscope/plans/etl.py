@@ -95,7 +95,7 @@ def register_views(spark: SparkSession, pv: DataFrame, vr: DataFrame | None, as_
     reg("lead_source_quality_summary", summary)
     worst = rp.worst_lead_sources(summary, ordered=False)
     reg("worst_lead_sources", worst)
-    reg("lead_validation_overview", rp.validation_overview(pv, as_of, summary, worst))
+    reg("lead_validation_overview", rp.validation_overview(pv, as_of, summary))
     reg("simplified_overall_results", rp.simplified_overall_results(pv, as_of))
     reg("simplified_results_by_source", rp.simplified_results_by_source(pv, as_of, ordered=False))
     reg("fake_leads_detail", rp.fake_leads_detail(pv))
@@ -103,7 +103,7 @@ def register_views(spark: SparkSession, pv: DataFrame, vr: DataFrame | None, as_
     reg("fake_leads_status_anomalies", rp.fake_leads_status_anomalies(pv, as_of))
     if vr is not None:
         reg("validation_results", vr)
-        s = rv.validation_summary(vr, as_of)
+        s = sinks.checkpointed(rv.validation_summary(vr, as_of))
         reg("validation_summary", s)
         reg("validation_metrics", rv.validation_metrics(s))
         reg("validation_by_source", rv.validation_by_source(s, as_of))

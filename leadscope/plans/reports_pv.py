@@ -109,6 +109,13 @@ def source_quality_summary(pv: DataFrame, ordered: bool = True) -> DataFrame:
 
 # --------------------------------------------------------------------- VW-2
 
+def needs_attention(min_leads: int = 10) -> Column:
+    """VW-2's selection over VW-1 rows: enough volume and a quality/fraud problem."""
+    q, f, fp, n = (F.col(c) for c in ("avg_quality_score", "avg_fraud_score", "fake_leads_percentage",
+                                       "total_leads"))
+    return (n >= min_leads) & ((q < 7) | (fp > 10) | (f > 3) | F.col("risk_level").isin("HIGH_RISK", "MEDIUM_RISK"))
+
+
 def worst_lead_sources(summary: DataFrame, min_leads: int = 10, ordered: bool = True) -> DataFrame:
     """VW-2: sources with >= ``min_leads`` leads and a quality/fraud problem,
     with a composite problem score and remediation priority. Input: VW-1."""
@@ -130,8 +137,7 @@ def worst_lead_sources(summary: DataFrame, min_leads: int = 10, ordered: bool =
         (qp < 30, F.concat(F.lit("Low Quality Lead Rate ("), fmt(qp), F.lit("%)"))),
     ], "Multiple Issues")
     impact = ladder([(n > 100, "HIGH_IMPACT"), (n > 50, "MEDIUM_IMPACT")], "LOW_IMPACT")
-    problems = (summary.filter(n >= min_leads)
-                .filter((q < 7) | (fp > 10) | (f > 3) | F.col("risk_level").isin("HIGH_RISK", "MEDIUM_RISK"))
+    problems = (summary.filter(needs_attention(min_leads))
                 .withColumn("_problem", problem))
     prio = Window.orderBy(F.col("_problem").desc_nulls_last(), n.desc_nulls_last(), F.col("lead_source"))
     out = problems.select(
@@ -162,11 +168,12 @@ def worst_lead_sources(summary: DataFrame, min_leads: int = 10, ordered: bool =
 # --------------------------------------------------------------------- VW-3
 
 def validation_overview(pv: DataFrame, as_of, summary: DataFrame | None = None,
-                        worst: DataFrame | None = None) -> DataFrame:
-    """VW-3: one executive row. Three one-row aggregates are combined by a
-    union + max (no join), so the plan never pairs rows."""
+                        min_leads: int = 10) -> DataFrame:
+    """VW-3: one executive row. The overall aggregate and one aggregate over
+    VW-1 (grade/risk counts and the VW-2 selection counted with the same
+    predicate) are combined by a union + max: VW-1 is computed once, and the
+    plan never joins or pairs rows."""
     summary = summary if summary is not None else source_quality_summary(pv, ordered=False)
-    worst = worst if worst is not None else worst_lead_sources(summary, ordered=False)
     q = S.quality()
     rec = S.recommendation_upper()
     bands = _quality_bands(q)
@@ -197,9 +204,9 @@ def validation_overview(pv: DataFrame, as_of, summary: DataFrame | None = None,
         count_if(g.isin("B", "C")).alias("medium_quality_sources"),
         count_if(g.isin("D", "F")).alias("low_quality_sources"),
         count_if(F.col("risk_level") == "HIGH_RISK").alias("high_risk_sources"),
-        count_if(F.col("risk_level") == "MEDIUM_RISK").alias("medium_risk_sources"))
-    wp = worst.agg(F.count(F.lit(1)).alias("sources_needing_attention"))
-    parts = om.unionByName(sq, allowMissingColumns=True).unionByName(wp, allowMissingColumns=True)
+        count_if(F.col("risk_level") == "MEDIUM_RISK").alias("medium_risk_sources"),
+        count_if(needs_attention(min_leads)).alias("sources_needing_attention"))
+    parts = om.unionByName(sq, allowMissingColumns=True)
     one = parts.agg(*[F.max(c).alias(c) for c in parts.columns])
 
     t = F.col("total_validations")

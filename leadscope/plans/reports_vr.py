@@ -46,15 +46,17 @@ def combine_rows(*frames: DataFrame) -> DataFrame:
 
 def latest_per_lead(vr: DataFrame, key: str = "lead_id", ts: str = "validation_timestamp",
                     tie: str = "event_id", columns: Sequence[str] | None = None) -> DataFrame:
-    """WIN-1: newest row per lead (ties broken by ``tie``), via ``max_by``
-    (partial aggregation map-side, so a lead with very many validations is
-    reduced before the shuffle). Pass ``columns`` to carry only what the
-    caller needs: fields packed into the ``max_by`` struct are not pruned by
-    the optimizer."""
+    """WIN-1: newest row per lead (ties broken by ``tie``).
+
+    ``row_number() ... = 1`` lets the optimizer insert a partial
+    WindowGroupLimit before the shuffle: every map partition keeps only its
+    newest row per lead, so a lead with very many validations is reduced
+    map-side, and only the surviving rows are shuffled and sorted."""
     cols = [c for c in (columns or vr.columns) if c != key and c in vr.columns]
-    order = F.struct(F.col(ts), F.col(tie)) if tie in vr.columns else F.col(ts)
-    return (vr.groupBy(key).agg(F.max_by(F.struct(*cols), order).alias("_r"))
-            .select(key, "_r.*"))
+    order = [F.col(ts).desc_nulls_last()] + ([F.col(tie).desc_nulls_last()] if tie in vr.columns else [])
+    w = Window.partitionBy(key).orderBy(*order)
+    return (vr.select(key, *cols, *([tie] if tie in vr.columns and tie not in cols else []))
+            .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).select(key, *cols))
 
 
 def validation_summary(vr: DataFrame, as_of) -> DataFrame:

@@ -14,12 +14,13 @@ from pyspark.sql import functions as F
 
 
 def dedupe_batch(new: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """One row per key inside a batch (greatest ``order`` tuple wins). The
-    reduction is partial-aggregated map-side, so a key repeated millions of
-    times is collapsed before the shuffle instead of landing in one task."""
-    other = [c for c in new.columns if c != key]
-    ob = F.struct(*[F.col(c) for c in order]) if order else F.lit(0)
-    return new.groupBy(key).agg(F.max_by(F.struct(*other), ob).alias("_r")).select(key, "_r.*")
+    """One row per key inside a batch (greatest ``order`` tuple wins).
+    ``row_number() = 1`` gets a partial WindowGroupLimit before the shuffle,
+    so a key repeated millions of times is collapsed map-side instead of
+    landing in one task."""
+    ob = [F.col(c).desc_nulls_last() for c in order] or [F.lit(0)]
+    w = Window.partitionBy(key).orderBy(*ob)
+    return new.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str = "task_id", keep_old: Sequence[str] = (),
@@ -79,7 +80,12 @@ def write_snapshot(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``."""
+    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir`` (shared
+    storage on a cluster). Use it before fanning one expensive derived frame out
+    to several consumers: each consumer then reads the compact checkpoint
+    instead of recomputing the frame from raw data."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

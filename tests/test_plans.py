@@ -58,5 +58,5 @@ def test_upsert_collapses_hot_duplicate_key_before_shuffle(spark):
                                     F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("last_modified_date"))
     out = sinks.upsert(old, hot.repartition(8), "task_id")
     p = _plan(out)
-    assert "partial_max_by" in p            # map-side reduction of the batch
+    assert "WindowGroupLimit" in p and "Partial" in p      # map-side top-1 per key before the shuffle
     assert out.collect()[0].v == 19999

@@ -1,8 +1,8 @@
 """Reports over ``validation_results`` (0-1 double scores): VW-9 .. VW-14.
 
 Scale notes:
-* latest-per-lead uses ``max_by`` (map-side partial aggregation), not a
-  window that sorts every row of a lead;
+* latest-per-lead is ``row_number() = 1``, which gets a partial
+  WindowGroupLimit before the shuffle (top row per lead per map partition);
 * multi-grain trends scan once and ``explode`` the grain, so one shuffle
   serves daily, weekly and monthly rows;
 * medians come from :mod:`leadscope.functions.quantiles`, which never holds a

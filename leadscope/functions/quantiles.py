@@ -4,10 +4,12 @@
 group (a third of all rows) would have to fit in one executor. This operator
 finds the median in three distributed steps:
 
-1. per group: count, min, max (partial aggregation, tiny output);
-2. per (group, value bucket): row counts, cumulative over min(n, ``buckets``)
+0. per (group, distinct value): multiplicity (partial aggregation; the only
+   pass over raw rows);
+1. per group: count, distinct count, min, max (tiny output);
+2. per (group, value bucket): counts, cumulative over min(d, ``buckets``)
    equal-width buckets per group -> the bucket(s) holding the middle rank(s);
-3. only rows of those buckets: counts per distinct value and the exact rank.
+3. only the distinct values of those buckets: running counts -> exact rank.
 
 Interpolation for an even count is ``lo + (hi - lo) * 0.5`` (continuous
 quantile at 0.5). NULL values are ignored; a group of only NULLs has a NULL
@@ -26,22 +28,27 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "m
                    buckets: int = 1 << 20) -> DataFrame:
     """Return ``keys + [out]``, one row per group that has a non-NULL value.
 
-    A group of n values gets ``min(n, buckets)`` equal-width buckets, so its
+    The raw rows are read once, by a partial-aggregated count of each distinct
+    (group, value); all later passes run on these weighted distinct values, so
+    a hot group with repeated values collapses map-side. A group with d
+    distinct values gets ``min(d, buckets)`` equal-width buckets, so its
     histogram never exceeds ``buckets`` rows and, for spread-out values, the
-    bucket holding the middle rank keeps about n / buckets values."""
+    bucket holding the middle rank keeps about d / buckets values."""
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    stats = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    wv_ = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    stats = wv_.groupBy(*keys).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_d"),
+                                   F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
-    nb = F.least(F.col("_n"), F.lit(buckets))
+    nb = F.least(F.col("_d"), F.lit(buckets))
     bucket = F.when(span <= 0, F.lit(0)).otherwise(
         F.least(nb - 1, F.floor((F.col("_v") - F.col("_lo")) / span * nb)).cast("int"))
-    vb = v.join(stats, keys).withColumn("_b", bucket)
+    vb = wv_.join(stats, keys).withColumn("_b", bucket)
 
     # step 2: bucket histogram per group and the target ranks
     r1 = F.floor((F.col("_n") + 1) / 2).cast("bigint")
     r2 = (F.floor(F.col("_n") / 2) + 1).cast("bigint")
-    hist = vb.groupBy(*keys, "_b", "_n").agg(F.count(F.lit(1)).alias("_c"))
+    hist = vb.groupBy(*keys, "_b", "_n").agg(F.sum("_w").alias("_c"))
     wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("_cum", F.sum("_c").over(wb)).withColumn("_before", F.col("_cum") - F.col("_c"))
     hits = hist.filter(((F.col("_before") < r1) & (r1 <= F.col("_cum")))
@@ -49,11 +56,10 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "m
     hits = hits.select(*keys, "_b", "_before")
 
     # step 3: exact ranks inside the (at most two) hit buckets per group
-    inner = (vb.join(hits, keys + ["_b"])
-             .groupBy(*keys, "_b", "_before", "_n", "_v").agg(F.count(F.lit(1)).alias("_cv")))
+    inner = vb.join(hits, keys + ["_b"])          # one row per distinct value already
     wv = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inner = inner.withColumn("_hiRank", F.col("_before") + F.sum("_cv").over(wv))
-    inner = inner.withColumn("_loRank", F.col("_hiRank") - F.col("_cv"))
+    inner = inner.withColumn("_hiRank", F.col("_before") + F.sum("_w").over(wv))
+    inner = inner.withColumn("_loRank", F.col("_hiRank") - F.col("_w"))
     pick = inner.groupBy(*keys, "_n").agg(
         F.min(F.when((F.col("_loRank") < r1) & (r1 <= F.col("_hiRank")), F.col("_v"))).alias("_m1"),
         F.min(F.when((F.col("_loRank") < r2) & (r2 <= F.col("_hiRank")), F.col("_v"))).alias("_m2"))

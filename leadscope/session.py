@@ -54,5 +54,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = os.environ.get("LEADSCOPE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="leadscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+    except Exception:  # noqa: BLE001 - sessions without a driver-side context use the conf only
+        pass
     return d

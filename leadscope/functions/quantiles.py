@@ -67,7 +67,25 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "m
     return pick.select(*keys, med.alias(out))
 
 
-def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], buckets: int = 1 << 20) -> DataFrame:
+def approx_grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
+                          accuracy: int = 10000) -> DataFrame:
+    """Opt-in approximate median: ``percentile_approx`` keeps a bounded,
+    mergeable sketch per group (rank error about 1/accuracy), one shuffle.
+    Returns an observed value rather than an interpolation."""
+    return (df.filter(F.col(value).isNotNull()).groupBy(*keys)
+            .agg(F.percentile_approx(F.col(value).cast("double"), 0.5, accuracy).alias(out)))
+
+
+def median_by(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
+              accuracy: int | None = None) -> DataFrame:
+    """Exact distributed median, or the approximate one when ``accuracy`` is given."""
+    if accuracy:
+        return approx_grouped_median(df, keys, value, out, accuracy)
+    return grouped_median(df, keys, value, out)
+
+
+def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], buckets: int = 1 << 20,
+                    accuracy: int | None = None) -> DataFrame:
     """Several medians per group in one pass: the value columns are stacked
     into (metric, value) rows, one :func:`grouped_median` runs with the metric
     as an extra key, and the results are folded back to one row per group.
@@ -76,14 +94,19 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str],
     pairs = F.array(*[F.struct(F.lit(out).alias("_metric"), F.col(c).cast("double").alias("_val"))
                       for out, c in values.items()])
     long = df.select(*keys, F.inline(pairs))
-    m = grouped_median(long, keys + ["_metric"], "_val", "_med", buckets)
+    if accuracy:
+        m = approx_grouped_median(long, keys + ["_metric"], "_val", "_med", accuracy)
+    else:
+        m = grouped_median(long, keys + ["_metric"], "_val", "_med", buckets)
     return m.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == out, F.col("_med"))).alias(out)
                                   for out in values])
 
 
-def global_median(df: DataFrame, value: str, out: str = "median", buckets: int = 1 << 20) -> DataFrame:
+def global_median(df: DataFrame, value: str, out: str = "median", buckets: int = 1 << 20,
+                  accuracy: int | None = None) -> DataFrame:
     """Median over all rows (one output row, NULL when there is no value)."""
     g = df.withColumn("_all", F.lit(1))
-    m = grouped_median(g, ["_all"], value, out, buckets)
+    m = (approx_grouped_median(g, ["_all"], value, out, accuracy) if accuracy
+         else grouped_median(g, ["_all"], value, out, buckets))
     one = df.sparkSession.range(1).select(F.lit(1).alias("_all"))
     return one.join(m, "_all", "left").drop("_all")

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import (count_if, date_diff_days, days_before, ladder, pct, rank_by,
                                ratio, round_half_away, trunc_ntz)
-from ..functions.quantiles import global_median, grouped_median, grouped_medians
+from ..functions.quantiles import global_median, grouped_medians, median_by
 
 SUMMARY_COLUMNS = ["lead_id", "validation_timestamp", "overall_score", "validation_status", "first_name",
                    "last_name", "email", "phone", "company", "lead_status", "lead_source", "created_date",
@@ -86,7 +86,7 @@ def _score_bands(s: Column) -> dict[str, Column]:
             "invalid_count": count_if(s < 0.4)}
 
 
-def validation_metrics(summary: DataFrame) -> DataFrame:
+def validation_metrics(summary: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     """VW-10: one row of score bands, status counts, conversion, freshness over VW-9."""
     s = F.col("overall_score")
     st = F.col("validation_status")
@@ -105,7 +105,7 @@ def validation_metrics(summary: DataFrame) -> DataFrame:
         F.max("validation_timestamp").alias("latest_validation"),
         F.avg("days_since_validation").alias("avg_days_since_validation"),
     )
-    med = global_median(summary, "overall_score", "median_overall_score")
+    med = global_median(summary, "overall_score", "median_overall_score", accuracy=median_accuracy)
     one = combine_rows(base, med)
     t = F.col("total_leads")
     fresh = F.col("avg_days_since_validation")
@@ -128,7 +128,7 @@ def validation_metrics(summary: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- VW-11
 
-def validation_by_source(summary: DataFrame, as_of) -> DataFrame:
+def validation_by_source(summary: DataFrame, as_of, median_accuracy: int | None = None) -> DataFrame:
     """VW-11: per-source score statistics, bands, conversion, 30-day volumes, ranks."""
     s = F.col("overall_score")
     src = summary.withColumn("lead_source", F.coalesce(F.col("lead_source"), F.lit("Unknown")))
@@ -143,7 +143,7 @@ def validation_by_source(summary: DataFrame, as_of) -> DataFrame:
         count_if(cd >= d30).alias("leads_last_30_days"),
         count_if((cd >= d60) & (cd < d30)).alias("leads_previous_30_days"),
     )
-    med = grouped_median(src, ["lead_source"], "overall_score", "median_score")
+    med = median_by(src, ["lead_source"], "overall_score", "median_score", accuracy=median_accuracy)
     t = F.col("total_leads")
     a = agg.join(med, "lead_source", "left")
     return a.select(
@@ -220,7 +220,8 @@ def _point_scores(vr: DataFrame) -> DataFrame:
     return vr.withColumns({f"_{p}": F.coalesce(d[p]["score"], F.lit("0")).cast("double") for p in POINTS})
 
 
-def _trend_frame(vr: DataFrame, as_of, window_days: int, by_source: bool) -> tuple[DataFrame, list[str]]:
+def _trend_frame(vr: DataFrame, as_of, window_days: int, by_source: bool,
+                 median_accuracy: int | None = None) -> tuple[DataFrame, list[str]]:
     rows = vr.filter(F.col("validation_timestamp") >= days_before(as_of, window_days))
     rows = _point_scores(rows)
     if by_source:
@@ -236,7 +237,8 @@ def _trend_frame(vr: DataFrame, as_of, window_days: int, by_source: bool) -> tup
     if by_source:
         aggs.append(count_if(fr >= 0.7).alias("likely_fake_count"))
     a = e.groupBy(*keys).agg(*aggs)
-    med = grouped_medians(e, keys, {"_med_dq": "data_quality_score", "_med_fr": "fraud_score"})
+    med = grouped_medians(e, keys, {"_med_dq": "data_quality_score", "_med_fr": "fraud_score"},
+                          accuracy=median_accuracy)
     a = a.join(med, keys, "left")
     return a, keys
 
@@ -261,18 +263,21 @@ def _lags(w: Window) -> list[Column]:
             round_half_away(F.col("_avg_fr") - pfr, 4).alias("fraud_score_change")]
 
 
-def simplified_trends_overall(vr: DataFrame, as_of, window_days: int = 90) -> DataFrame:
-    """VW-13: daily + weekly score/fraud/point trends with median and lag deltas."""
-    a, _ = _trend_frame(vr, as_of, window_days, by_source=False)
+def simplified_trends_overall(vr: DataFrame, as_of, window_days: int = 90,
+                              median_accuracy: int | None = None) -> DataFrame:
+    """VW-13: daily + weekly score/fraud/point trends with median and lag deltas
+    (exact medians unless ``median_accuracy`` asks for sketches)."""
+    a, _ = _trend_frame(vr, as_of, window_days, by_source=False, median_accuracy=median_accuracy)
     n = F.col("total_validations")
     w = Window.partitionBy("period_type").orderBy("trend_date")
     return a.select("period_type", "trend_date", "total_validations", *_trend_columns(n), *_lags(w))
 
 
 def simplified_trends_by_source(vr: DataFrame, as_of, window_days: int = 90,
-                                min_daily: int = 5, min_weekly: int = 10) -> DataFrame:
+                                min_daily: int = 5, min_weekly: int = 10,
+                                median_accuracy: int | None = None) -> DataFrame:
     """VW-14: VW-13 per source, volume-filtered *before* the lag/rank windows."""
-    a, _ = _trend_frame(vr, as_of, window_days, by_source=True)
+    a, _ = _trend_frame(vr, as_of, window_days, by_source=True, median_accuracy=median_accuracy)
     n = F.col("total_validations")
     a = a.filter(((F.col("period_type") == "daily") & (n >= min_daily))
                  | ((F.col("period_type") == "weekly") & (n >= min_weekly)))

@@ -60,6 +60,19 @@ def test_global_median_empty_and_single(spark):
     assert global_median(one, "v", "m").collect()[0].m == 2.5
 
 
+def test_approx_median_close_to_exact(spark):
+    from leadscope.functions.quantiles import median_by
+    rnd = random.Random(5)
+    rows = [(rnd.choice("ab"), rnd.gauss(0, 1)) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    exact = {r.k: r.m for r in median_by(df, ["k"], "v", "m").collect()}
+    approx = {r.k: r.m for r in median_by(df, ["k"], "v", "m", accuracy=1000).collect()}
+    for k, xs in {k: sorted(v for kk, v in rows if kk == k) for k in "ab"}.items():
+        pos = sum(1 for x in xs if x <= approx[k])
+        assert abs(pos - len(xs) / 2) <= len(xs) / 1000 + 2       # rank error bounded by accuracy
+        assert exact[k] == _median(xs)
+
+
 def test_grouped_median_partitioning_invariant(spark):
     rnd = random.Random(11)
     rows = [(rnd.choice("abc"), rnd.random()) for _ in range(500)]

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions import scores as S
 from ..functions.exprs import count_if, ladder, ratio
 from . import loaders as ld
-from . import reports_pv as rp
 from . import reports_vr as rv
 
 # Factor names of the export (sorted, as the CSV lists them) and report labels.

@@ -57,6 +57,14 @@ def count_if(pred: Column) -> Column:
     return F.count_if(pred).cast("bigint")
 
 
+def exact_avg(c: ColumnOrName, scale: int = 10) -> Column:
+    """AVG of a double column that does not depend on partitioning: values are
+    summed as DECIMAL(28, scale) (exact, order-independent) and the mean is
+    returned as DOUBLE. Double sums depend on addition order, so a plain AVG
+    can flip a rounded tie (0.4875 -> 0.487 / 0.488) or a rank between runs."""
+    return F.avg(col(c).cast(f"decimal(28,{scale})")).cast("double")
+
+
 def rate(pred: Column) -> Column:
     """Share of rows where ``pred`` holds; NULL counts as not holding."""
     return F.avg(F.when(pred, dbl(1.0)).otherwise(dbl(0.0)))

@@ -3,7 +3,7 @@
 from ..sources.fixtures import with_ctes
 from .loaders import FB3, LQ02, LQ04, LQ06, LQ11, LQ12, LQ14, LQ15, RANGE
 from .pv_reports import F0, FAKE, VW01, VW02, VW03
-from .vr_reports import VW10
+from .vr_reports import VW10, XAVG
 
 _IN_RANGE = (f"created_date >= TIMESTAMP '{RANGE[0]} 00:00:00' AND created_date <= TIMESTAMP '{RANGE[1]} 23:59:59'")
 
@@ -136,14 +136,14 @@ DD13 = f"""SELECT lead_source, total_leads, avg_quality_score AS quality, fake_l
 FROM ({VW01}) s"""
 
 DD14 = f"""SELECT COUNT(*) AS worst_sources, COUNT(*) FILTER (WHERE risk_level = 'HIGH_RISK') AS high_risk_sources,
-  COUNT(*) FILTER (WHERE risk_level = 'MEDIUM_RISK') AS medium_risk_sources, AVG(problem_score) AS avg_problem_score
+  COUNT(*) FILTER (WHERE risk_level = 'MEDIUM_RISK') AS medium_risk_sources, {XAVG('problem_score')} AS avg_problem_score
 FROM ({VW02}) w"""
 
 DD15 = f"""SELECT total_sources, high_quality_sources,
   CASE WHEN total_sources > 0 THEN CAST(high_quality_sources AS DOUBLE) / total_sources * 100 ELSE 0.0 END
     AS high_quality_pct, problem_sources, ROUND(avg_quality, 10) AS avg_quality
 FROM (SELECT COUNT(*) AS total_sources, COUNT(*) FILTER (WHERE quality_grade IN ('A+', 'A')) AS high_quality_sources,
-             AVG(avg_quality_score) AS avg_quality FROM ({VW01}) s) a,
+             {XAVG('avg_quality_score')} AS avg_quality FROM ({VW01}) s) a,
      (SELECT COUNT(*) AS problem_sources FROM ({VW02}) w) b"""
 
 DD16 = f"""SELECT lead_source, total_leads, avg_quality_score, quality_grade, fake_leads_percentage,

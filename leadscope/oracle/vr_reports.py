@@ -4,6 +4,11 @@ from ..sources.fixtures import VR_AS_OF, with_ctes
 
 D = f"DATE '{VR_AS_OF}'"
 
+
+def XAVG(x: str) -> str:
+    """Partition-independent average of a double: exact DECIMAL sum, DOUBLE result."""
+    return f"CAST(AVG(CAST({x} AS DECIMAL(28,10))) AS DOUBLE)"
+
 VW09 = f"""
 SELECT lead_id, validation_timestamp, overall_score, validation_status, first_name, last_name, email, phone,
   company, status AS lead_status, lead_source, created_date, last_modified_date, is_converted, converted_date,
@@ -28,7 +33,7 @@ def _p(n, t="total_leads", d=2):
 VW10 = f"""
 WITH s AS ({VW09}),
 b AS (
-  SELECT COUNT(*) AS total_leads, AVG(overall_score) AS avg_overall_score,
+  SELECT COUNT(*) AS total_leads, {XAVG('overall_score')} AS avg_overall_score,
     MEDIAN(overall_score) AS median_overall_score,
     COUNT(*) FILTER (WHERE overall_score >= 0.9) AS excellent_count,
     COUNT(*) FILTER (WHERE overall_score >= 0.8 AND overall_score < 0.9) AS good_count,
@@ -63,7 +68,7 @@ VW11 = f"""
 WITH s AS ({VW09}),
 g AS (
   SELECT COALESCE(lead_source, 'Unknown') AS lead_source, COUNT(*) AS total_leads,
-    AVG(overall_score) AS avg_score, MEDIAN(overall_score) AS median_score,
+    {XAVG('overall_score')} AS avg_score, MEDIAN(overall_score) AS median_score,
     MIN(overall_score) AS min_score, MAX(overall_score) AS max_score,
     COUNT(*) FILTER (WHERE overall_score >= 0.9) AS excellent_count,
     COUNT(*) FILTER (WHERE overall_score >= 0.8 AND overall_score < 0.9) AS good_count,
@@ -94,7 +99,7 @@ FROM g
 def _grain_block(kind: str, unit: str, step: str) -> str:
     return f"""
   SELECT '{kind}' AS period_type, date_trunc('{unit}', validation_timestamp) AS period_start,
-    COUNT(*) AS leads_validated, AVG(overall_score) AS a,
+    COUNT(*) AS leads_validated, {XAVG('overall_score')} AS a,
     COUNT(*) FILTER (WHERE overall_score >= 0.8) AS quality_leads,
     COUNT(*) FILTER (WHERE is_converted) AS converted_leads,
     COUNT(DISTINCT lead_source) AS unique_sources,
@@ -128,15 +133,15 @@ def _trend_block(kind: str, unit: str, by_source: bool) -> str:
     src = "COALESCE(lead_source, 'Unknown') AS lead_source," if by_source else ""
     grp = "GROUP BY 2, 3" if by_source else "GROUP BY 2"
     pts = ",\n    ".join(
-        f"AVG(CAST(COALESCE(json_extract_string(validation_details, '$.{p}.score'), '0') AS DOUBLE)) AS a_{p},\n    "
+        f"{XAVG(f'CAST(COALESCE(json_extract_string(validation_details, {chr(39)}$.{p}.score{chr(39)}), {chr(39)}0{chr(39)}) AS DOUBLE)')} AS a_{p},\n    "
         f"COUNT(*) FILTER (WHERE CAST(COALESCE(json_extract_string(validation_details, '$.{p}.score'), '0') AS DOUBLE)"
         f" >= 0.7) AS p_{p}" for p in _POINTS)
     fake = "COUNT(*) FILTER (WHERE fraud_score >= 0.7) AS likely_fake_count," if by_source else ""
     return f"""
   SELECT '{kind}' AS period_type, date_trunc('{unit}', validation_timestamp) AS trend_date, {src}
     COUNT(*) AS total_validations,
-    AVG(data_quality_score) AS a_dq, MEDIAN(data_quality_score) AS m_dq,
-    AVG(fraud_score) AS a_fr, MEDIAN(fraud_score) AS m_fr, AVG(overall_score) AS a_ov,
+    {XAVG('data_quality_score')} AS a_dq, MEDIAN(data_quality_score) AS m_dq,
+    {XAVG('fraud_score')} AS a_fr, MEDIAN(fraud_score) AS m_fr, {XAVG('overall_score')} AS a_ov,
     {pts},
     {fake}
     COUNT(*) FILTER (WHERE data_quality_score >= 0.7) AS hq,

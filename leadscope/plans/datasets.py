@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as S
-from ..functions.exprs import count_if, ladder, ratio
+from ..functions.exprs import count_if, exact_avg, ladder, ratio
 from . import loaders as ld
 from . import reports_vr as rv
 
@@ -226,7 +226,7 @@ def worst_source_summary(worst: DataFrame) -> DataFrame:
     return worst.agg(F.count(F.lit(1)).alias("worst_sources"),
                      count_if(F.col("risk_level") == "HIGH_RISK").alias("high_risk_sources"),
                      count_if(F.col("risk_level") == "MEDIUM_RISK").alias("medium_risk_sources"),
-                     F.avg("problem_score").alias("avg_problem_score"))
+                     exact_avg("problem_score").alias("avg_problem_score"))
 
 
 def source_overview(summary: DataFrame, worst: DataFrame) -> DataFrame:
@@ -234,7 +234,7 @@ def source_overview(summary: DataFrame, worst: DataFrame) -> DataFrame:
     attention, mean of the per-source mean quality."""
     a = summary.agg(F.count(F.lit(1)).alias("total_sources"),
                     count_if(F.col("quality_grade").isin("A+", "A")).alias("high_quality_sources"),
-                    F.avg("avg_quality_score").alias("avg_quality"))
+                    exact_avg("avg_quality_score").alias("avg_quality"))
     w = worst.agg(F.count(F.lit(1)).alias("problem_sources"))
     one = rv.combine_rows(a, w)
     t = F.col("total_sources")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import (count_if, date_diff_days, days_before, ladder, pct, rank_by,
+from ..functions.exprs import (count_if, date_diff_days, days_before, exact_avg, ladder, pct, rank_by,
                                ratio, round_half_away, trunc_ntz)
 from ..functions.quantiles import global_median, grouped_medians, median_by
 
@@ -92,7 +92,7 @@ def validation_metrics(summary: DataFrame, median_accuracy: int | None = None) -
     st = F.col("validation_status")
     base = summary.agg(
         F.count(F.lit(1)).alias("total_leads"),
-        F.avg(s).alias("avg_overall_score"),
+        exact_avg(s).alias("avg_overall_score"),
         *[v.alias(k) for k, v in _score_bands(s).items()],
         *[count_if(st == x).alias(f"status_{x.lower()}") for x in ("Excellent", "Good", "Fair", "Poor", "Invalid")],
         count_if(F.col("is_converted")).alias("converted_leads"),
@@ -136,7 +136,7 @@ def validation_by_source(summary: DataFrame, as_of, median_accuracy: int | None
     d30, d60 = days_before(as_of, 30), days_before(as_of, 60)
     agg = src.groupBy("lead_source").agg(
         F.count(F.lit(1)).alias("total_leads"),
-        F.avg(s).alias("avg_score"), F.min(s).alias("min_score"), F.max(s).alias("max_score"),
+        exact_avg(s).alias("avg_score"), F.min(s).alias("min_score"), F.max(s).alias("max_score"),
         *[v.alias(k) for k, v in _score_bands(s).items()],
         count_if(s >= 0.8).alias("_q"),
         count_if(F.col("is_converted")).alias("converted_leads"),
@@ -192,7 +192,7 @@ def validation_trends(vr: DataFrame, grains: Sequence[str] = ("daily", "weekly",
     e = explode_grains(vr, "validation_timestamp", grains, "period_start")
     a = e.groupBy("period_type", "period_start").agg(
         F.count(F.lit(1)).alias("leads_validated"),
-        F.avg(s).alias("_avg"),
+        exact_avg(s).alias("_avg"),
         count_if(s >= 0.8).alias("quality_leads"),
         count_if(F.col("is_converted")).alias("converted_leads"),
         F.count_distinct("lead_source").alias("unique_sources"),
@@ -230,8 +230,9 @@ def _trend_frame(vr: DataFrame, as_of, window_days: int, by_source: bool,
     keys = ["period_type", "trend_date"] + (["lead_source"] if by_source else [])
     dq, fr = F.col("data_quality_score"), F.col("fraud_score")
     aggs = [F.count(F.lit(1)).alias("total_validations"),
-            F.avg(dq).alias("_avg_dq"), F.avg(fr).alias("_avg_fr"), F.avg("overall_score").alias("_avg_ov"),
-            *[F.avg(f"_{p}").alias(f"_avg_{p}") for p in POINTS],
+            exact_avg(dq).alias("_avg_dq"), exact_avg(fr).alias("_avg_fr"),
+            exact_avg("overall_score").alias("_avg_ov"),
+            *[exact_avg(f"_{p}").alias(f"_avg_{p}") for p in POINTS],
             *[count_if(F.col(f"_{p}") >= 0.7).alias(f"_pass_{p}") for p in POINTS],
             count_if(dq >= 0.7).alias("_hq"), count_if(fr >= 0.6).alias("_hf")]
     if by_source:

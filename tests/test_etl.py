@@ -24,9 +24,12 @@ def test_two_runs_keep_first_parse_time(spark, tmp_path):
     upd = parsed.filter(F.col("task_id").endswith("1"))
     assert upd.filter(F.col("parsed_at") != F.lit("2001-08-01").cast("timestamp_ntz")).count() == 0
     assert upd.filter(F.col("lead_score") >= 10).count() > 0
-    # validation-only re-parse of the stored tasks table
-    c3 = etl.run_etl(spark, land2, root, 3, "2001-08-03", validation_only=True).collect()[0]
+    # validation-only re-parse of the stored tasks table, with a CSV backup of the result
+    backup = str(tmp_path / "backup")
+    c3 = etl.run_etl(spark, land2, root, 3, "2001-08-03", validation_only=True, backup=backup).collect()[0]
     assert c3.validations_parsed == pv.count()
+    csv = spark.read.option("header", True).option("multiLine", True).csv(backup)   # descriptions span lines
+    assert csv.count() == pv.count() and "task_id" in csv.columns and "parsed_at" in csv.columns
 
 
 def test_register_views(spark):

@@ -20,6 +20,35 @@ from ..functions.exprs import (as_of_ts, count_if, date_diff_days, day, days_bef
 # Sources treated as high volume by the status-anomaly report.
 HIGH_VOLUME_SOURCES = ("businessloans.com", "Lending Tree", "Fundera")
 
+# Report texts that must read exactly as in the source reports ("{}" marks the value).
+WORST_ISSUES = {"low_quality": "Very Low Quality Score ({})", "high_fraud": "High Fraud Score ({})",
+                "fake_rate": "High Fake Lead Rate ({}%)", "low_quality_rate": "Low Quality Lead Rate ({}%)",
+                "multiple": "Multiple Issues"}
+WORST_RECOMMENDATIONS = {"urgent": "URGENT: Suspend source immediately",
+                         "high": "HIGH: Review source criteria and validation",
+                         "improve": "MEDIUM: Improve source quality controls",
+                         "investigate": "MEDIUM: Investigate fake lead patterns",
+                         "monitor": "LOW: Monitor closely"}
+DETAIL_SUMMARIES = {"critical": "Multiple fraud indicators detected - HIGH PRIORITY",
+                    "high": "Likely fraudulent lead - investigate",
+                    "medium": "Suspicious patterns found - review recommended",
+                    "low": "Minor quality issues detected"}
+DAILY_STATUS = {"immediate": "\U0001F6A8 IMMEDIATE ACTION REQUIRED", "monitor": "⚠️ MONITOR CLOSELY",
+                "investigate": "\U0001F50D INVESTIGATE", "clean": "✅ CLEAN TODAY"}
+DAILY_ACTIONS = {"pause": "PAUSE SOURCE - Review immediately", "quarantine": "QUARANTINE - Manual review all leads",
+                 "investigate": "INVESTIGATE - Check lead quality processes",
+                 "monitor": "MONITOR - Track patterns closely", "continue": "CONTINUE - Source performing well"}
+ANOMALY_DESCRIPTIONS = {
+    "FLAGGED_AS_FAKE": "Lead was explicitly flagged as fake but current status suggests otherwise",
+    "CRITICAL_FRAUD_RISK": "Lead had critical fraud score (8+/10) but current status suggests legitimate",
+    "HIGH_FRAUD_RISK": "Lead had high fraud score (7+/10) but current status suggests legitimate",
+    "RECOMMENDED_REJECT": "Validation system recommended rejection but lead progressed",
+    "OTHER_ISSUE": "Other validation concern with positive outcome"}
+ANOMALY_ACTIONS = {"CRITICAL": "IMMEDIATE REVIEW - Investigate validation accuracy",
+                   "HIGH": "REVIEW REQUIRED - Check for false positive",
+                   "MEDIUM": "MONITOR - Track validation performance",
+                   "LOW": "DOCUMENT - Note for validation tuning"}
+
 
 def _quality_bands(q: Column) -> dict[str, Column]:
     return {
@@ -127,15 +156,13 @@ def worst_lead_sources(summary: DataFrame, min_leads: int = 10, ordered: bool =
                + (F.coalesce(fp, dbl(0.0)) * 0.02)
                + (volume_pts.cast("double") * 0.1))
 
-    def fmt(x: Column) -> Column:
-        return round_half_away(x, 1).cast("string")
+    def text(key: str, x: Column) -> Column:
+        head, tail = WORST_ISSUES[key].split("{}")
+        return F.concat(F.lit(head), round_half_away(x, 1).cast("string"), F.lit(tail))
 
-    issue = ladder([
-        (q < 4, F.concat(F.lit("Very Low Quality Score ("), fmt(q), F.lit(")"))),
-        (f > 5, F.concat(F.lit("High Fraud Score ("), fmt(f), F.lit(")"))),
-        (fp > 25, F.concat(F.lit("High Fake Lead Rate ("), fmt(fp), F.lit("%)"))),
-        (qp < 30, F.concat(F.lit("Low Quality Lead Rate ("), fmt(qp), F.lit("%)"))),
-    ], "Multiple Issues")
+    issue = ladder([(q < 4, text("low_quality", q)), (f > 5, text("high_fraud", f)),
+                    (fp > 25, text("fake_rate", fp)), (qp < 30, text("low_quality_rate", qp))],
+                   WORST_ISSUES["multiple"])
     impact = ladder([(n > 100, "HIGH_IMPACT"), (n > 50, "MEDIUM_IMPACT")], "LOW_IMPACT")
     problems = (summary.filter(needs_attention(min_leads))
                 .withColumn("_problem", problem))
@@ -151,11 +178,9 @@ def worst_lead_sources(summary: DataFrame, min_leads: int = 10, ordered: bool =
         round_half_away("_problem", 2).alias("problem_score"),
         issue.alias("primary_issues"),
         F.row_number().over(prio).cast("bigint").alias("remediation_priority"),
-        ladder([(q < 3, "URGENT: Suspend source immediately"),
-                ((q < 5) & (fp > 20), "HIGH: Review source criteria and validation"),
-                (q < 6, "MEDIUM: Improve source quality controls"),
-                (fp > 15, "MEDIUM: Investigate fake lead patterns")],
-               "LOW: Monitor closely").alias("recommendation"),
+        ladder([(q < 3, WORST_RECOMMENDATIONS["urgent"]), ((q < 5) & (fp > 20), WORST_RECOMMENDATIONS["high"]),
+                (q < 6, WORST_RECOMMENDATIONS["improve"]), (fp > 15, WORST_RECOMMENDATIONS["investigate"])],
+               WORST_RECOMMENDATIONS["monitor"]).alias("recommendation"),
         round_half_away(n.cast("double") / 30.0 * fp * 0.01 * 30.0, 0).alias("estimated_monthly_fake_leads"),
         F.lit("STABLE").alias("trend"),
     )
@@ -396,10 +421,8 @@ def fake_leads_detail(pv: DataFrame, ordered: bool = False) -> DataFrame:
         default.alias("completeness_score"),
         _point_result(None, default).alias("completeness_validation_result"),
         n_flags.alias("fraud_indicators_count"),
-        ladder([(f0 >= 8, "Multiple fraud indicators detected - HIGH PRIORITY"),
-                (f0 >= 7, "Likely fraudulent lead - investigate"),
-                (f0 >= 6, "Suspicious patterns found - review recommended")],
-               "Minor quality issues detected").alias("validation_summary"),
+        ladder([(f0 >= 8, DETAIL_SUMMARIES["critical"]), (f0 >= 7, DETAIL_SUMMARIES["high"]),
+                (f0 >= 6, DETAIL_SUMMARIES["medium"])], DETAIL_SUMMARIES["low"]).alias("validation_summary"),
         F.coalesce(F.col("api_recommendation"),
                    ladder([(f0 >= 8, "reject"), (f0 >= 7, "review"), (f0 >= 6, "flag")], "monitor")
                    ).alias("recommended_action"),
@@ -454,13 +477,11 @@ def daily_fake_leads_by_source(pv: DataFrame, as_of, ordered: bool = True) -> Da
         av.alias("alert_volume"), ap.alias("alert_percentage"), ac.alias("alert_critical_fraud"),
         "fake_leads_list", "earliest_lead_today", "latest_lead_today",
         as_of_ts(as_of).alias("report_date"),
-        ladder([(ac & ap, "\U0001F6A8 IMMEDIATE ACTION REQUIRED"), (av | ap, "⚠️ MONITOR CLOSELY"),
-                (fc > 0, "\U0001F50D INVESTIGATE")], "✅ CLEAN TODAY").alias("daily_status"),
-        ladder([(fp >= 50, "PAUSE SOURCE - Review immediately"),
-                (fp >= 25, "QUARANTINE - Manual review all leads"),
-                (fc >= 3, "INVESTIGATE - Check lead quality processes"),
-                (fc >= 1, "MONITOR - Track patterns closely")],
-               "CONTINUE - Source performing well").alias("recommended_action"),
+        ladder([(ac & ap, DAILY_STATUS["immediate"]), (av | ap, DAILY_STATUS["monitor"]),
+                (fc > 0, DAILY_STATUS["investigate"])], DAILY_STATUS["clean"]).alias("daily_status"),
+        ladder([(fp >= 50, DAILY_ACTIONS["pause"]), (fp >= 25, DAILY_ACTIONS["quarantine"]),
+                (fc >= 3, DAILY_ACTIONS["investigate"]), (fc >= 1, DAILY_ACTIONS["monitor"])],
+               DAILY_ACTIONS["continue"]).alias("recommended_action"),
     )
     if ordered:
         out = out.orderBy(fp.desc_nulls_last(), fc.desc_nulls_last(), t.desc_nulls_last(), "lead_source")
@@ -502,15 +523,10 @@ def fake_leads_status_anomalies(pv: DataFrame, as_of,
     ft, sev = F.col("validation_flag_type"), F.col("anomaly_severity")
     out = staged.select(
         "*",
-        ladder([(ft == "FLAGGED_AS_FAKE", "Lead was explicitly flagged as fake but current status suggests otherwise"),
-                (ft == "CRITICAL_FRAUD_RISK", "Lead had critical fraud score (8+/10) but current status suggests legitimate"),
-                (ft == "HIGH_FRAUD_RISK", "Lead had high fraud score (7+/10) but current status suggests legitimate"),
-                (ft == "RECOMMENDED_REJECT", "Validation system recommended rejection but lead progressed")],
-               "Other validation concern with positive outcome").alias("anomaly_description"),
-        ladder([(sev == "CRITICAL", "IMMEDIATE REVIEW - Investigate validation accuracy"),
-                (sev == "HIGH", "REVIEW REQUIRED - Check for false positive"),
-                (sev == "MEDIUM", "MONITOR - Track validation performance")],
-               "DOCUMENT - Note for validation tuning").alias("recommended_action"),
+        ladder([(ft == k, v) for k, v in ANOMALY_DESCRIPTIONS.items() if k != "OTHER_ISSUE"],
+               ANOMALY_DESCRIPTIONS["OTHER_ISSUE"]).alias("anomaly_description"),
+        ladder([(sev == k, v) for k, v in ANOMALY_ACTIONS.items() if k != "LOW"],
+               ANOMALY_ACTIONS["LOW"]).alias("recommended_action"),
         ladder([((ft == "FLAGGED_AS_FAKE") & (F.col("source_impact_level") == "HIGH_VOLUME_SOURCE"),
                  "HIGH_BUSINESS_IMPACT"),
                 (ft == "FLAGGED_AS_FAKE", "MEDIUM_BUSINESS_IMPACT"),

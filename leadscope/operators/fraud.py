@@ -27,6 +27,13 @@ FAKE_NAME_PATTERNS = ["test", "fake", "john doe", "jane doe", "admin", "user", "
 SUSPICIOUS_COMPANIES = ["test", "fake", "company", "corp", "inc", "llc", "business", "enterprise", "solutions",
                         "services", "consulting", "group", "organization", "n/a", "none"]
 WEIGHTS = (("email", 0.3), ("phone", 0.25), ("name", 0.2), ("company", 0.15), ("consistency", 0.1))
+# Indicator texts (a trailing ": " is followed by the offending value).
+INDICATORS = {"fake_email": "Fake email pattern: ", "disposable": "Disposable email domain: ",
+              "long_number": "Email contains long number sequence", "fake_phone": "Fake phone pattern: ",
+              "few_digits": "Phone has too few unique digits", "sequential": "Sequential phone number pattern",
+              "name_pattern": "Suspicious name pattern: ", "same_name": "Identical first and last name",
+              "single_char": "Single character name", "generic_company": "Generic company name: ",
+              "short_company": "Company name too short", "inconsistent": "Name not reflected in email address"}
 
 # Start-anchored alternation == "any pattern matches at position 0".
 FAKE_EMAIL_REGEX = "^(?:" + "|".join(FAKE_EMAIL_PATTERNS) + ")"
@@ -46,9 +53,9 @@ def _email(email: Column) -> tuple[Column, Column]:
     base = F.when(disp.isNotNull(), F.lit(0.9)).otherwise(F.lit(0.0))
     score = (F.when(~present, 0.0).when(fake, 1.0)
              .otherwise(F.when(longnum, F.greatest(base, F.lit(0.6))).otherwise(base)))
-    return score, messages((present & fake, F.concat(F.lit("Fake email pattern: "), email)),
-                           (present & ~fake & disp.isNotNull(), F.concat(F.lit("Disposable email domain: "), domain)),
-                           (present & ~fake & longnum, "Email contains long number sequence"))
+    return score, messages((present & fake, F.concat(F.lit(INDICATORS["fake_email"]), email)),
+                           (present & ~fake & disp.isNotNull(), F.concat(F.lit(INDICATORS["disposable"]), domain)),
+                           (present & ~fake & longnum, INDICATORS["long_number"]))
 
 
 def _phone(phone: Column) -> tuple[Column, Column]:
@@ -58,9 +65,9 @@ def _phone(phone: Column) -> tuple[Column, Column]:
     few = (distinct_chars(d) <= 2) & (F.length(d) >= 10)
     seq = d.isin(*SEQUENTIAL_PHONES)
     score = (F.when(~present, 0.0).when(fake, 1.0).when(seq, 0.95).when(few, 0.9).otherwise(0.0))
-    return score, messages((present & fake, F.concat(F.lit("Fake phone pattern: "), phone)),
-                           (present & ~fake & few, "Phone has too few unique digits"),
-                           (present & ~fake & seq, "Sequential phone number pattern"))
+    return score, messages((present & fake, F.concat(F.lit(INDICATORS["fake_phone"]), phone)),
+                           (present & ~fake & few, INDICATORS["few_digits"]),
+                           (present & ~fake & seq, INDICATORS["sequential"]))
 
 
 def _name(first: Column, last: Column) -> tuple[Column, Column]:
@@ -73,9 +80,9 @@ def _name(first: Column, last: Column) -> tuple[Column, Column]:
     s = F.when(same, F.greatest(s, F.lit(0.7))).otherwise(s)
     s = F.when(single, F.greatest(s, F.lit(0.5))).otherwise(s)
     score = F.when(present, s).otherwise(F.lit(0.0))
-    return score, messages((present & hit.isNotNull(), F.concat(F.lit("Suspicious name pattern: "), hit)),
-                           (present & same, "Identical first and last name"),
-                           (present & single, "Single character name"))
+    return score, messages((present & hit.isNotNull(), F.concat(F.lit(INDICATORS["name_pattern"]), hit)),
+                           (present & same, INDICATORS["same_name"]),
+                           (present & single, INDICATORS["single_char"]))
 
 
 def _company(company: Column) -> tuple[Column, Column]:
@@ -86,15 +93,15 @@ def _company(company: Column) -> tuple[Column, Column]:
     s = F.when(generic, F.lit(0.6)).otherwise(F.lit(0.0))
     s = F.when(short, F.greatest(s, F.lit(0.4))).otherwise(s)
     score = F.when(present, s).otherwise(F.lit(0.0))
-    return score, messages((present & generic, F.concat(F.lit("Generic company name: "), company)),
-                           (present & short, "Company name too short"))
+    return score, messages((present & generic, F.concat(F.lit(INDICATORS["generic_company"]), company)),
+                           (present & short, INDICATORS["short_company"]))
 
 
 def _consistency(email: Column, first: Column, last: Column) -> tuple[Column, Column]:
     e, f, l_ = (F.lower(F.coalesce(c, F.lit(""))) for c in (email, first, last))
     present = (F.length(e) > 0) & (F.length(f) > 0) & (F.length(l_) > 0)
     miss = present & (F.instr(e, f) == 0) & (F.instr(e, l_) == 0)
-    return F.when(miss, F.lit(0.3)).otherwise(F.lit(0.0)), messages((miss, "Name not reflected in email address"))
+    return F.when(miss, F.lit(0.3)).otherwise(F.lit(0.0)), messages((miss, INDICATORS["inconsistent"]))
 
 
 def risk_level(score: Column) -> Column:

@@ -27,6 +27,16 @@ NAME_SUSPICIOUS = ["test", "unknown", "n/a", "null", "admin"]
 COMPANY_SUSPICIOUS = ["test", "unknown", "n/a", "null", "none", "company"]
 PLACEHOLDERS = ["test", "unknown", "n/a", "null", "none", "tbd", "pending"]
 QUALITY_WEIGHTS = (("email", 0.30), ("phone", 0.30), ("name", 0.15), ("company", 0.10), ("completeness", 0.15))
+# Issue texts ("{f}" is the field name; a trailing ": " is followed by the value).
+ISSUES = {"email_required": "Email is required", "email_invalid": "Invalid email format",
+          "multiple_at": "Multiple @ symbols", "domain_typo": "Possible domain typo: ",
+          "phone_required": "Phone number is required", "phone_invalid": "Invalid phone number",
+          "first_required": "First name is required", "first_short": "First name too short",
+          "last_required": "Last name is required", "last_short": "Last name too short",
+          "name_suspicious": "Suspicious name pattern detected", "company_required": "Company name is required",
+          "company_short": "Company name too short", "company_suspicious": "Suspicious company name",
+          "missing_field": "Missing required field: {f}", "placeholder": "Placeholder value in {f}: ",
+          "all_caps": "All caps formatting in {f}", "double_space": "Multiple spaces in {f}"}
 
 # Our stated syntax rules (stand-ins for the external validators).
 EMAIL_SYNTAX = (r"^[A-Za-z0-9!#$%&'*+/=?^_{|}~-]+(\.[A-Za-z0-9!#$%&'*+/=?^_{|}~-]+)*"
@@ -68,10 +78,10 @@ def _email_cols(e: Column, typo: Column) -> dict[str, Column]:
     s = F.when(valid & typo.isNotNull(), s * 0.8).otherwise(s)
     return {
         "email_valid": valid, "email_score": s,
-        "email_issues": _issues((~present, "Email is required"),
-                                (present & ~valid, "Invalid email format"),
-                                (valid & multi_at, "Multiple @ symbols"),
-                                (valid & typo.isNotNull(), F.concat(F.lit("Possible domain typo: "), typo))),
+        "email_issues": _issues((~present, ISSUES["email_required"]),
+                                (present & ~valid, ISSUES["email_invalid"]),
+                                (valid & multi_at, ISSUES["multiple_at"]),
+                                (valid & typo.isNotNull(), F.concat(F.lit(ISSUES["domain_typo"]), typo))),
     }
 
 
@@ -86,7 +96,7 @@ def _phone_cols(p: Column) -> dict[str, Column]:
         "phone_e164": F.when(valid, F.concat(F.lit("+1"), ten)),
         "phone_national": F.when(valid, F.concat(F.lit("("), F.substring(ten, 1, 3), F.lit(") "),
                                                  F.substring(ten, 4, 3), F.lit("-"), F.substring(ten, 7, 4))),
-        "phone_issues": _issues((~present, "Phone number is required"), (present & ~valid, "Invalid phone number")),
+        "phone_issues": _issues((~present, ISSUES["phone_required"]), (present & ~valid, ISSUES["phone_invalid"])),
     }
 
 
@@ -105,9 +115,9 @@ def _name_cols(first: Column, last: Column) -> dict[str, Column]:
     score = F.lit(0.0) + fs * factor + ls * factor
     return {
         "name_score": score, "name_valid": score >= 0.8,
-        "name_issues": _issues((fm, "First name is required"), (~fm & (fn_len < 2), "First name too short"),
-                               (lm, "Last name is required"), (~lm & (ln_len < 2), "Last name too short"),
-                               (sus, "Suspicious name pattern detected")),
+        "name_issues": _issues((fm, ISSUES["first_required"]), (~fm & (fn_len < 2), ISSUES["first_short"]),
+                               (lm, ISSUES["last_required"]), (~lm & (ln_len < 2), ISSUES["last_short"]),
+                               (sus, ISSUES["name_suspicious"])),
     }
 
 
@@ -120,8 +130,8 @@ def _company_cols(c: Column) -> dict[str, Column]:
     score = F.when(~present, F.lit(0.0)).when(sus, base * 0.3).otherwise(base)
     return {
         "company_score": score, "company_valid": present & ~short & ~sus,
-        "company_issues": _issues((~present, "Company name is required"), (present & short, "Company name too short"),
-                                  (present & sus, "Suspicious company name")),
+        "company_issues": _issues((~present, ISSUES["company_required"]), (present & short, ISSUES["company_short"]),
+                                  (present & sus, ISSUES["company_suspicious"])),
     }
 
 
@@ -136,7 +146,8 @@ def _completeness_cols(cols: Sequence[str]) -> dict[str, Column]:
         "completeness_score": score,
         "required_fields_filled": n_req, "important_fields_filled": n_imp,
         "total_fields_filled": n_req + n_imp,
-        "completeness_issues": _issues(*[(~x, f"Missing required field: {f}") for x, f in zip(req, REQUIRED_FIELDS)]),
+        "completeness_issues": _issues(*[(~x, ISSUES["missing_field"].format(f=f))
+                                         for x, f in zip(req, REQUIRED_FIELDS)]),
     }
 
 
@@ -150,8 +161,8 @@ def _lint_cols(fields: Sequence[str]) -> dict[str, Column]:
         dbl_space = present & (F.instr(v, "  ") > 0)
         checks.append(F.when(present, 1).otherwise(0))
         n_issue += [F.when(ph, 1).otherwise(0), F.when(caps, 1).otherwise(0), F.when(dbl_space, 1).otherwise(0)]
-        issues_a.append((ph, F.concat(F.lit(f"Placeholder value in {f}: "), v)))
-        issues_b += [(caps, f"All caps formatting in {f}"), (dbl_space, f"Multiple spaces in {f}")]
+        issues_a.append((ph, F.concat(F.lit(ISSUES["placeholder"].format(f=f)), v)))
+        issues_b += [(caps, ISSUES["all_caps"].format(f=f)), (dbl_space, ISSUES["double_space"].format(f=f))]
     total = sum(checks, F.lit(0))
     bad = sum(n_issue, F.lit(0))
     score = F.when(total > 0, F.greatest(F.lit(0.0), F.lit(1.0) - bad.cast("double") / total.cast("double"))) \

@@ -19,6 +19,13 @@ from . import reports_pv as rp
 
 PERIODS = ("All Time", "Last 30 Days", "Last 7 Days", "This Month", "Last Month")
 
+# Default texts and formats of the loaders.
+NO_FACTORS = "No specific factors"
+FB_DEFAULTS = {"fraud_factors": "No specific fraud factors identified",
+               "quality_factors": "No specific quality factors identified",
+               "summary_notes": "Flagged as fake lead", "quality_level": "unknown", "recommended_action": "review"}
+REFRESH_FORMAT = "hh:mm a 'on' MMMM dd, yyyy"      # e.g. "03:00 PM on August 01, 2001"
+
 
 def period_filter(df: DataFrame, period: str, as_of, col: str = "created_date") -> DataFrame:
     """PRJ-6: named period on ``col`` relative to ``as_of``."""
@@ -152,7 +159,7 @@ def data_freshness(pv: DataFrame, as_of) -> DataFrame:
 def last_refresh_time(pv: DataFrame) -> DataFrame:
     """LQ-13: newest good ``parsed_at`` as text ('hh:mm AM on Month dd, yyyy')."""
     m = S.good_rows(pv).agg(F.max("parsed_at").alias("_m"))
-    txt = F.date_format(F.col("_m"), "hh:mm a 'on' MMMM dd, yyyy")
+    txt = F.date_format(F.col("_m"), REFRESH_FORMAT)
     return m.select(F.coalesce(txt, F.lit("Unknown")).alias("last_refresh"))
 
 
@@ -189,8 +196,8 @@ def daily_fake_leads_detail(pv: DataFrame, start: str, end: str) -> DataFrame:
     return rows.select(
         F.col("task_id").alias("lead_id"), "lead_source", *S.contact_columns(),
         f0.alias("fraud_score"),
-        F.coalesce("api_fraud_factors", F.lit("No specific factors")).alias("fraud_factors"),
-        F.coalesce("api_quality_factors", F.lit("No specific factors")).alias("quality_factors"),
+        F.coalesce("api_fraud_factors", F.lit(NO_FACTORS)).alias("fraud_factors"),
+        F.coalesce("api_quality_factors", F.lit(NO_FACTORS)).alias("quality_factors"),
         F.coalesce("api_recommendation", F.lit("review")).alias("recommendation"),
         fake.alias("is_fake"), "created_date", "parsed_at",
         ladder([(fake, "FAKE"), (f0 >= 8, "HIGH_RISK")], "OTHER").alias("lead_type"))
@@ -316,11 +323,8 @@ def fake_leads(pv: DataFrame, as_of, date_filter: str = "All Time", variant: str
         F.coalesce(F.col("api_email_valid"), email.isNotNull() & (email != "")).alias("email_valid"),
         F.coalesce(F.col("api_phone_valid"),
                    F.col("api_phone").isNotNull() & (F.col("api_phone") != "")).alias("phone_valid"),
-        F.coalesce("api_fraud_factors", F.lit("No specific fraud factors identified")).alias("fraud_factors"),
-        F.coalesce("api_quality_factors", F.lit("No specific quality factors identified")).alias("quality_factors"),
-        F.coalesce("api_summary_notes", F.lit("Flagged as fake lead")).alias("summary_notes"),
-        F.coalesce("api_quality_level", F.lit("unknown")).alias("quality_level"),
-        F.coalesce("api_recommendation", F.lit("review")).alias("recommended_action"),
+        *[F.coalesce(f"api_{k}" if k != "recommended_action" else "api_recommendation", F.lit(v)).alias(k)
+          for k, v in FB_DEFAULTS.items()],
         "api_fake_lead", "api_market_segment", "raw_api_response", "raw_description")
 
 

@@ -257,8 +257,13 @@ def _str2(s, d):
     return s.read.parquet(st.latest_snapshot(s, f"{base}/monitor"))
 
 
+def _str2_report(s, d):
+    from .streaming import stream as st
+    return st.monitor_report(_str2(s, d), "2001-07-15")
+
+
 def _stream_queries() -> dict[str, Query]:
-    return {"str1_stream_ingest": _str1, "str2_daily_monitor": _str2}
+    return {"str1_stream_ingest": _str1, "str2_daily_monitor": _str2, "str2_monitor_report": _str2_report}
 
 
 # ------------------------------------------------------------------ primitives (AGG-10, WIN-1, WIN-5, WIN-7)

@@ -70,7 +70,23 @@ SELECT date_trunc('day', created_date) AS day, COALESCE(lead_source, 'Unknown')
   COUNT(*) FILTER (WHERE COALESCE(api_fraud_score, 0) >= 8) AS critical_fraud_count
 FROM pv WHERE parse_error IS NULL GROUP BY 1, 2""", "pv")
 
-ORACLE.update({"str1_stream_ingest": PRS_ROUNDTRIP, "str2_daily_monitor": STR2})
+STR2_REPORT = with_ctes("""
+WITH m AS (
+  SELECT date_trunc('day', created_date) AS day, COALESCE(lead_source, 'Unknown') AS lead_source,
+    COUNT(*) AS total_leads, COUNT(*) FILTER (WHERE COALESCE(api_fake_lead, FALSE)) AS fake_leads_count,
+    COUNT(*) FILTER (WHERE COALESCE(api_fraud_score, 0) >= 8) AS critical_fraud_count
+  FROM pv WHERE parse_error IS NULL AND CAST(created_date AS DATE) = DATE '2001-07-15' GROUP BY 1, 2
+), p AS (SELECT *, ROUND(CAST(fake_leads_count AS DOUBLE) / total_leads * 100, 2) AS fake_leads_percentage FROM m)
+SELECT day, lead_source, total_leads, fake_leads_count, critical_fraud_count, fake_leads_percentage,
+  CASE WHEN fake_leads_percentage >= 50 THEN 'CRITICAL' WHEN fake_leads_percentage >= 20 THEN 'HIGH'
+       WHEN fake_leads_percentage >= 10 THEN 'MEDIUM' WHEN fake_leads_percentage > 0 THEN 'LOW' ELSE 'CLEAN' END
+    AS daily_risk_level,
+  RANK() OVER (ORDER BY fake_leads_percentage DESC) AS worst_source_rank,
+  fake_leads_count >= 3 AS alert_volume, fake_leads_percentage >= 25 AS alert_percentage,
+  critical_fraud_count >= 1 AS alert_critical_fraud
+FROM p""", "pv")
+
+ORACLE.update({"str1_stream_ingest": PRS_ROUNDTRIP, "str2_daily_monitor": STR2, "str2_monitor_report": STR2_REPORT})
 
 _WEEKLY = """(SELECT date_trunc('week', validation_timestamp) AS week, COALESCE(lead_source, 'Unknown') AS lead_source,
   COUNT(*) AS validations FROM vr GROUP BY 1, 2) w"""

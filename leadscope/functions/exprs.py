@@ -57,12 +57,19 @@ def count_if(pred: Column) -> Column:
     return F.count_if(pred).cast("bigint")
 
 
-def exact_avg(c: ColumnOrName, scale: int = 10) -> Column:
-    """AVG of a double column that does not depend on partitioning: values are
-    summed as DECIMAL(28, scale) (exact, order-independent) and the mean is
-    returned as DOUBLE. Double sums depend on addition order, so a plain AVG
-    can flip a rounded tie (0.4875 -> 0.487 / 0.488) or a rank between runs."""
-    return F.avg(col(c).cast(f"decimal(28,{scale})")).cast("double")
+def exact_avg(c: ColumnOrName, digits: int = 6) -> Column:
+    """AVG of a double column that does not depend on partitioning.
+
+    Double sums depend on addition order, so a plain AVG can flip a rounded
+    tie (0.4875 -> 0.487 / 0.488) or a rank between runs. Values are summed
+    in fixed point instead, ``floor(x * 10^digits + 0.5)`` as LONG (exact,
+    order-independent, and a primitive aggregation buffer), then divided once.
+    Scores here carry at most 6 decimals, so the sum is exact; a LONG holds
+    the sum for ~9e12 rows per group at 0-1 scale."""
+    m = float(10 ** digits)
+    x = col(c).cast("double")
+    fixed = F.floor(x * F.lit(m) + F.lit(0.5)).cast("long")
+    return F.sum(fixed).cast("double") / F.count(x).cast("double") / F.lit(m)
 
 
 def rate(pred: Column) -> Column:

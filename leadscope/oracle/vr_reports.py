@@ -6,8 +6,9 @@ D = f"DATE '{VR_AS_OF}'"
 
 
 def XAVG(x: str) -> str:
-    """Partition-independent average of a double: exact DECIMAL sum, DOUBLE result."""
-    return f"CAST(AVG(CAST({x} AS DECIMAL(28,10))) AS DOUBLE)"
+    """Partition-independent average of a double: exact fixed-point (1e-6) sum, one division."""
+    return (f"(CAST(SUM(CAST(floor(CAST({x} AS DOUBLE) * 1000000.0 + 0.5) AS BIGINT)) AS DOUBLE) "
+            f"/ CAST(COUNT({x}) AS DOUBLE) / 1000000.0)")
 
 VW09 = f"""
 SELECT lead_id, validation_timestamp, overall_score, validation_status, first_name, last_name, email, phone,

@@ -1,6 +1,6 @@
 """The ETL run: landed tasks -> validation tasks table + parsed table
-snapshots, CSV backup and run counters (the batch entry point of the
-reference's ``lead_validation_etl``), plus view registration for SQL users.
+snapshots, CSV backup and run counters (the batch ETL entry point), plus
+view registration for SQL users.
 
 Tables are immutable snapshot directories ``<root>/<name>/batch=<run id>``;
 a run reads the newest snapshot, upserts, and writes the next one, so a failed

@@ -37,13 +37,18 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "m
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     wv_ = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
-    stats = wv_.groupBy(*keys).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_d"),
-                                   F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    stat_cols = [F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_d"), F.min("_v").alias("_lo"),
+                 F.max("_v").alias("_hi")]
     span = F.col("_hi") - F.col("_lo")
     nb = F.least(F.col("_d"), F.lit(buckets))
     bucket = F.when(span <= 0, F.lit(0)).otherwise(
         F.least(nb - 1, F.floor((F.col("_v") - F.col("_lo")) / span * nb)).cast("int"))
-    vb = wv_.join(stats, keys).withColumn("_b", bucket)
+    if keys:
+        vb = wv_.join(wv_.groupBy(*keys).agg(*stat_cols), keys).withColumn("_b", bucket)
+    else:
+        # global: the one-row statistics are a scalar subquery (no join on a constant key)
+        s = wv_.agg(F.struct(*stat_cols).alias("s")).scalar()
+        vb = wv_.withColumns({c: s[c] for c in ("_n", "_d", "_lo", "_hi")}).withColumn("_b", bucket)
 
     # step 2: bucket histogram per group and the target ranks
     r1 = F.floor((F.col("_n") + 1) / 2).cast("bigint")
@@ -105,8 +110,8 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str],
 def global_median(df: DataFrame, value: str, out: str = "median", buckets: int = 1 << 20,
                   accuracy: int | None = None) -> DataFrame:
     """Median over all rows (one output row, NULL when there is no value)."""
-    g = df.withColumn("_all", F.lit(1))
-    m = (approx_grouped_median(g, ["_all"], value, out, accuracy) if accuracy
-         else grouped_median(g, ["_all"], value, out, buckets))
-    one = df.sparkSession.range(1).select(F.lit(1).alias("_all"))
-    return one.join(m, "_all", "left").drop("_all")
+    m = (approx_grouped_median(df, [], value, out, accuracy) if accuracy
+         else grouped_median(df, [], value, out, buckets))
+    # exactly one row even without values: union with a NULL row and take max (no join)
+    empty = df.sparkSession.range(1).select(F.lit(None).cast("double").alias(out))
+    return m.select(out).unionByName(empty).agg(F.max(out).alias(out))

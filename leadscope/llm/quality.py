@@ -1,7 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
-Every word and every character n-gram within a word (word boundaries count as characters) is hashed to a bucket
-with a learned vector. A document is the average of its vectors; a softmax layer gives class probabilities. Both
+Every word, every pair of neighbouring words (without order) and every character n-gram within a word (word boundaries
+count as characters) is hashed to a bucket with a learned vector. A document is the average of its vectors; a softmax layer gives class probabilities. Both
 layers are trained by stochastic gradient descent in numpy.
 
 Learning reads a bounded, documented sample (``sample`` labelled documents, the smallest by a hash of their id,
@@ -48,7 +48,9 @@ def _piece_buckets(text: str, buckets: int) -> np.ndarray:
         return np.zeros(0, dtype=np.int64)
     x = np.frombuffer((" " + " ".join(words) + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     space = np.flatnonzero(x == 32)
-    found = [range_hash(x, space[:-1], space[1:])]
+    word = range_hash(x, space[:-1], space[1:])
+    # a pair's hash is symmetric, so that all pairs of a word with itself share one vector
+    found = [word, mix((word[1:] ^ word[:-1]) + np.uint64(1))]
     inside = np.cumsum(x == 32)
     for n in NGRAMS:
         if len(x) < n:

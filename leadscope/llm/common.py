@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -46,6 +46,32 @@ def doc_key() -> list:
     return [F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("th")]
 
 
+def sampled(rows: DataFrame, by: str, most: int, key: str = "doc_id") -> DataFrame:
+    """Per value of ``by`` the ``most`` rows with the smallest hashes of the key, without sorting all rows.
+
+    Counts (one row per value, few by contract) give the part of the hash range that holds enough rows; the rest is
+    filtered away in place. Rows whose keys repeat may fall short of the part, so the part has room to spare.
+    """
+    counts = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}
+    span = 1 << 31
+    part = F.lit(0)
+    for value, n in counts.items():
+        part = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(min(span, int(span * 1.5 * (most + 200) / n)))).otherwise(part)
+    hashed = F.pmod(F.xxhash64(key), F.lit(span))
+    near = rows.withColumn("_hash", hashed).filter(F.col("_hash") < part)
+    order = Window.partitionBy(by).orderBy("_hash", *rows.columns)
+    return near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= most).drop("_n", "_hash")
+
+
+def having(rows: DataFrame, keys: DataFrame, key: str, most: int = 2_000_000) -> DataFrame:
+    """The rows whose (bigint) key is among the keys, where these are few enough to broadcast; else all rows.
+
+    For a join that follows: it then shuffles the rows it needs alone. The number of distinct keys is counted first.
+    """
+    few = keys.select(key).distinct()
+    return rows.join(F.broadcast(few), key, "left_semi") if few.limit(most + 1).count() <= most else rows
+
+
 # ------------------------------------------------------------------ hashing
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -149,16 +175,18 @@ def bucket_count(docs: DataFrame, keys_per_byte: float, keys_in_bucket: int = 2_
 
 
 def pack_keys(keys: np.ndarray, n_buckets: int) -> tuple[np.ndarray, list[bytes]]:
-    """Distinct keys dealt into buckets, 32 bits kept of each; and for every key its place in that order.
+    """Keys dealt into buckets, 32 bits kept of each, in order; and which key stands at each place.
 
     Equal keys are equal after packing. Of different keys in one bucket one in thousands may meet, so what is
     found repeated is a candidate to be verified, and what is found single is single.
     """
     bucket = (keys & np.uint64(0xFFFFFFFF)) % np.uint64(n_buckets)
-    joint, place = np.unique((bucket << np.uint64(32)) | (keys >> np.uint64(32)), return_inverse=True)
+    joint = (bucket << np.uint64(32)) | (keys >> np.uint64(32))
+    order = np.argsort(joint, kind="stable")
+    joint = joint[order]
     cuts = np.searchsorted(joint, np.arange(n_buckets + 1, dtype=np.uint64) << np.uint64(32))
     rest = joint.astype(np.uint32)
-    return place, [rest[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+    return order, [rest[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
 
 
 def _repeated_keys(group: pd.DataFrame) -> pd.DataFrame:
@@ -176,7 +204,7 @@ def exchange(rows: DataFrame, answer: Callable[[pd.DataFrame], pd.DataFrame] = _
 
     One row per block and bucket goes each way instead of one per key, and a key that is in every document is
     one key per block: no bucket is hot. ``answer`` gives, for the rows of one bucket, one byte per key; by
-    default whether the key came from more than one block. Result: block, answers (all bytes in key order).
+    default whether the key occurs more than once. Result: block, answers (all bytes in the order of ``pack_keys``).
     """
     sent = rows.select("block", F.posexplode("parts").alias("bucket", "keys")).filter(F.octet_length("keys") > 0)
     back = sent.groupBy("bucket").applyInPandas(answer, "block long, bucket int, answer binary")

@@ -6,7 +6,7 @@ matrix with sampled ranks); the matching statistic of a position is the number o
 at least twice, and windows are the positions where it reaches the threshold.
 
 To stream every document through every shard's index would cost the square of the corpus. Instead, texts are routed:
-the minimizer of a window (smallest hash of its 5-word runs) is the same for equal windows, so consecutive windows
+the minimizer of a window (smallest hash of its 16-word runs) is the same for equal windows, so consecutive windows
 with one minimizer form a segment, and equal windows only stand in segments of one minimizer.
  1. Blocks of documents find their segments. The minimizers, packed, are exchanged (``common.exchange``): segments whose
     minimizer is nowhere else hold no repeat and go no further.
@@ -33,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bucket_count, doc_key, exchange, grouped_words, joined_answers, mix, pack_keys, prepare, range_hash, stored
+from .common import blocks, bucket_count, doc_key, exchange, grouped_words, having, joined_answers, mix, pack_keys, prepare, range_hash, stored
 
 WINDOW = 35
-GRAM = 5
+GRAM = 16
 RUN = 32  # windows in a segment at most
 MANY = 256  # contents of a minimizer beyond which windows are dealt out one by one
 SHARD_WORDS = 600_000
-_BLOCK = "block long, ids array<long>, th array<long>, words array<int>, segments binary, places binary, parts array<binary>"
+_BLOCK = "block long, ids array<long>, th array<long>, segments binary, parts array<binary>"
 SEGMENT = np.dtype([("doc", "<i4"), ("start", "<i4"), ("n", "<i2"), ("sure", "?"), ("minimizer", "<i8"), ("content", "<i8")])
 
 
@@ -85,19 +85,17 @@ def segments(hashes: np.ndarray, bounds: np.ndarray, window: int, gram: int = GR
 def _block_rows(documents: DataFrame, window: int, n_buckets: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, (ids, th, texts) in blocks(batches, ["doc_id", "th", "text"]):
-            found, words = [], []
+            found = []
             for first, _, hashes, bounds in grouped_words(texts):
                 part = segments(hashes, bounds, window)
                 part["doc"] += first
                 found.append(part)
-                words += np.diff(bounds).tolist()
             every = np.concatenate(found)
             keys = mix(every["minimizer"].view(np.uint64))
-            place, parts = pack_keys(keys, n_buckets)
-            local = np.bincount(place)[place] > 1 if len(place) else np.zeros(0, dtype=bool)
-            every["sure"] |= local  # for now: needs no answer
-            row = [block, ids, th, words, every.tobytes(), place.astype(np.uint32).tobytes(), parts]
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.list_(pa.binary())]
+            order, parts = pack_keys(keys, n_buckets)
+            # in the order of the keys: the answers come in it
+            row = [block, ids, th, every[order].tobytes(), parts]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.binary())]
             yield pa.record_batch([pa.array([x], t) for x, t in zip(row, types)], names=[c.split()[0] for c in _BLOCK.split(", ")])
 
     return stored(documents.select(*doc_key(), F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(cut, _BLOCK))
@@ -111,15 +109,13 @@ def _candidates(rows: DataFrame) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 every = np.frombuffer(r["segments"], dtype=SEGMENT)
-                place = np.frombuffer(r["places"], dtype=np.uint32)
-                elsewhere = joined_answers(r["answers"])
-                keep = every[every["sure"] | (elsewhere[place] > 0)] if len(place) else every
+                keep = every[every["sure"] | (joined_answers(r["answers"]) > 0)]
                 ids, th = pa.array(r["ids"], pa.int64()), pa.array(r["th"], pa.int64())
                 doc = pa.array(keep["doc"])
                 yield pa.record_batch([ids.take(doc), th.take(doc), pa.array(keep["start"]), pa.array(keep["n"].astype(np.int32)),
                                        pa.array(keep["minimizer"]), pa.array(keep["content"])], names=[c.split()[0] for c in schema.split(", ")])
 
-    return rows.select("block", "ids", "th", "segments", "places").join(exchange(rows), "block", "left").mapInArrow(pick, schema)
+    return rows.select("block", "ids", "th", "segments").join(exchange(rows), "block", "left").mapInArrow(pick, schema)
 
 
 # ------------------------------------------------------------------ the index
@@ -223,16 +219,14 @@ class FMIndex:
         return out
 
 
-def _searched(group: pd.DataFrame, window: int) -> list[tuple[int, int]]:
-    """Runs of repeated windows as (row of the group, first, number)."""
+def _searched(words: list[bytes], times: list[int], window: int) -> list[tuple[int, int, int]]:
+    """Runs of repeated windows in distinct texts: (text, first, number)."""
     number: dict[bytes, int] = {}
-    texts = [[number.setdefault(w, len(number) + 1) for w in t.split(b" ")] for t in group["words"]]
-    index = FMIndex(texts, group["times"].tolist())
-    again = index.occurs_twice(window)
+    texts = [[number.setdefault(w, len(number) + 1) for w in t.split(b" ")] for t in words]
+    again = FMIndex(texts, times).occurs_twice(window)
     out, at = [], 0
     for i, t in enumerate(texts):
-        flags = again[at : at + len(t)]
-        edge = np.flatnonzero(np.diff(np.concatenate(([False], flags, [False])).astype(np.int8)))
+        edge = np.flatnonzero(np.diff(np.concatenate(([False], again[at : at + len(t)], [False])).astype(np.int8)))
         out += [(i, int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2])]
         at += len(t) + 1
     return out
@@ -256,37 +250,43 @@ def _repeats(documents: DataFrame, window: int, shard_words: int) -> DataFrame:
     needs = (unsure.groupBy(F.col("one.doc_id").alias("n_id"), F.col("one.th").alias("n_th"))
              .agg(F.collect_list(F.struct(F.col("one.start").alias("start"), "n", "minimizer", "content", "times", "several")).alias("needs")))
     texts = documents.select(*doc_key(), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    fetched = texts.join(needs, (F.col("th") == F.col("n_th")) & F.col("doc_id").eqNullSafe(F.col("n_id"))).select("text", "needs")
-    schema = "shard int, minimizer long, content long, n int, at int, times long, words binary"
+    needs = stored(needs)
+    fetched = having(texts, needs.select(F.col("n_th").alias("th")), "th").join(needs, (F.col("th") == F.col("n_th")) & F.col("doc_id").eqNullSafe(F.col("n_id"))).select("text", "needs")
+    schema = "shard int, times long, members array<struct<minimizer:long,content:long,n:int,at:int>>, words binary"
+    row_type = pa.schema([("shard", pa.int32()), ("times", pa.int64()), ("members", pa.list_(pa.struct([("minimizer", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("at", pa.int32())]))), ("words", pa.binary())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
+            # single windows of crowded minimizers, put together before they are shuffled: (times, members) by words
+            singles: dict[bytes, list] = {}
             for text, wanted in zip(batch.column("text").to_pylist(), batch.column("needs").to_pylist()):
                 words = text.split()
                 for x in wanted:
-                    base = (x["minimizer"], x["content"], x["n"])
+                    base = {"minimizer": x["minimizer"], "content": x["content"], "n": x["n"]}
                     if x["several"] <= MANY:
-                        out.append((int(mix(np.array([x["minimizer"]]).view(np.uint64))[0] % np.uint64(n_shards)), *base, 0, x["times"], b" ".join(words[x["start"] : x["start"] + x["n"] + window - 1])))
-                    else:
-                        for k in range(x["n"]):
-                            one = b" ".join(words[x["start"] + k : x["start"] + k + window])
-                            out.append((int.from_bytes(hashlib.blake2b(one, digest_size=8).digest(), "little") % n_shards, *base, k, x["times"], one))
+                        shard = int(mix(np.array([x["minimizer"]]).view(np.uint64))[0] % np.uint64(n_shards))
+                        out.append({"shard": shard, "times": x["times"], "members": [base | {"at": 0}], "words": b" ".join(words[x["start"] : x["start"] + x["n"] + window - 1])})
+                        continue
+                    for k in range(x["n"]):
+                        one = singles.setdefault(b" ".join(words[x["start"] + k : x["start"] + k + window]), [0, []])
+                        one[0] += x["times"]
+                        one[1].append(base | {"at": k})
+            out += [{"shard": int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little") % n_shards, "times": times, "members": members, "words": w} for w, (times, members) in singles.items()]
             for at in range(0, len(out), 20_000):
-                columns = list(zip(*out[at : at + 20_000]))
-                types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=[c.split()[0] for c in schema.split(", ")])
+                yield pa.RecordBatch.from_pylist(out[at : at + 20_000], schema=row_type)
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
-        # repeated rows of a table give one representative several times: it must count once
-        group = group.drop_duplicates(["minimizer", "content", "n", "at"]).reset_index(drop=True)
-        found = _searched(group, window)
-        keys = group.iloc[[i for i, _, _ in found]]
-        return pd.DataFrame({"minimizer": keys["minimizer"].to_numpy(), "content": keys["content"].to_numpy(), "n": keys["n"].to_numpy(),
-                             "first": keys["at"].to_numpy() + np.array([a for _, a, _ in found], dtype=np.int32), "number": np.array([b for _, _, b in found], dtype=np.int32)})
+        texts = group.groupby("words", sort=False)["times"].sum()
+        runs: dict[bytes, list[tuple[int, int]]] = {}
+        for i, first, number in _searched(texts.index.tolist(), texts.tolist(), window):
+            runs.setdefault(texts.index[i], []).append((first, number))
+        found = [(m["minimizer"], m["content"], m["n"], m["at"] + first, number)
+                 for words, members in zip(group["words"], group["members"]) for first, number in runs.get(words, ()) for m in members]
+        return pd.DataFrame(found, columns=["minimizer", "content", "n", "first", "number"])
 
     searched = (fetched.mapInArrow(fetch, schema).groupBy("shard").applyInPandas(search, "minimizer long, content long, n int, first int, number int")
-                .groupBy("minimizer", "content", "n").agg(F.collect_list(F.struct("first", "number")).alias("runs")))
+                .groupBy("minimizer", "content", "n").agg(F.collect_set(F.struct("first", "number")).alias("runs")))
     part = searched.join(whole.select("minimizer", "content", "n"), ["minimizer", "content", "n"], "left_anti")
     runs = whole.unionByName(part)
     return (found.join(runs, ["minimizer", "content", "n"])

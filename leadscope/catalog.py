@@ -133,7 +133,7 @@ def _parsed_roundtrip(s, d):
 def _upsert_inputs(s, d):
     pv = fx.pv(s, d)
     k = F.expr("CAST(substring(task_id, 2) AS BIGINT)")
-    old = pv.filter(k % 3 != 0)
+    old = pv.filter((k % 3 != 0) | (k % 2 != 0))
     new = (pv.filter(k % 2 == 0)
            .withColumn("task_id", F.when(k % 97 == 0, F.lit(None)).when(k % 89 == 0, F.lit(""))
                        .otherwise(F.col("task_id")))
@@ -178,22 +178,24 @@ def _dataset_queries() -> dict[str, Query]:
         "dd02_source_table": lambda s, d: ds.source_table(ld.daily_fake_leads(fx.pv(s, d), *RANGE, PV)),
         "dd03_sources_with_fakes": lambda s, d: ds.sources_with_fakes(ld.daily_fake_leads(fx.pv(s, d), *RANGE, PV)),
         "dd05_problematic_export": lambda s, d: ds.problematic_export(ld.daily_fake_leads_detail(fx.pv(s, d), *RANGE)),
-        "dd06_suspicious_per_source": lambda s, d: ds.suspicious_per_source(ld.fake_leads(fx.pv(s, d), PV)),
-        "dd07_raw_json_details": lambda s, d: ds.raw_json_details(ld.fake_leads(fx.pv(s, d), PV)),
+        "dd06_suspicious_per_source": lambda s, d: ds.suspicious_per_source(
+            ld.fake_leads(fx.pv(s, d), PV, limit=None)),
+        "dd07_raw_json_details": lambda s, d: ds.raw_json_details(ld.fake_leads(fx.pv(s, d), PV, limit=None)),
         "dd08_top_source_series": series,
         "dd09_latest_month": lambda s, d: ds.latest_month_slice(series(s, d)),
         "dd10_month_over_month": lambda s, d: ds.month_over_month(
             ld.creation_month_analysis(fx.pv(s, d)), ld.source_month_performance(fx.pv(s, d))),
         "dd11_score_distribution": lambda s, d: ds.score_distribution(rp.validation_overview(fx.pv(s, d), PV)),
-        "dd12_score_histogram": lambda s, d: ds.score_histogram(ld.lead_list(fx.pv(s, d))),
+        "dd12_score_histogram": lambda s, d: ds.score_histogram(ld.lead_list(fx.pv(s, d), limit=None)),
         "dd13_quadrants": lambda s, d: ds.quality_fraud_quadrants(summary(s, d)),
         "dd14_worst_summary": lambda s, d: ds.worst_source_summary(worst(s, d)),
         "dd15_source_overview": lambda s, d: ds.source_overview(summary(s, d), worst(s, d)),
         "dd16_filtered_sources": lambda s, d: ds.filtered_sources(summary(s, d), "All", 10, "Fraud Rate"),
         "dd17_trend_delta": lambda s, d: ds.trend_delta(ld.daily_trends(fx.pv(s, d), PV)),
-        "dd18_comprehensive_report": lambda s, d: ds.comprehensive_report(metrics(s, d),
-                                                                          ld.problematic_leads(fx.pv(s, d))),
-        "dd19_compliance_report": lambda s, d: ds.compliance_report(metrics(s, d), ld.problematic_leads(fx.pv(s, d))),
+        "dd18_comprehensive_report": lambda s, d: ds.comprehensive_report(
+            metrics(s, d), ld.problematic_leads(fx.pv(s, d), limit=None)),
+        "dd19_compliance_report": lambda s, d: ds.compliance_report(
+            metrics(s, d), ld.problematic_leads(fx.pv(s, d), limit=None)),
         "dd20_top_sources": lambda s, d: ds.top_sources_by_count(fx.pv(s, d)),
         "dd21_score_bands": lambda s, d: ds.etl_score_bands(fx.pv(s, d)),
         "dd21_source_means": lambda s, d: ds.etl_source_means(fx.pv(s, d)),

@@ -1,5 +1,7 @@
 """DuckDB oracle SQL for the derived datasets (DD-*)."""
 
+import re
+
 from ..sources.fixtures import with_ctes
 from .loaders import FB3, LQ02, LQ04, LQ06, LQ11, LQ12, LQ14, LQ15, RANGE
 from .pv_reports import F0, FAKE, VW01, VW02, VW03
@@ -8,6 +10,11 @@ from .vr_reports import VW10, XAVG
 _IN_RANGE = (f"created_date >= TIMESTAMP '{RANGE[0]} 00:00:00' AND created_date <= TIMESTAMP '{RANGE[1]} 23:59:59'")
 
 
+def _all(query: str) -> str:
+    """A loader's query without its row limit: what its aggregates count."""
+    return re.sub(r"\s+LIMIT\s+\d+\s*$", "", query.rstrip())
+
+
 def _rint(x, d):
     return f"round_even(({x}) * {10 ** d}, 0) / {float(10 ** d)}"
 
@@ -76,7 +83,7 @@ DD05 = f"""SELECT lead_id, lead_type, first_name || ' ' || last_name AS name, em
   fraud_factors AS original_fraud_factors, quality_factors AS original_quality_issues
 FROM ({LQ12}) d"""
 
-DD06 = f"""SELECT lead_source, COUNT(*) AS fake_leads_count FROM ({FB3}) f WHERE lead_source IS NOT NULL GROUP BY 1"""
+DD06 = f"""SELECT lead_source, COUNT(*) AS fake_leads_count FROM ({_all(FB3)}) f WHERE lead_source IS NOT NULL GROUP BY 1"""
 
 
 def _js(path, default):
@@ -95,7 +102,7 @@ DD07 = f"""SELECT lead_id, {_js('$.summaryNotes', '[]')} AS summary_notes, {_js(
   {_js('$.recommendationConfidence', '')} AS recommendation_confidence,
   {_js('$.mlFraudDetection', '{}')} AS ml_fraud_detection, {_js('$.emailSummary', '{}')} AS email_summary,
   {_jb('$.hasGibberishNames')} AS has_gibberish_names, {_jb('$.hasGibberishCompany')} AS has_gibberish_company
-FROM ({FB3}) f"""
+FROM ({_all(FB3)}) f"""
 
 _TOP6 = f"""(SELECT lead_source FROM ({LQ15}) s GROUP BY 1 ORDER BY SUM(total_leads) DESC, lead_source LIMIT 6)"""
 DD08 = f"SELECT * FROM ({LQ15}) s WHERE lead_source IN {_TOP6}"
@@ -125,7 +132,7 @@ DD11 = f"""SELECT * FROM (
   UNION ALL SELECT 'Invalid (0-2)', 5, invalid_leads, invalid_percentage FROM ({VW03}) o) d"""
 
 DD12 = f"""SELECT bin, 0.0 + (bin - 1) * 0.5 AS bin_start, 0.0 + bin * 0.5 AS bin_end, COUNT(*) AS leads FROM (
-  SELECT least(20, CAST(floor((overall_score - 0.0) / 0.5) AS INT) + 1) AS bin FROM ({LQ02}) l
+  SELECT least(20, CAST(floor((overall_score - 0.0) / 0.5) AS INT) + 1) AS bin FROM ({_all(LQ02)}) l
   WHERE overall_score IS NOT NULL) b GROUP BY 1"""
 
 DD13 = f"""SELECT lead_source, total_leads, avg_quality_score AS quality, fake_leads_percentage AS fake_rate,
@@ -161,12 +168,12 @@ DD18 = f"""SELECT total_leads, avg_overall_score, quality_leads_percentage, conv
        ELSE 'Action Required' END AS quality_status,
   greatest(problematic_leads - 20, 0) AS problematic_not_listed,
   strftime(earliest_lead_date, '%Y-%m-%d') AS period_from, strftime(latest_lead_date, '%Y-%m-%d') AS period_to
-FROM ({VW10}) m, (SELECT COUNT(*) AS problematic_leads FROM ({LQ06}) p) p"""
+FROM ({VW10}) m, (SELECT COUNT(*) AS problematic_leads FROM ({_all(LQ06)}) p) p"""
 
 DD19 = f"""SELECT total_leads, excellent_count + good_count AS quality_leads, quality_leads_percentage,
   poor_count + invalid_count AS non_compliant_leads, poor_percentage + invalid_percentage AS non_compliant_percentage,
   avg_overall_score, quality_leads_percentage >= 70 AS is_compliant, leads_below_threshold
-FROM ({VW10}) m, (SELECT COUNT(*) AS leads_below_threshold FROM ({LQ06}) p) p"""
+FROM ({VW10}) m, (SELECT COUNT(*) AS leads_below_threshold FROM ({_all(LQ06)}) p) p"""
 
 DD20 = """SELECT lead_source, COUNT(*) AS records FROM pv WHERE lead_source IS NOT NULL GROUP BY 1
 ORDER BY 2 DESC, 1 LIMIT 5"""

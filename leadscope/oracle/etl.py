@@ -41,7 +41,7 @@ _NEW_SELECT = ", ".join(
     else "api_quality_score + 1 AS api_quality_score" if c == "api_quality_score"
     else f"TIMESTAMP '{PV_AS_OF}' AS parsed_at" if c == "parsed_at" else c for c in _ALL)
 SNK2 = with_ctes(f"""
-WITH old AS (SELECT * FROM pv WHERE {_K} % 3 <> 0),
+WITH old AS (SELECT * FROM pv WHERE {_K} % 3 <> 0 OR {_K} % 2 <> 0),
 new0 AS (SELECT {_NEW_SELECT} FROM pv WHERE {_K} % 2 = 0),
 new AS (SELECT * FROM new0 WHERE task_id IS NOT NULL AND task_id <> '')
 SELECT * FROM old WHERE task_id NOT IN (SELECT task_id FROM new)

@@ -55,36 +55,36 @@ def _lead_row(q: Column) -> list[Column]:
     return [q.alias("overall_score"), S.status_band(q).alias("validation_status"), *S.contact_columns()]
 
 
+def _first(rows: DataFrame, limit: int | None, *order: Column) -> DataFrame:
+    """The first ``limit`` rows in an order; all rows, unordered, without a limit (what aggregates are fed with)."""
+    return rows if limit is None else rows.orderBy(*order).limit(limit)
+
+
 # ------------------------------------------------------------------ LQ-2, LQ-5, LQ-6
 
-def lead_list(pv: DataFrame, limit: int = 1000) -> DataFrame:
+def lead_list(pv: DataFrame, limit: int | None = 1000) -> DataFrame:
     """LQ-2: newest leads with score band, contact data and conversion stub."""
     q = S.quality()
-    return (S.good_rows(pv)
-            .orderBy(F.col("parsed_at").desc_nulls_last(), F.col("task_id"))
-            .limit(limit)
+    return (_first(S.good_rows(pv), limit, F.col("parsed_at").desc_nulls_last(), F.col("task_id"))
             .select("task_id", F.col("who_id").alias("lead_id"), "lead_source", *_lead_row(q),
                     "created_date", "last_modified_date", F.lit(False).alias("is_converted"),
                     F.lit(None).cast("timestamp_ntz").alias("converted_date"),
                     F.col("parsed_at").alias("validation_timestamp")))
 
 
-def recent_validations(pv: DataFrame, limit: int = 100) -> DataFrame:
+def recent_validations(pv: DataFrame, limit: int | None = 100) -> DataFrame:
     """LQ-5: the ``limit`` most recently parsed validations."""
     q = S.quality()
-    return (S.good_rows(pv)
-            .orderBy(F.col("parsed_at").desc_nulls_last(), F.col("task_id"))
-            .limit(limit)
+    return (_first(S.good_rows(pv), limit, F.col("parsed_at").desc_nulls_last(), F.col("task_id"))
             .select(F.col("task_id").alias("lead_id"), F.col("parsed_at").alias("validation_timestamp"),
                     *_lead_row(q), "lead_source", F.lit(False).alias("is_converted")))
 
 
-def problematic_leads(pv: DataFrame, score_threshold: float = 6, limit: int = 500) -> DataFrame:
+def problematic_leads(pv: DataFrame, score_threshold: float = 6, limit: int | None = 500) -> DataFrame:
     """LQ-6: leads with quality below ``score_threshold`` (0-10 scale), worst first."""
     q = S.quality()
-    return (S.good_rows(pv).filter(q < score_threshold)
-            .orderBy(q.asc(), F.col("parsed_at").desc_nulls_last(), F.col("task_id"))
-            .limit(limit)
+    return (_first(S.good_rows(pv).filter(q < score_threshold), limit,
+                   q.asc(), F.col("parsed_at").desc_nulls_last(), F.col("task_id"))
             .select(F.col("task_id").alias("lead_id"), *_lead_row(q), "lead_source",
                     F.col("parsed_at").alias("validation_timestamp"), F.lit(False).alias("is_converted")))
 
@@ -304,15 +304,15 @@ def results_by_source(pv: DataFrame, as_of, date_filter: str = "All Time", varia
 
 
 def fake_leads(pv: DataFrame, as_of, date_filter: str = "All Time", variant: str = "fallback",
-               limit: int = 100) -> DataFrame:
+               limit: int | None = 100) -> DataFrame:
     """FB-3 (fake or fraud >= 5, API values first, worst 100) or VW-6 top 100."""
     if variant == "view":
         d = rp.fake_leads_detail(pv)
-        return d.orderBy(F.col("fraud_score").desc(), "lead_id").limit(limit)
+        return _first(d, limit, F.col("fraud_score").desc(), F.col("lead_id"))
     f0, q = S.fraud0(), S.quality()
     rows = period_filter(S.good_rows(pv), date_filter, as_of).filter(S.is_fake() | (f0 >= 5))
     email = F.coalesce(F.col("api_email"), F.col("lead_email"))
-    top = rows.orderBy(f0.desc(), q.asc_nulls_last(), F.col("task_id")).limit(limit)
+    top = _first(rows, limit, f0.desc(), q.asc_nulls_last(), F.col("task_id"))
     return top.select(
         F.col("task_id").alias("lead_id"), "lead_source", F.col("parsed_at").alias("validation_timestamp"),
         *S.contact_columns(),

@@ -52,12 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = os.environ.get("LEADSCOPE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="leadscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    try:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(d)
-    except Exception:  # noqa: BLE001 - sessions without a driver-side context use the conf only
-        pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(d)
     return d

@@ -5,18 +5,22 @@ under every total order of the shingles their prefixes (the first n - ceil(0.8 n
 candidate pair must share one under all of ``ORDERS`` orders; only then are the sets compared.
 
  1. Blocks of documents build the sets and the prefixes under a hash order. The prefix shingles, packed, are exchanged
-    (``common.exchange``): a document none of whose prefix shingles stands in another document has no link.
- 2. The others are reduced to distinct sets (copies are one node), and these are stored. Shingles that many prefixes
+    (``common.exchange``). These prefixes are longer: linked sets share a tenth of their members in them,
+    so a document with fewer shingles that stand in other prefixes has no link; a common line doesn't make a candidate.
+ 2. The others are reduced to distinct sets (copies are one node), and these are stored. Shingles that many sets
     hold (a common line) are moved to the end of every order. Only their order depends on them, so a bounded list
     (``HEAVY``, the most frequent ones) does.
- 3. Inverted lists under the first order give pairs: all pairs of a short list; in a long one, pairs of one pivot
-    with every other. Jaccard distance is a metric: members linked to the pivot are connected, and of them only those
-    that may be near an unlinked member stay in the list; and a list is done when its members are one component.
-    Lists with the same members are one list. Pairs are tested against the other orders' prefixes, then verified
-    on the whole sets, once each; a pivot's pairs are measured in any case.
+ 3. Inverted lists under the first order give pairs. First each node is paired with the smallest member of its lists,
+    which connects most of a group of near copies. Lists whose members are connected by now are done. Of the others,
+    a short one gives the pairs of members that aren't connected, a long one those of a pivot with every member that
+    isn't connected to it, and goes on without the pivot; after ``ROUNDS`` such rounds the members of what is left are
+    compared in squares. Shingles that no other set holds bound what a set can have in common: pairs beyond the bound
+    aren't tested. Lists with the same members are one list. Pairs are tested
+    against the other orders' prefixes and the sets' sketches, and what is left is verified on the whole sets.
  4. Links are contracted to components by alternating star steps.
 
-No set of pairs grows with the square of a group: a group of near copies is one pivot's pairs.
+A group of near copies is a few pivots' pairs. Only sets that share most members with many others, but are near to none,
+are compared with each other in squares; rows are made for pairs that pass alone.
 
 Edge cases: a null text, or one without words, has an empty set and links to nothing; fewer than five words are one
 shingle. Copies and repeated rows are one node and get the smallest id among them. A null id is larger than any id:
@@ -29,19 +33,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bucket_count, doc_key, exchange, grouped_words, joined_answers, mix, pack_keys, prepare, range_hash, stored
+from .common import blocks, bucket_count, doc_key, exchange, grouped_words, having, joined_answers, mix, pack_keys, prepare, range_hash, stored
 
 GRAM = 5
 SHARE = 80  # percent of the union
 ORDERS = 3
-HEAVY = 200_000
-FREQUENT = 48  # prefixes that hold a heavy shingle, at least
+HEAVY = 1_000_000
+FREQUENT = 6  # sets that hold a heavy shingle, at least
 SHORT = 16  # members of a list whose pairs are all tested
+ROUNDS = 1  # of pivots, before what is left of the lists is compared in squares of SIDE sets
+SIDE = 128
 _SEEDS = [np.uint64(0), np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)]
 
 
@@ -59,19 +66,29 @@ def shingle_sets(texts: list[bytes], gram: int = GRAM) -> Iterator[np.ndarray]:
                 yield range_hash(hashes[a:b], np.array([0]), np.array([b - a])) if b > a else np.zeros(0, dtype=np.uint64)
 
 
-def prefix_size(n: int) -> int:
-    """So many members of a set of n, first in any order, meet every set with enough in common."""
-    return n - (SHARE * n + 99) // 100 + 1 if n else 0
+def shared_size(n: int) -> int:
+    """How many members two linked sets, the smaller one of n members, are asked to share in longer prefixes."""
+    return max(1, n // 10)
 
 
-def prefix(shingles: np.ndarray, order: int, heavy: np.ndarray | None = None) -> np.ndarray:
+def prefix_size(n: int, shared: int = 1) -> int:
+    """So many members of a set of n, first in any order, hold the first ``shared`` members in common with a linked set."""
+    return n - _least_common(n) + shared if n else 0
+
+
+def _least_common(n: int) -> int:
+    """Members that a set of n has in common with any linked set, and the least size of such a set."""
+    return (SHARE * n + 99) // 100
+
+
+def prefix(shingles: np.ndarray, order: int, heavy: np.ndarray | None = None, shared: int = 1) -> np.ndarray:
     """The set's first members under a global order: heavy shingles last, the others by a hash."""
     key = mix(shingles ^ _SEEDS[order]) >> np.uint64(1) if order else shingles >> np.uint64(1)
     if heavy is not None and len(heavy):
         at = np.minimum(np.searchsorted(heavy, shingles), len(heavy) - 1)
         key |= (heavy[at] == shingles).astype(np.uint64) << np.uint64(63)
     # ties of the shortened key are broken by the shingle itself, the same way in every set
-    return shingles[np.lexsort((shingles, key))[: prefix_size(len(shingles))]]
+    return shingles[np.lexsort((shingles, key))[: prefix_size(len(shingles), shared)]]
 
 
 def linked(common: int, n: int, m: int) -> bool:
@@ -80,7 +97,7 @@ def linked(common: int, n: int, m: int) -> bool:
 
 # ------------------------------------------------------------------ the operator
 
-_BLOCK = "block long, ids array<long>, th array<long>, sizes array<int>, high array<long>, low array<long>, lengths array<int>, places binary, parts array<binary>"
+_BLOCK = "block long, ids array<long>, th array<long>, sizes array<int>, high array<long>, low array<long>, docs binary, parts array<binary>"
 _MEMBER = "doc_id long, th long, n_shingles long, high long, low long, candidate boolean"
 
 
@@ -96,24 +113,20 @@ def _members(documents: DataFrame) -> DataFrame:
                 digest = xxhash.xxh3_128_digest(shingles.tobytes())
                 high.append(int.from_bytes(digest[:8], "little", signed=True))
                 low.append(int.from_bytes(digest[8:], "little", signed=True))
-                prefixes.append(prefix(shingles, 0))
-            keys = np.concatenate(prefixes)
-            place, parts = pack_keys(mix(keys), n_buckets)
-            local = np.bincount(place)[place] > 1 if len(place) else np.zeros(0, dtype=bool)
-            # a shingle that stands twice in the block needs no answer: its place is marked
-            row = [block, ids, th, sizes, high, low, [len(p) for p in prefixes], (place.astype(np.int32) | (local.astype(np.int32) << 30)).tobytes(), parts]
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.binary())]
+                prefixes.append(prefix(shingles, 0, shared=shared_size(len(shingles))))
+            order, parts = pack_keys(mix(np.concatenate(prefixes)), n_buckets)
+            docs = np.repeat(np.arange(len(ids), dtype=np.uint16), [len(p) for p in prefixes])[order]
+            row = [block, ids, th, sizes, high, low, docs.tobytes(), parts]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.binary())]
             yield pa.record_batch([pa.array([x], t) for x, t in zip(row, types)], names=[c.split()[0] for c in _BLOCK.split(", ")])
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                marked = np.frombuffer(r["places"], dtype=np.int32)
-                elsewhere = joined_answers(r["answers"])
-                again = (marked >> 30 > 0) | (elsewhere[marked & 0x3FFFFFFF] > 0) if len(marked) else np.zeros(0, dtype=bool)
-                count = np.concatenate(([0], np.cumsum(again)))
-                ends = np.concatenate(([0], np.cumsum(r["lengths"], dtype=np.int64)))
-                candidate = np.diff(count[ends]) > 0
+                docs = np.frombuffer(r["docs"], dtype=np.uint16)
+                again = np.bincount(docs[joined_answers(r["answers"]) > 0], minlength=len(r["sizes"]))
+                wanted = np.array([shared_size(_least_common(n)) for n in r["sizes"]])
+                candidate = again >= wanted
                 yield pa.record_batch([pa.array(r["ids"], pa.int64()), pa.array(r["th"], pa.int64()), pa.array(r["sizes"], pa.int64()),
                                        pa.array(r["high"], pa.int64()), pa.array(r["low"], pa.int64()), pa.array(candidate)], names=[c.split()[0] for c in _MEMBER.split(", ")])
 
@@ -124,8 +137,9 @@ def _members(documents: DataFrame) -> DataFrame:
 def _nodes(documents: DataFrame, members: DataFrame) -> DataFrame:
     """Distinct sets of candidates: node (number), high, low, n, shingles (binary)."""
     one = members.filter("candidate").groupBy("high", "low").agg(F.min(F.struct("doc_id", "th")).alias("one"))
-    wanted = one.select(F.col("one.doc_id").alias("n_id"), F.col("one.th").alias("n_th")).distinct()
+    wanted = stored(one.select(F.col("one.doc_id").alias("n_id"), F.col("one.th").alias("n_th")).distinct())
     texts = documents.select(*doc_key(), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
+    texts = having(texts, wanted.select(F.col("n_th").alias("th")), "th")
     fetched = texts.join(wanted, (F.col("th") == F.col("n_th")) & F.col("doc_id").eqNullSafe(F.col("n_id"))).select("text")
     schema = "high long, low long, n int, shingles binary"
 
@@ -142,102 +156,187 @@ def _nodes(documents: DataFrame, members: DataFrame) -> DataFrame:
     return stored(fetched.mapInArrow(build, schema).withColumn("node", F.monotonically_increasing_id()))
 
 
-def _prefixes(nodes: DataFrame, heavy: np.ndarray | None, orders: int) -> DataFrame:
-    """node, n, p0, p1, ...: prefixes under the orders."""
+def _tokens(nodes: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """node, n, token: prefixes under the first order."""
     shared = nodes.sparkSession.sparkContext.broadcast(heavy)
-    names = [f"p{k}" for k in range(orders)]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.frombuffer(s, dtype=np.uint64) for s in batch.column("shingles").to_pylist()]
-            columns = [pa.array([prefix(s, k, shared.value).view(np.int64) for s in sets], pa.list_(pa.int64())) for k in range(orders)]
-            yield pa.record_batch([batch.column("node"), batch.column("n"), *columns], names=["node", "n", *names])
+            for node, n, s in zip(*(batch.column(c).to_pylist() for c in ("node", "n", "shingles"))):
+                tokens = prefix(np.frombuffer(s, dtype=np.uint64), 0, shared.value)
+                yield pa.record_batch([pa.array(np.full(len(tokens), node)), pa.array(np.full(len(tokens), n, dtype=np.int32)), pa.array(tokens.view(np.int64))], names=["node", "n", "token"])
 
-    return nodes.select("node", "n", "shingles").mapInArrow(cut, "node long, n int, " + ", ".join(f"{c} array<long>" for c in names))
+    return nodes.select("node", "n", "shingles").mapInArrow(cut, "node long, n int, token long")
+
+
+def _frequencies(nodes: DataFrame) -> DataFrame:
+    """token, sets, node: in how many sets a shingle stands, and one of them."""
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, s in zip(batch.column("node").to_pylist(), batch.column("shingles").to_pylist()):
+                tokens = np.frombuffer(s, dtype=np.int64)
+                yield pa.record_batch([pa.array(np.full(len(tokens), node)), pa.array(tokens)], names=["node", "token"])
+
+    rows = nodes.select("node", "shingles").mapInArrow(members, "node long, token long")
+    return rows.groupBy("token").agg(F.count(F.lit(1)).alias("sets"), F.min("node").alias("node"))
 
 
 def _heavy(nodes: DataFrame, most: int, least: int) -> np.ndarray:
-    """The shingles that most prefixes hold, ascending: at most ``most`` numbers."""
-    held = _prefixes(nodes, None, 1).select(F.explode("p0").alias("s")).groupBy("s").count().filter(F.col("count") >= least)
-    top = held.orderBy(F.desc("count"), "s").limit(most).select("s").toPandas()
-    return np.sort(top["s"].to_numpy().astype(np.int64).view(np.uint64))
+    """The shingles that most sets hold, ascending: at most ``most`` numbers."""
+    top = _frequencies(nodes).filter(F.col("sets") >= least).orderBy(F.desc("sets"), "token").limit(most).select("token").toPandas()
+    return np.sort(top["token"].to_numpy().astype(np.int64).view(np.uint64))
+
+
+def _single(nodes: DataFrame) -> DataFrame:
+    """node, single: how many of a set's shingles stand in no other set."""
+    return _frequencies(nodes).filter("sets = 1").groupBy("node").agg(F.count(F.lit(1)).cast("int").alias("single"))
 
 
-def _lists(prefixes: DataFrame) -> DataFrame:
-    """Inverted lists under the first order: token, node, n; of lists with equal members, one."""
-    rows = prefixes.select("node", "n", F.explode("p0").alias("token"))
+def _lists(rows: DataFrame) -> DataFrame:
+    """Inverted lists under the first order: token, node, n, size; of lists with equal members, one."""
     signature = [F.bit_xor(F.xxhash64("node", F.lit(k))).alias(f"x{k}") for k in (1, 2)]
     lists = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"), *signature).filter("size > 1")
     one = lists.groupBy("size", "x1", "x2").agg(F.min("token").alias("token"))
     return stored(rows.join(one.select("token", "size"), "token"))
 
 
-def _comparable(n, m):
-    return (100 * F.least(n, m) >= SHARE * F.greatest(n, m))
+def _may_link(n, held, m, other):
+    """Whether sets of n and m members, of which so many stand in several sets, can have enough in common."""
+    common = F.least(held, other)
+    return 100 * common >= SHARE * (n + m - common)
 
 
-def _filtered(pairs: DataFrame, prefixes: DataFrame, orders: int) -> DataFrame:
-    """The pairs a, b (made under the first order) that share a prefix shingle under every other order, too."""
+def _both_sides(pairs: DataFrame, rows: DataFrame, column: str) -> DataFrame:
     for side in ("a", "b"):
-        own = prefixes.select(F.col("node").alias(side), *[F.col(f"p{k}").alias(f"{side}{k}") for k in range(1, orders)])
-        pairs = pairs.join(own, side)
-    for k in range(1, orders):
-        pairs = pairs.filter(F.arrays_overlap(f"a{k}", f"b{k}"))
-    return pairs.select("a", "b")
+        pairs = pairs.join(rows.select(F.col("node").alias(side), F.col(column).alias(f"{side}_{column}")), side)
+    return pairs
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b, common, both (size of the union): the pairs compared on their whole sets."""
-    for side in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(side), F.col("shingles").alias(f"s{side}")), side)
-    schema = "a long, b long, common int, both int"
+def _of_pairs(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    return having(nodes, pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
+
+
+def _sketched(nodes: DataFrame, heavy: np.ndarray | None, orders: int) -> DataFrame:
+    """node, sketch: 32 bits of each member of the prefixes under the other orders, and of the set."""
+    shared = nodes.sparkSession.sparkContext.broadcast(heavy)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketches = []
+            for s in batch.column("shingles").to_pylist():
+                shingles = np.frombuffer(s, dtype=np.uint64)
+                parts = [np.unique(x.astype(np.uint32)) for x in [*(prefix(shingles, k, shared.value) for k in range(1, orders)), shingles]]
+                sketches.append(np.concatenate([np.array([len(shingles), *map(len, parts)], dtype=np.uint32), *parts]).tobytes())
+            yield pa.record_batch([batch.column("node"), pa.array(sketches, pa.binary())], names=["node", "sketch"])
+
+    return nodes.select("node", "shingles").mapInArrow(cut, "node long, sketch binary")
+
+
+def _parts(sketch: bytes, orders: int) -> tuple[int, list[np.ndarray]]:
+    x = np.frombuffer(sketch, dtype=np.uint32)
+    return int(x[0]), np.split(x[orders + 1 :], np.cumsum(x[1:orders]))
+
+
+def _may_be_linked(x: tuple[int, list[np.ndarray]], y: tuple[int, list[np.ndarray]]) -> bool:
+    (n, xs), (m, ys) = x, y
+    # members of one set that share 32 bits count as common, to be safe
+    common = min(n, m, len(np.intersect1d(xs[-1], ys[-1], assume_unique=True)) + n - len(xs[-1]) + m - len(ys[-1]))
+    return linked(common, n, m) and all(len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(xs[:-1], ys[:-1]))
+
 
+def _filtered(pairs: DataFrame, nodes: DataFrame, heavy: np.ndarray | None, orders: int) -> DataFrame:
+    """a, b: the pairs (made under the first order) that share a prefix shingle under every other order and may be
+    linked by their sketches.
+
+    Sketches keep 32 bits of a shingle: what differs there differs, so both tests rule out only pairs that aren't linked.
+    """
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            passes = [_may_be_linked(_parts(x, orders), _parts(y, orders)) for x, y in zip(batch.column("a_sketch").to_pylist(), batch.column("b_sketch").to_pylist())]
+            yield batch.select(["a", "b"]).filter(pa.array(passes, pa.bool_()))
+
+    sketches = _sketched(_of_pairs(nodes, pairs), heavy, orders)
+    return stored(_both_sides(pairs, sketches, "sketch").mapInArrow(compare, "a long, b long"))
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b: the pairs that are linked, by their whole sets."""
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sa = [np.frombuffer(s, dtype=np.uint64) for s in batch.column("sa").to_pylist()]
-            sb = [np.frombuffer(s, dtype=np.uint64) for s in batch.column("sb").to_pylist()]
-            common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(sa, sb)]
-            both = [len(x) + len(y) - c for x, y, c in zip(sa, sb, common)]
-            yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array(common, pa.int32()), pa.array(both, pa.int32())], names=["a", "b", "common", "both"])
+            sets = [[np.frombuffer(s, dtype=np.uint64) for s in batch.column(c).to_pylist()] for c in ("a_shingles", "b_shingles")]
+            yield batch.select(["a", "b"]).filter(pa.array([linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x, y in zip(*sets)], pa.bool_()))
+
+    return stored(_both_sides(pairs, _of_pairs(nodes, pairs), "shingles").mapInArrow(compare, "a long, b long"))
 
-    return pairs.select("a", "b", "sa", "sb").mapInArrow(compare, schema)
+
+def _open_lists(rows: DataFrame, connected: DataFrame) -> DataFrame:
+    """token, node, n, held, part, size of the lists that are more than one component by now.
+
+    connected: node, component; part: a member's component. Parts may be finer than components; that costs only tests.
+    """
+    rows = rows.select("token", "node", "n", "held").join(connected, "node", "left").withColumn("part", F.coalesce("component", "node")).drop("component")
+    several = rows.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("token", "size")
+    return stored(rows.join(several, "token"))
 
 
-def _links(nodes: DataFrame, prefixes: DataFrame, short: int, orders: int) -> DataFrame:
+def _links(nodes: DataFrame, heavy: np.ndarray, short: int, orders: int) -> DataFrame:
     """a, b: enough links to connect all linked sets."""
-    lists = _lists(prefixes).withColumn("part", F.col("node"))
-    links, far = None, 1 - SHARE / 100
-    while True:
-        small, large = lists.filter(F.col("size") <= short), lists.filter(F.col("size") > short)
-        x, y = (small.select("token", F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("part").alias(f"part{c}")) for c in ("a", "b"))
-        pairs = x.join(y, "token").filter((F.col("a") < F.col("b")) & (F.col("parta") != F.col("partb")) & _comparable(F.col("na"), F.col("nb"))).select("a", "b").distinct()
-        # the pivot is compared with every member that isn't connected to it
-        pivots = large.groupBy("token").agg(F.min("node").alias("pivot"), F.min_by("part", "node").alias("pivot_part"))
-        rays = stored(large.join(pivots, "token").filter("node <> pivot"))
-        outer = rays.filter(F.col("part") != F.col("pivot_part")).select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        tested = stored(_verified(_filtered(pairs, prefixes, orders), nodes).unionByName(_verified(outer, nodes)))
-        new = tested.filter(100 * F.col("common") >= SHARE * F.col("both")).select("a", "b")
-        if links is None:
-            links = new
-            # distances to the pivot: members that can't be near an unlinked one are done
-            distance = tested.select(F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("common") / F.col("both")).alias("d"))
-            known = rays.join(distance, ["pivot", "node"])
-            near = F.col("d") <= far + 1e-12
-            unlinked = known.filter(~near).groupBy("token").agg(F.min("d").alias("least"))
-            rays = known.join(unlinked, "token").filter(~near | (F.col("d") >= F.col("least") - far - 1e-9))
-        else:
-            links = links.unionByName(new)
-        rest = stored(rays.select("token", "node", "n"))
-        if rest.isEmpty():
-            return links
-        # members that are connected by now need no test among each other; lists of one component are done
-        part = components(links)
-        rest = rest.join(part, "node", "left").select("token", "node", "n", F.coalesce("component", "node").alias("part"))
-        several = rest.groupBy("token").agg(F.count(F.lit(1)).alias("size"), F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("token", "size")
-        lists = stored(rest.join(several, "token"))
+    def tested(pairs: DataFrame) -> DataFrame:
+        return _verified(_filtered(stored(pairs.distinct()), nodes, heavy, orders), nodes)
+
+    lists = _lists(_tokens(nodes, heavy)).join(_single(nodes), "node", "left").withColumn("held", F.col("n") - F.coalesce("single", F.lit(0)))
+    lists = stored(lists.filter(100 * F.col("held") >= SHARE * F.col("n")).select("token", "node", "n", "held"))
+    # a list's pivot is the member with the fewest shingles of its own: what it has in common with others is most
+    pivot = F.min(F.struct((-1000 * F.col("held") / F.col("n")).cast("int").alias("rank"), *[F.col(c) for c in ("node", "n", "held")])).alias("pivot")
+    # first one pair for every node: with the best pivot of its lists; this connects most of a group of near copies
+    own = lists.join(lists.groupBy("token").agg(pivot), "token").groupBy("node").agg(F.min("pivot").alias("pivot"))
+    own = stored(own.select("node", F.col("pivot.node").alias("to")).filter("node <> to"))
+    links = tested(own.select(F.least("node", "to").alias("a"), F.greatest("node", "to").alias("b")))
+    # every node has one pair so far, so following it twice is enough to see most of what is connected
+    up = own.join(links, (F.col("a") == F.least("node", "to")) & (F.col("b") == F.greatest("node", "to")), "left_semi")
+    up = up.join(up.select(F.col("node").alias("to"), F.col("to").alias("top")), "to", "left").select("node", F.coalesce("top", "to").alias("component"))
+    lists = _open_lists(lists, up)
+    for _ in range(ROUNDS):
         if lists.isEmpty():
             return links
-        short *= 4  # lists of sets that don't resemble each other end after few rounds
+        small, large = lists.filter(F.col("size") <= short), lists.filter(F.col("size") > short)
+        x, y = (small.select("token", *[F.col(c).alias(f"{side}_{c}") for c in ("node", "n", "held", "part")]) for side in ("a", "b"))
+        pairs = x.join(y, "token").filter("a_node < b_node AND a_part <> b_part").filter(_may_link(*(F.col(c) for c in ("a_n", "a_held", "b_n", "b_held"))))
+        pairs = pairs.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
+        # the pivot is compared with every member that isn't connected to it
+        parts = large.groupBy("token").agg(pivot).join(large.select("token", F.col("node").alias("p"), F.col("part").alias("p_part")), "token").filter("p = pivot.node")
+        rays = stored(large.join(parts.drop("p"), "token").filter("node <> pivot.node"))
+        outer = rays.filter("part <> p_part").filter(_may_link(F.col("n"), F.col("held"), F.col("pivot.n"), F.col("pivot.held")))
+        pairs = pairs.unionByName(outer.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")))
+        links = links.unionByName(tested(pairs))
+        # lists of one pivot go on as one
+        lists = _open_lists(rays.select(F.col("pivot.node").alias("token"), "node", "n", "held").distinct(), components(links))
+    return links if lists.isEmpty() else links.unionByName(_verified(_in_squares(lists, nodes, heavy, orders).distinct(), nodes))
+
+
+def _in_squares(lists: DataFrame, nodes: DataFrame, heavy: np.ndarray, orders: int) -> DataFrame:
+    """a, b: the pairs of a list that may be linked and aren't connected; what is left when pivots don't connect more.
+
+    A list is dealt into parts of about SIDE sets, and every two parts meet in a task of their own, so that no task
+    holds more than two parts and no row is made for a pair that the sketches rule out.
+    """
+    sketches = _sketched(having(nodes, lists, "node"), heavy, orders)
+    parts = F.ceil(F.col("size") / SIDE).cast("int")
+    rows = lists.join(sketches, "node").withColumn("i", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), parts - 1)))
+    rows = rows.select("token", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "i", "node", "n", "held", "part", "sketch")
+
+    def compare(found: pd.DataFrame) -> pd.DataFrame:
+        x, y = int(found["x"].iloc[0]), int(found["y"].iloc[0])
+        sketch = [_parts(s, orders) for s in found["sketch"]]
+        node, n, held, part, i = (found[c].to_numpy() for c in ("node", "n", "held", "part", "i"))
+        out = []
+        for k in np.flatnonzero(i == x):
+            common = np.minimum(held[k], held)
+            other = (i == y) & (part != part[k]) & (100 * common >= SHARE * (n[k] + n - common)) & ((node > node[k]) if x == y else True)
+            out += [(min(node[k], node[m]), max(node[k], node[m])) for m in np.flatnonzero(other) if _may_be_linked(sketch[k], sketch[m])]
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("token", "x", "y").applyInPandas(compare, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -264,8 +363,7 @@ def joined(documents: DataFrame, heavy: int = HEAVY, frequent: int = FREQUENT, s
     prepare(documents.sparkSession)
     members = _members(documents)
     nodes = _nodes(documents, members)
-    prefixes = stored(_prefixes(nodes, _heavy(nodes, heavy, frequent), orders))
-    part = components(_links(nodes, prefixes, short, orders))
+    part = components(_links(nodes, _heavy(nodes, heavy, frequent), short, orders))
     # per distinct set: its component; the smallest id of a component's rows
     of_set = nodes.join(part, "node", "left").groupBy("high", "low").agg(F.min(F.coalesce("component", "node")).alias("component"))
     ids = members.filter("n_shingles > 0").groupBy("high", "low").agg(F.min("doc_id").alias("own"))

@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-KEPT_WORDS = 800_000
-ARC_BITS = 21
+KEPT_WORDS = 250_000
+ARC_BITS = 19
 #: White space as the tokenizer's patterns understand it (Unicode's White_Space).
 WS = r"\t-\r \x85\xa0  -     　"
 
@@ -218,7 +218,6 @@ class Encoder:
         self.space = regex.compile(f"[{WS}]+")
         self.odd = regex.compile("[\x1c-\x1f]")
         self.known: dict[str, tuple[int, str, str]] = {}
-        self.words_known: dict[str, tuple[int, str, str]] = {}
 
     def normalise(self, text: str) -> str:
         """NFC, white space to one space, lower case character by character (no final sigma)."""
@@ -230,21 +229,15 @@ class Encoder:
         """Encode runs without white space that aren't known yet; the splitting pattern never crosses white space."""
         if len(self.known) + len(chunks) > KEPT_WORDS:
             self.known.clear()
-        if len(self.words_known) > KEPT_WORDS:
-            self.words_known.clear()
         parts = {c: self.words.findall(c) for c in chunks}
-        new = list({w for p in parts.values() for w in p if w not in self.words_known})
+        new = list({w for p in parts.values() for w in p})
         label = self.automaton.label
-        for w, ids in zip(new, self.automaton.walk([w.encode("utf-8", "replace") for w in new])):
-            self.words_known[w] = (len(ids), " ".join(map(str, ids)), " ".join([label[i] for i in ids]))
+        words = {w: (len(ids), " ".join(map(str, ids)), " ".join([label[i] for i in ids])) for w, ids in zip(new, self.automaton.walk([w.encode("utf-8", "replace") for w in new]))}
         for c, p in parts.items():
-            if len(p) == 1:
-                self.known[c] = self.words_known[p[0]]
-            else:
-                found = [self.words_known[w] for w in p]
-                self.known[c] = (sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found]))
+            found = [words[w] for w in p]
+            self.known[c] = found[0] if len(p) == 1 else (sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found]))
 
-    def _parts(self, texts: list[str | None], size: int = 1 << 22) -> Iterator[list[tuple[int, str, str]]]:
+    def _parts(self, texts: list[str | None], size: int = 1 << 20) -> Iterator[list[tuple[int, str, str]]]:
         """Per text (number of tokens, ids, labels) of its runs; the runs of several texts are learned together."""
         at = 0
         while at < len(texts):

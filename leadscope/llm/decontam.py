@@ -108,7 +108,11 @@ def offsets(text: str, ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _LOWER = {c: c + 32 for c in range(65, 91)}
-_FOUND = "n_words bigint, ranges array<struct<first:int,last:int>>, items array<string>"
+_FOUND = "n_words bigint, ranges array<struct<first:int,last:int>>, items array<string>, n_hit bigint, n_items bigint, items_sha256 string"
+
+
+def _items_digest(items: list[str]) -> str:
+    return hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
 def _found(text: Column, block: dict[bytes, list[str]]) -> Column:
@@ -120,22 +124,24 @@ def _found(text: Column, block: dict[bytes, list[str]]) -> Column:
             shared.append(Matcher(block))
         for batch in batches:
             found = [shared[0].find(t if isinstance(t, str) else None) for t in batch]
+            items = [sorted(i) for _, _, i in found]
             yield pd.DataFrame({"n_words": [n for n, _, _ in found],
                                 "ranges": [[{"first": a, "last": b} for a, b in r] for _, r, _ in found],
-                                "items": [sorted(i) for _, _, i in found]})
+                                "items": items, "n_hit": [sum(b - a for a, b in r) for _, r, _ in found],
+                                "n_items": [len(i) for i in items], "items_sha256": [_items_digest(i) for i in items]})
 
     return find(text)
 
 
 def _joined(ranges: Column, items: Column) -> Column:
     @F.pandas_udf("n_hit bigint, items_sha256 string, n_items bigint")
-    def join(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        for some, found in batches:
-            hit = [sum(b - a for a, b in united([(x["first"], x["last"]) for part in r for x in part])) for r in some]
-            ids = [sorted({x for part in i for x in part}) for i in found]
-            yield pd.DataFrame({"n_hit": hit, "items_sha256": [hashlib.sha256(",".join(i).encode()).hexdigest() for i in ids], "n_items": [len(i) for i in ids]})
+    def join(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for firsts, lasts, found in batches:
+            hit = [sum(b - a for a, b in united([(int(a), int(b)) for a, b in zip(x, y)])) for x, y in zip(firsts, lasts)]
+            ids = [sorted(set(i)) for i in found]
+            yield pd.DataFrame({"n_hit": hit, "items_sha256": [_items_digest(i) for i in ids], "n_items": [len(i) for i in ids]})
 
-    return join(ranges, items)
+    return join(ranges["first"], ranges["last"], items)
 
 
 def judged(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES, name: str = "contamination") -> DataFrame:
@@ -147,11 +153,14 @@ def judged(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, block
     own = documents.columns
     rows = documents.select(F.struct(*[documents[c] for c in own]).alias("r"))
     found = [_found(F.col("r.text"), block) for block in window_blocks(benchmark, size, block_bytes)] or [_found(F.col("r.text"), {})]
-    rows = rows.select("r", F.array(*found).alias("f"))
-    rows = rows.select("r", "f", _joined(F.col("f.ranges"), F.col("f.items")).alias("u"))
-    n_words, n_hit = F.col("f")[0]["n_words"], F.col("u.n_hit")
-    verdict = F.struct(n_words.alias("n_words"), n_hit.alias("n_hit"), F.col("u.n_items").alias("n_items"), F.col("u.items_sha256").alias("items_sha256"),
-                       ((n_hit > 0) & (SHARE * n_hit >= n_words)).alias("contaminated"), F.flatten("f.ranges").alias("ranges"))
+    if len(found) == 1:
+        rows = rows.select("r", found[0].alias("u")).select("r", "u", F.col("u.n_words").alias("n_words"), F.col("u.ranges").alias("ranges"))
+    else:
+        rows = rows.select("r", F.array(*found).alias("f"))
+        rows = rows.select("r", _joined(F.flatten("f.ranges"), F.flatten("f.items")).alias("u"), F.col("f")[0]["n_words"].alias("n_words"), F.flatten("f.ranges").alias("ranges"))
+    n_words, n_hit = F.col("n_words"), F.col("u.n_hit")
+    verdict = F.struct("n_words", n_hit.alias("n_hit"), F.col("u.n_items").alias("n_items"), F.col("u.items_sha256").alias("items_sha256"),
+                       ((n_hit > 0) & (SHARE * n_hit >= n_words)).alias("contaminated"), "ranges")
     return rows.select(*[F.col("r").getField(c).alias(c) for c in own], verdict.alias(name))
 
 
@@ -176,7 +185,7 @@ def spans(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     hit = rows.filter(F.col("contamination.n_hit") > 0)
 
     @F.pandas_udf("array<struct<start:int,end:int>>")
-    def located(texts: pd.Series, ranges: pd.Series) -> pd.Series:
-        return pd.Series([[{"start": a, "end": b} for a, b in offsets(t, united([(x["first"], x["last"]) for x in r]))] for t, r in zip(texts, ranges)])
+    def located(texts: pd.Series, firsts: pd.Series, lasts: pd.Series) -> pd.Series:
+        return pd.Series([[{"start": a, "end": b} for a, b in offsets(t, united([(int(a), int(b)) for a, b in zip(x, y)]))] for t, x, y in zip(texts, firsts, lasts)])
 
-    return hit.select("doc_id", F.explode(located("text", "contamination.ranges")).alias("s")).select("doc_id", "s.start", "s.end")
+    return hit.select("doc_id", F.explode(located("text", F.col("contamination.ranges.first"), F.col("contamination.ranges.last"))).alias("s")).select("doc_id", "s.start", "s.end")

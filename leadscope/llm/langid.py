@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, sampled
 
 SAMPLE = 400
 DOC_BYTES = 1 << 10
@@ -91,13 +91,12 @@ def fit(documents: DataFrame, sample: int = SAMPLE, dict_bytes: int = DICT_BYTES
     prepare(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang").filter(F.col("lang").isNotNull() & learnable())
     common = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
-    part = rows.select("lang", F.xxhash64("doc_id").alias("k"), "doc_id", F.substring("text", 1, 2 * DOC_BYTES).alias("text"))
-    dictionaries = {}
-    for lang in common:
-        found = part.filter(F.col("lang") == lang).orderBy("k", "doc_id", "text").limit(sample).collect()
-        content = b" ".join(letters(r.text)[:DOC_BYTES] for r in found)
-        if content.strip():
-            dictionaries[lang] = content[:dict_bytes]
+    part = rows.filter(F.col("lang").isin(common)).select("lang", "doc_id", F.substring("text", 1, 2 * DOC_BYTES).alias("text"))
+    pieces: dict[str, list[bytes]] = {}
+    # at most `sample` rows of 2 * DOC_BYTES characters a language, by construction
+    for r in sampled(part, "lang", sample).orderBy("lang", "doc_id", "text").collect():
+        pieces.setdefault(r.lang, []).append(letters(r.text)[:DOC_BYTES])
+    dictionaries = {lang: content[:dict_bytes] for lang, p in pieces.items() if (content := b" ".join(p)).strip()}
     return LanguageModel(dictionaries)
 
 

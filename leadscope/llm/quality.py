@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, prepare, range_hash
+from .common import mix, prepare, range_hash, sampled
 
 BUCKETS, DIM, SAMPLE, EPOCHS, RATE, THRESHOLD = 1 << 16, 16, 4000, 6, 0.4, 0.3
 NGRAMS = (2, 3, 4)
@@ -129,13 +129,8 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, buckets:
     spark = prepare(documents.sparkSession)
     marked = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("y"))
               .filter(F.col("y").isin(0, 1) & learnable()))
-    # which rows: decided on ids alone, so that only the sample's texts move
-    chosen = None
-    for y in (0, 1):
-        part = marked.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample // 2)
-        chosen = part if chosen is None else chosen.unionByName(part)
-    # at most `sample` rows of two numbers, by construction
-    ids = chosen.collect()
+    # which rows: decided on ids alone, so that only the sample's texts move; at most `sample` rows of two numbers
+    ids = sampled(marked, "y", sample // 2).collect()
     if not ids:
         return train([], buckets)
     wanted = spark.createDataFrame(ids, marked.schema)

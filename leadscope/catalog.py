@@ -259,13 +259,27 @@ def _str2(s, d):
     return s.read.parquet(st.latest_snapshot(s, f"{base}/monitor"))
 
 
+def _str2_late(s, d):
+    """Newer tasks land first, older ones after them, then the newer ones once more: three batches at least."""
+    from .streaming import stream as st
+    base = _stream_base(s)
+    tasks = rd.render_tasks(fx.pv(s, d))
+    newer = F.col("CreatedDate") >= F.lit("2001-07-15").cast("timestamp_ntz")
+    for k, part in enumerate((tasks.filter(newer), tasks.filter(~newer | newer.isNull()), tasks.filter(newer))):
+        st.land_tasks_json(part, f"{base}/landing/page={k}")
+        st.start_daily_monitor(s, f"{base}/landing/*", f"{base}/monitor", f"{base}/ckpt-monitor",
+                               available_now=True).awaitTermination()
+    return s.read.parquet(st.latest_snapshot(s, f"{base}/monitor"))
+
+
 def _str2_report(s, d):
     from .streaming import stream as st
     return st.monitor_report(_str2(s, d), "2001-07-15")
 
 
 def _stream_queries() -> dict[str, Query]:
-    return {"str1_stream_ingest": _str1, "str2_daily_monitor": _str2, "str2_monitor_report": _str2_report}
+    return {"str1_stream_ingest": _str1, "str2_daily_monitor": _str2, "str2_late_repeated": _str2_late,
+            "str2_monitor_report": _str2_report}
 
 
 # ------------------------------------------------------------------ primitives (AGG-10, WIN-1, WIN-5, WIN-7)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators.parse import parse_counters, parse_descriptions
 from ..sources import ingest, sinks
-from ..streaming.stream import latest_snapshot
+from ..streaming.stream import latest_snapshot, snapshots
 from . import reports_pv as rp
 from . import reports_vr as rv
 
@@ -22,8 +22,8 @@ TASKS_TABLE = "validation_tasks"
 PARSED_TABLE = "parsed_validations"
 
 
-def _read_or_none(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    snap = latest_snapshot(spark, f"{root}/{name}")
+def _read_or_none(spark: SparkSession, root: str, name: str, run_id: int) -> DataFrame | None:
+    snap = latest_snapshot(spark, f"{root}/{name}", before=run_id)
     return spark.read.parquet(snap) if snap else None
 
 
@@ -49,7 +49,13 @@ def run_etl(spark: SparkSession, landing: str, root: str, run_id: int, as_of, da
     * save: keyed upsert of tasks (``task_id``) and parsed rows (``parsed_at``
       of already-parsed tasks is kept), written as new snapshots;
     * backup: optional CSV copy of the parsed table.
+
+    A run may be repeated under its id; an id below that of a stored snapshot
+    raises, as nobody would read what it writes.
     """
+    newest = max([*snapshots(spark, f"{root}/{TASKS_TABLE}"), *snapshots(spark, f"{root}/{PARSED_TABLE}")], default=run_id)
+    if newest > run_id:
+        raise ValueError(f"run {run_id} is older than snapshot {newest} under {root}")
     if validation_only:
         snap = latest_snapshot(spark, f"{root}/{TASKS_TABLE}")
         if snap is None:
@@ -60,14 +66,14 @@ def run_etl(spark: SparkSession, landing: str, root: str, run_id: int, as_of, da
         tasks = ingest.validation_tasks(raw, as_of=as_of, days_back=days_back, force_refresh=force_refresh,
                                         leads=leads)
         new_tasks = tasks_table(tasks, as_of)
-        old_tasks = _read_or_none(spark, root, TASKS_TABLE)
+        old_tasks = _read_or_none(spark, root, TASKS_TABLE, run_id)
         out = sinks.upsert(old_tasks, new_tasks, "task_id") if old_tasks is not None else \
             sinks.dedupe_batch(new_tasks.filter(F.col("task_id").isNotNull() & (F.col("task_id") != "")),
                                "task_id", ["last_modified_date"])
         out.write.mode("overwrite").parquet(f"{root}/{TASKS_TABLE}/batch={run_id:012d}")
 
     parsed = parse_descriptions(tasks).withColumn("parsed_at", F.lit(str(as_of)).cast("timestamp_ntz"))
-    old = _read_or_none(spark, root, PARSED_TABLE)
+    old = _read_or_none(spark, root, PARSED_TABLE, run_id)
     if old is None:
         merged = sinks.dedupe_batch(parsed.filter(F.col("task_id").isNotNull() & (F.col("task_id") != "")),
                                     "task_id", ["last_modified_date"])

@@ -56,3 +56,34 @@ def test_stream_ingest_matches_batch_parse(spark, tmp_path):
     cols = ["task_id", "lead_score", "api_quality_score", "api_fraud_factors", "parse_error", "created_date"]
     assert sorted(out.select(*cols).collect()) == sorted(batch.select(*cols).collect())
     assert out.filter(F.col("parsed_at").isNull()).count() == 0
+
+
+def test_monitor_counts_late_repeated_and_moved_tasks_once(spark, tmp_path):
+    from leadscope.sources import fixtures as fx
+    from leadscope.sources import render
+    from leadscope.streaming import stream as st
+    tasks = render.render_tasks(fx.pv(spark, SF_SMALL))
+    newer = F.col("CreatedDate") >= F.lit("2001-07-15").cast("timestamp_ntz")
+    moved = tasks.filter(newer).withColumn("LeadSource", F.lit("Moved"))
+    base = str(tmp_path)
+    for k, part in enumerate((tasks.filter(newer), tasks.filter(~newer), moved)):
+        st.land_tasks_json(part, f"{base}/landing/page={k}", files=2)
+        st.start_daily_monitor(spark, f"{base}/landing/*", f"{base}/monitor", f"{base}/ckpt", available_now=True,
+                               max_files=1).awaitTermination()
+    assert len(st.snapshots(spark, f"{base}/monitor")) == 6
+    got = spark.read.parquet(st.latest_snapshot(spark, f"{base}/monitor"))
+    final = tasks.withColumn("LeadSource", F.when(newer, "Moved").otherwise(F.col("LeadSource")))
+    st.land_tasks_json(final, f"{base}/once/page=0")
+    st.start_daily_monitor(spark, f"{base}/once/*", f"{base}/monitor1", f"{base}/ckpt1", available_now=True).awaitTermination()
+    want = spark.read.parquet(st.latest_snapshot(spark, f"{base}/monitor1"))
+    assert sorted(got.collect()) == sorted(want.collect()) and want.count() > 0
+
+
+def test_a_batch_reads_smaller_ids_only(spark, tmp_path):
+    from leadscope.streaming import stream as st
+    table = str(tmp_path / "t")
+    for i in (0, 1):
+        spark.range(i + 1).write.parquet(f"{table}/batch={i:012d}")
+    assert st.latest_snapshot(spark, table, before=0) is None
+    assert st.latest_snapshot(spark, table, before=1).endswith("batch=000000000000")
+    assert st.latest_snapshot(spark, table).endswith("batch=000000000001")

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -24,6 +25,11 @@ def test_two_runs_keep_first_parse_time(spark, tmp_path):
     upd = parsed.filter(F.col("task_id").endswith("1"))
     assert upd.filter(F.col("parsed_at") != F.lit("2001-08-01").cast("timestamp_ntz")).count() == 0
     assert upd.filter(F.col("lead_score") >= 10).count() > 0
+    # the same run again gives the same table; a run id that is older than what is stored is refused
+    etl.run_etl(spark, land2, root, 2, "2001-08-02", force_refresh=True)
+    assert spark.read.parquet(st.latest_snapshot(spark, f"{root}/{etl.PARSED_TABLE}")).count() == pv.count()
+    with pytest.raises(ValueError):
+        etl.run_etl(spark, land2, root, 1, "2001-08-02", force_refresh=True)
     # validation-only re-parse of the stored tasks table, with a CSV backup of the result
     backup = str(tmp_path / "backup")
     c3 = etl.run_etl(spark, land2, root, 3, "2001-08-03", validation_only=True, backup=backup).collect()[0]

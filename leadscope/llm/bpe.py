@@ -36,6 +36,10 @@ from .common import prepare
 
 KEPT_WORDS = 250_000
 ARC_BITS = 19
+#: Longer words (in bytes) are encoded one by one.
+LONG_WORD = 512
+#: Added to the symbol that ends a word, where the vocabulary marks word ends; a symbol that no token has.
+LAST, NO_SYMBOL = 256, 512
 #: White space as the tokenizer's patterns understand it (Unicode's White_Space).
 WS = r"\t-\r \x85\xa0  -     　"
 
@@ -66,27 +70,36 @@ class MergeAutomaton:
         self._symbol_table()
 
     def _symbol_table(self) -> None:
-        """The transitions that read a token symbol by symbol, as sorted arrays; node 0 is the beginning of a token."""
+        """The transitions that read a token symbol by symbol, also as sorted arrays; node 0 is the beginning of a token.
+
+        ``shorter`` leads from a token to the next shorter one that it begins with.
+        """
         number = {symbol: i for i, symbol in enumerate(byte_symbols())}
         edges: dict[int, int] = {}
-        self.token_at = [-1]
+        token_at, size, before = [-1], np.zeros(max(self.label) + 1, dtype=np.int64), [0]
         for t, i in self.ids.items():
             whole = bool(self.suffix) and len(t) > len(self.suffix) and t.endswith(self.suffix)
             body = t[: -len(self.suffix)] if whole else t
-            if any(c not in number for c in body):
+            if not body or any(c not in number for c in body):
                 continue
             node = 0
             for k, c in enumerate(body):
-                edge = node << 9 | number[c] | (256 if whole and k == len(body) - 1 else 0)
+                edge = node << 10 | number[c] | (LAST if whole and k == len(body) - 1 else 0)
                 if edge not in edges:
-                    edges[edge] = len(self.token_at)
-                    self.token_at.append(-1)
+                    edges[edge] = len(token_at)
+                    token_at.append(-1)
+                    before.append(node)
                 node = edges[edge]
-            self.token_at[node] = i
-        self.edges = edges
+            token_at[node] = i
+            size[i] = len(body)
+        shorter, longest = np.full(len(size), -1, dtype=np.int64), [-1] * len(token_at)
+        for node in range(1, len(token_at)):  # a node is numbered after the one before it
+            longest[node] = token_at[node] if token_at[node] >= 0 else longest[before[node]]
+            if token_at[node] >= 0:
+                shorter[token_at[node]] = longest[before[node]]
+        self.edges, self.longest, self.size, self.shorter = edges, np.array(longest, dtype=np.int64), size, shorter
         self.edge_keys = np.array(sorted(edges), dtype=np.int64)
         self.edge_ends = np.array([edges[k] for k in self.edge_keys.tolist()], dtype=np.int64)
-        self.node_tokens = np.array(self.token_at, dtype=np.int64)
         self.arc_keys = np.full(1 << ARC_BITS, -1, dtype=np.int64)
         self.arc_flags = np.zeros(1 << ARC_BITS, dtype=bool)
         self.arc_count = 0
@@ -153,52 +166,93 @@ class MergeAutomaton:
             else:  # the same token twice
                 token, state, now = self.parts[token][0], self.parts[state][1], born_state
 
-    def walk(self, words: list[bytes]) -> list[list[int]]:
-        """Token numbers of words (not empty, as bytes). Words of one length follow the tables together."""
-        out: list[list[int]] = [[]] * len(words)
-        by_length: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(i)
-        for length, rows in by_length.items():
-            step = max(1, (1 << 20) // length)
-            for at in range(0, len(rows), step):
-                some = rows[at : at + step]
-                for i, ids in zip(some, self._walk(np.frombuffer(b"".join([words[i] for i in some]), dtype=np.uint8).reshape(len(some), length))):
-                    out[i] = ids
-        return out
-
-    def _walk(self, symbols: np.ndarray) -> Iterator[list[int]]:
-        """The path from the first state that reads a word is unique, and so is the path to every position.
+    def walk(self, words: list[bytes]) -> Iterator[list[int]]:
+        """Token numbers of words (not empty).
 
-        last: the token that the path to a position ends with (its state); begin: where that token begins.
+        There is one path to every position, so the path to the end is found by taking the longest arc first and
+        going back to the next shorter one where a path ends early; no position is come to twice. Words of usual
+        length follow the tables together, long ones alone.
         """
-        m, n = symbols.shape
-        symbols = symbols.astype(np.int64)
+        at = 0
+        while at < len(words):
+            if len(words[at]) > LONG_WORD:
+                yield self._walk_one(words[at])
+                at += 1
+                continue
+            end, held = at, 0
+            while end < len(words) and len(words[end]) <= LONG_WORD and held < 1 << 19:
+                held += len(words[end]) + 1
+                end += 1
+            yield from self._walk(words[at:end])
+            at = end
+
+    def _walk(self, words: list[bytes]) -> Iterator[list[int]]:
+        """last: the token that the path to a position ends with (its state); a symbol that no token has ends a word."""
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        ends = np.cumsum(sizes + 1) - 1
+        symbols = np.frombuffer(b"\0".join(words) + b"\0", dtype=np.uint8).astype(np.int64)
+        symbols[ends] = NO_SYMBOL
         if self.suffix:
-            symbols[:, -1] += 256
-        last = np.full((m, n + 1), -2, dtype=np.int64)
-        begin = np.zeros((m, n + 1), dtype=np.int64)
-        last[:, 0] = self.START
-        for at in range(n):
-            row = np.flatnonzero(last[:, at] != -2)
-            node = np.zeros(len(row), dtype=np.int64)
-            for end in range(at + 1, n + 1):
-                edge = node << 9 | symbols[row, end - 1]
-                place = np.minimum(np.searchsorted(self.edge_keys, edge), len(self.edge_keys) - 1)
-                go = self.edge_keys[place] == edge
-                row, node = row[go], self.edge_ends[place[go]]
-                if not len(row):
-                    break
-                token = self.node_tokens[node]
-                reads = np.flatnonzero((token >= 0) & (last[row, end] == -2))
-                reads = reads[self.arcs(last[row[reads], at], token[reads])]
-                last[row[reads], end], begin[row[reads], end] = token[reads], at
-        for tokens, starts in zip(last.tolist(), begin.tolist()):
-            ids, at = [], n
-            while at:
-                ids.append(tokens[at])
-                at = starts[at]
-            yield ids[::-1]
+            symbols[ends - 1] += LAST
+        last = np.full(len(symbols), self.START, dtype=np.int64)
+        at, goal = ends - sizes, ends
+        while len(at):
+            token, row, node, place = np.full(len(at), -1, dtype=np.int64), np.arange(len(at)), np.zeros(len(at), dtype=np.int64), at
+            while len(row):
+                edge = node << 10 | symbols[place]
+                found = np.minimum(np.searchsorted(self.edge_keys, edge), len(self.edge_keys) - 1)
+                go = self.edge_keys[found] == edge
+                row, node, place = row[go], self.edge_ends[found[go]], place[go] + 1
+                token[row] = self.longest[node]
+            row = np.arange(len(at))
+            while len(row):
+                if (none := token[row] < 0).any():  # no arc is left here: back to where the last token begins
+                    back = row[none]
+                    gone = last[at[back]]
+                    at[back] -= self.size[gone]
+                    token[back] = self.shorter[gone]
+                    row_now = row[~none]
+                else:
+                    back, row_now = row[:0], row
+                bad = row_now[~self.arcs(last[at[row_now]], token[row_now])]
+                token[bad] = self.shorter[token[bad]]
+                row = np.concatenate([back, bad])
+            at = at + self.size[token]
+            last[at] = token
+            more = at < goal
+            at, goal = at[more], goal[more]
+        # back from the ends: every token is noted where it begins
+        begins, place, start = np.full(len(symbols), -1, dtype=np.int64), ends, ends - sizes
+        while len(place):
+            token = last[place]
+            place = place - self.size[token]
+            begins[place] = token
+            more = place > start
+            place, start = place[more], start[more]
+        there = np.flatnonzero(begins >= 0)
+        ids, cuts = begins[there].tolist(), np.searchsorted(there, ends).tolist()
+        return (ids[a:b] for a, b in zip([0, *cuts[:-1]], cuts))
+
+    def _walk_one(self, word: bytes) -> list[int]:
+        symbols = np.frombuffer(word, dtype=np.uint8).astype(np.int64)
+        if self.suffix:
+            symbols[-1] += LAST
+        path, ids, at, state = symbols.tolist(), [], 0, self.START
+        while at < len(path):
+            node, end = 0, at
+            while end < len(path) and (next_node := self.edges.get(node << 10 | path[end])) is not None:
+                node, end = next_node, end + 1
+            token = int(self.longest[node])
+            while token < 0 or not self._arc(state, token, len(self.merged) + 2):
+                if token < 0:  # no arc is left here
+                    token = ids.pop()
+                    at -= int(self.size[token])
+                    state = ids[-1] if ids else self.START
+                token = int(self.shorter[token])
+            ids.append(token)
+            at += int(self.size[token])
+            state = token
+        return ids
 
 
 class Encoder:
@@ -211,34 +265,43 @@ class Encoder:
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in bpe["merges"]]
         self.automaton = MergeAutomaton(bpe["vocab"], merges, self.suffix)
+        self.number = {i: str(i) for i in self.automaton.label}
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         # fixed values: the normaliser and the splitting pattern of the vocabulary file, white space written out
         pattern = next(p["pattern"]["Regex"] for p in model["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern.replace(r"\s", WS))
         self.space = regex.compile(f"[{WS}]+")
         self.odd = regex.compile("[\x1c-\x1f]")
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.known: dict[str, str] = {}
+        self.labels: dict[str, str] = {}
 
-    def normalise(self, text: str) -> str:
-        """NFC, white space to one space, lower case character by character (no final sigma)."""
+    def runs(self, text: str) -> list[str]:
+        """The runs without white space of a text after NFC and lower case character by character (no final sigma)."""
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         # split() also takes the four separators x1c-x1f for white space, the file's pattern doesn't
-        return self.space.sub(" ", text) if self.odd.search(text) else " ".join(text.split())
+        return [c for c in self.space.split(text) if c] if self.odd.search(text) else text.split()
 
     def _learn(self, chunks: set[str]) -> None:
-        """Encode runs without white space that aren't known yet; the splitting pattern never crosses white space."""
-        if len(self.known) + len(chunks) > KEPT_WORDS:
-            self.known.clear()
-        parts = {c: self.words.findall(c) for c in chunks}
-        new = list({w for p in parts.values() for w in p})
-        label = self.automaton.label
-        words = {w: (len(ids), " ".join(map(str, ids)), " ".join([label[i] for i in ids])) for w, ids in zip(new, self.automaton.walk([w.encode("utf-8", "replace") for w in new]))}
-        for c, p in parts.items():
-            found = [words[w] for w in p]
-            self.known[c] = found[0] if len(p) == 1 else (sum(x[0] for x in found), " ".join([x[1] for x in found]), " ".join([x[2] for x in found]))
-
-    def _parts(self, texts: list[str | None], size: int = 1 << 20) -> Iterator[list[tuple[int, str, str]]]:
-        """Per text (number of tokens, ids, labels) of its runs; the runs of several texts are learned together."""
+        """Encode runs without white space; the splitting pattern never crosses white space.
+
+        Ids and labels are kept as joined strings, of words and of runs of several words alike (a word by itself is
+        one word again); the garbage collector doesn't look through strings.
+        """
+        known, labels = self.known, self.labels
+        label, number = self.automaton.label.__getitem__, self.number.__getitem__
+        several = {c: self.words.findall(c) for c in chunks if not c.isalpha()}  # letters alone are one word
+        new = list({w for p in several.values() for w in p if w not in known}.union(chunks.difference(several)))
+        for w, ids in zip(new, self.automaton.walk([w.encode("utf-8", "replace") for w in new])):
+            known[w] = " ".join(map(number, ids))
+            labels[w] = " ".join(map(label, ids))
+        for c, p in several.items():
+            if c not in known:
+                known[c] = " ".join([known[w] for w in p])
+                labels[c] = " ".join([labels[w] for w in p])
+
+    def _parts(self, texts: list[str | None], size: int = 1 << 20) -> Iterator[tuple[str, str]]:
+        """Per text its ids and its labels, each joined by spaces; the runs of several texts are learned together."""
+        names, numbers = {t: t for t in self.special}, {t: str(i) for t, i in self.special.items()}
         at = 0
         while at < len(texts):
             end, held = at, 0
@@ -247,24 +310,27 @@ class Encoder:
                 end += 1
             split = []
             for text in texts[at:end]:
-                pieces = self.split_special.split(text or "") if self.split_special else [text or ""]
-                split.append([piece if k % 2 else self.normalise(piece).split(" ") for k, piece in enumerate(pieces)])
-            known = self.known
-            new = {c for pieces in split for piece in pieces[::2] for c in piece if c not in known and c}
-            if new:
-                # what is known may be dropped to make room: then all of the group's runs are new
-                if len(known) + len(new) > KEPT_WORDS:
-                    new = {c for pieces in split for piece in pieces[::2] for c in piece if c}
-                self._learn(new)
+                text = text or ""
+                pieces = self.split_special.split(text) if any(s in text for s in self.special) else [text]
+                split.append([[piece] if k % 2 else self.runs(piece) for k, piece in enumerate(pieces)])
+            runs = set().union(*(runs for pieces in split for runs in pieces[::2]))
+            new = runs.difference(self.known)
+            if len(self.known) + len(new) > KEPT_WORDS:
+                # what is known is dropped to make room: then all of the group's runs are new
+                self.known.clear()
+                self.labels.clear()
+                new = runs
+            self._learn(new)
             for pieces in split:
                 if len(pieces) == 1:
-                    yield [x for c in pieces[0] if c and (x := known[c])[0]]
+                    yield " ".join(map(self.known.__getitem__, pieces[0])), " ".join(map(self.labels.__getitem__, pieces[0]))
                 else:
-                    yield [x for k, piece in enumerate(pieces) for x in ([(1, str(self.special[piece]), piece)] if k % 2 else [known[c] for c in piece if c]) if x[0]]
+                    yield tuple(" ".join([(special if k % 2 else kept)[c] for k, runs in enumerate(pieces) for c in runs])
+                                for kept, special in ((self.known, numbers), (self.labels, names)))
             at = end
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
-        return [[int(i) for _, ids, _ in parts for i in ids.split(" ")] for parts in self._parts(texts)]
+        return [[int(i) for i in ids.split()] for ids, _ in self._parts(texts)]
 
     def decode(self, ids: list[int]) -> str:
         """Arc labels of the tokens, joined as the library joins them when the file has no decoder."""
@@ -273,8 +339,8 @@ class Encoder:
 
     def digests(self, texts: list[str | None]) -> list[tuple[int, str, str]]:
         """Number of tokens, digests of the ids and of the decoded text."""
-        return [(sum([p[0] for p in parts]), hashlib.sha256(" ".join([p[1] for p in parts]).encode()).hexdigest(),
-                 hashlib.sha256(" ".join([p[2] for p in parts]).encode()).hexdigest()) for parts in self._parts(texts)]
+        return [(ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(labels.encode()).hexdigest())
+                for ids, labels in self._parts(texts)]
 
 
 _ENCODERS: dict[int, Encoder] = {}

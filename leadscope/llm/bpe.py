@@ -7,8 +7,8 @@ base symbol. Merges are then applied in order, each by a gadget: merging a, b in
   - takes the arc b away from the state after a (for a = b, the arc aa, too: the leftmost pair merges first).
 A state is therefore known by the token it is reached with, and its arcs by the gadgets of the two tokens. They are
 kept in that form (two parts and a step for every token) and expanded into the transition table on first use, as
-the full table has a cell for each two tokens. An encoder follows the automaton over a pre-split word: at every
-position the last token is the one whose arc leaves the state of the position where it begins; there is just one.
+the full table has a cell for each two tokens. An encoder follows the automaton over a pre-split word: it takes the
+longest arc that leaves the state, and where a path ends early, the next shorter one. Each position has one path.
 Decoding emits the arc labels.
 
 The vocabulary file is a parameter; its contents go to the executors as a broadcast (its size is fixed by the
@@ -16,11 +16,13 @@ vocabulary). Words that a worker has seen are kept, up to ``KEPT_WORDS``.
 
 Edge cases: a null text is encoded as the empty text, which has no tokens. Long texts and words are taken whole; the
 time is in proportion to the text. Special strings in a text become their special token, as in the library. Rows
-are judged one by one; extra columns play no part.
+are judged one by one; extra columns play no part. Characters of later Unicode versions than the library's are split
+as the library splits them; a few of them that have a lower case or a combining class may still be normalised differently.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import unicodedata
@@ -51,6 +53,21 @@ def byte_symbols() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+@functools.cache
+def _newer() -> regex.Pattern:
+    """Letters and numbers of a later Unicode version than that of the tokenizers library (and of unicodedata)."""
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    found = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+    return regex.compile("[" + "".join(found) + "]") if found else regex.compile(r"(?!)")
+
+
+def split_words(pattern: regex.Pattern, text: str) -> list[str]:
+    """The pattern's matches, where characters that the library doesn't know yet are neither letters nor numbers."""
+    if text.isascii() or not _newer().search(text):
+        return pattern.findall(text)
+    return [text[m.start() : m.end()] for m in pattern.finditer(_newer().sub("\ue000", text))]
+
+
 class MergeAutomaton:
     """States and arcs by merge gadgets; tokens are numbered by the vocabulary, the first state is START."""
 
@@ -289,7 +306,7 @@ class Encoder:
         """
         known, labels = self.known, self.labels
         label, number = self.automaton.label.__getitem__, self.number.__getitem__
-        several = {c: self.words.findall(c) for c in chunks if not c.isalpha()}  # letters alone are one word
+        several = {c: split_words(self.words, c) for c in chunks if not c.isalpha()}  # letters alone are one word
         new = list({w for p in several.values() for w in p if w not in known}.union(chunks.difference(several)))
         for w, ids in zip(new, self.automaton.walk([w.encode("utf-8", "replace") for w in new])):
             known[w] = " ".join(map(number, ids))

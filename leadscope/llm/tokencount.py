@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from .bpe import WS
+from .bpe import WS, split_words
 from .common import blocks, bucket_count, exchange, joined_answers, prepare, stored
 
 LIMIT = 1024
@@ -40,9 +40,9 @@ KEPT = 300_000
 def pretokens(text: str, pattern: regex.Pattern, special: regex.Pattern | None) -> tuple[list[str], int]:
     """The text's pre-tokens and the number of special strings in it."""
     if special is None:
-        return pattern.findall(text), 0
+        return split_words(pattern, text), 0
     pieces = special.split(text)
-    return (pattern.findall(text), 0) if len(pieces) == 1 else ([w for p in pieces[::2] for w in pattern.findall(p)], len(pieces) // 2)
+    return (split_words(pattern, text), 0) if len(pieces) == 1 else ([w for p in pieces[::2] for w in split_words(pattern, p)], len(pieces) // 2)
 
 
 def _special(spec: str) -> regex.Pattern | None:

@@ -158,7 +158,7 @@ def test_bpe(documents):
 
     path = queries.vocabulary(queries.WORD_BPE)
     library = Tokenizer.from_file(path)
-    table = [*EDGES, (70, "Hello World's a<|endoftext|>\x1c\x1d b <|startoftext|>"), (71, "aaaaaaaaaaaaa !!!!!!!! 1234"), (72, "é́   x ﬁ 🎉👍🏽")]
+    table = [*EDGES, (70, "Hello World's a<|endoftext|>\x1c\x1d b <|startoftext|>"), (71, "aaaaaaaaaaaaa !!!!!!!! 1234"), (72, "é́   x ﬁ 🎉👍🏽"), (73, "a\u0558b \u058a\u058b")]
     want = []
     for i, t in table:
         ids = library.encode(t or "", add_special_tokens=False).ids
@@ -174,7 +174,7 @@ def test_token_counts(documents):
 
     path = queries.vocabulary(queries.BYTE_BPE)
     library = Tokenizer.from_file(path)
-    table = [*EDGES, (70, "a <|endoftext|> b\n\n  c\t'll"), (71, "    x\x1c y")]
+    table = [*EDGES, (70, "a <|endoftext|> b\n\n  c\t'll"), (71, "    x\x1c y"), (72, "a\u0558b \u058a\u058b")]
     want = [(i, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 1024) for i, t in table]
     assert rows(tokencount.counted(documents(table), path)) == sorted(want, key=repr)
     assert tokencount.counted(documents([]), path).count() == 0

@@ -45,6 +45,12 @@ LAST, NO_SYMBOL = 256, 512
 #: White space as the tokenizer's patterns understand it (Unicode's White_Space).
 WS = r"\t-\r \x85\xa0  -     　"
 
+#: Letters and numbers that Unicode 16 added; the library knows them, unicodedata doesn't.
+UNICODE_16 = regex.compile(
+    "[\u1c89\u1c8a\ua7cb-\ua7cd\ua7da-\ua7dc\U000105c0-\U000105f3\U00010d4a-\U00010d65\U00010d6f-\U00010d85\U00010ec2-\U00010ec4"
+    "\U00011380-\U00011389\U0001138b\U0001138e\U00011390-\U000113b5\U000113b7\U000113d1\U000113d3\U00011bc0-\U00011be0"
+    "\U00013460-\U000143fa\U00016100-\U0001611d\U00016d40-\U00016d6c\U00018cff\U0001e5d0-\U0001e5ed\U0001e5f0\U0001e5f1-\U0001e5fa]")
+
 
 def byte_symbols() -> list[str]:
     """The printable symbol that stands for each byte in byte-level vocabularies."""
@@ -55,9 +61,9 @@ def byte_symbols() -> list[str]:
 
 @functools.cache
 def _newer() -> regex.Pattern:
-    """Letters and numbers of a later Unicode version than that of the tokenizers library (and of unicodedata)."""
+    """Letters and numbers of a later Unicode version than that of the tokenizers library."""
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    found = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn"]
+    found = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn" and not UNICODE_16.match(c)]
     return regex.compile("[" + "".join(found) + "]") if found else regex.compile(r"(?!)")
 
 

@@ -49,7 +49,8 @@ WS = r"\t-\r \x85\xa0  -     　"
 UNICODE_16 = regex.compile(
     "[\u1c89\u1c8a\ua7cb-\ua7cd\ua7da-\ua7dc\U000105c0-\U000105f3\U00010d4a-\U00010d65\U00010d6f-\U00010d85\U00010ec2-\U00010ec4"
     "\U00011380-\U00011389\U0001138b\U0001138e\U00011390-\U000113b5\U000113b7\U000113d1\U000113d3\U00011bc0-\U00011be0"
-    "\U00013460-\U000143fa\U00016100-\U0001611d\U00016d40-\U00016d6c\U00018cff\U0001e5d0-\U0001e5ed\U0001e5f0\U0001e5f1-\U0001e5fa]")
+    "\U00013460-\U000143fa\U00016100-\U0001611d\U00016d40-\U00016d6c\U00018cff\U0001e5d0-\U0001e5ed\U0001e5f0\U0001e5f1-\U0001e5fa"
+    "\U00010d40-\U00010d49\U000116d0-\U000116e3\U00011bf0-\U00011bf9\U00016130-\U00016139\U00016d70-\U00016d79\U0001ccf0-\U0001ccf9]")
 
 
 def byte_symbols() -> list[str]:

@@ -29,6 +29,7 @@ from .common import prepare, sampled
 SAMPLE = 400
 DOC_BYTES = 1 << 10
 DICT_BYTES = 192 << 10
+PIECE = 32 << 10
 MARGIN = 0.004
 UNKNOWN = "und"
 _OTHER = re.compile(r"[\W\d_]+")
@@ -41,6 +42,12 @@ def letters(text: str | None) -> bytes:
     return _OTHER.sub(" ", text).strip().lower().encode("utf-8", "replace")
 
 
+def pieces_of(data: bytes, size: int = PIECE) -> list[bytes]:
+    """The data cut into as few pieces of equal length (but for a byte) as ``size`` allows."""
+    n = max(1, -(-len(data) // size))
+    return [data[len(data) * i // n : len(data) * (i + 1) // n] for i in range(n)]
+
+
 class LanguageModel:
     """Dictionaries by language; compressors are made once per process."""
 
@@ -58,7 +65,8 @@ class LanguageModel:
                 raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
                 own = zstandard.ZstdCompressionParameters(**PARAMETERS)
                 self._compressors.append(zstandard.ZstdCompressor(dict_data=raw, compression_params=own))
-        return [len(c.compress(data)) for c in self._compressors]
+        pieces = pieces_of(data)
+        return [sum(len(c.compress(piece)) for piece in pieces) for c in self._compressors]
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score, rejected."""

@@ -206,6 +206,26 @@ def test_models_on_edges(documents, spark):
     assert langid.predicted(table, langid.fit(documents([]))).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_of_long_texts():
+    def words(seed):
+        rng = random.Random(seed)
+        return ["".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 5))) for _ in range(3000)]
+    vocabulary = {k: words(k) for k in "abc"}
+    def text(kind, seed, size):
+        rng, out = random.Random(seed), []
+        for _ in range(size // 2):
+            out.append(vocabulary[kind][min(int(rng.paretovariate(0.6)), 3000) - 1])
+        return " ".join(out)[:size]
+    model = langid.LanguageModel({k: text(k, 1, langid.DICT_BYTES).encode() for k in "ab"})
+    assert langid.pieces_of(b"x" * (langid.PIECE + 1)) == [b"x" * (langid.PIECE // 2), b"x" * (langid.PIECE // 2 + 1)] and langid.pieces_of(b"xy") == [b"xy"]
+    whole = {n: model.predict(text("a", 2, n)) for n in (30_000, 300_000, 4_000_000)}
+    assert all(lang == "a" and not rejected for lang, _, rejected in whole.values())
+    # each part counts: what most of the text is written in wins, wherever the rest stands
+    for first, then in (("b", "a"), ("c", "a"), ("a", "b")):
+        lang, _, rejected = model.predict(text(first, 3, 256 << 10) + " " + text(then, 4, 1 << 20))
+        assert lang == then and not rejected
+
+
 def test_html(spark):
     menu = "<nav><a href=x>Home</a> <a>News</a></nav>"
     page = f"<html><head><title>t</title></head><body>{menu}<div class='cookie-notice'>ok?</div><article><h1>A &amp; B</h1><p>one<br>two  three<p>four</article><div class=comments><p>bad</p></div><footer>f</footer></body></html>"

@@ -1,15 +1,15 @@
 """Main text of web pages with a suffix array per host.
 
-A page is cut into blocks: the text between block-level tags, with the path of elements around it. The words of a
-host's pages form token streams (one separator per block and page). A suffix array over the concatenated streams puts
-equal substrings side by side; a substring of ``RUN`` tokens or more that stands on ``PAGES`` distinct pages is
-repeated, and the tokens it covers are boilerplate candidates. Repetition alone isn't the verdict, as copies of an
-article repeat, too, and a host may have a single page:
+A page is cut into blocks: the text between block-level tags, with the path of elements around it. The words of the
+blocks that markup doesn't rule out are a page's token stream, with a token for each block's end. Pages of a host whose
+streams are equal (exact copies) count as one. A suffix array over the streams puts equal substrings side by side; a
+substring of ``RUN`` tokens is boilerplate if it stands on ``SHARE`` percent of the host's distinct streams, ``PAGES``
+at least. Then:
   - blocks in elements that aren't the article by markup (menus, headers and footers of the page, sidebars, forms,
     adverts, notices, reader comments ...) go;
-  - blocks in the page's main container stay, repeated or not;
-  - other blocks go if repeated runs cover them, and stay where they hold unique text; on a page with a container,
-    blocks outside of it go unless it is empty.
+  - blocks in the page's main container stay, repeated or not; on a page with a container, blocks outside of it go;
+  - other blocks go if boilerplate covers ``COVERED`` of their words (all of them in a block shorter than a run) and
+    stay otherwise; a page that boilerplate would empty keeps all that markup leaves.
 
 A host's pages are taken in groups: hosts with more than ``GROUP`` pages are dealt into as many groups as needed by a
 hash of the page's id, so that a host with a third of all pages is many tasks of bounded size. Page numbers are counted
@@ -24,6 +24,7 @@ rows. Extra columns are not read.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -36,9 +37,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare, range_hash, word_hashes
 
-RUN, PAGES, COVERED, GROUP, HOSTS = 4, 2, 0.5, 512, 200_000
+RUN, PAGES, SHARE, COVERED, GROUP, HOSTS = 8, 3, 30, 0.5, 512, 200_000
+#: The token of a block's end.
+EDGE = np.uint64(0x5851F42D4C957F2D)
 #: HTML's element names by their part in a page.
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas select textarea option button head title datalist audio video map".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog".split())
@@ -148,15 +151,15 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
 
 # ------------------------------------------------------------------ repeated runs
 
-def repeated_tokens(tokens: np.ndarray, page: np.ndarray, run: int = RUN, pages: int = PAGES) -> np.ndarray:
-    """Whether each token is covered by a substring of ``run`` tokens that stands on ``pages`` distinct pages.
+def run_classes(tokens: np.ndarray, run: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where a substring of ``run`` tokens without separator begins, and its class: equal substrings have equal ones.
 
-    tokens: streams, each followed by a separator of its own (any negative number, all different); page: of each token.
+    tokens: streams, each followed by a separator of its own (any negative number, all different).
     The suffixes are sorted by their first ``run`` tokens, by prefix doubling; neighbours with equal ones form a class.
     """
     n = len(tokens)
     if n < run:
-        return np.zeros(n, dtype=bool)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     _, rank = np.unique(tokens, return_inverse=True)
     rank, width = rank.astype(np.int64), 1
     while width < run:
@@ -171,42 +174,73 @@ def repeated_tokens(tokens: np.ndarray, page: np.ndarray, run: int = RUN, pages:
         width += step
     inside = np.concatenate(([0], np.cumsum(tokens < 0)))
     start = np.flatnonzero(inside[run:] == inside[:-run])
-    both = np.unique(rank[start] * (int(page.max()) + 1) + page[start])  # one per class and page
+    return start, rank[start]
+
+
+def repeated_runs(tokens: np.ndarray, page: np.ndarray, run: int, pages: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts of all substrings of ``run`` tokens that stand on ``pages`` distinct pages, and their classes."""
+    start, rank = run_classes(tokens, run)
+    if not len(start):
+        return start, rank
+    both = np.unique(rank * (int(page.max()) + 1) + page[start])  # one per class and page
     classes, counts = np.unique(both // (int(page.max()) + 1), return_counts=True)
-    often = classes[counts >= pages]
-    begin = start[np.isin(rank[start], often)]
+    often = np.isin(rank, classes[counts >= pages])
+    return start[often], rank[often]
+
+
+def covered(n: int, begin: np.ndarray, run: int) -> np.ndarray:
+    """Whether each of n tokens is in a run that begins at one of the places."""
     cover = np.zeros(n + 1, dtype=np.int64)
     np.add.at(cover, begin, 1)
     np.add.at(cover, begin + run, -1)
     return np.cumsum(cover)[:-1] > 0
 
 
-def main_texts(pages: list[list[tuple[int, str]]], keys: list) -> list[str]:
-    """Main text of each page of a host (as blocks); pages with one key are one page."""
-    number: dict[str, int] = {}
-    of_key = {k: i for i, k in enumerate(dict.fromkeys(keys))}
-    tokens, page, where = [], [], []
-    for i, (key, blocks_) in enumerate(zip(keys, pages)):
-        for j, (_, text) in enumerate(blocks_):
-            words = [number.setdefault(w, len(number)) for w in text.split(" ")]
-            tokens += words
-            tokens.append(-1 - len(where))
-            page += [of_key[key]] * (len(words) + 1)
-            where.append((i, j, len(words)))
-    share = [[0.0] * len(b) for b in pages]
-    if tokens:
-        again = np.concatenate(([0], np.cumsum(repeated_tokens(np.array(tokens, dtype=np.int64), np.array(page, dtype=np.int64)))))
-        at = 0
-        for i, j, n in where:
-            share[i][j] = (again[at + n] - again[at]) / n
-            at += n + 1
-    out = []
-    for blocks_, covered in zip(pages, share):
-        kept = [t for z, t in blocks_ if z == 2]
-        if not kept:
-            kept = [t for (z, t), c in zip(blocks_, covered) if z == 1 and c < COVERED]
-        out.append("\n\n".join(kept))
-    return out
+def repeated_tokens(tokens: np.ndarray, page: np.ndarray, run: int = 4, pages: int = 2) -> np.ndarray:
+    """Whether each token is covered by a substring of ``run`` tokens that stands on ``pages`` distinct pages."""
+    return covered(len(tokens), repeated_runs(tokens, page, run, pages)[0], run)
+
+
+def stream(blocks_: list) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of the blocks that markup leaves, ``EDGE`` after each block; where each block begins."""
+    texts = [t.encode("utf-8", "surrogatepass") for z, t in blocks_ if z]
+    if not texts:
+        return np.zeros(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
+    words, starts = word_hashes(b"\n".join(texts))
+    bounds = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in texts)]))
+    return np.insert(words, bounds[1:], EDGE), bounds + np.arange(len(bounds))
+
+
+def hashes(tokens: np.ndarray, begin: np.ndarray | None = None, run: int = RUN) -> np.ndarray:
+    """Hashes of the substrings of ``run`` tokens at the given places; by default at all."""
+    begin = np.arange(max(0, len(tokens) - run + 1)) if begin is None else begin
+    return range_hash(tokens, begin, begin + run)
+
+
+def often(streams: list[np.ndarray], pages: int) -> np.ndarray:
+    """Hashes of the runs that stand in ``pages`` of the streams, by a suffix array."""
+    if not streams or pages > len(streams):
+        return np.zeros(0, dtype=np.uint64)
+    words = np.concatenate([np.append(x, EDGE) for x in streams])
+    page = np.repeat(np.arange(len(streams)), [len(x) + 1 for x in streams])
+    tokens = np.unique(words, return_inverse=True)[1].astype(np.int64)
+    tokens[np.cumsum([len(x) + 1 for x in streams]) - 1] = -1 - np.arange(len(streams))
+    start, rank = repeated_runs(tokens, page, RUN, pages)
+    return np.unique(hashes(words, start[np.unique(rank, return_index=True)[1]]))
+
+
+def main_text(blocks_: list, runs: np.ndarray) -> str:
+    """Main text of a page (as blocks) on whose host the runs with these hashes (sorted) are boilerplate."""
+    left = [(z, t) for z, t in blocks_ if z]
+    kept = [b for b in left if b[0] == 2] or left
+    if len(runs) and left and kept is left:
+        tokens, bounds = stream(blocks_)
+        again = np.concatenate(([0], np.cumsum(covered(len(tokens), np.flatnonzero(np.isin(hashes(tokens), runs)), RUN))))
+        words = np.diff(bounds) - 1
+        shared = again[bounds[1:]] - again[bounds[:-1]]
+        gone = np.where(words < RUN, shared == words + 1, (again[bounds[1:] - 1] - again[bounds[:-1]]) >= COVERED * words)
+        kept = [b for b, g in zip(left, gone) if not g] or left
+    return "\n\n".join(t for _, t in kept)
 
 
 # ------------------------------------------------------------------ the operator
@@ -216,6 +250,22 @@ def host(url: Column) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
+def _content(blocks_: list) -> int:
+    """Hash of what markup leaves of a page."""
+    text = "\n".join(t for z, t in blocks_ if z)
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def _unpacked(blocks_: bytes) -> list:
+    return json.loads(zlib.decompress(blocks_))
+
+
+def _streams(found: pd.DataFrame) -> list[np.ndarray]:
+    """Streams of a group's distinct contents."""
+    counted = found[found["counts"]].drop_duplicates("content")
+    return [stream(_unpacked(b))[0] for b in counted["blocks"]]
+
+
 def extracted(pages: DataFrame, group: int = GROUP, hosts: int = HOSTS) -> DataFrame:
     """page_id, url, text, n_chars per row of pages (page_id, url, html)."""
     prepare(pages.sparkSession)
@@ -224,20 +274,24 @@ def extracted(pages: DataFrame, group: int = GROUP, hosts: int = HOSTS) -> DataF
     if large.limit(hosts + 1).count() <= hosts:
         large = F.broadcast(large)
 
-    @F.pandas_udf("binary")
-    def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("blocks binary, content long")
+    def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.Series([zlib.compress(json.dumps(page_blocks(h if isinstance(h, str) else None), ensure_ascii=False).encode("utf-8", "surrogatepass"), 4) for h in batch])
+            found = [page_blocks(h if isinstance(h, str) else None) for h in batch]
+            yield pd.DataFrame({"blocks": [zlib.compress(json.dumps(b, ensure_ascii=False).encode("utf-8", "surrogatepass"), 4) for b in found],
+                                "content": pd.Series([_content(b) for b in found], dtype="int64")})
 
     # the page's key decides the group, so repeated rows meet
     rows = named.join(large, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int"))
-    rows = rows.select("host", "part", F.col("page_id").cast("string").alias("page_id"), "url", parsed("html").alias("blocks"))
+    rows = rows.select("host", "part", F.col("page_id").cast("string").alias("page_id"), "url", parsed("html").alias("p")).select("host", "part", "page_id", "url", "p.blocks", "p.content", F.lit(True).alias("counts"))
     schema = "page_id string, url string, text string, n_chars long"
 
     def extract(found: pd.DataFrame) -> pd.DataFrame:
         ids = [i if isinstance(i, str) else None for i in found["page_id"]]
         urls = [u if isinstance(u, str) else None for u in found["url"]]
-        texts = main_texts([json.loads(zlib.decompress(b)) for b in found["blocks"]], list(zip(ids, urls)))
+        streams = _streams(found)
+        runs = often(streams, max(PAGES, -(-SHARE * len(streams) // 100)))
+        texts = [main_text(_unpacked(b), runs) for b in found["blocks"]]
         return pd.DataFrame({"page_id": ids, "url": urls, "text": texts, "n_chars": [len(t) for t in texts]})
 
     out = rows.groupBy("host", "part").applyInPandas(extract, schema)

@@ -249,3 +249,23 @@ def test_html(spark):
         if (win >= 0).all() and len({pages[b] for b in range(197) if (tokens[b : b + 4] == win).all()}) >= 2:
             want[a : a + 4] = True
     assert (html_extract.repeated_tokens(tokens, pages) == want).all()
+
+
+def html_pages(spark, bodies, host="h.org"):
+    return spark.createDataFrame([(k, f"http://{host}/{k}", f"<body>{b}</body>") for k, b in enumerate(bodies)], "page_id long, url string, html string")
+
+
+def html_texts(pages, **sizes):
+    return {r.page_id: r.text for r in html_extract.extracted(pages, **sizes).collect()}
+
+
+def test_html_copies_and_phrases_stay(spark):
+    article = [sentence(k, 60) for k in range(12)]
+    bodies = [f"<div>{a}</div><p>as we said the other day {sentence(50 + k, 6)}</p>" for k, a in enumerate(article)]
+    got = html_texts(html_pages(spark, bodies + bodies[:2] + [bodies[0]] * 3))  # copies under other urls, a common phrase
+    assert all(got[k] == f"{a}\n\nas we said the other day {sentence(50 + k, 6)}" for k, a in enumerate(article))
+    assert got[12] == got[0] == got[14] and got[13] == got[1]
+    # repetition alone doesn't empty a page
+    notice = "<div>" + sentence(99, 20) + "</div>"
+    got = html_texts(html_pages(spark, [notice + f"<div>{a}</div>" for a in article] + [notice]))
+    assert got[12] == sentence(99, 20) and all(got[k] == a for k, a in enumerate(article))

@@ -12,9 +12,13 @@ at least. Then:
     stay otherwise; a page that boilerplate would empty keeps all that markup leaves.
 
 A host's pages are taken in groups: hosts with more than ``GROUP`` pages are dealt into as many groups as needed by a
-hash of the page's id, so that a host with a third of all pages is many tasks of bounded size. Page numbers are counted
-per host first; the table of hosts that need groups is broadcast only up to ``HOSTS`` rows and joined otherwise. Only
-compressed block texts are shuffled.
+hash of the stream, so that a host with a third of all pages is many tasks of bounded size; streams with more than
+``GROUP`` copies are dealt by a hash of the page's id, and one page counts for them. What is boilerplate doesn't
+depend on the groups: a substring on a share of a host's streams has that share in one of its groups, so the groups
+name candidates, each group counts all of them, and the counts are summed up by host. Substrings pass between the
+tasks as 64-bit hashes. Page numbers are counted per host first; the tables of hosts that need groups and of streams
+with many copies are broadcast only up to ``HOSTS`` rows and joined otherwise. Only compressed block texts are shuffled,
+once: the steps over the groups share that shuffle.
 
 Edge cases: a null or empty page, or one without text, gives an empty text and 0 code points. A page without host
 belongs to the host of the empty name; a null id is kept. Repeated rows of one page are one page for counting, and
@@ -266,13 +270,23 @@ def _streams(found: pd.DataFrame) -> list[np.ndarray]:
     return [stream(_unpacked(b))[0] for b in counted["blocks"]]
 
 
+def _runs(found: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(found["runs"].iloc[0], dtype=np.uint64) if len(found) else np.zeros(0, dtype=np.uint64)
+
+
+def _few(table: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """The table, to be broadcast where it has at most that many rows; its rows, counted up to one more."""
+    n = table.limit(most + 1).count()
+    return (F.broadcast(table) if n <= most else table), n
+
+
 def extracted(pages: DataFrame, group: int = GROUP, hosts: int = HOSTS) -> DataFrame:
     """page_id, url, text, n_chars per row of pages (page_id, url, html)."""
     prepare(pages.sparkSession)
     named = pages.select(F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"), host(F.col("url")).alias("host"))
+    named = named.withColumn("key", F.xxhash64("page_id", "url"))
     large = named.groupBy("host").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group).select("host", F.ceil(F.col("n") / group).cast("int").alias("groups"))
-    if large.limit(hosts + 1).count() <= hosts:
-        large = F.broadcast(large)
+    large, n_large = _few(large, hosts)
 
     @F.pandas_udf("blocks binary, content long")
     def parsed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -281,18 +295,65 @@ def extracted(pages: DataFrame, group: int = GROUP, hosts: int = HOSTS) -> DataF
             yield pd.DataFrame({"blocks": [zlib.compress(json.dumps(b, ensure_ascii=False).encode("utf-8", "surrogatepass"), 4) for b in found],
                                 "content": pd.Series([_content(b) for b in found], dtype="int64")})
 
-    # the page's key decides the group, so repeated rows meet
-    rows = named.join(large, "host", "left").withColumn("part", F.pmod(F.xxhash64("page_id", "url"), F.coalesce("groups", F.lit(1))).cast("int"))
-    rows = rows.select("host", "part", F.col("page_id").cast("string").alias("page_id"), "url", parsed("html").alias("p")).select("host", "part", "page_id", "url", "p.blocks", "p.content", F.lit(True).alias("counts"))
-    schema = "page_id string, url string, text string, n_chars long"
-
-    def extract(found: pd.DataFrame) -> pd.DataFrame:
+    @F.pandas_udf("long")
+    def content(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([_content(page_blocks(h if isinstance(h, str) else None)) for h in batch], dtype="int64")
+
+    # or a filter for nulls below the join would parse again
+    content = content.asNondeterministic()
+
+    rows = named.join(large, "host", "left").withColumn("groups", F.coalesce("groups", F.lit(1))).withColumn("p", parsed("html"))
+    rows = rows.select("host", "groups", "key", F.col("page_id").cast("string").alias("page_id"), "url", "p.blocks", "p.content")
+    place, counts = F.col("content"), F.lit(True)
+    if n_large:
+        # equal contents meet in a group, unless there are too many of them
+        copies = named.join(large, "host").select("host", "key", content("html").alias("content"))
+        copies = copies.groupBy("host", "content").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first")).filter(F.col("n") > group).drop("n")
+        rows = rows.join(_few(copies, hosts)[0], ["host", "content"], "left")
+        place, counts = F.when(F.col("first").isNull(), F.col("content")).otherwise(F.col("key")), F.col("first").isNull() | (F.col("first") == F.col("key"))
+    rows = rows.select("host", F.pmod(F.xxhash64(place), "groups").cast("int").alias("part"), "groups", "page_id", "url", "content", counts.alias("counts"), "blocks")
+    grouped = rows.groupBy("host", "part")
+
+    def candidates(found: pd.DataFrame) -> pd.DataFrame:
+        streams, groups = _streams(found), int(found["groups"].iloc[0])
+        least = max(1 if groups > 1 else PAGES, -(-SHARE * len(streams) // 100))
+        return pd.DataFrame({"host": [found["host"].iloc[0]], "groups": [groups], "contents": [len(streams)], "runs": [often(streams, least).tobytes()]})
+
+    def counted(key: tuple, found: pd.DataFrame, named: pd.DataFrame) -> pd.DataFrame:
+        runs, n = _runs(named), np.zeros(0, dtype=np.int64)
+        if len(runs) and len(found):
+            runs, n = np.unique(np.concatenate([np.intersect1d(hashes(x), runs) for x in _streams(found)] or [runs[:0]]), return_counts=True)
+        runs = runs[: len(n)]
+        groups, contents = (int(named[c].iloc[0]) if len(named) else 0 for c in ("groups", "contents"))
+        return pd.DataFrame({"host": pd.Series([key[0]] * len(runs), dtype=object), "groups": groups, "contents": contents, "run": runs.view(np.int64), "n": n})
+
+    def extract(found: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
         ids = [i if isinstance(i, str) else None for i in found["page_id"]]
         urls = [u if isinstance(u, str) else None for u in found["url"]]
-        streams = _streams(found)
-        runs = often(streams, max(PAGES, -(-SHARE * len(streams) // 100)))
+        runs = _runs(repeated)
         texts = [main_text(_unpacked(b), runs) for b in found["blocks"]]
-        return pd.DataFrame({"page_id": ids, "url": urls, "text": texts, "n_chars": [len(t) for t in texts]})
-
-    out = rows.groupBy("host", "part").applyInPandas(extract, schema)
+        # a host's hash may leave a group without pages
+        return pd.DataFrame({"page_id": ids, "url": urls, "text": texts, "n_chars": [len(t) for t in texts]}).astype({"page_id": object, "url": object, "text": object, "n_chars": "int64"})
+
+    @F.pandas_udf("binary")
+    def merged(lists: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(np.concatenate([np.frombuffer(r, dtype=np.uint64) for r in x])).tobytes() for x in lists])
+
+    @F.pandas_udf("binary")
+    def packed(lists: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(np.asarray(x, dtype=np.int64).view(np.uint64)).tobytes() for x in lists])
+
+    def parts(by_host: DataFrame) -> DataFrame:
+        """A row for each group of the host."""
+        return by_host.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).groupBy("host", "part")
+
+    runs = grouped.applyInPandas(candidates, "host string, groups int, contents long, runs binary")
+    runs = runs.groupBy("host", "groups").agg(F.sum("contents").alias("contents"), F.collect_list("runs").alias("runs")).withColumn("runs", merged("runs"))
+    if n_large:
+        summed = grouped.cogroup(parts(runs)).applyInPandas(counted, "host string, groups int, contents long, run long, n long")
+        summed = summed.groupBy("host", "groups", "contents", "run").agg(F.sum("n").alias("n"))
+        repeated = summed.filter((100 * F.col("n") >= SHARE * F.col("contents")) & (F.col("n") >= PAGES))
+        runs = repeated.groupBy("host", "groups").agg(F.collect_list("run").alias("run")).select("host", "groups", packed("run").alias("runs"))
+    out = grouped.cogroup(parts(runs)).applyInPandas(extract, "page_id string, url string, text string, n_chars long")
     return out.withColumn("page_id", F.col("page_id").cast("bigint"))

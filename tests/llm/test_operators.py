@@ -269,3 +269,12 @@ def test_html_copies_and_phrases_stay(spark):
     notice = "<div>" + sentence(99, 20) + "</div>"
     got = html_texts(html_pages(spark, [notice + f"<div>{a}</div>" for a in article] + [notice]))
     assert got[12] == sentence(99, 20) and all(got[k] == a for k, a in enumerate(article))
+
+
+def test_html_groups_dont_change_texts(spark):
+    notice, rare = "<div>" + sentence(99, 20) + "</div>", "<div>" + sentence(98, 20) + "</div>"
+    bodies = [(notice if k % 3 else "") + (rare if k < 4 else "") + f"<div>{sentence(k, 40)}</div>" for k in range(30)]
+    pages = html_pages(spark, bodies + [bodies[1]] * 5)
+    want = html_texts(pages)
+    assert want[1] == f"{sentence(98, 20)}\n\n{sentence(1, 40)}" and want[0] == f"{sentence(98, 20)}\n\n{sentence(0, 40)}" and want[29] == sentence(29, 40)
+    assert all(html_texts(pages, group=n) == want for n in (1, 4, 30, 35)) and html_texts(pages, group=4, hosts=0) == want

@@ -7,9 +7,9 @@ substring of ``RUN`` tokens is boilerplate if it stands on ``SHARE`` percent of
 at least. Then:
   - blocks in elements that aren't the article by markup (menus, headers and footers of the page, sidebars, forms,
     adverts, notices, reader comments ...) go;
-  - blocks in the page's main container stay, repeated or not; on a page with a container, blocks outside of it go;
-  - other blocks go if boilerplate covers ``COVERED`` of their words (all of them in a block shorter than a run) and
-    stay otherwise; a page that boilerplate would empty keeps all that markup leaves.
+  - other blocks, in the page's main container or not, go if boilerplate covers ``COVERED`` of their words (all of
+    them in a block shorter than a run) and stay otherwise;
+  - a page that boilerplate would empty keeps its container's blocks, or all that markup leaves where it has none.
 
 A host's pages are taken in groups: hosts with more than ``GROUP`` pages are dealt into as many groups as needed by a
 hash of the stream, so that a host with a third of all pages is many tasks of bounded size; streams with more than
@@ -236,14 +236,14 @@ def often(streams: list[np.ndarray], pages: int) -> np.ndarray:
 def main_text(blocks_: list, runs: np.ndarray) -> str:
     """Main text of a page (as blocks) on whose host the runs with these hashes (sorted) are boilerplate."""
     left = [(z, t) for z, t in blocks_ if z]
-    kept = [b for b in left if b[0] == 2] or left
-    if len(runs) and left and kept is left:
+    kept = left
+    if len(runs) and left:
         tokens, bounds = stream(blocks_)
         again = np.concatenate(([0], np.cumsum(covered(len(tokens), np.flatnonzero(np.isin(hashes(tokens), runs)), RUN))))
         words = np.diff(bounds) - 1
         shared = again[bounds[1:]] - again[bounds[:-1]]
         gone = np.where(words < RUN, shared == words + 1, (again[bounds[1:] - 1] - again[bounds[:-1]]) >= COVERED * words)
-        kept = [b for b, g in zip(left, gone) if not g] or left
+        kept = [b for b, g in zip(left, gone) if not g] or [b for b in left if b[0] == 2] or left
     return "\n\n".join(t for _, t in kept)
 
 

@@ -278,3 +278,13 @@ def test_html_groups_dont_change_texts(spark):
     want = html_texts(pages)
     assert want[1] == f"{sentence(98, 20)}\n\n{sentence(1, 40)}" and want[0] == f"{sentence(98, 20)}\n\n{sentence(0, 40)}" and want[29] == sentence(29, 40)
     assert all(html_texts(pages, group=n) == want for n in (1, 4, 30, 35)) and html_texts(pages, group=4, hosts=0) == want
+
+
+def test_html_containers(spark):
+    advert = "<p>" + sentence(99, 20) + "</p>"
+    pages = [f"<h1>Title {k} of it</h1><article><p>{sentence(k, 40)}</p>{advert}</article>" for k in range(4)]
+    teaser = [f"<div role=main><p>{sentence(20 + k, 40)}</p></div><div>{sentence(40 + k, 12)}</div><div>Home</div><div>News of the day</div><div>About us and more</div>" for k in range(4)]
+    got = html_texts(html_pages(spark, pages))
+    assert [got[k] for k in range(4)] == [f"Title {k} of it\n\n{sentence(k, 40)}" for k in range(4)]
+    got = html_texts(html_pages(spark, teaser))
+    assert [got[k] for k in range(4)] == [f"{sentence(20 + k, 40)}\n\n{sentence(40 + k, 12)}" for k in range(4)]

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import ensure_checkpoint_dir
 
@@ -54,11 +55,16 @@ def sampled(rows: DataFrame, by: str, most: int, key: str = "doc_id") -> DataFra
     """
     counts = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}
     span = 1 << 31
-    part = F.lit(0)
-    for value, n in counts.items():
-        part = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(min(span, int(span * 1.5 * (most + 200) / n)))).otherwise(part)
+    parts = {value: min(span, int(span * 1.5 * (most + 200) / n)) for value, n in counts.items()}
     hashed = F.pmod(F.xxhash64(key), F.lit(span))
-    near = rows.withColumn("_hash", hashed).filter(F.col("_hash") < part)
+    if len(parts) > 200:  # too many for an expression
+        few = rows.sparkSession.createDataFrame(list(parts.items()), StructType([StructField("_by", rows.schema[by].dataType), StructField("_part", LongType())]))
+        near = rows.withColumn("_hash", hashed).join(F.broadcast(few), F.col(by).eqNullSafe(F.col("_by"))).filter("_hash < _part").drop("_by", "_part")
+    else:
+        part = F.lit(0)
+        for value, n in parts.items():
+            part = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(n)).otherwise(part)
+        near = rows.withColumn("_hash", hashed).filter(F.col("_hash") < part)
     order = Window.partitionBy(by).orderBy("_hash", *rows.columns)
     return near.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= most).drop("_n", "_hash")
 

@@ -5,7 +5,8 @@ dictionary, and the language whose dictionary makes it smallest wins. Where the
 byte below ``MARGIN``) the decision is marked as rejected.
 
 Learning reads the texts of a bounded sample (``SAMPLE`` documents a language, the smallest by a hash of their id;
-``DICT_BYTES`` of letters a language, the first ``DOC_BYTES`` of each sampled text). Prediction reads every whole
+``DICT_BYTES`` of letters a language, the first ``DOC_BYTES`` of each sampled text). Every language gets a dictionary;
+where there are many, samples and dictionaries are smaller, so that all together stay within ``TOTAL_BYTES``. Prediction reads every whole
 text. Only letters count: texts are lower-cased, everything else becomes one space.
 
 Edge cases: a null text or one without letters gets `und`, score 0, rejected. Ties go to the first language in
@@ -29,6 +30,9 @@ from .common import prepare, sampled
 SAMPLE = 400
 DOC_BYTES = 1 << 10
 DICT_BYTES = 192 << 10
+TOTAL_BYTES = 200 * DICT_BYTES
+#: Compressors kept in a process; with more languages they are made anew for each ``TEXTS`` texts.
+KEPT, TEXTS = 200, 256
 PIECE = 32 << 10
 MARGIN = 0.004
 UNKNOWN = "und"
@@ -58,28 +62,44 @@ class LanguageModel:
     def __getstate__(self):
         return {"dictionaries": self.dictionaries, "_compressors": None}
 
-    def sizes(self, data: bytes) -> list[int]:
+    def compressors(self) -> Iterator:
+        """One for each dictionary, in order."""
+        def made(content: bytes):
+            raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            return zstandard.ZstdCompressor(dict_data=raw, compression_params=zstandard.ZstdCompressionParameters(**PARAMETERS))
+
+        if len(self.dictionaries) > KEPT:
+            return map(made, self.dictionaries.values())
         if self._compressors is None:
-            self._compressors = []
-            for content in self.dictionaries.values():
-                raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-                own = zstandard.ZstdCompressionParameters(**PARAMETERS)
-                self._compressors.append(zstandard.ZstdCompressor(dict_data=raw, compression_params=own))
-        pieces = pieces_of(data)
-        return [sum(len(c.compress(piece)) for piece in pieces) for c in self._compressors]
+            self._compressors = list(map(made, self.dictionaries.values()))
+        return iter(self._compressors)
+
+    def sizes(self, texts: list[bytes]) -> np.ndarray:
+        """Compressed size by text and language."""
+        cut = [pieces_of(data) for data in texts]
+        return np.array([[sum(len(c.compress(piece)) for piece in pieces) for pieces in cut] for c in self.compressors()], dtype=np.float64).T
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score, rejected."""
-        data = letters(text)
-        if not data or not self.dictionaries:
-            return UNKNOWN, 0.0, True
-        sizes = np.array(self.sizes(data), dtype=np.float64)
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        out: list[tuple[str, float, bool]] = []
+        names = list(self.dictionaries)
+        for at in range(0, len(texts), TEXTS):
+            cut = [letters(t) for t in texts[at : at + TEXTS]]
+            sizes = iter(self.sizes([data for data in cut if data])) if names and any(cut) else iter(())
+            out += [self._decided(names, next(sizes), len(data)) if names and data else (UNKNOWN, 0.0, True) for data in cut]
+        return out
+
+    @staticmethod
+    def _decided(names: list[str], sizes: np.ndarray, length: int) -> tuple[str, float, bool]:
         order = np.argsort(sizes, kind="stable")
         best = order[0]
         # every saved byte makes the language eight bits likelier; softened, as bytes of one text aren't independent
         score = 1.0 / np.exp2(np.maximum(sizes[best] - sizes, -60.0) * 0.5).sum()
-        gap = (sizes[order[1]] - sizes[best]) / len(data) if len(sizes) > 1 else 1.0
-        return list(self.dictionaries)[best], float(score), bool(gap < MARGIN)
+        gap = (sizes[order[1]] - sizes[best]) / length if len(sizes) > 1 else 1.0
+        return names[best], float(score), bool(gap < MARGIN)
 
 
 #: Short matches count: single endings tell languages apart. No frame extras, so that only content is measured.
@@ -91,20 +111,23 @@ def learnable() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1
 
 
-def fit(documents: DataFrame, sample: int = SAMPLE, dict_bytes: int = DICT_BYTES, languages: int = 200) -> LanguageModel:
+def fit(documents: DataFrame, sample: int = SAMPLE, dict_bytes: int = DICT_BYTES, total_bytes: int = TOTAL_BYTES) -> LanguageModel:
     """Dictionaries from a bounded sample of the rows that may be learned from.
 
-    ``languages`` bounds their number; the most frequent ones count.
+    ``total_bytes`` bounds the dictionaries together; samples shrink alike.
     """
     prepare(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang").filter(F.col("lang").isNotNull() & learnable())
-    common = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
-    part = rows.filter(F.col("lang").isin(common)).select("lang", "doc_id", F.substring("text", 1, 2 * DOC_BYTES).alias("text"))
+    languages = max(1, rows.select("lang").distinct().count())
+    each = max(1, min(dict_bytes, total_bytes // languages))
+    sample = max(1, min(sample, sample * each // dict_bytes + 1))
+    doc_bytes = min(DOC_BYTES, each)
+    part = rows.select("lang", "doc_id", F.substring("text", 1, 2 * doc_bytes).alias("text"))
     pieces: dict[str, list[bytes]] = {}
-    # at most `sample` rows of 2 * DOC_BYTES characters a language, by construction
+    # at most `sample` rows of 2 * doc_bytes characters a language, by construction
     for r in sampled(part, "lang", sample).orderBy("lang", "doc_id", "text").collect():
-        pieces.setdefault(r.lang, []).append(letters(r.text)[:DOC_BYTES])
-    dictionaries = {lang: content[:dict_bytes] for lang, p in pieces.items() if (content := b" ".join(p)).strip()}
+        pieces.setdefault(r.lang, []).append(letters(r.text)[:doc_bytes])
+    dictionaries = {lang: content[:each] for lang, p in pieces.items() if (content := b" ".join(p)).strip()}
     return LanguageModel(dictionaries)
 
 
@@ -115,7 +138,7 @@ def predicted(documents: DataFrame, model: LanguageModel) -> DataFrame:
     @F.pandas_udf("lang_pred string, score double, rejected boolean")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([model.predict(t if isinstance(t, str) else None) for t in batch], columns=["lang_pred", "score", "rejected"])
+            yield pd.DataFrame(model.predict_all([t if isinstance(t, str) else None for t in batch]), columns=["lang_pred", "score", "rejected"])
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), predict(F.col("text")).alias("p"))
     return rows.select("doc_id", (~F.coalesce(learnable(), F.lit(True))).alias("held_out"), "p.lang_pred", "p.score", "p.rejected")

@@ -226,6 +226,17 @@ def test_language_of_long_texts():
         assert lang == then and not rejected
 
 
+def test_every_language_is_learned(documents):
+    def prose(lang, doc):
+        rng, doc_rng = random.Random(lang), random.Random(doc)
+        words = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(20)]
+        return " ".join(doc_rng.choices(words, k=60))
+    table = documents([(1000 * k + j, prose(k, j), f"l{k:03d}") for k in range(230) for j in range(6 if k < 220 else 5)])
+    model = langid.fit(table)
+    assert len(model.dictionaries) == 230 and sum(map(len, langid.fit(table, total_bytes=46_000).dictionaries.values())) <= 46_000
+    assert all(model.predict(prose(k, 77))[:1] == (f"l{k:03d}",) for k in (0, 199, 210, 225, 229))
+
+
 def test_html(spark):
     menu = "<nav><a href=x>Home</a> <a>News</a></nav>"
     page = f"<html><head><title>t</title></head><body>{menu}<div class='cookie-notice'>ok?</div><article><h1>A &amp; B</h1><p>one<br>two  three<p>four</article><div class=comments><p>bad</p></div><footer>f</footer></body></html>"

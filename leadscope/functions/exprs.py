@@ -62,14 +62,18 @@ def exact_avg(c: ColumnOrName, digits: int = 6) -> Column:
 
     Double sums depend on addition order, so a plain AVG can flip a rounded
     tie (0.4875 -> 0.487 / 0.488) or a rank between runs. Values are summed
-    in fixed point instead, ``floor(x * 10^digits + 0.5)`` as LONG (exact,
-    order-independent, and a primitive aggregation buffer), then divided once.
-    Scores here carry at most 6 decimals, so the sum is exact; a LONG holds
-    the sum for ~9e12 rows per group at 0-1 scale."""
+    in fixed point instead, as two LONGs (exact, order-independent, and
+    primitive aggregation buffers): whole units of 10^-digits, and what is
+    left of each value in millionths of a unit. So 12 decimals count, as far
+    as a double has them; values of at most 6 decimals give the same average
+    as units alone. A LONG holds the sums for ~9e12 rows per group at 0-1
+    scale."""
     m = float(10 ** digits)
     x = col(c).cast("double")
-    fixed = F.floor(x * F.lit(m) + F.lit(0.5)).cast("long")
-    return F.sum(fixed).cast("double") / F.count(x).cast("double") / F.lit(m)
+    units = F.floor(x * F.lit(m)).cast("long")
+    rest = F.floor((x * F.lit(m) - units.cast("double")) * F.lit(1e6) + F.lit(0.5)).cast("long")
+    total = F.sum(units).cast("double") + F.sum(rest).cast("double") / F.lit(1e6)
+    return total / F.count(x).cast("double") / F.lit(m)
 
 
 def rate(pred: Column) -> Column:

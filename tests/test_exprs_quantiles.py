@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from leadscope.functions.exprs import pct, round_half_away
+from leadscope.functions.exprs import exact_avg, pct, round_half_away
 from leadscope.functions.quantiles import global_median, grouped_median
 
 
@@ -80,3 +80,14 @@ def test_grouped_median_partitioning_invariant(spark):
     a = sorted(grouped_median(df.repartition(1), ["k"], "v").collect())
     b = sorted(grouped_median(df.repartition(13), ["k"], "v").collect())
     assert a == b
+
+
+def test_exact_avg_counts_more_than_six_decimals(spark):
+    vals = [0.0000004, 0.12345678949, 0.4875, 0.3, None]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = df.repartition(3).select(exact_avg("x").alias("a")).first().a
+    assert abs(got - math.fsum(vals[:4]) / 4) < 1e-12
+    # what has six decimals gives what whole units give
+    units = [random.Random(k).randrange(10**6) for k in range(500)]
+    few = spark.createDataFrame([(u / 1e6,) for u in units], "x double")
+    assert few.select(exact_avg("x").alias("a")).first().a == sum(units) / 500 / 1e6

@@ -25,6 +25,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -61,11 +62,14 @@ def byte_symbols() -> list[str]:
 
 
 @functools.cache
-def _newer() -> regex.Pattern:
+def _newer() -> re.Pattern:
     """Letters and numbers of a later Unicode version than that of the tokenizers library."""
     every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
-    found = [c for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn" and not UNICODE_16.match(c)]
-    return regex.compile("[" + "".join(found) + "]") if found else regex.compile(r"(?!)")
+    found = [ord(c) for c in regex.findall(r"[\p{L}\p{N}]", every) if unicodedata.category(c) == "Cn" and not UNICODE_16.match(c)]
+    starts = [c for c, before in zip(found, [-9, *found]) if c != before + 1]
+    ends = [c for c, after in zip(found, [*found[1:], -9]) if c != after - 1]
+    # ranges: the search tries every member of a class at every character
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]") if found else re.compile(r"(?!)")
 
 
 def split_words(pattern: regex.Pattern, text: str) -> list[str]:

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, exact, html_extract, langid, ngram_join, quality, sharding, substring, tokencount
+from . import (bpe, collocations, decontam, exact, html_extract, langid, linededup, ngram_join, quality, sharding, substring, tokencount,
+               vectorcode)
 from .common import table
 from .oracle import ORACLE
 
@@ -62,6 +63,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.counted(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
 
 
+def op11_vector_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcode.coded(table(spark, sf_dir, "embeddings"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,7 +83,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (op1_quality_classifier, op2_sharding, op3_exact_dedup, op4_decontamination, op5_language_id, op6_html_extraction,
-             op7_bpe, op8_substring_dedup, op9_ngram_jaccard_join, op10_token_counts, pipeline)
+             op7_bpe, op8_substring_dedup, op9_ngram_jaccard_join, op10_token_counts, op11_vector_code, op12_line_dedup, op13_collocations, pipeline)
     return {f.__name__: f for f in named}
 
 

@@ -8,8 +8,8 @@ cut. Read against the stream of order m + 1 in its two orders, the same merges g
 All joins of streams are sort-merge joins (a hint asks for them), which walk two sorted streams in step without hash tables.
 
 Counting. Texts are cut into blocks of one language in a partition; a block numbers its words and keeps its text as
-such numbers. Word counts per block are summed over blocks by sorting (a window over block counts), and the blocks get
-back the ids of frequent words. Order by order, a block then counts pairs of frequent phrases that overlap in place:
+such numbers. Word counts per block are summed over blocks by sorting (a window over block counts, one shuffle), and the
+blocks get back the ids of frequent words. Order by order, a block then counts pairs of frequent phrases that overlap in place:
 every part of a frequent phrase is frequent, so none is missed and rare phrases never leave their block. A word or
 phrase makes one row per block, not one per occurrence, so frequent ones are no hot keys. Blocks and streams of an order
 are tables in the shared checkpoint folder; the blocks of the order before are deleted once the next ones stand.
@@ -26,12 +26,12 @@ no part.
 
 from __future__ import annotations
 
-import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import Tables, prepare
 
 LEAST, LONGEST, FACTOR, PERCENT, TOP = 100, 5, 1000, 100, 2000
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 8 << 20
 #: What ends a piece; A-Z are lower-cased, and all ends become one that no word holds.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _ENDS, b"abcdefghijklmnopqrstuvwxyz" + b"!" * len(_ENDS))
@@ -53,11 +53,14 @@ def words_and_ends(text: bytes) -> list[bytes]:
 
 
 def _packed(x: np.ndarray) -> bytes:
-    return zlib.compress(x.astype(np.int32).tobytes(), 1)
+    """Numbers from -1, in bytes of one place after the other, as higher ones are mostly zero."""
+    planes = (x + 1).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(data), dtype=np.int32)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32) - 1
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,30 +115,33 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0))
             if not len(both):
                 continue
-            # pairs in order of their first and second, numbered by rank
+            # equal pairs lie together in order of their first and second
             order = both[np.lexsort((here[both + 1], here[both]))]
             first, second = here[order], here[order + 1]
             new = np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
-            rank = np.cumsum(new) - 1
-            after = np.full(len(at), -1, dtype=np.int32)
-            after[order] = rank
             starts = np.flatnonzero(new)
             counts = np.diff(np.append(starts, len(order)))
+            # numbered by count, so that most places have small numbers
+            by_count = np.argsort(-counts, kind="stable")
+            number = np.empty(len(starts), dtype=np.int32)
+            number[by_count] = np.arange(len(starts), dtype=np.int32)
+            after = np.full(len(at), -1, dtype=np.int32)
+            after[order] = number[np.cumsum(new) - 1]
+            starts, counts = starts[by_count], counts[by_count]
             yield pa.record_batch([pa.array([block]), pa.array([lang]), pa.array([_packed(after)], pa.binary()), *(
                 pa.array([x], pa.list_(pa.int64())) for x in (first[starts], second[starts], counts.astype(np.int64)))],
                 names=["block", "lang", "places", "pre", "suf", "counts"])
 
 
 def _streams(tables: Tables, rows: DataFrame, key: list[str], least: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """From rows (key, block, number, count): the stream of frequent keys (id, key, f), ids in order of the key, and
-    which ids each block's numbers have (block, number, id)."""
+    """From rows (key, block, number, count): the stream of frequent keys (id, key, f) and the ids that each block's numbers
+    have (block, numbers, ids). One shuffle: a key's rows lie together, and the least of their own ids becomes the key's."""
+    together = rows.repartition(*key).sortWithinPartitions(*key).withColumn("own", F.monotonically_increasing_id())
     same = Window.partitionBy(*key)
-    counted = tables.keep(rows.withColumn("f", F.sum("count").over(same)).filter(F.col("f") >= least), f"{name}-rows")
-    stream = counted.groupBy(*key).agg(F.max("f").alias("f")).repartitionByRange(*key).sortWithinPartitions(*key)
-    stream = tables.keep(stream.withColumn("id", F.monotonically_increasing_id()), f"{name}-stream")
-    found = counted.select(*key, "block", "number").join(stream.hint("merge"), key).groupBy("block").agg(
-        F.collect_list("number").alias("numbers"), F.collect_list("id").alias("ids"))
-    return stream, found
+    named = together.withColumn("f", F.sum("count").over(same)).withColumn("id", F.min("own").over(same)).filter(F.col("f") >= least)
+    named = tables.keep(named.drop("count"), f"{name}-rows")
+    found = named.groupBy("block").agg(F.collect_list("number").alias("numbers"), F.collect_list("id").alias("ids"))
+    return tables.keep(named.filter("own = id").select("id", *key, "f"), f"{name}-stream"), found
 
 
 def counted(documents: DataFrame, tables: Tables, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, list[DataFrame]]:

@@ -12,7 +12,8 @@ such numbers. Word counts per block are summed over blocks by sorting (a window
 blocks get back the ids of frequent words. Order by order, a block then counts pairs of frequent phrases that overlap in place:
 every part of a frequent phrase is frequent, so none is missed and rare phrases never leave their block. A word or
 phrase makes one row per block, not one per occurrence, so frequent ones are no hot keys. Blocks and streams of an order
-are tables in the shared checkpoint folder; the blocks of the order before are deleted once the next ones stand.
+are tables in the shared checkpoint folder; blocks lie in buckets of their number, so that the answers come to them and
+their texts are never shuffled. The blocks of the order before are deleted once the next ones stand.
 
 Score of a cut: floor(1000 a n / (l r)) in decimals of 38 digits (exact up to a n < 10**35). A longer candidate that
 counts against a phrase always has an extension by one word, left or right, that counts against it, too, since counts
@@ -147,7 +148,7 @@ def _streams(tables: Tables, rows: DataFrame, key: list[str], least: int, name:
 def counted(documents: DataFrame, tables: Tables, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, list[DataFrame]]:
     """Words per lang (lang, n) and a stream of frequent phrases per order: id, f and lang, word or pre, suf (ids)."""
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    state = tables.keep(texts.mapInArrow(_cut, f"{_STATE}, words array<binary>, counts array<long>"), "order1")
+    state = tables.keep_by(texts.mapInArrow(_cut, f"{_STATE}, words array<binary>, counts array<long>"), "order1", "block")
     total = state.select("lang", F.expr("aggregate(counts, 0L, (a, b) -> a + b)").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     total = tables.keep(total, "total")
     rows = state.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "x"))
@@ -155,8 +156,8 @@ def counted(documents: DataFrame, tables: Tables, least: int = LEAST, longest: i
     stream, found = _streams(tables, rows, ["lang", "word"], least, "order1")
     streams = [stream]
     for order in range(2, longest + 1):
-        met = state.select("block", "lang", "places").join(found, "block").select("block", "lang", "places", "numbers", "ids")
-        after = tables.keep(met.mapInArrow(_named, f"{_STATE}, pre array<long>, suf array<long>, counts array<long>"), f"order{order}")
+        met = state.select("block", "lang", "places").hint("merge").join(found, "block").select("block", "lang", "places", "numbers", "ids")
+        after = tables.keep_by(met.mapInArrow(_named, f"{_STATE}, pre array<long>, suf array<long>, counts array<long>"), f"order{order}", "block")
         tables.drop(f"order{order - 1}", f"order{order - 1}-rows")
         state = after
         rows = state.select("block", F.posexplode(F.arrays_zip("pre", "suf", "counts")).alias("number", "x"))

@@ -49,13 +49,24 @@ class Tables:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        self.named: dict[str, str] = {}
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{self.folder}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
+    def keep_by(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """Kept in buckets of the key, as many as shuffle partitions: joins by the key leave these rows where they are."""
+        table = f"{os.path.basename(self.folder)}_{name}".replace("-", "_")
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").option("path", f"{self.folder}/{name}").bucketBy(n, key).saveAsTable(table)
+        self.named[name] = table
+        return self.spark.table(table)
+
     def drop(self, *names: str) -> None:
         for name in names:
+            if name in self.named:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.named.pop(name)}")
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 

@@ -8,7 +8,7 @@ cut. Read against the stream of order m + 1 in its two orders, the same merges g
 All joins of streams are sort-merge joins (a hint asks for them), which walk two sorted streams in step without hash tables.
 
 Counting. Texts are cut into blocks of one language in a partition; a block numbers its words and keeps its text as
-such numbers. Word counts per block are summed over blocks by sorting (a window over block counts, one shuffle), and the
+such numbers, packed. Word counts per block are summed over blocks by sorting (a window over block counts, one shuffle), and the
 blocks get back the ids of frequent words. Order by order, a block then counts pairs of frequent phrases that overlap in place:
 every part of a frequent phrase is frequent, so none is missed and rare phrases never leave their block. A word or
 phrase makes one row per block, not one per occurrence, so frequent ones are no hot keys. Blocks and streams of an order
@@ -45,7 +45,6 @@ BLOCK_BYTES = 8 << 20
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + _ENDS, b"abcdefghijklmnopqrstuvwxyz" + b"!" * len(_ENDS))
 END = b"!"
-_STATE = "block long, lang string, places binary"
 
 
 def words_and_ends(text: bytes) -> list[bytes]:
@@ -90,8 +89,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                names=["block", "lang", "places", "words", "counts"])
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text = text.as_py()
+        for lang, text in zip(*batch.columns):
+            lang, text = lang.as_py(), text.as_py()
             if text:
                 held[lang].append(text)
                 size[lang] += len(text)
@@ -103,35 +102,51 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block(lang)
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Next order: blocks with the ids of their frequent phrases (number, id) count the pairs that follow each other."""
+def _named_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks whose places show their frequent words: block, places, ids (of the numbers at the places)."""
+    for block, places, numbers, ids in _rows(batches):
+        yield _state(block, _unpacked(places), numbers, ids)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[list]:
     for batch in batches:
-        for block, lang, places, numbers, ids in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), batch.column(4)):
-            at = _unpacked(places)
-            if numbers.as_py() is None:
-                continue
-            name = np.full(int(at.max(initial=-1)) + 2, -1, dtype=np.int64)  # the last cell is for places without a phrase
-            name[np.asarray(numbers.values)] = np.asarray(ids.values)
-            here = name[at]
-            both = np.flatnonzero((here[:-1] >= 0) & (here[1:] >= 0))
-            if not len(both):
-                continue
-            # equal pairs lie together in order of their first and second
-            order = both[np.lexsort((here[both + 1], here[both]))]
-            first, second = here[order], here[order + 1]
-            new = np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
-            starts = np.flatnonzero(new)
-            counts = np.diff(np.append(starts, len(order)))
-            # numbered by count, so that most places have small numbers
-            by_count = np.argsort(-counts, kind="stable")
-            number = np.empty(len(starts), dtype=np.int32)
-            number[by_count] = np.arange(len(starts), dtype=np.int32)
-            after = np.full(len(at), -1, dtype=np.int32)
-            after[order] = number[np.cumsum(new) - 1]
-            starts, counts = starts[by_count], counts[by_count]
-            yield pa.record_batch([pa.array([block]), pa.array([lang]), pa.array([_packed(after)], pa.binary()), *(
-                pa.array([x], pa.list_(pa.int64())) for x in (first[starts], second[starts], counts.astype(np.int64)))],
-                names=["block", "lang", "places", "pre", "suf", "counts"])
+        for row in zip(*batch.columns):
+            yield [x.as_py() if x.type in (pa.int64(), pa.binary()) else x.values.to_numpy(zero_copy_only=False) for x in row]
+
+
+def _state(block: int, at: np.ndarray, numbers: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    """A block whose places keep the given numbers alone, numbered anew."""
+    new = np.full(int(at.max(initial=-1)) + 2, -1, dtype=np.int32)  # the last cell is for places that have none
+    order = np.argsort(numbers)
+    new[numbers[order]] = np.arange(len(numbers), dtype=np.int32)
+    return pa.record_batch([pa.array([block]), pa.array([_packed(new[at])], pa.binary()), pa.array([ids[order]], pa.list_(pa.int64()))], names=["block", "places", "ids"])
+
+
+def _pairs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of phrases that follow each other by one word: first and second, counts; where pairs begin, and which."""
+    both = np.flatnonzero((at[:-1] >= 0) & (at[1:] >= 0))
+    keys, which, counts = np.unique(at[both].astype(np.int64) << 32 | at[both + 1], return_inverse=True, return_counts=True)
+    return keys >> 32, keys & 0xFFFFFFFF, counts, both, which
+
+
+def _counted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per pair of a block: pre, suf (ids), block, number, count."""
+    for block, places, ids in _rows(batches):
+        first, second, counts, *_ = _pairs(_unpacked(places))
+        for k in range(0, len(first), 1 << 16):
+            some = slice(k, k + (1 << 16))
+            found = [ids[first[some]], ids[second[some]], np.full(len(first[some]), block), np.arange(k, k + len(first[some])), counts[some]]
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in found], names=["pre", "suf", "block", "number", "count"])
+
+
+def _named_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of the next order: places show the frequent pairs."""
+    for block, places, numbers, ids in _rows(batches):
+        at = _unpacked(places)
+        *_, both, which = _pairs(at)
+        after = np.full(len(at), -1, dtype=np.int32)
+        after[both] = which
+        yield _state(block, after, numbers, ids)
 
 
 def _streams(tables: Tables, rows: DataFrame, key: list[str], least: int, name: str) -> tuple[DataFrame, DataFrame]:
@@ -148,23 +163,22 @@ def _streams(tables: Tables, rows: DataFrame, key: list[str], least: int, name:
 def counted(documents: DataFrame, tables: Tables, least: int = LEAST, longest: int = LONGEST) -> tuple[DataFrame, list[DataFrame]]:
     """Words per lang (lang, n) and a stream of frequent phrases per order: id, f and lang, word or pre, suf (ids)."""
     texts = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
-    state = tables.keep_by(texts.mapInArrow(_cut, f"{_STATE}, words array<binary>, counts array<long>"), "order1", "block")
-    total = state.select("lang", F.expr("aggregate(counts, 0L, (a, b) -> a + b)").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
+    texts = tables.keep_by(texts.mapInArrow(_cut, "block long, lang string, places binary, words array<binary>, counts array<long>"), "texts", "block")
+    total = texts.select("lang", F.expr("aggregate(counts, 0L, (a, b) -> a + b)").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     total = tables.keep(total, "total")
-    rows = state.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "x"))
-    rows = rows.select("lang", F.col("x.words").cast("string").alias("word"), "block", "number", F.col("x.counts").alias("count"))
-    stream, found = _streams(tables, rows, ["lang", "word"], least, "order1")
-    streams = [stream]
-    for order in range(2, longest + 1):
-        met = state.select("block", "lang", "places").hint("merge").join(found, "block").select("block", "lang", "places", "numbers", "ids")
-        after = tables.keep_by(met.mapInArrow(_named, f"{_STATE}, pre array<long>, suf array<long>, counts array<long>"), f"order{order}", "block")
-        tables.drop(f"order{order - 1}", f"order{order - 1}-rows")
-        state = after
-        rows = state.select("block", F.posexplode(F.arrays_zip("pre", "suf", "counts")).alias("number", "x"))
-        rows = rows.select(F.col("x.pre").alias("pre"), F.col("x.suf").alias("suf"), "block", "number", F.col("x.counts").alias("count"))
-        stream, found = _streams(tables, rows, ["pre", "suf"], least, f"order{order}")
+    rows = texts.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "x"))
+    rows = rows.select("lang", F.col("x.words").cast("string").alias("word"), "block", F.col("number").cast("bigint").alias("number"), F.col("x.counts").alias("count"))
+    state, named, last = texts, _named_words, "texts"
+    streams = []
+    for order in range(1, longest + 1):
+        stream, found = _streams(tables, rows, ["lang", "word"] if order == 1 else ["pre", "suf"], least, f"order{order}")
         streams.append(stream)
-    tables.drop(f"order{longest}", f"order{longest}-rows")
+        if order < longest:
+            met = state.select("block", "places").hint("merge").join(found, "block").select("block", "places", "numbers", found["ids"])
+            state = tables.keep_by(met.mapInArrow(named, "block long, places binary, ids array<long>"), f"order{order}", "block")
+            rows, named = state.mapInArrow(_counted_pairs, "pre long, suf long, block long, number long, count long"), _named_pairs
+        tables.drop(last, f"order{order}-rows")
+        last = f"order{order}"
     return total, streams
 
 

@@ -218,13 +218,14 @@ def queries() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import datasets, etl, loaders, pv_reports, rules, vr_reports
+    from .oracle import banded, datasets, etl, loaders, pv_reports, rules, vr_reports
     out: dict[str, str] = {}
     out.update(datasets.ORACLE)
     out.update(etl.ORACLE)
     out.update(rules.ORACLE)
     out.update(loaders.ORACLE)
     out.update(pv_reports.ORACLE)
+    out.update(banded.ORACLE)
     out.update(vr_reports.ORACLE)
     return {k: v for k, v in out.items() if k in queries()}
 

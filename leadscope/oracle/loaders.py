@@ -1,4 +1,4 @@
-"""DuckDB oracle SQL for the loader queries (LQ-*) and fallbacks (FB-*)."""
+"""DuckDB oracle SQL for the loader queries (LQ-*) and FB-3 (the other fallbacks are in ``banded``)."""
 
 from ..sources.fixtures import PV_AS_OF, with_ctes
 from .pv_reports import DQ3, F0, FAKE, Q, VW02
@@ -142,44 +142,6 @@ FROM pv WHERE {GOOD} AND created_date IS NOT NULL AND lead_source IS NOT NULL
 GROUP BY 1, 2 HAVING COUNT(*) >= 5
 """
 
-PROXY = f"AVG(CASE WHEN {FAKE} THEN 8 ELSE 2 END) / 10.0"
-LAST_MONTH = (f"created_date >= date_trunc('month', {D}) - INTERVAL 1 MONTH "
-              f"AND created_date < date_trunc('month', {D})")
-
-FB1 = f"""
-SELECT COUNT(*) AS total_validations, COUNT(DISTINCT task_id) AS unique_leads,
-  AVG({Q}) / 10.0 AS avg_data_quality_score, AVG({Q}) / 10.0 AS median_data_quality_score,
-  {PROXY} AS avg_fraud_score, {PROXY} AS median_fraud_score,
-  AVG({Q}) / 10.0 AS avg_overall_score, AVG({Q}) / 10.0 AS median_overall_score,
-  {cnt(f'{Q} >= 7')} AS excellent_quality_count, {cnt(f'{Q} >= 5 AND {Q} < 7')} AS good_quality_count,
-  {cnt(f'{Q} >= 3 AND {Q} < 5')} AS fair_quality_count, {cnt(f'{Q} < 3')} AS poor_quality_count,
-  {cnt(FAKE)} AS critical_fraud_risk_count,
-  {pc(cnt(f'{Q} >= 7'), 'COUNT(*)')} AS high_quality_percentage,
-  {pc(cnt(FAKE), 'COUNT(*)')} AS high_fraud_risk_percentage,
-  MIN(parsed_at) AS earliest_validation, MAX(parsed_at) AS latest_validation,
-  CASE WHEN AVG({Q}) >= 8 THEN 'EXCELLENT' WHEN AVG({Q}) >= 6 THEN 'GOOD' WHEN AVG({Q}) >= 4 THEN 'FAIR'
-       ELSE 'POOR' END AS overall_system_status
-FROM pv WHERE {GOOD} AND created_date IS NOT NULL
-"""
-
-FB2 = f"""
-SELECT COALESCE(lead_source, 'Unknown') AS lead_source, COUNT(*) AS total_validations,
-  COUNT(DISTINCT task_id) AS unique_leads,
-  AVG({Q}) / 10.0 AS avg_data_quality_score, AVG({Q}) / 10.0 AS median_data_quality_score,
-  {PROXY} AS avg_fraud_score, {PROXY} AS median_fraud_score,
-  {cnt(f'{Q} >= 7')} AS excellent_quality_count, {cnt(f'{Q} >= 5 AND {Q} < 7')} AS good_quality_count,
-  {cnt(f'{Q} >= 3 AND {Q} < 5')} AS fair_quality_count, {cnt(f'{Q} < 3')} AS poor_quality_count,
-  {cnt(FAKE)} AS likely_fake_leads_count, {pc(cnt(FAKE), 'COUNT(*)')} AS fake_leads_percentage,
-  RANK() OVER (ORDER BY AVG({Q}) DESC NULLS LAST) AS quality_rank,
-  CASE WHEN {PROXY} >= 0.7 THEN 'CRITICAL' WHEN {PROXY} >= 0.5 THEN 'HIGH' WHEN {PROXY} >= 0.3 THEN 'MEDIUM'
-       ELSE 'LOW' END AS source_risk_level,
-  CASE WHEN AVG({Q}) >= 9 THEN 'A+' WHEN AVG({Q}) >= 7 THEN 'A' WHEN AVG({Q}) >= 5 THEN 'B'
-       WHEN AVG({Q}) >= 3 THEN 'C' ELSE 'F' END AS source_grade,
-  MIN(parsed_at) AS first_validation, MAX(parsed_at) AS latest_validation
-FROM pv WHERE {GOOD} AND {LAST_MONTH}
-GROUP BY 1
-"""
-
 FB3 = f"""
 SELECT task_id AS lead_id, lead_source, parsed_at AS validation_timestamp, {CONTACT},
   {DQ3} / 10.0 AS data_quality_score, {F0} / 10.0 AS fraud_score, {Q} / 10.0 AS overall_score,
@@ -198,40 +160,10 @@ FROM pv WHERE {GOOD} AND created_date IS NOT NULL AND ({FAKE} OR {F0} >= 5)
 ORDER BY {F0} DESC, {Q} ASC NULLS LAST, task_id LIMIT 100
 """
 
-_CONSTS = (", ".join(f"0.7::DOUBLE AS avg_{p}_score" for p in ("email", "phone", "name", "company", "completeness"))
-           + ", " + ", ".join(f"75.0::DOUBLE AS {p}_pass_rate_percent"
-                              for p in ("email", "phone", "name", "company", "completeness")))
-
-FB4 = f"""
-SELECT date_trunc('day', parsed_at) AS trend_date, COUNT(*) AS total_validations,
-  AVG({Q}) / 10.0 AS avg_data_quality_score, AVG({Q}) / 10.0 AS median_data_quality_score,
-  {PROXY} AS avg_fraud_score, {PROXY} AS median_fraud_score, AVG({Q}) / 10.0 AS avg_overall_score,
-  {_CONSTS},
-  {pc(cnt(f'{Q} >= 7'), 'COUNT(*)', 1)} AS high_quality_percentage,
-  {pc(cnt(FAKE), 'COUNT(*)', 1)} AS high_fraud_risk_percentage
-FROM pv WHERE {GOOD} AND parsed_at >= {D} - INTERVAL 30 DAY
-GROUP BY 1 ORDER BY 1 DESC LIMIT 30
-"""
-
-FB5 = f"""
-SELECT 'daily' AS period_type, date_trunc('day', parsed_at) AS trend_date,
-  COALESCE(lead_source, 'Unknown') AS lead_source, COUNT(*) AS total_validations,
-  AVG({Q}) / 10.0 AS avg_data_quality_score, AVG({Q}) / 10.0 AS median_data_quality_score,
-  {PROXY} AS avg_fraud_score, {PROXY} AS median_fraud_score, AVG({Q}) / 10.0 AS avg_overall_score,
-  {_CONSTS},
-  {pc(cnt(f'{Q} >= 7'), 'COUNT(*)', 1)} AS high_quality_percentage,
-  {pc(cnt(FAKE), 'COUNT(*)', 1)} AS high_fraud_risk_percentage,
-  {cnt(FAKE)} AS likely_fake_count
-FROM pv WHERE {GOOD} AND parsed_at >= {D} - INTERVAL 30 DAY
-GROUP BY 2, 3 HAVING COUNT(*) >= 3
-ORDER BY 2 DESC, 3 LIMIT 200
-"""
-
 ORACLE = {k: with_ctes(v, "pv") for k, v in {
     "lq02_lead_list": LQ02, "lq04_daily_trends": LQ04, "lq05_recent_validations": LQ05,
     "lq06_problematic_leads": LQ06, "lq07_category_analysis": LQ07, "lq09_top_worst_sources": LQ09,
     "lq10_data_freshness": LQ10, "lq11_daily_fake_leads": LQ11, "lq12_daily_fake_detail": LQ12,
     "lq13_last_refresh": LQ13, "lq14_creation_months": LQ14, "lq15_source_months": LQ15,
-    "fb1_overall_results": FB1, "fb2_results_by_source": FB2, "fb3_fake_leads": FB3,
-    "fb4_trends_overall": FB4, "fb5_trends_by_source": FB5,
+    "fb3_fake_leads": FB3,
 }.items()}

@@ -142,6 +142,22 @@ def _upsert_inputs(s, d):
     return old, new
 
 
+def _keyed_table(s, d):
+    """Three batches into a table of tasks: the old rows, the new ones, and these once more (which writes nothing)."""
+    import uuid
+
+    from .session import ensure_checkpoint_dir
+    from .sources.keyed import KeyedTable
+    old, new = _upsert_inputs(s, d)
+    path = f"{ensure_checkpoint_dir(s).rstrip('/')}/leadscope-keyed-{uuid.uuid4().hex[:12]}"
+    table = KeyedTable(s, path, old.schema, buckets=16, ignored=("parsed_at",))
+    for batch, rows in enumerate((old, new, new)):
+        written = table.upsert(rows, batch, keep_old=("parsed_at",))
+    if written:
+        raise AssertionError(f"a repeated batch wrote buckets {written}")
+    return table.read()
+
+
 def _etl_queries() -> dict[str, Query]:
     def tasks(s, d):
         return rd.render_tasks(fx.pv(s, d))
@@ -156,6 +172,7 @@ def _etl_queries() -> dict[str, Query]:
         "src2_incremental": lambda s, d: ing.validation_tasks(tasks(s, d), as_of=PV, days_back=30).select(*task_cols),
         "jon1_attach_who": lambda s, d: ing.attach_who(tasks(s, d), fx.leads(s, d)).select(*task_cols),
         "snk2_upsert": lambda s, d: sk.upsert_parsed(*_upsert_inputs(s, d)),
+        "snk1_keyed_table": _keyed_table,
         "snk7_touch": lambda s, d: sk.touch_latest(fx.pv(s, d), f"{PV} 12:00:00"),
     }
 
@@ -251,6 +268,22 @@ def _str1(s, d):
     return out.withColumn("has_parse_error", F.col("parse_error").isNotNull()).select(*ROUNDTRIP_COLUMNS)
 
 
+def _str1_repeated(s, d):
+    """Tasks land in two parts, then all once more, changed and unchanged: the table has each task's last version."""
+    from .oracle.etl import ROUNDTRIP_COLUMNS
+    from .streaming import stream as st
+    base = _stream_base(s)
+    tasks = rd.render_tasks(fx.pv(s, d))
+    newer = F.col("CreatedDate") >= F.lit("2001-07-15").cast("timestamp_ntz")
+    first = tasks.filter(newer).withColumn("Description", F.regexp_replace("Description", "Lead Score: ", "Lead Score: 1"))
+    for k, part in enumerate((first, tasks.filter(~newer | newer.isNull()), tasks)):
+        st.land_tasks_json(part, f"{base}/landing/page={k}")
+        st.start_task_ingest(s, f"{base}/landing/*", f"{base}/table", f"{base}/ckpt-ingest", now=PV, available_now=True,
+                             buckets=16).awaitTermination()
+    out = s.read.parquet(st.latest_snapshot(s, f"{base}/table"))
+    return out.withColumn("has_parse_error", F.col("parse_error").isNotNull()).select(*ROUNDTRIP_COLUMNS)
+
+
 def _str2(s, d):
     from .streaming import stream as st
     base = _stream_base(s)
@@ -279,7 +312,7 @@ def _str2_report(s, d):
 
 
 def _stream_queries() -> dict[str, Query]:
-    return {"str1_stream_ingest": _str1, "str2_daily_monitor": _str2, "str2_late_repeated": _str2_late,
+    return {"str1_stream_ingest": _str1, "str1_repeated": _str1_repeated, "str2_daily_monitor": _str2, "str2_late_repeated": _str2_late,
             "str2_monitor_report": _str2_report}
 
 

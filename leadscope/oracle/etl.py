@@ -86,7 +86,7 @@ SELECT day, lead_source, total_leads, fake_leads_count, critical_fraud_count, fa
   critical_fraud_count >= 1 AS alert_critical_fraud
 FROM p""", "pv")
 
-ORACLE.update({"str1_stream_ingest": PRS_ROUNDTRIP, "str2_daily_monitor": STR2, "str2_late_repeated": STR2,
+ORACLE.update({"snk1_keyed_table": SNK2, "str1_stream_ingest": PRS_ROUNDTRIP, "str1_repeated": PRS_ROUNDTRIP, "str2_daily_monitor": STR2, "str2_late_repeated": STR2,
                "str2_monitor_report": STR2_REPORT})
 
 _WEEKLY = """(SELECT date_trunc('week', validation_timestamp) AS week, COALESCE(lead_source, 'Unknown') AS lead_source,

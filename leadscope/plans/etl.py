@@ -2,9 +2,8 @@
 snapshots, CSV backup and run counters (the batch ETL entry point), plus
 view registration for SQL users.
 
-Tables are immutable snapshot directories ``<root>/<name>/batch=<run id>``;
-a run reads the newest snapshot, upserts, and writes the next one, so a failed
-run leaves the previous snapshot untouched and can simply be re-run.
+Tables are keyed tables in hash buckets (``sources.keyed``): a run rewrites the
+buckets of its changed tasks, and can simply be run again if it fails.
 """
 
 from __future__ import annotations
@@ -14,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..operators.parse import parse_counters, parse_descriptions
 from ..sources import ingest, sinks
-from ..streaming.stream import latest_snapshot, snapshots
+from ..sources.keyed import KeyedTable
+from ..streaming.stream import latest_snapshot
 from . import reports_pv as rp
 from . import reports_vr as rv
 
@@ -22,9 +22,10 @@ TASKS_TABLE = "validation_tasks"
 PARSED_TABLE = "parsed_validations"
 
 
-def _read_or_none(spark: SparkSession, root: str, name: str, run_id: int) -> DataFrame | None:
-    snap = latest_snapshot(spark, f"{root}/{name}", before=run_id)
-    return spark.read.parquet(snap) if snap else None
+def stored_tables(spark: SparkSession, root: str, buckets: int = 64) -> dict[str, KeyedTable]:
+    """The tables that exist under a root."""
+    paths = {name: latest_snapshot(spark, f"{root}/{name}") for name in (TASKS_TABLE, PARSED_TABLE)}
+    return {name: KeyedTable(spark, f"{root}/{name}", spark.read.parquet(path).schema, buckets=buckets) for name, path in paths.items() if path}
 
 
 def tasks_table(tasks: DataFrame, extracted_at) -> DataFrame:
@@ -40,48 +41,42 @@ def tasks_table(tasks: DataFrame, extracted_at) -> DataFrame:
 
 def run_etl(spark: SparkSession, landing: str, root: str, run_id: int, as_of, days_back: int = 30,
             force_refresh: bool = False, validation_only: bool = False, leads: DataFrame | None = None,
-            backup: str | None = None) -> DataFrame:
+            backup: str | None = None, buckets: int = 64) -> DataFrame:
     """One ETL run; returns the run counters (PRS-12) as a one-row DataFrame.
 
     * extract: landed task pages, ``Subject`` prefix, ``LastModifiedDate``
       cutoff unless ``force_refresh``, known leads only when ``leads`` given;
     * ``validation_only``: re-parse the stored tasks table instead;
     * save: keyed upsert of tasks (``task_id``) and parsed rows (``parsed_at``
-      of already-parsed tasks is kept), written as new snapshots;
+      of already-parsed tasks is kept); unchanged tasks write nothing;
     * backup: optional CSV copy of the parsed table.
 
-    A run may be repeated under its id; an id below that of a stored snapshot
-    raises, as nobody would read what it writes.
+    A run may be repeated under its id; an id below that of a stored run raises,
+    as its tasks would replace newer ones.
     """
-    newest = max([*snapshots(spark, f"{root}/{TASKS_TABLE}"), *snapshots(spark, f"{root}/{PARSED_TABLE}")], default=run_id)
-    if newest > run_id:
-        raise ValueError(f"run {run_id} is older than snapshot {newest} under {root}")
+    if (done := stored_tables(spark, root, buckets)) and (newest := max((t.last_batch() or 0 for t in done.values()), default=0)) > run_id:
+        raise ValueError(f"run {run_id} is older than run {newest} under {root}")
     if validation_only:
-        snap = latest_snapshot(spark, f"{root}/{TASKS_TABLE}")
-        if snap is None:
-            raise FileNotFoundError(f"no {TASKS_TABLE} snapshot under {root}")
-        tasks = ingest.stored_tasks(spark, snap)
+        if TASKS_TABLE not in done:
+            raise FileNotFoundError(f"no {TASKS_TABLE} under {root}")
+        tasks = ingest.stored_tasks(spark, latest_snapshot(spark, f"{root}/{TASKS_TABLE}"))
     else:
         raw = ingest.flatten_tasks(ingest.read_landed_tasks(spark, landing))
         tasks = ingest.validation_tasks(raw, as_of=as_of, days_back=days_back, force_refresh=force_refresh,
                                         leads=leads)
+        # the landed pages are read once; the tasks table and the parser read what was extracted
+        aside = f"{root}/extracted/run={run_id:012d}"
+        tasks.write.mode("overwrite").parquet(aside)
+        tasks = spark.read.schema(tasks.schema).parquet(aside)
         new_tasks = tasks_table(tasks, as_of)
-        old_tasks = _read_or_none(spark, root, TASKS_TABLE, run_id)
-        out = sinks.upsert(old_tasks, new_tasks, "task_id") if old_tasks is not None else \
-            sinks.dedupe_batch(new_tasks.filter(F.col("task_id").isNotNull() & (F.col("task_id") != "")),
-                               "task_id", ["last_modified_date"])
-        out.write.mode("overwrite").parquet(f"{root}/{TASKS_TABLE}/batch={run_id:012d}")
+        KeyedTable(spark, f"{root}/{TASKS_TABLE}", new_tasks.schema, buckets=buckets, ignored=("extracted_at",)).upsert(new_tasks, run_id)
 
     parsed = parse_descriptions(tasks).withColumn("parsed_at", F.lit(str(as_of)).cast("timestamp_ntz"))
-    old = _read_or_none(spark, root, PARSED_TABLE, run_id)
-    if old is None:
-        merged = sinks.dedupe_batch(parsed.filter(F.col("task_id").isNotNull() & (F.col("task_id") != "")),
-                                    "task_id", ["last_modified_date"])
-    else:
-        merged = sinks.upsert_parsed(old, parsed.select(*[c for c in parsed.columns if c in old.columns]), now=as_of)
-    target = f"{root}/{PARSED_TABLE}/batch={run_id:012d}"
-    merged.write.mode("overwrite").parquet(target)
-    stored = spark.read.parquet(target)
+    table = KeyedTable(spark, f"{root}/{PARSED_TABLE}", parsed.schema, buckets=buckets, ignored=("parsed_at",))
+    table.upsert(parsed, run_id, keep_old=("parsed_at",), default_now=as_of)
+    stored = table.read()
+    if not validation_only:
+        table.fs.delete(table._path(aside), True)
     if backup:
         sinks.write_csv(stored, backup)
     return parse_counters(stored)

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .operators import duplicates as dup
 from .operators import fraud as fr
 from .operators import parse as ps
 from .operators import rules as ru
@@ -98,6 +99,7 @@ def _rule_queries() -> dict[str, Query]:
             _joined("fraud_indicators")),
         "frd7_levels": lambda s, d: fr.fraud_scores(fx.leads(s, d)).groupBy("risk_level").agg(
             F.count(F.lit(1)).alias("leads"), F.count_if("is_likely_fake").cast("bigint").alias("likely_fake")),
+        "doc1_lead_clusters": lambda s, d: dup.duplicate_clusters(fx.leads(s, d)),
         "val2_email": lambda s, d: v(s, d).select("lead_id", "email_valid", "email_score", _joined("email_issues")),
         "val3_domain_typos": lambda s, d: ru.domain_typos(fx.leads(s, d)).select(
             F.col("_domain").alias("domain"), F.col("_typo").alias("typo")),
@@ -235,7 +237,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import banded, datasets, etl, loaders, pv_reports, rules, vr_reports
+    from .oracle import banded, datasets, duplicates, etl, loaders, pv_reports, rules, vr_reports
     out: dict[str, str] = {}
     out.update(datasets.ORACLE)
     out.update(etl.ORACLE)
@@ -243,6 +245,7 @@ def oracle() -> dict[str, str]:
     out.update(loaders.ORACLE)
     out.update(pv_reports.ORACLE)
     out.update(banded.ORACLE)
+    out.update(duplicates.ORACLE)
     out.update(vr_reports.ORACLE)
     return {k: v for k, v in out.items() if k in queries()}
 

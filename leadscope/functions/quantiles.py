@@ -2,15 +2,18 @@
 
 ``F.median`` merges a value->count map per group in a single task, so one hot
 group (a third of all rows) would have to fit in one executor. This operator
-finds the median in three distributed steps:
-
-0. per (group, distinct value): multiplicity (partial aggregation; the only
-   pass over raw rows);
-1. per group: count, distinct count, min, max (tiny output);
-2. per (group, value bucket): counts, cumulative over min(d, ``buckets``)
-   equal-width buckets per group -> the bucket(s) holding the middle rank(s);
-3. only the distinct values of those buckets: running counts -> exact rank.
-
+brackets the median by a sketch and selects the exact rank inside:
+
+1. per group: the row count and, from a mergeable quantile sketch, two values
+   that the middle ranks lie between (some ranks apart, see ``SLACK``);
+2. the rows up to the upper one are counted: those below the bracket as one
+   number per group, those inside per distinct value (partial aggregation);
+3. the distinct values inside are dealt into cells, whose bounds are quantiles
+   of themselves; counts per cell give the cell(s) with the middle rank(s);
+4. only the values of those cells are ranked one by one.
+
+Bounds are ranks, not widths: an extreme value moves none of them. A bracket
+holds about 2 * SLACK / accuracy of a group's rows, a cell 1 / CELLS of that.
 Interpolation for an even count is ``lo + (hi - lo) * 0.5`` (continuous
 quantile at 0.5). NULL values are ignored; a group of only NULLs has a NULL
 median.
@@ -23,49 +26,51 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Relative rank error of the sketch is 1 / ACCURACY; the bracket is SLACK times as wide on either side.
+ACCURACY, SLACK, CELLS = 10_000, 3, 128
 
-def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
-                   buckets: int = 1 << 20) -> DataFrame:
-    """Return ``keys + [out]``, one row per group that has a non-NULL value.
-
-    The raw rows are read once, by a partial-aggregated count of each distinct
-    (group, value); all later passes run on these weighted distinct values, so
-    a hot group with repeated values collapses map-side. A group with d
-    distinct values gets ``min(d, buckets)`` equal-width buckets, so its
-    histogram never exceeds ``buckets`` rows and, for spread-out values, the
-    bucket holding the middle rank keeps about d / buckets values."""
+
+def bracketed(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = ACCURACY) -> DataFrame:
+    """keys, _n, _v, _w: the weighted distinct values in each group's bracket, and one row with NULL for what lies below."""
     keys = list(keys)
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    wv_ = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
-    stat_cols = [F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_d"), F.min("_v").alias("_lo"),
-                 F.max("_v").alias("_hi")]
-    span = F.col("_hi") - F.col("_lo")
-    nb = F.least(F.col("_d"), F.lit(buckets))
-    bucket = F.when(span <= 0, F.lit(0)).otherwise(
-        F.least(nb - 1, F.floor((F.col("_v") - F.col("_lo")) / span * nb)).cast("int"))
+    ends = F.percentile_approx("_v", [0.5 - SLACK / accuracy, 0.5 + SLACK / accuracy], accuracy)
+    stats = [F.count(F.lit(1)).alias("_n"), ends.alias("_ends")]
     if keys:
-        vb = wv_.join(wv_.groupBy(*keys).agg(*stat_cols), keys).withColumn("_b", bucket)
+        met = v.join(v.groupBy(*keys).agg(*stats), keys)
     else:
         # global: the one-row statistics are a scalar subquery (no join on a constant key)
-        s = wv_.agg(F.struct(*stat_cols).alias("s")).scalar()
-        vb = wv_.withColumns({c: s[c] for c in ("_n", "_d", "_lo", "_hi")}).withColumn("_b", bucket)
+        s = v.agg(F.struct(*stats).alias("s")).scalar()
+        met = v.withColumns({c: s[c] for c in ("_n", "_ends")})
+    inside = F.when(F.col("_v") >= F.col("_ends")[0], F.col("_v"))
+    return met.filter(F.col("_v") <= F.col("_ends")[1]).groupBy(*keys, "_n", inside.alias("_v")).agg(F.count(F.lit(1)).alias("_w"))
+
 
-    # step 2: bucket histogram per group and the target ranks
+def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
+                   buckets: int = CELLS, accuracy: int = ACCURACY) -> DataFrame:
+    """Return ``keys + [out]``, one row per group that has a non-NULL value; ``buckets``: cells of a bracket."""
+    keys = list(keys)
+    inside = bracketed(df, keys, value, accuracy)
+    # bounds of the cells: quantiles of the distinct values in the bracket; any bounds give the exact result
+    bounds = F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], buckets * 4).alias("_bounds")
+    if keys:
+        dealt = inside.join(inside.groupBy(*keys).agg(bounds), keys)
+    else:
+        s = inside.agg(F.struct(bounds).alias("s")).scalar()
+        dealt = inside.withColumn("_bounds", s["_bounds"])
+    below = F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<double>")), lambda b: b < F.col("_v")))
+    dealt = dealt.select(*keys, "_n", "_v", "_w", F.when(F.col("_v").isNull(), -1).otherwise(below).alias("_c"))
     r1 = F.floor((F.col("_n") + 1) / 2).cast("bigint")
     r2 = (F.floor(F.col("_n") / 2) + 1).cast("bigint")
-    hist = vb.groupBy(*keys, "_b", "_n").agg(F.sum("_w").alias("_c"))
-    wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("_cum", F.sum("_c").over(wb)).withColumn("_before", F.col("_cum") - F.col("_c"))
-    hits = hist.filter(((F.col("_before") < r1) & (r1 <= F.col("_cum")))
-                       | ((F.col("_before") < r2) & (r2 <= F.col("_cum"))))
-    hits = hits.select(*keys, "_b", "_before")
-
-    # step 3: exact ranks inside the (at most two) hit buckets per group
-    inner = vb.join(hits, keys + ["_b"])          # one row per distinct value already
-    wv = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    inner = inner.withColumn("_hiRank", F.col("_before") + F.sum("_w").over(wv))
-    inner = inner.withColumn("_loRank", F.col("_hiRank") - F.col("_w"))
-    pick = inner.groupBy(*keys, "_n").agg(
+    in_order = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
+    hist = dealt.groupBy(*keys, "_n", "_c").agg(F.sum("_w").alias("_in"))
+    hist = hist.withColumn("_upto", F.sum("_in").over(in_order)).withColumn("_before", F.col("_upto") - F.col("_in"))
+    hits = hist.filter(((F.col("_before") < r1) & (r1 <= F.col("_upto"))) | ((F.col("_before") < r2) & (r2 <= F.col("_upto"))))
+    ranked = dealt.drop("_n").join(hits.select(*keys, "_n", "_c", "_before"), [*keys, "_c"])
+    in_cell = Window.partitionBy(*keys, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranked.withColumn("_hiRank", F.col("_before") + F.sum("_w").over(in_cell))
+    ranked = ranked.withColumn("_loRank", F.col("_hiRank") - F.col("_w"))
+    pick = ranked.groupBy(*keys, "_n").agg(
         F.min(F.when((F.col("_loRank") < r1) & (r1 <= F.col("_hiRank")), F.col("_v"))).alias("_m1"),
         F.min(F.when((F.col("_loRank") < r2) & (r2 <= F.col("_hiRank")), F.col("_v"))).alias("_m2"))
     med = F.col("_m1") + (F.col("_m2") - F.col("_m1")) * F.lit(0.5)
@@ -89,8 +94,7 @@ def median_by(df: DataFrame, keys: Sequence[str], value: str, out: str = "median
     return grouped_median(df, keys, value, out)
 
 
-def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], buckets: int = 1 << 20,
-                    accuracy: int | None = None) -> DataFrame:
+def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str], accuracy: int | None = None) -> DataFrame:
     """Several medians per group in one pass: the value columns are stacked
     into (metric, value) rows, one :func:`grouped_median` runs with the metric
     as an extra key, and the results are folded back to one row per group.
@@ -102,16 +106,15 @@ def grouped_medians(df: DataFrame, keys: Sequence[str], values: dict[str, str],
     if accuracy:
         m = approx_grouped_median(long, keys + ["_metric"], "_val", "_med", accuracy)
     else:
-        m = grouped_median(long, keys + ["_metric"], "_val", "_med", buckets)
+        m = grouped_median(long, keys + ["_metric"], "_val", "_med")
     return m.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == out, F.col("_med"))).alias(out)
                                   for out in values])
 
 
-def global_median(df: DataFrame, value: str, out: str = "median", buckets: int = 1 << 20,
-                  accuracy: int | None = None) -> DataFrame:
+def global_median(df: DataFrame, value: str, out: str = "median", accuracy: int | None = None) -> DataFrame:
     """Median over all rows (one output row, NULL when there is no value)."""
     m = (approx_grouped_median(df, [], value, out, accuracy) if accuracy
-         else grouped_median(df, [], value, out, buckets))
+         else grouped_median(df, [], value, out))
     # exactly one row even without values: union with a NULL row and take max (no join)
     empty = df.sparkSession.range(1).select(F.lit(None).cast("double").alias(out))
     return m.select(out).unionByName(empty).agg(F.max(out).alias(out))

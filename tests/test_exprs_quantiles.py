@@ -91,3 +91,29 @@ def test_exact_avg_counts_more_than_six_decimals(spark):
     units = [random.Random(k).randrange(10**6) for k in range(500)]
     few = spark.createDataFrame([(u / 1e6,) for u in units], "x double")
     assert few.select(exact_avg("x").alias("a")).first().a == sum(units) / 500 / 1e6
+
+
+def test_an_extreme_value_leaves_the_bracket_small(spark):
+    from leadscope.functions.quantiles import bracketed
+    n = 100_000
+    df = spark.range(n).select((F.col("id") % 2).alias("k"), (F.rand(5) * 10).alias("v"))
+    wild = spark.createDataFrame([(0, 1e300), (0, -1e300), (1, float("inf"))], "k bigint, v double")
+    got = bracketed(df.unionByName(wild), ["k"], "v").filter("_v IS NOT NULL").groupBy("k").count().collect()
+    assert len(got) == 2 and all(r["count"] <= 120 for r in got)      # of 50,000 distinct values
+    assert bracketed(df.unionByName(wild), [], "v").filter("_v IS NOT NULL").count() <= 240
+
+
+def test_medians_with_ties_and_extremes(spark):
+    import random
+    import statistics
+    rng = random.Random(9)
+    rows = []
+    for k in range(40):
+        values = [rng.choice([rng.gauss(0, 1), 0.5, -1e200, 1e200, rng.randint(0, 3) * 1.0]) for _ in range(rng.choice([1, 2, 3, 10, 999, 1000]))]
+        rows += [(k, v) for v in values] + [(k, None)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    got = {r.k: r.m for r in grouped_median(df, ["k"], "v", "m").collect()}
+    for k in range(40):
+        values = sorted(v for g, v in rows if g == k and v is not None)
+        lo, hi = statistics.median_low(values), statistics.median_high(values)
+        assert got[k] == lo + (hi - lo) * 0.5

@@ -39,6 +39,15 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def forget(*frames: DataFrame) -> None:
+    """Delete the files of stored frames, of which nothing will be read any more: all that was made from them is stored."""
+    for df in frames:
+        file = df._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if file.isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Tables:
     """Tables of one run in the shared checkpoint folder: written as Parquet, read again, and deleted when not needed any more.
 

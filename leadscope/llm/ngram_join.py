@@ -39,7 +39,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, bucket_count, doc_key, exchange, grouped_words, having, joined_answers, mix, pack_keys, prepare, range_hash, stored
+from ..functions.joins import join_groups
+from .common import blocks, bucket_count, doc_key, exchange, forget, grouped_words, having, joined_answers, mix, pack_keys, prepare, range_hash, stored
 
 GRAM = 5
 SHARE = 80  # percent of the union
@@ -131,7 +132,9 @@ def _members(documents: DataFrame) -> DataFrame:
                                        pa.array(r["high"], pa.int64()), pa.array(r["low"], pa.int64()), pa.array(candidate)], names=[c.split()[0] for c in _MEMBER.split(", ")])
 
     rows = stored(documents.select(*doc_key(), F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(cut, _BLOCK))
-    return stored(rows.drop("parts").join(exchange(rows), "block", "left").mapInArrow(decide, _MEMBER))
+    out = stored(rows.drop("parts").join(exchange(rows), "block", "left").mapInArrow(decide, _MEMBER))
+    forget(rows)
+    return out
 
 
 def _nodes(documents: DataFrame, members: DataFrame) -> DataFrame:
@@ -153,7 +156,9 @@ def _nodes(documents: DataFrame, members: DataFrame) -> DataFrame:
                                        pa.array([int.from_bytes(d[8:], "little", signed=True) for d in digests[part]], pa.int64()),
                                        pa.array([len(s) // 8 for s in sets[part]], pa.int32()), pa.array(sets[part], pa.binary())], names=[c.split()[0] for c in schema.split(", ")])
 
-    return stored(fetched.mapInArrow(build, schema).withColumn("node", F.monotonically_increasing_id()))
+    out = stored(fetched.mapInArrow(build, schema).withColumn("node", F.monotonically_increasing_id()))
+    forget(wanted)
+    return out
 
 
 def _tokens(nodes: DataFrame, heavy: np.ndarray) -> DataFrame:
@@ -282,10 +287,17 @@ def _open_lists(rows: DataFrame, connected: DataFrame) -> DataFrame:
 def _links(nodes: DataFrame, heavy: np.ndarray, short: int, orders: int) -> DataFrame:
     """a, b: enough links to connect all linked sets."""
     def tested(pairs: DataFrame) -> DataFrame:
-        return _verified(_filtered(stored(pairs.distinct()), nodes, heavy, orders), nodes)
-
-    lists = _lists(_tokens(nodes, heavy)).join(_single(nodes), "node", "left").withColumn("held", F.col("n") - F.coalesce("single", F.lit(0)))
+        made = stored(pairs.distinct())
+        left = _filtered(made, nodes, heavy, orders)
+        forget(made)
+        out = _verified(left, nodes)
+        forget(left)
+        return out
+
+    inverted = _lists(_tokens(nodes, heavy))
+    lists = inverted.join(_single(nodes), "node", "left").withColumn("held", F.col("n") - F.coalesce("single", F.lit(0)))
     lists = stored(lists.filter(100 * F.col("held") >= SHARE * F.col("n")).select("token", "node", "n", "held"))
+    forget(inverted)
     # a list's pivot is the member with the fewest shingles of its own: what it has in common with others is most
     pivot = F.min(F.struct((-1000 * F.col("held") / F.col("n")).cast("int").alias("rank"), *[F.col(c) for c in ("node", "n", "held")])).alias("pivot")
     # first one pair for every node: with the best pivot of its lists; this connects most of a group of near copies
@@ -295,7 +307,8 @@ def _links(nodes: DataFrame, heavy: np.ndarray, short: int, orders: int) -> Data
     # every node has one pair so far, so following it twice is enough to see most of what is connected
     up = own.join(links, (F.col("a") == F.least("node", "to")) & (F.col("b") == F.greatest("node", "to")), "left_semi")
     up = up.join(up.select(F.col("node").alias("to"), F.col("to").alias("top")), "to", "left").select("node", F.coalesce("top", "to").alias("component"))
-    lists = _open_lists(lists, up)
+    before, lists = lists, _open_lists(lists, up)
+    forget(before, own)
     for _ in range(ROUNDS):
         if lists.isEmpty():
             return links
@@ -310,7 +323,8 @@ def _links(nodes: DataFrame, heavy: np.ndarray, short: int, orders: int) -> Data
         pairs = pairs.unionByName(outer.select(F.least("node", "pivot.node").alias("a"), F.greatest("node", "pivot.node").alias("b")))
         links = links.unionByName(tested(pairs))
         # lists of one pivot go on as one
-        lists = _open_lists(rays.select(F.col("pivot.node").alias("token"), "node", "n", "held").distinct(), components(links))
+        before, lists = lists, _open_lists(rays.select(F.col("pivot.node").alias("token"), "node", "n", "held").distinct(), components(links))
+        forget(before, rays)
     return links if lists.isEmpty() else links.unionByName(_verified(_in_squares(lists, nodes, heavy, orders).distinct(), nodes))
 
 
@@ -351,7 +365,8 @@ def components(links: DataFrame) -> DataFrame:
         # small star: so do the smaller neighbours and the node itself
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
-        edges = stored(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        before, edges = edges, stored(joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+        forget(before)
         now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:
             return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
@@ -364,15 +379,15 @@ def joined(documents: DataFrame, heavy: int = HEAVY, frequent: int = FREQUENT, s
     members = _members(documents)
     nodes = _nodes(documents, members)
     part = components(_links(nodes, _heavy(nodes, heavy, frequent), short, orders))
-    # per distinct set: its component; the smallest id of a component's rows
-    of_set = nodes.join(part, "node", "left").groupBy("high", "low").agg(F.min(F.coalesce("component", "node")).alias("component"))
-    ids = members.filter("n_shingles > 0").groupBy("high", "low").agg(F.min("doc_id").alias("own"))
-    named = ids.join(of_set, ["high", "low"], "left")
-    smallest = named.filter("component IS NOT NULL").groupBy("component").agg(F.min("own").alias("least"))
-    named = named.join(smallest, "component", "left").select("high", "low", F.coalesce("least", "own").alias("component_id"))
+    # per distinct set: its rows and smallest id; of linked sets the component, and the smallest id of this
+    sets = members.filter("n_shingles > 0").groupBy("high", "low").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("own"))
+    of_set = nodes.join(part, "node").groupBy("high", "low").agg(F.min("component").alias("component"))
+    met = stored(sets.join(of_set, ["high", "low"]))
+    least = met.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("least"))
+    met = join_groups(met, least, ["component"], "n").select("high", "low", F.lit(True).alias("met"), F.coalesce("least", "own").alias("least"))
+    named = sets.join(met, ["high", "low"], "left").withColumn("component_id", F.when(F.col("met"), F.col("least")).otherwise(F.col("own")))
     # rows of one set may be a third of all: the names of sets with several rows or links are joined, all others keep their own id
-    shared = members.filter("n_shingles > 0").groupBy("high", "low").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("own"))
-    named = named.join(shared, ["high", "low"]).filter(~F.col("component_id").eqNullSafe(F.col("own")) | (F.col("rows") > 1)).select("high", "low", F.lit(True).alias("named"), "component_id")
+    named = named.filter(~F.col("component_id").eqNullSafe(F.col("own")) | (F.col("rows") > 1)).select("high", "low", F.lit(True).alias("named"), "component_id")
     out = members.join(named, ["high", "low"], "left")
     set_id = F.when(F.col("n_shingles") == 0, F.col("doc_id")).when(F.col("named"), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", set_id.alias("component_id"), "th")

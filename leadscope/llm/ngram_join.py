@@ -381,7 +381,8 @@ def joined(documents: DataFrame, heavy: int = HEAVY, frequent: int = FREQUENT, s
     part = components(_links(nodes, _heavy(nodes, heavy, frequent), short, orders))
     # per distinct set: its rows and smallest id; of linked sets the component, and the smallest id of this
     sets = members.filter("n_shingles > 0").groupBy("high", "low").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("own"))
-    of_set = nodes.join(part, "node").groupBy("high", "low").agg(F.min("component").alias("component"))
+    stars = part.unionByName(part.select(F.col("component").alias("node"), "component")).distinct()  # with their centres
+    of_set = nodes.join(stars, "node").groupBy("high", "low").agg(F.min("component").alias("component"))
     met = stored(sets.join(of_set, ["high", "low"]))
     least = met.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("own").alias("least"))
     met = join_groups(met, least, ["component"], "n").select("high", "low", F.lit(True).alias("met"), F.coalesce("least", "own").alias("least"))

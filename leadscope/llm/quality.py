@@ -17,6 +17,7 @@ words. Other columns are untouched.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -106,7 +107,7 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], buckets: int = BUCKETS
             y, found, counts = rows[i]
             lr = np.float32(rate * (1 - steps / total) * weight[y])
             steps += 1
-            share = (counts / max(1, counts.sum())).astype(np.float32)
+            share = (counts / max(1, counts.sum(dtype=np.int64))).astype(np.float32)
             hidden = share @ model.vectors[found]
             z = hidden @ model.weights + model.bias
             p = np.exp(z - z.max())
@@ -119,6 +120,16 @@ def train(rows: list[tuple[int, np.ndarray, np.ndarray]], buckets: int = BUCKETS
     return model
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Numbers in the fewest bytes that hold them all (named by the first byte), compressed: the driver keeps the sample."""
+    kind = np.min_scalar_type(int(x.max(initial=0)))
+    return kind.char.encode() + zlib.compress(x.astype(kind).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data[1:]), dtype=np.dtype(data[:1].decode()))
+
+
 def learnable() -> Column:
     """Documents whose labels may be learned from."""
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
@@ -144,12 +155,12 @@ def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, buckets:
                 for found in text_buckets(text, buckets):
                     tally += np.bincount(found, minlength=buckets)
                 found = np.flatnonzero(tally)
-                out.append((doc_id, y, found.astype(np.int32).tobytes(), tally[found].astype(np.int32).tobytes()))
+                out.append((doc_id, y, _packed(found), _packed(tally[found])))
             yield pd.DataFrame(out, columns=["doc_id", "y", "found", "counts"])
 
     # copies of an id would unbound the sample: again the first `sample` rows
     rows = texts.mapInPandas(count, "doc_id long, y int, found binary, counts binary").orderBy("doc_id", "y", "found", "counts").limit(sample).collect()
-    return train([(r.y, np.frombuffer(r.found, dtype=np.int32), np.frombuffer(r.counts, dtype=np.int32)) for r in rows], buckets)
+    return train([(r.y, _unpacked(r.found), _unpacked(r.counts)) for r in rows], buckets)
 
 
 def score(text: Column, model: QualityModel) -> Column:

@@ -5,9 +5,10 @@ dictionary, and the language whose dictionary makes it smallest wins. Where the
 byte below ``MARGIN``) the decision is marked as rejected.
 
 Learning reads the texts of a bounded sample (``SAMPLE`` documents a language, the smallest by a hash of their id;
-``DICT_BYTES`` of letters a language, the first ``DOC_BYTES`` of each sampled text). Every language gets a dictionary;
+``DICT_BYTES`` of letters a language, ``DOC_BYTES`` of each sampled text, in ``PLACES`` pieces spread evenly over all of it). Every language gets a dictionary;
 where there are many, samples and dictionaries are smaller, so that all together stay within ``TOTAL_BYTES``. Prediction reads every whole
-text. Only letters count: texts are lower-cased, everything else becomes one space.
+text. Only letters count (Unicode's category L: no digits, fractions, superscripts or Roman numeral signs): texts are
+lower-cased, everything else becomes one space.
 
 Edge cases: a null text or one without letters gets `und`, score 0, rejected. Ties go to the first language in
 alphabetical order, are rejected, and score as a tie. Rows are judged one by one; repeated rows get equal results.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -29,6 +31,7 @@ from .common import prepare, sampled
 
 SAMPLE = 400
 DOC_BYTES = 1 << 10
+PLACES = 4
 DICT_BYTES = 192 << 10
 TOTAL_BYTES = 200 * DICT_BYTES
 #: Compressors kept in a process; with more languages they are made anew for each ``TEXTS`` texts.
@@ -36,14 +39,23 @@ KEPT, TEXTS = 200, 256
 PIECE = 32 << 10
 MARGIN = 0.004
 UNKNOWN = "und"
-_OTHER = re.compile(r"[\W\d_]+")
+
+
+@lru_cache(maxsize=None)
+def _other() -> re.Pattern:
+    """Runs of characters that aren't letters: what the re module's words hold besides letters and digits is found by rule."""
+    signs = [c for c in range(0x110000) if chr(c).isalnum() and not chr(c).isalpha() and not chr(c).isdecimal()]
+    starts = [c for c, before in zip(signs, [-9, *signs]) if c != before + 1]
+    ends = [c for c, after in zip(signs, [*signs[1:], -9]) if c != after - 1]
+    # ranges: the search tries every member of a class at every character
+    return re.compile(r"[\W\d_" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]+")
 
 
 def letters(text: str | None) -> bytes:
     """The text's letters in lower case, one space for anything between."""
     if not text:
         return b""
-    return _OTHER.sub(" ", text).strip().lower().encode("utf-8", "replace")
+    return _other().sub(" ", text).strip().lower().encode("utf-8", "replace")
 
 
 def pieces_of(data: bytes, size: int = PIECE) -> list[bytes]:
@@ -122,11 +134,15 @@ def fit(documents: DataFrame, sample: int = SAMPLE, dict_bytes: int = DICT_BYTES
     each = max(1, min(dict_bytes, total_bytes // languages))
     sample = max(1, min(sample, sample * each // dict_bytes + 1))
     doc_bytes = min(DOC_BYTES, each)
-    part = rows.select("lang", "doc_id", F.substring("text", 1, 2 * doc_bytes).alias("text"))
+    # a text of some length gives pieces that begin at even distances, a short one is a piece by itself
+    size = -(-2 * doc_bytes // PLACES)
+    begins = F.transform(F.sequence(F.lit(0), F.lit(PLACES - 1)), lambda i: F.floor(i * F.length("text") / PLACES).cast("int"))
+    spread = F.transform(begins, lambda b: F.col("text").substr(b + 1, F.lit(size)))
+    taken = F.when(F.length("text") > PLACES * size, spread).when(F.col("text").isNotNull(), F.array("text"))
     pieces: dict[str, list[bytes]] = {}
     # at most `sample` rows of 2 * doc_bytes characters a language, by construction
-    for r in sampled(part, "lang", sample).orderBy("lang", "doc_id", "text").collect():
-        pieces.setdefault(r.lang, []).append(letters(r.text)[:doc_bytes])
+    for r in sampled(rows.select("lang", "doc_id", taken.alias("taken")), "lang", sample).orderBy("lang", "doc_id", "taken").collect():
+        pieces.setdefault(r.lang, []).extend(letters(piece)[: doc_bytes // len(r.taken) or 1] for piece in r.taken or [])
     dictionaries = {lang: content[:each] for lang, p in pieces.items() if (content := b" ".join(p)).strip()}
     return LanguageModel(dictionaries)
 

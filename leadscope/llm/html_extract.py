@@ -33,7 +33,9 @@ import html
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -46,46 +48,83 @@ from .common import prepare, range_hash, word_hashes
 RUN, PAGES, SHARE, COVERED, GROUP, HOSTS = 8, 3, 30, 0.5, 512, 200_000
 #: The token of a block's end.
 EDGE = np.uint64(0x5851F42D4C957F2D)
-#: HTML's element names by their part in a page.
-SKIPPED = frozenset("script style noscript template svg math iframe object canvas select textarea option button head title datalist audio video map".split())
+#: HTML's element names by their part in a page; all others, unknown ones too, are inline.
+RAW = frozenset("script style textarea title iframe".split())
+SKIPPED = RAW | frozenset("noscript template svg math object canvas select option button datalist audio video map".split())
+NESTED = frozenset("template svg math object map".split())
 OUTSIDE = frozenset("nav footer aside form menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
+BLOCK = frozenset("""address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer
+form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li link listing main menu meta nav ol optgroup p plaintext pre search section
+summary table tbody td tfoot th thead tr ul""".split())
 CONTAINER = frozenset("article main".split())
-#: Words in class, id and role that name a part of a page that isn't its article.
+#: Elements whose start ends those named, as their end tags may be left out.
+ENDS = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+#: Words that name a part of a page that isn't its article, as a class, an id or a role.
 MARKS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus
 footer form masthead menu nav navbar navigation newsletter notice notices notification pagination popup promo related respond
-copyright disclaimer legal share sharing sidebar sitenav social sponsor sponsored subscribe subscription toolbar widget complementary contentinfo search alert""".split())
+copyright disclaimer legal share sharing sidebar sitenav social sponsor sponsored subscribe subscription toolbar widget""".split())
+ROLES = MARKS | frozenset("complementary contentinfo search alert".split())
+#: Words that say where or how such a part stands; a name of other words besides (`social-science`) marks nothing.
+PLACES = frozenset("""area bar block body bottom box button buttons card center column container content footer fixed global group header holder icons inline inner
+item items left line link links list main message mobile overlay page panel post posts primary right row secondary section site slot small
+text thread top unit wrap wrapper""".split())
 #: With them `header` is the page's, alone or with other words the article's.
 HEADERS = frozenset("site page top global main masthead".split())
-_TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|itemprop|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+# a quote opens a value only behind an equals sign, and only where another one closes it
+_TAG = re.compile(r"""<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*"[^"]*"|=\s*'[^']*'|=)*+)(?:>|$)""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s=/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|(\S*)))?""")
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
+def _named(value: str, marks: frozenset) -> bool:
+    """Whether one of the names (by white space) consists of marks, of words for places and of numbers, a mark at least."""
+    for token in value.split():
+        words = set(_SPLIT.split(token)) - {""}
+        if words == {"header"} or "header" in words and not HEADERS.isdisjoint(words):
+            return True
+        if not marks.isdisjoint(words) and all(w in marks or w in PLACES or w.isdigit() for w in words):
+            return True
+    return False
+
+
 def _marked(name: str, attributes: str) -> tuple[bool, bool]:
     """Whether the element is marked as something else than the article; whether it is the article's body."""
     outside = container = False
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), (a or b or c).lower()
-        if key == "itemprop":
-            container |= value == "articlebody"
-        elif key == "role" and value in ("main", "article"):
-            container = True
-        elif key == "hidden" or key == "aria-hidden" and value == "true":
-            outside |= key == "hidden"
-        else:
-            words = set(_SPLIT.split(value)) - {""}
-            outside |= not MARKS.isdisjoint(words) or words == {"header"} or "header" in words and not HEADERS.isdisjoint(words)
+        key = key.lower()
+        if key == "hidden":
+            outside = True
+        elif key in ("class", "id", "role"):
+            value = (a or b or c).lower()
+            if key == "role" and value in ("main", "article"):
+                container = True
+            else:
+                outside |= _named(value, ROLES if key == "role" else MARKS)
+        elif key == "itemprop":
+            container |= (a or b or c).lower() == "articlebody"
     return outside and name not in ("html", "body"), container
 
 
+@lru_cache(maxsize=None)
+def _end(name: str) -> re.Pattern:
+    """What ends a skipped element: its end tag or, unless it holds plain text, what shows that it has none."""
+    stops = "" if name in RAW else "|<(?:article|main|body)\\b" + ("" if name in NESTED else rf"|<{name}\b")
+    return re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|$){stops}", re.I)
+
+
 def page_blocks(page: str | None) -> list[tuple[int, str]]:
-    """(zone, text) per block in page order; zone: 0 outside by markup, 1 neither, 2 in a main container."""
+    """(zone, text) per block in page order; zone: 0 outside by markup, 1 neither, 2 in a main container.
+
+    Time grows with the page alone, whatever its markup: what ends a skipped element is searched once per place, and
+    end tags without an element are told by the number of open ones.
+    """
     out: list[tuple[int, str]] = []
     if not page:
         return out
     stack: list[tuple[str, int]] = []  # element, zone of what it holds
+    opened: Counter[str] = Counter()
+    ends: dict[str, re.Match | None] = {}
     zone, held, at = 1, [], 0
 
     def end_block() -> None:
@@ -94,60 +133,75 @@ def page_blocks(page: str | None) -> list[tuple[int, str]]:
         if text:
             out.append((zone, text))
 
-    for tag in _TAG.finditer(page):
-        if tag.start() < at:
-            continue
+    def push(name: str, new: int) -> None:
+        nonlocal zone
+        stack.append((name, new))
+        opened[name] += 1
+        zone = new
+
+    def pop() -> str:
+        nonlocal zone
+        name = stack.pop()[0]
+        opened[name] -= 1
+        zone = stack[-1][1] if stack else 1
+        return name
+
+    def end_of(name: str) -> int | None:
+        """Where a skipped element ends; None if it isn't closed."""
+        if name not in ends or ends[name] is not None and ends[name].start() < at:
+            ends[name] = _end(name).search(page, at)
+        end = ends[name]
+        if end is None:
+            return len(page) if name in RAW else None
+        return end.end() if end[0].startswith("</") else None
+
+    # matches are sought from `at` on, so that nothing inside of a skipped element hides what follows it
+    while tag := _TAG.search(page, at):
         held.append(page[at : tag.start()])
         at = tag.end()
         name = (tag[2] or "").lower()
         if not name:
             continue
         if tag[1]:
-            places = [i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name][:1]
-            if name not in INLINE:
+            if name in BLOCK:
                 end_block()
-            if places:
-                del stack[places[0] :]
-                zone = stack[-1][1] if stack else 1
+            if opened[name]:
+                if name not in BLOCK:
+                    end_block()
+                while pop() != name:
+                    pass
             continue
+        closed = tag[3].rstrip().endswith("/")
         if name in SKIPPED:
-            if name not in VOID and not tag[3].rstrip().endswith("/"):
-                close = re.compile(rf"</{re.escape(name)}\b[^>]*(?:>|$)", re.I).search(page, at)
-                if name in ("head", "svg", "math", "map", "object"):
-                    close = close or re.compile(r"<body\b", re.I).search(page, at)
-                at = (close.end() if close and close[0].startswith("</") else close.start() if close else len(page))
-            if name not in ("button", "svg"):
+            end = at if closed and name not in RAW else end_of(name)
+            if name not in ("button", "svg") or end is None:
                 end_block()
+            at = at if end is None else end
             continue
-        if name in INLINE:
+        if name not in BLOCK:
             if name == "br":
                 held.append(" ")
-            outside = False
-            if name not in VOID:
-                outside, _ = _marked(name, tag[3]) if tag[3] else (False, False)
+            if name not in VOID and not closed:
+                outside = bool(tag[3]) and _marked(name, tag[3])[0]
                 if outside:
                     end_block()
-                    stack.append((name, 0))
-                    zone = 0
+                if outside or opened[name]:
+                    push(name, 0 if outside else zone)
             continue
         end_block()
-        if name in VOID:
+        if name in VOID or name == "head":
             continue
-        if name in ("p", "li", "dt", "dd", "tr", "td", "th"):  # their end tags may be left out
-            ends = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}[name]
-            while stack and stack[-1][0] in ends:
-                stack.pop()
-            zone = stack[-1][1] if stack else 1
+        while stack and stack[-1][0] in ENDS.get(name, ()):
+            pop()
         outside, container = _marked(name, tag[3]) if tag[3] else (False, False)
+        if closed:
+            continue
         if zone and (outside or name in OUTSIDE or name == "header" and zone == 1):
-            new = 0
+            push(name, 0)
         elif zone and (container or name in CONTAINER):
-            new = 2
+            push(name, 2)
         else:
-            new = zone
-        if not (tag[3].rstrip().endswith("/")):
-            stack.append((name, new))
-            zone = new
+            push(name, zone)
     held.append(page[at:])
     end_block()
     return out

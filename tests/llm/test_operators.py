@@ -299,3 +299,47 @@ def test_html_containers(spark):
     assert [got[k] for k in range(4)] == [f"Title {k} of it\n\n{sentence(k, 40)}" for k in range(4)]
     got = html_texts(html_pages(spark, teaser))
     assert [got[k] for k in range(4)] == [f"{sentence(20 + k, 40)}\n\n{sentence(40 + k, 12)}" for k in range(4)]
+
+
+def test_html_legal_but_careless_markup():
+    def kept(page):
+        return [text for zone, text in html_extract.page_blocks(page) if zone]
+
+    assert kept("<head><title>t</title><p>One") == ["One"]
+    assert kept("<p>One.<button>x<article><p>Two</article>") == ["One.", "x", "Two"]
+    assert kept("<p>a<video src=x><p>b<article>c</article>") == ["a", "b", "c"]
+    assert kept("<p>a<button>no</button>b<button>no</button>c<video>no</video>") == ["abc"]
+    assert kept("<article><p data-x=it's>A</p><p>That's</p></article>") == ["A", "That's"]
+    assert kept('<p title="foo>Text of it') == ["Text of it"] and kept('<p title="a > b">Text') == ["Text"]
+    assert kept("c <d e> f</d> g") == ["c f g"]
+    assert kept("<p>x<script>if (a < b) '</p>'</script>y<!-- z -->") == ["x", "y"]
+    for name in ("social-science", "related-work", "share-price", "search", "ad-hoc", "notice-period"):
+        assert kept(f"<article><div class='{name}'>in</div></article>") == ["in"], name
+    for name in ("social", "share-bar", "ad ad-top", "x sidebar-left", "cookie_notice", "site-header", "ad-3"):
+        assert kept(f"<article>a<div class='{name}'>out</div>b</article>") == ["a", "b"], name
+    assert kept("<p title='a class=ad b'>in</p>") == ["in"]
+    assert kept("<p><span class=ad>Buy <span>now</span> cheap</span> ok") == ["ok"]
+
+
+def test_html_time_grows_with_the_page_alone():
+    import time
+
+    for unit in ("</i></div></x>", "<button>x", "<svg>", "<span class=ad>", "<p a='\"'", "<select><option>"):
+        begin = time.process_time()
+        html_extract.page_blocks("<div>" * 100_000 + unit * 100_000)
+        assert time.process_time() - begin < 20, unit
+
+
+def test_language_letters_and_places(spark):
+    assert langid.letters("²½Ⅷ①_7٣") == b"" and langid.letters("Aª²b") == "aª b".encode()
+    model = langid.LanguageModel({"a": b"abc " * 99, "b": b"xyz " * 99})
+    assert all(model.predict(t) == ("und", 0.0, True) for t in ("½", "²", "", None, "12 ①"))
+    even = langid.LanguageModel({"b": b"abc " * 99, "a": b"abc " * 99})
+    assert even.predict("abc abc")[0] == "a" and even.predict("abc abc")[2]  # a tie: the first name, rejected
+    # what stands late in a long text is learned too
+    text = "kuzu " * 4000 + "mira " * 4000
+    rows = spark.createDataFrame([(k, text, "x") for k in range(12)] + [(k, None, "y") for k in range(12)], "doc_id long, text string, lang string")
+    found = langid.fit(rows)
+    assert b"kuzu" in found.dictionaries["x"] and b"mira" in found.dictionaries["x"] and "y" not in found.dictionaries
+    assert langid.predicted(rows.limit(0), found).count() == 0
+    assert {r.lang_pred for r in langid.predicted(rows.withColumn("score", rows.doc_id), found).collect()} == {"x", "und"}

@@ -20,6 +20,7 @@ from .plans import datasets as ds
 from .plans import loaders as ld
 from .plans import reports_pv as rp
 from .plans import reports_vr as rv
+from .plans import retention as rt
 from .sources import fixtures as fx
 from .sources import ingest as ing
 from .sources import render as rd
@@ -100,6 +101,9 @@ def _rule_queries() -> dict[str, Query]:
         "frd7_levels": lambda s, d: fr.fraud_scores(fx.leads(s, d)).groupBy("risk_level").agg(
             F.count(F.lit(1)).alias("leads"), F.count_if("is_likely_fake").cast("bigint").alias("likely_fake")),
         "doc1_lead_clusters": lambda s, d: dup.duplicate_clusters(fx.leads(s, d)),
+        "doc3_retained": lambda s, d: rt.retained(fx.pv(s, d), PV).select("task_id", "last_modified_date"),
+        "doc4_completeness": lambda s, d: rt.completeness_flags(ru.validate_leads(fx.leads(s, d))),
+        "doc6_hourly_fraud": lambda s, d: rt.hourly_pattern(fx.pv(s, d)),
         "val2_email": lambda s, d: v(s, d).select("lead_id", "email_valid", "email_score", _joined("email_issues")),
         "val3_domain_typos": lambda s, d: ru.domain_typos(fx.leads(s, d)).select(
             F.col("_domain").alias("domain"), F.col("_typo").alias("typo")),
@@ -237,7 +241,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import banded, datasets, duplicates, etl, loaders, pv_reports, rules, vr_reports
+    from .oracle import banded, datasets, duplicates, etl, loaders, pv_reports, retention, rules, vr_reports
     out: dict[str, str] = {}
     out.update(datasets.ORACLE)
     out.update(etl.ORACLE)
@@ -246,6 +250,7 @@ def oracle() -> dict[str, str]:
     out.update(pv_reports.ORACLE)
     out.update(banded.ORACLE)
     out.update(duplicates.ORACLE)
+    out.update(retention.ORACLE)
     out.update(vr_reports.ORACLE)
     return {k: v for k, v in out.items() if k in queries()}
 
@@ -324,6 +329,7 @@ def _stream_queries() -> dict[str, Query]:
 def _primitive_queries() -> dict[str, Query]:
     from pyspark.sql import Window as W
 
+    from .functions import scores as S
     from .functions.exprs import rank_by, trunc_ntz
     from .functions.quantiles import grouped_median
 
@@ -333,16 +339,14 @@ def _primitive_queries() -> dict[str, Query]:
             F.count(F.lit(1)).alias("validations"), F.sum("data_quality_score").alias("_s"))
 
     def listagg(s, d):
-        from .functions import scores as S
         rows = ld.date_range_filter(S.good_rows(fx.pv(s, d)), *RANGE)
-        label = F.when(S.is_fake(), F.concat(F.coalesce("api_first_name", F.lit("")), F.lit(" "),
-                                             F.coalesce("api_last_name", F.lit("")), F.lit(" ("), "task_id", F.lit(")")))
-        return (rows.withColumn("_label", label)
+        return (rows.withColumn("_label", rp.fake_lead_label())
                 .groupBy(trunc_ntz("day", "created_date").alias("day"), S.source().alias("lead_source"))
                 .agg(F.expr("listagg(_label, '; ') WITHIN GROUP (ORDER BY task_id)").alias("fake_leads_list")))
 
     return {
         "agg12_listagg": listagg,
+        "agg12_list_chunks": lambda s, d: rp.fake_lead_chunks(fx.pv(s, d), size=5),
         "agg10_median": lambda s, d: grouped_median(
             fx.vr(s, d).withColumn("lead_source", F.coalesce("lead_source", F.lit("Unknown"))),
             ["lead_source"], "overall_score", "median_overall_score"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import contains_any, ladder, messages
 from ..functions.text import digits, filled, fuzzy_ratio, is_upper, strip
+from ..sources.sinks import checkpointed
 from . import fraud as fraud_ops
 
 # Field lists, patterns and weights of the rule engine.
@@ -42,6 +43,8 @@ ISSUES = {"email_required": "Email is required", "email_invalid": "Invalid email
 EMAIL_SYNTAX = (r"^[A-Za-z0-9!#$%&'*+/=?^_{|}~-]+(\.[A-Za-z0-9!#$%&'*+/=?^_{|}~-]+)*"
                 r"@([A-Za-z0-9]([A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}$")
 PHONE_CHARS = r"^[0-9()+.\- ]+$"
+#: Domains that are broadcast at most.
+TYPO_ROWS = 200_000
 NANP = r"^1?[2-9][0-9]{2}[2-9][0-9]{6}$"
 
 
@@ -59,9 +62,11 @@ def domain_typos(leads: DataFrame, email: str = "Email", common: Sequence[str] =
     it when small and shuffle otherwise)."""
     dom = F.lower(F.get(F.split(F.col(email), "@"), 1))
     doms = leads.select(dom.alias("_domain")).filter(F.col("_domain").isNotNull()).distinct()
-    hit = None
+    length, hit = F.length("_domain"), None
     for c in common:
-        r = fuzzy_ratio(F.col("_domain"), F.lit(c))
+        # common characters are the shorter length at most, so other lengths can't reach the ratio (59.5 is rounded up)
+        near = 200 * F.least(length, F.lit(len(c))) >= 59.5 * (length + len(c))
+        r = F.when(near, fuzzy_ratio(F.col("_domain"), F.lit(c)))
         cond = (r >= 60) & (r < 90)
         hit = F.when(cond, F.lit(c)) if hit is None else hit.when(cond, F.lit(c))
     return doms.select("_domain", hit.alias("_typo"))
@@ -179,13 +184,21 @@ def status_ladder(score: Column) -> Column:
                    (score >= 0.4, "Poor")], "Invalid")
 
 
+def _with_typos(leads: DataFrame, most: int = TYPO_ROWS) -> DataFrame:
+    """Leads with ``_typo``. Only distinct domains that have one are joined. Up to ``most`` of them are broadcast, so no
+    lead is shuffled, whatever part of all leads a domain has; beyond that the join shuffles by domain and leaves a
+    domain that is too large for a task to Spark's skew handling."""
+    hits = checkpointed(domain_typos(leads).filter(F.col("_typo").isNotNull()))
+    few = hits.limit(most + 1).count() <= most
+    dom = F.lower(F.get(F.split(F.col("Email"), "@"), 1))
+    return leads.withColumn("_domain", dom).join(F.broadcast(hits) if few else hits, "_domain", "left").drop("_domain")
+
+
 def validate_leads(leads: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
     """VAL-1: every check, the weighted quality score, the fraud score, the
     combined score and the status, for every lead (input columns kept)."""
     fields = list(fields) if fields is not None else [c for c, t in leads.dtypes if t == "string"]
-    typos = domain_typos(leads)
-    dom = F.lower(F.get(F.split(F.col("Email"), "@"), 1))
-    df = leads.withColumn("_domain", dom).join(typos, "_domain", "left").drop("_domain")
+    df = _with_typos(leads)
     cols: dict[str, Column] = {}
     cols.update(_email_cols(F.col("Email"), F.col("_typo")))
     cols.update(_phone_cols(F.col("Phone")))
@@ -222,17 +235,21 @@ def _details_json() -> Column:
 
 def validation_results(leads: DataFrame, as_of) -> DataFrame:
     """VAL-12: materialise ``validation_results`` (0-1 scores + lead attributes)
-    from raw leads; ``validation_timestamp`` is the run's ``as_of`` instant."""
+    from raw leads; ``validation_timestamp`` is the run's ``as_of`` instant.
+    CreatedDate, LastModifiedDate and ConvertedDate pass through where leads have them and are NULL otherwise."""
     v = validate_leads(leads)
     ts = F.lit(str(as_of)).cast("timestamp_ntz")
-    null_ts = F.lit(None).cast("timestamp_ntz")
+
+    def lead_date(name: str) -> Column:
+        return (F.col(name) if name in leads.columns else F.lit(None)).cast("timestamp_ntz")
+
     return v.select(
         F.col("Id").alias("lead_id"), ts.alias("validation_timestamp"), "overall_score", "data_quality_score",
         "fraud_score", "validation_status", _details_json().alias("validation_details"),
         F.col("FirstName").alias("first_name"), F.col("LastName").alias("last_name"), F.col("Email").alias("email"),
         F.col("Phone").alias("phone"), F.col("Company").alias("company"), F.col("Status").alias("status"),
-        F.col("LeadSource").alias("lead_source"), null_ts.alias("created_date"), null_ts.alias("last_modified_date"),
-        null_ts.alias("converted_date"), (F.lower(F.coalesce("Status", F.lit(""))) == "converted").alias("is_converted"))
+        F.col("LeadSource").alias("lead_source"), lead_date("CreatedDate").alias("created_date"),
+        lead_date("LastModifiedDate").alias("last_modified_date"), lead_date("ConvertedDate").alias("converted_date"), (F.lower(F.coalesce("Status", F.lit(""))) == "converted").alias("is_converted"))
 
 
 def issues_long(validated: DataFrame) -> DataFrame:

@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scores as S
+from ..functions.chunks import SIZE, ordered_chunks
 from ..functions.exprs import (as_of_ts, count_if, date_diff_days, day, days_before, dbl, flag, ladder,
-                               pct, rank_by, rate, ratio, round_half_away)
+                               pct, rank_by, rate, ratio, round_half_away, trunc_ntz)
 
 # Sources treated as high volume by the status-anomaly report.
 HIGH_VOLUME_SOURCES = ("businessloans.com", "Lending Tree", "Fundera")
@@ -435,6 +436,19 @@ def fake_leads_detail(pv: DataFrame, ordered: bool = False) -> DataFrame:
 
 # --------------------------------------------------------------------- VW-7
 
+def fake_lead_label() -> Column:
+    """"first last (task)" of a fake lead; NULL for others."""
+    name = F.concat(F.coalesce("api_first_name", F.lit("")), F.lit(" "), F.coalesce("api_last_name", F.lit("")))
+    return F.when(S.is_fake(), F.concat(name, F.lit(" ("), F.col("task_id"), F.lit(")")))
+
+
+def fake_lead_chunks(pv: DataFrame, size: int = SIZE) -> DataFrame:
+    """VW-7's lists of fake leads for every day and source, in pieces of ``size`` leads: day, lead_source, chunk, n,
+    fake_leads. Where a source's day is too long for one string, read this in place of ``fake_leads_list``."""
+    rows = S.good_rows(pv).select(trunc_ntz("day", "created_date").alias("day"), S.source().alias("lead_source"), "task_id", fake_lead_label().alias("_label"))
+    return ordered_chunks(rows, ["day", "lead_source"], ["task_id"], "_label", "fake_leads", size)
+
+
 def daily_fake_leads_by_source(pv: DataFrame, as_of, ordered: bool = True) -> DataFrame:
     """VW-7: today's (``as_of``) fake-lead counts per source with risk, ranks,
     alerts, the ordered list of fake leads, status and action.
@@ -447,9 +461,7 @@ def daily_fake_leads_by_source(pv: DataFrame, as_of, ordered: bool = True) -> Da
     fake = S.is_fake()
     rows = S.good_rows(pv).filter((F.col("created_date") >= start)
                                   & (F.col("created_date") < start + F.expr("INTERVAL 1 DAY")))
-    label = F.when(fake, F.concat(F.coalesce("api_first_name", F.lit("")), F.lit(" "),
-                                  F.coalesce("api_last_name", F.lit("")), F.lit(" ("), F.col("task_id"), F.lit(")")))
-    a = (rows.withColumn("_label", label)
+    a = (rows.withColumn("_label", fake_lead_label())
          .groupBy(S.source().alias("lead_source"))
          .agg(F.count(F.lit(1)).alias("total_leads_today"),
               count_if(fake).alias("fake_leads_count"),

@@ -101,7 +101,7 @@ def _rule_queries() -> dict[str, Query]:
         "frd7_levels": lambda s, d: fr.fraud_scores(fx.leads(s, d)).groupBy("risk_level").agg(
             F.count(F.lit(1)).alias("leads"), F.count_if("is_likely_fake").cast("bigint").alias("likely_fake")),
         "doc1_lead_clusters": lambda s, d: dup.duplicate_clusters(fx.leads(s, d)),
-        "doc3_retained": lambda s, d: rt.retained(fx.pv(s, d), PV).select("task_id", "last_modified_date"),
+        "doc3_retained": lambda s, d: rt.retained(fx.pv(s, d), PV, ts="created_date").select("task_id", "created_date"),
         "doc4_completeness": lambda s, d: rt.completeness_flags(ru.validate_leads(fx.leads(s, d))),
         "doc6_hourly_fraud": lambda s, d: rt.hourly_pattern(fx.pv(s, d)),
         "val2_email": lambda s, d: v(s, d).select("lead_id", "email_valid", "email_score", _joined("email_issues")),

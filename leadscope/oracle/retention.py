@@ -3,7 +3,7 @@
 from ..sources.fixtures import with_ctes
 from .rules import ORACLE as RULES
 
-DOC3 = with_ctes("SELECT task_id, last_modified_date FROM pv WHERE last_modified_date IS NULL OR date_diff('day', CAST(last_modified_date AS DATE), DATE '2001-08-01') <= 90", "pv")
+DOC3 = with_ctes("SELECT task_id, created_date FROM pv WHERE created_date IS NULL OR date_diff('day', CAST(created_date AS DATE), DATE '2001-08-01') <= 90", "pv")
 
 DOC4 = f"SELECT lead_id, completeness_score, COALESCE(completeness_score >= 0.7, FALSE) AS meets_minimum FROM ({RULES['val7_completeness']}) c"
 

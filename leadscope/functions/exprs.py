@@ -68,12 +68,22 @@ def exact_avg(c: ColumnOrName, digits: int = 6) -> Column:
     as a double has them; values of at most 6 decimals give the same average
     as units alone. A LONG holds the sums for ~9e12 rows per group at 0-1
     scale."""
+    return fixed_avg(*fixed_sums(c, digits), digits)
+
+
+def fixed_sums(c: ColumnOrName, digits: int = 6) -> list[Column]:
+    """The three LONG aggregates behind :func:`exact_avg` (units, rest, rows); sums of them are those of all their rows."""
     m = float(10 ** digits)
     x = col(c).cast("double")
     units = F.floor(x * F.lit(m)).cast("long")
     rest = F.floor((x * F.lit(m) - units.cast("double")) * F.lit(1e6) + F.lit(0.5)).cast("long")
-    total = F.sum(units).cast("double") + F.sum(rest).cast("double") / F.lit(1e6)
-    return total / F.count(x).cast("double") / F.lit(m)
+    return [F.sum(units), F.sum(rest), F.count(x)]
+
+
+def fixed_avg(units: Column, rest: Column, n: Column, digits: int = 6) -> Column:
+    """The average that sums of :func:`fixed_sums` stand for; NULL without rows."""
+    total = units.cast("double") + rest.cast("double") / F.lit(1e6)
+    return F.try_divide(total, n.cast("double")) / F.lit(float(10 ** digits))
 
 
 def rate(pred: Column) -> Column:

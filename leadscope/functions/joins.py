@@ -1,4 +1,4 @@
-"""Joins that stay even when one key holds a large part of all rows."""
+"""Joins that stay even when one key holds a large part of all rows, and frames that several branches share."""
 
 from __future__ import annotations
 
@@ -24,3 +24,13 @@ def join_groups(rows: DataFrame, groups: DataFrame, on: Sequence[str], n: str, s
     if cold.isEmpty():
         return out
     return out.unionByName(rows.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on))
+
+
+def shared(df: DataFrame) -> DataFrame:
+    """The same rows, of which no branch prunes a column.
+
+    When several branches read one aggregate, each would ask its shuffle for other columns, and Spark would run the
+    aggregate and its scan once per branch. With all columns in every branch the shuffles are equal, so Spark runs one
+    and reuses it. For small frames (aggregates), since nothing above is pushed below.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))

@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 
 #: Relative rank error of the sketch is 1 / ACCURACY; the bracket is SLACK times as wide on either side.
 ACCURACY, SLACK, CELLS = 10_000, 3, 128
+#: A value's cell is found among every STEP-th bound, then among the STEP that follow.
+STEP = 12
 
 
 def bracketed(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = ACCURACY) -> DataFrame:
@@ -49,24 +51,49 @@ def bracketed(df: DataFrame, keys: Sequence[str], value: str, accuracy: int = AC
 def grouped_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median",
                    buckets: int = CELLS, accuracy: int = ACCURACY) -> DataFrame:
     """Return ``keys + [out]``, one row per group that has a non-NULL value; ``buckets``: cells of a bracket."""
+    return _select_middle(bracketed(df, keys, value, accuracy), list(keys), out, buckets)
+
+
+def weighted_median(counts: DataFrame, keys: Sequence[str], value: str, weight: str, out: str = "median",
+                    buckets: int = CELLS) -> DataFrame:
+    """Exact median of values that occur ``weight`` times each: keys + [out], one row per group that has a value.
+
+    For value counts, which merge: those of days add up to those of weeks. A cell holds about 1 / buckets of a group's
+    distinct values, and only the cells of the middle ranks are ranked. Rows with a NULL value or no weight don't count.
+    """
     keys = list(keys)
-    inside = bracketed(df, keys, value, accuracy)
+    v = counts.select(*keys, F.col(value).cast("double").alias("_v"), F.col(weight).alias("_w"))
+    v = v.filter(F.col("_v").isNotNull() & (F.col("_w") > 0)).groupBy(*keys, "_v").agg(F.sum("_w").alias("_w"))
+    return _select_middle(v, keys, out, buckets)
+
+
+def _select_middle(inside: DataFrame, keys: list[str], out: str, buckets: int) -> DataFrame:
+    """Median of weighted distinct values (_v, _w); ``_n`` is a group's number of rows, or the sum of _w where absent."""
     # bounds of the cells: quantiles of the distinct values in the bracket; any bounds give the exact result
-    bounds = F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], buckets * 4).alias("_bounds")
+    stats = [F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], buckets * 4).alias("_bounds")]
+    stats += [] if "_n" in inside.columns else [F.sum("_w").alias("_n")]
+    some = F.filter("_bounds", lambda b, i: i % STEP == STEP - 1).alias("_some")
     if keys:
-        dealt = inside.join(inside.groupBy(*keys).agg(bounds), keys)
+        dealt = inside.join(inside.groupBy(*keys).agg(*stats).select("*", some), keys)
     else:
-        s = inside.agg(F.struct(bounds).alias("s")).scalar()
-        dealt = inside.withColumn("_bounds", s["_bounds"])
-    below = F.size(F.filter(F.coalesce("_bounds", F.array().cast("array<double>")), lambda b: b < F.col("_v")))
+        s = inside.agg(*stats).select("*", some).select(F.struct("*").alias("s")).scalar()
+        dealt = inside.withColumns({c: s[c] for c in ("_bounds", "_some", "_n") if c not in inside.columns})
+    lower = F.size(F.filter("_some", lambda b: b < F.col("_v"))) * STEP
+    below = F.when(F.col("_bounds").isNull(), 0).otherwise(
+        lower + F.size(F.filter(F.slice("_bounds", lower + 1, STEP), lambda b: b < F.col("_v"))))
     dealt = dealt.select(*keys, "_n", "_v", "_w", F.when(F.col("_v").isNull(), -1).otherwise(below).alias("_c"))
     r1 = F.floor((F.col("_n") + 1) / 2).cast("bigint")
     r2 = (F.floor(F.col("_n") / 2) + 1).cast("bigint")
     in_order = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, 0)
-    hist = dealt.groupBy(*keys, "_n", "_c").agg(F.sum("_w").alias("_in"))
+    hist = dealt.groupBy(*keys, "_n", "_c").agg(F.sum("_w").alias("_in"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     hist = hist.withColumn("_upto", F.sum("_in").over(in_order)).withColumn("_before", F.col("_upto") - F.col("_in"))
     hits = hist.filter(((F.col("_before") < r1) & (r1 <= F.col("_upto"))) | ((F.col("_before") < r2) & (r2 <= F.col("_upto"))))
-    ranked = dealt.drop("_n").join(hits.select(*keys, "_n", "_c", "_before"), [*keys, "_c"])
+    hits = hits.select(*keys, "_n", "_c", "_before", "_lo", "_hi")
+    if keys:
+        # at most two cells of a group are hit; their ends pick the values without finding each value's cell again
+        ranked = inside.select(*keys, "_v", "_w").join(hits, keys).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    else:
+        ranked = dealt.drop("_n").join(hits, "_c")
     in_cell = Window.partitionBy(*keys, "_c").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = ranked.withColumn("_hiRank", F.col("_before") + F.sum("_w").over(in_cell))
     ranked = ranked.withColumn("_loRank", F.col("_hiRank") - F.col("_w"))

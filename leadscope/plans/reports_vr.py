@@ -3,10 +3,11 @@
 Scale notes:
 * latest-per-lead is ``row_number() = 1``, which gets a partial
   WindowGroupLimit before the shuffle (top row per lead per map partition);
-* multi-grain trends scan once and ``explode`` the grain, so one shuffle
-  serves daily, weekly and monthly rows;
-* medians come from :mod:`leadscope.functions.quantiles`, which never holds a
-  whole group in one task;
+* trends aggregate rows once into daily partials (sums, counts and counts per
+  score), which merge into weeks and months; rows are never multiplied, and
+  all branches share the partials' one shuffle;
+* exact medians come from counts per score (:mod:`leadscope.functions.quantiles`),
+  which never hold a whole group in one task;
 * JSON details are parsed once per row with ``from_json``.
 """
 
@@ -18,9 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import (count_if, date_diff_days, days_before, exact_avg, ladder, pct, rank_by,
+from ..functions.exprs import (count_if, date_diff_days, days_before, fixed_avg, fixed_sums, ladder, pct, rank_by,
                                ratio, round_half_away, trunc_ntz)
-from ..functions.quantiles import global_median, grouped_medians, median_by
+from ..functions.joins import shared
+from ..functions.quantiles import global_median, grouped_medians, median_by, weighted_median
 
 SUMMARY_COLUMNS = ["lead_id", "validation_timestamp", "overall_score", "validation_status", "first_name",
                    "last_name", "email", "phone", "company", "lead_status", "lead_source", "created_date",
@@ -42,6 +44,22 @@ def combine_rows(*frames: DataFrame) -> DataFrame:
     return u.agg(*[F.max(c).alias(c) for c in u.columns])
 
 
+# --------------------------------------------------------------------- partials
+
+def _partial(name: str, c: Column | str) -> list[Column]:
+    """Aggregates that keep an exact average mergeable."""
+    return [x.alias(f"{name}_{part}") for part, x in zip("urn", fixed_sums(c))]
+
+
+def _sum(c: Column | str) -> Column:
+    return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+
+def _merged_avg(name: str) -> Column:
+    """The average of all rows behind merged partials."""
+    return fixed_avg(F.sum(f"{name}_u"), F.sum(f"{name}_r"), F.sum(f"{name}_n"))
+
+
 # --------------------------------------------------------------------- VW-9
 
 def latest_per_lead(vr: DataFrame, key: str = "lead_id", ts: str = "validation_timestamp",
@@ -78,34 +96,46 @@ def validation_summary(vr: DataFrame, as_of) -> DataFrame:
 
 # --------------------------------------------------------------------- VW-10
 
-def _score_bands(s: Column) -> dict[str, Column]:
-    return {"excellent_count": count_if(s >= 0.9),
-            "good_count": count_if((s >= 0.8) & (s < 0.9)),
-            "fair_count": count_if((s >= 0.6) & (s < 0.8)),
-            "poor_count": count_if((s >= 0.4) & (s < 0.6)),
-            "invalid_count": count_if(s < 0.4)}
+def _summary_partials(summary: DataFrame, as_of=None) -> DataFrame:
+    """Counts, sums and extremes of VW-9 per source and score: what VW-10 and VW-11 merge."""
+    st, cd = F.col("validation_status"), F.col("created_date")
+    aggs = [F.count(F.lit(1)).alias("n"), *_partial("ov", "overall_score"),
+            *[count_if(st == x).alias(f"status_{x.lower()}") for x in ("Excellent", "Good", "Fair", "Poor", "Invalid")],
+            count_if(F.col("is_converted")).alias("converted"), count_if(~F.col("is_converted")).alias("not_converted"),
+            F.min("created_date").alias("min_created"), F.max("created_date").alias("max_created"),
+            F.sum("lead_age_days").alias("age"), F.count("lead_age_days").alias("age_n"),
+            F.min("validation_timestamp").alias("min_validated"), F.max("validation_timestamp").alias("max_validated"),
+            F.sum("days_since_validation").alias("since"), F.count("days_since_validation").alias("since_n")]
+    if as_of is not None:
+        d30, d60 = days_before(as_of, 30), days_before(as_of, 60)
+        aggs += [count_if(cd >= d30).alias("last_30"), count_if((cd >= d60) & (cd < d30)).alias("previous_30")]
+    return shared(summary.groupBy("lead_source", "overall_score").agg(*aggs))
+
+
+def _merged_bands(s: Column, n: str = "n") -> list[Column]:
+    bands = {"excellent_count": s >= 0.9, "good_count": (s >= 0.8) & (s < 0.9), "fair_count": (s >= 0.6) & (s < 0.8),
+             "poor_count": (s >= 0.4) & (s < 0.6), "invalid_count": s < 0.4}
+    return [_sum(F.when(band, F.col(n))).alias(k) for k, band in bands.items()]
 
 
 def validation_metrics(summary: DataFrame, median_accuracy: int | None = None) -> DataFrame:
     """VW-10: one row of score bands, status counts, conversion, freshness over VW-9."""
-    s = F.col("overall_score")
-    st = F.col("validation_status")
-    base = summary.agg(
-        F.count(F.lit(1)).alias("total_leads"),
-        exact_avg(s).alias("avg_overall_score"),
-        *[v.alias(k) for k, v in _score_bands(s).items()],
-        *[count_if(st == x).alias(f"status_{x.lower()}") for x in ("Excellent", "Good", "Fair", "Poor", "Invalid")],
-        count_if(F.col("is_converted")).alias("converted_leads"),
-        count_if(~F.col("is_converted")).alias("not_converted_leads"),
+    parts = _summary_partials(summary)
+    base = parts.agg(
+        _sum("n").alias("total_leads"), _merged_avg("ov").alias("avg_overall_score"),
+        *_merged_bands(F.col("overall_score")),
+        *[_sum(c).alias(c) for c in parts.columns if c.startswith("status_")],
+        _sum("converted").alias("converted_leads"), _sum("not_converted").alias("not_converted_leads"),
         F.count_distinct("lead_source").alias("unique_lead_sources"),
-        F.min("created_date").alias("earliest_lead_date"),
-        F.max("created_date").alias("latest_lead_date"),
-        F.avg("lead_age_days").alias("avg_lead_age_days"),
-        F.min("validation_timestamp").alias("earliest_validation"),
-        F.max("validation_timestamp").alias("latest_validation"),
-        F.avg("days_since_validation").alias("avg_days_since_validation"),
+        F.min("min_created").alias("earliest_lead_date"), F.max("max_created").alias("latest_lead_date"),
+        ratio(F.sum("age"), F.sum("age_n")).alias("avg_lead_age_days"),
+        F.min("min_validated").alias("earliest_validation"), F.max("max_validated").alias("latest_validation"),
+        ratio(F.sum("since"), F.sum("since_n")).alias("avg_days_since_validation"),
     )
-    med = global_median(summary, "overall_score", "median_overall_score", accuracy=median_accuracy)
+    if median_accuracy:
+        med = global_median(summary, "overall_score", "median_overall_score", accuracy=median_accuracy)
+    else:
+        med = weighted_median(parts, [], "overall_score", "n", "median_overall_score")
     one = combine_rows(base, med)
     t = F.col("total_leads")
     fresh = F.col("avg_days_since_validation")
@@ -130,20 +160,19 @@ def validation_metrics(summary: DataFrame, median_accuracy: int | None = None) -
 
 def validation_by_source(summary: DataFrame, as_of, median_accuracy: int | None = None) -> DataFrame:
     """VW-11: per-source score statistics, bands, conversion, 30-day volumes, ranks."""
-    s = F.col("overall_score")
     src = summary.withColumn("lead_source", F.coalesce(F.col("lead_source"), F.lit("Unknown")))
-    cd = F.col("created_date")
-    d30, d60 = days_before(as_of, 30), days_before(as_of, 60)
-    agg = src.groupBy("lead_source").agg(
-        F.count(F.lit(1)).alias("total_leads"),
-        exact_avg(s).alias("avg_score"), F.min(s).alias("min_score"), F.max(s).alias("max_score"),
-        *[v.alias(k) for k, v in _score_bands(s).items()],
-        count_if(s >= 0.8).alias("_q"),
-        count_if(F.col("is_converted")).alias("converted_leads"),
-        count_if(cd >= d30).alias("leads_last_30_days"),
-        count_if((cd >= d60) & (cd < d30)).alias("leads_previous_30_days"),
+    parts = _summary_partials(src, as_of)
+    s = F.col("overall_score")
+    agg = parts.groupBy("lead_source").agg(
+        _sum("n").alias("total_leads"), _merged_avg("ov").alias("avg_score"),
+        F.min(s).alias("min_score"), F.max(s).alias("max_score"), *_merged_bands(s),
+        _sum(F.when(s >= 0.8, F.col("n"))).alias("_q"), _sum("converted").alias("converted_leads"),
+        _sum("last_30").alias("leads_last_30_days"), _sum("previous_30").alias("leads_previous_30_days"),
     )
-    med = median_by(src, ["lead_source"], "overall_score", "median_score", accuracy=median_accuracy)
+    if median_accuracy:
+        med = median_by(src, ["lead_source"], "overall_score", "median_score", accuracy=median_accuracy)
+    else:
+        med = weighted_median(parts, ["lead_source"], "overall_score", "n", "median_score")
     t = F.col("total_leads")
     a = agg.join(med, "lead_source", "left")
     return a.select(
@@ -168,8 +197,8 @@ _GRAIN_STEP = {"daily": "INTERVAL 1 DAY", "weekly": "INTERVAL 7 DAYS", "monthly"
 
 
 def explode_grains(df: DataFrame, ts: str, grains: Sequence[str], out: str) -> DataFrame:
-    """SET-1/SET-2: one row per (row, grain) with the truncated period start;
-    replaces a UNION ALL of per-grain scans with a single scan."""
+    """SET-1/SET-2: one row per (row, grain) with the truncated period start, in place of a UNION ALL of per-grain
+    scans. Meant for daily partials, which are few, not for raw rows."""
     g = F.explode(F.array(*[F.lit(x) for x in grains])).alias("period_type")
     start = None
     for x in grains:
@@ -189,12 +218,14 @@ def period_end(period_start: Column) -> Column:
 def validation_trends(vr: DataFrame, grains: Sequence[str] = ("daily", "weekly", "monthly")) -> DataFrame:
     """VW-12: daily + weekly + monthly volume/score trends with previous-period deltas."""
     s = F.col("overall_score")
-    e = explode_grains(vr, "validation_timestamp", grains, "period_start")
-    a = e.groupBy("period_type", "period_start").agg(
-        F.count(F.lit(1)).alias("leads_validated"),
-        exact_avg(s).alias("_avg"),
-        count_if(s >= 0.8).alias("quality_leads"),
-        count_if(F.col("is_converted")).alias("converted_leads"),
+    daily = vr.groupBy(trunc_ntz("day", "validation_timestamp").alias("day"), "lead_source").agg(
+        F.count(F.lit(1)).alias("n"), *_partial("ov", s), count_if(s >= 0.8).alias("quality"),
+        count_if(F.col("is_converted")).alias("converted"))
+    a = explode_grains(daily, "day", grains, "period_start").groupBy("period_type", "period_start").agg(
+        _sum("n").alias("leads_validated"),
+        _merged_avg("ov").alias("_avg"),
+        _sum("quality").alias("quality_leads"),
+        _sum("converted").alias("converted_leads"),
         F.count_distinct("lead_source").alias("unique_sources"),
     )
     w = Window.partitionBy("period_type").orderBy("period_start")
@@ -226,20 +257,31 @@ def _trend_frame(vr: DataFrame, as_of, window_days: int, by_source: bool,
     rows = _point_scores(rows)
     if by_source:
         rows = rows.withColumn("lead_source", F.coalesce(F.col("lead_source"), F.lit("Unknown")))
-    e = explode_grains(rows, "validation_timestamp", ("daily", "weekly"), "trend_date")
     keys = ["period_type", "trend_date"] + (["lead_source"] if by_source else [])
-    dq, fr = F.col("data_quality_score"), F.col("fraud_score")
-    aggs = [F.count(F.lit(1)).alias("total_validations"),
-            exact_avg(dq).alias("_avg_dq"), exact_avg(fr).alias("_avg_fr"),
-            exact_avg("overall_score").alias("_avg_ov"),
-            *[exact_avg(f"_{p}").alias(f"_avg_{p}") for p in POINTS],
-            *[count_if(F.col(f"_{p}") >= 0.7).alias(f"_pass_{p}") for p in POINTS],
-            count_if(dq >= 0.7).alias("_hq"), count_if(fr >= 0.6).alias("_hf")]
+    grains = ("daily", "weekly")
+    scores = {"dq": "data_quality_score", "fr": "fraud_score"}
+    # one row per day (and source) and pair of scores, so that averages, shares and medians come from one aggregate
+    parts = rows.groupBy(trunc_ntz("day", "validation_timestamp").alias("day"), *keys[2:],
+                         *[F.col(c).cast("double").alias(k) for k, c in scores.items()]).agg(
+        F.count(F.lit(1)).alias("n"), *_partial("ov", "overall_score"),
+        *[x for k, c in scores.items() for x in _partial(k, c)],
+        *[x for p in POINTS for x in _partial(p, f"_{p}")],
+        *[count_if(F.col(f"_{p}") >= 0.7).alias(f"pass_{p}") for p in POINTS])
+    e = explode_grains(shared(parts), "day", grains, "trend_date")
+    dq, fr, n = F.col("dq"), F.col("fr"), F.col("n")
+    aggs = [_sum("n").alias("total_validations"), *[_merged_avg(k).alias(f"_avg_{k}") for k in ("dq", "fr", "ov", *POINTS)],
+            *[_sum(f"pass_{p}").alias(f"_pass_{p}") for p in POINTS],
+            _sum(F.when(dq >= 0.7, n)).alias("_hq"), _sum(F.when(fr >= 0.6, n)).alias("_hf")]
     if by_source:
-        aggs.append(count_if(fr >= 0.7).alias("likely_fake_count"))
+        aggs.append(_sum(F.when(fr >= 0.7, n)).alias("likely_fake_count"))
     a = e.groupBy(*keys).agg(*aggs)
-    med = grouped_medians(e, keys, {"_med_dq": "data_quality_score", "_med_fr": "fraud_score"},
-                          accuracy=median_accuracy)
+    if median_accuracy:
+        med = grouped_medians(explode_grains(rows, "validation_timestamp", grains, "trend_date"), keys,
+                              {f"_med_{k}": c for k, c in scores.items()}, accuracy=median_accuracy)
+    else:
+        stacked = F.array(*[F.struct(F.lit(k).alias("_metric"), F.col(k).alias("_val")) for k in scores])
+        m = weighted_median(e.select(*keys, "n", F.inline(stacked)), [*keys, "_metric"], "_val", "n", "_med")
+        med = m.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == k, F.col("_med"))).alias(f"_med_{k}") for k in scores])
     a = a.join(med, keys, "left")
     return a, keys
 

@@ -33,12 +33,13 @@ VR = fx.VR_AS_OF
 
 
 def _pv_queries() -> dict[str, Query]:
+    # keyed: parsed_validations holds one row per task (order), as upserts leave it
     return {
         "vw01_source_quality": lambda s, d: rp.source_quality_summary(fx.pv(s, d)),
         "vw02_worst_sources": lambda s, d: rp.worst_lead_sources(rp.source_quality_summary(fx.pv(s, d), ordered=False)),
         "vw03_overview": lambda s, d: rp.validation_overview(fx.pv(s, d), PV),
-        "vw04_overall_results": lambda s, d: rp.simplified_overall_results(fx.pv(s, d), PV),
-        "vw05_results_by_source": lambda s, d: rp.simplified_results_by_source(fx.pv(s, d), PV),
+        "vw04_overall_results": lambda s, d: rp.simplified_overall_results(fx.pv(s, d), PV, keyed=True),
+        "vw05_results_by_source": lambda s, d: rp.simplified_results_by_source(fx.pv(s, d), PV, keyed=True),
         "vw06_fake_leads_detail": lambda s, d: rp.fake_leads_detail(fx.pv(s, d)),
         "vw07_daily_fake_leads": lambda s, d: rp.daily_fake_leads_by_source(fx.pv(s, d), PV),
         "vw08_status_anomalies": lambda s, d: rp.fake_leads_status_anomalies(fx.pv(s, d), PV),
@@ -67,14 +68,14 @@ def _loader_queries() -> dict[str, Query]:
         "lq06_problematic_leads": lambda s, d: ld.problematic_leads(fx.pv(s, d)),
         "lq07_category_analysis": lambda s, d: ld.quality_category_analysis(fx.pv(s, d)),
         "lq09_top_worst_sources": lambda s, d: ld.top_worst_sources(fx.pv(s, d)),
-        "lq10_data_freshness": lambda s, d: ld.data_freshness(fx.pv(s, d), PV),
+        "lq10_data_freshness": lambda s, d: ld.data_freshness(fx.pv(s, d), PV, keyed=True),
         "lq11_daily_fake_leads": lambda s, d: ld.daily_fake_leads(fx.pv(s, d), *RANGE, PV),
         "lq12_daily_fake_detail": lambda s, d: ld.daily_fake_leads_detail(fx.pv(s, d), *RANGE),
         "lq13_last_refresh": lambda s, d: ld.last_refresh_time(fx.pv(s, d)),
         "lq14_creation_months": lambda s, d: ld.creation_month_analysis(fx.pv(s, d)),
         "lq15_source_months": lambda s, d: ld.source_month_performance(fx.pv(s, d)),
-        "fb1_overall_results": lambda s, d: ld.overall_results(fx.pv(s, d), PV, "All Time"),
-        "fb2_results_by_source": lambda s, d: ld.results_by_source(fx.pv(s, d), PV, "Last Month"),
+        "fb1_overall_results": lambda s, d: ld.overall_results(fx.pv(s, d), PV, "All Time", keyed=True),
+        "fb2_results_by_source": lambda s, d: ld.results_by_source(fx.pv(s, d), PV, "Last Month", keyed=True),
         "fb3_fake_leads": lambda s, d: ld.fake_leads(fx.pv(s, d), PV, "All Time"),
         "fb4_trends_overall": lambda s, d: ld.trends_overall(fx.pv(s, d), PV),
         "fb5_trends_by_source": lambda s, d: ld.trends_by_source(fx.pv(s, d), PV),

@@ -139,11 +139,12 @@ def top_worst_sources(pv: DataFrame, limit: int = 20) -> DataFrame:
                      "remediation_priority").limit(limit)
 
 
-def data_freshness(pv: DataFrame, as_of) -> DataFrame:
+def data_freshness(pv: DataFrame, as_of, keyed: bool = False) -> DataFrame:
     """LQ-10: last validation time, counts, mean score and a freshness label
-    (Fresh <= 24 h, Recent <= 168 h, else Stale; 'No data' when empty)."""
+    (Fresh <= 24 h, Recent <= 168 h, else Stale; 'No data' when empty).
+    ``keyed``: the table has one row per task."""
     a = S.good_rows(pv).agg(F.max("parsed_at").alias("last_validation"),
-                            F.count_distinct("task_id").alias("total_leads"),
+                            rp.task_count(keyed).alias("total_leads"),
                             F.count(F.lit(1)).alias("total_validations"),
                             F.avg(S.quality()).alias("avg_score"))
     hours = F.timestamp_diff("SECOND", F.col("last_validation"), as_of_ts(as_of)).cast("double") / 3600.0
@@ -243,14 +244,15 @@ def _fake_proxy_avg() -> Column:
     return F.avg(F.when(S.is_fake(), 8).otherwise(2)) / 10.0
 
 
-def overall_results(pv: DataFrame, as_of, date_filter: str = "All Time", variant: str = "fallback") -> DataFrame:
+def overall_results(pv: DataFrame, as_of, date_filter: str = "All Time", variant: str = "fallback",
+                    keyed: bool = False) -> DataFrame:
     """FB-1 (``variant='fallback'``) or VW-4 (``'view'``)."""
     if variant == "view":
-        return rp.simplified_overall_results(pv, as_of)
+        return rp.simplified_overall_results(pv, as_of, keyed=keyed)
     q, fake = S.quality(), S.is_fake()
     rows = period_filter(S.good_rows(pv), date_filter, as_of)
     a = rows.agg(
-        F.count(F.lit(1)).alias("total_validations"), F.count_distinct("task_id").alias("unique_leads"),
+        F.count(F.lit(1)).alias("total_validations"), rp.task_count(keyed).alias("unique_leads"),
         (F.avg(q) / 10.0).alias("avg_data_quality_score"), (F.avg(q) / 10.0).alias("median_data_quality_score"),
         _fake_proxy_avg().alias("avg_fraud_score"), _fake_proxy_avg().alias("median_fraud_score"),
         (F.avg(q) / 10.0).alias("avg_overall_score"), (F.avg(q) / 10.0).alias("median_overall_score"),
@@ -274,14 +276,15 @@ def overall_results(pv: DataFrame, as_of, date_filter: str = "All Time", variant
         ladder([(aq >= 8, "EXCELLENT"), (aq >= 6, "GOOD"), (aq >= 4, "FAIR")], "POOR").alias("overall_system_status"))
 
 
-def results_by_source(pv: DataFrame, as_of, date_filter: str = "All Time", variant: str = "fallback") -> DataFrame:
+def results_by_source(pv: DataFrame, as_of, date_filter: str = "All Time", variant: str = "fallback",
+                      keyed: bool = False) -> DataFrame:
     """FB-2 or VW-5."""
     if variant == "view":
-        return rp.simplified_results_by_source(pv, as_of)
+        return rp.simplified_results_by_source(pv, as_of, keyed=keyed)
     q, fake = S.quality(), S.is_fake()
     rows = period_filter(S.good_rows(pv), date_filter, as_of)
     a = rows.groupBy(S.source().alias("lead_source")).agg(
-        F.count(F.lit(1)).alias("total_validations"), F.count_distinct("task_id").alias("unique_leads"),
+        F.count(F.lit(1)).alias("total_validations"), rp.task_count(keyed).alias("unique_leads"),
         F.avg(q).alias("_aq"), _fake_proxy_avg().alias("avg_fraud_score"),
         count_if(q >= 7).alias("excellent_quality_count"),
         count_if((q >= 5) & (q < 7)).alias("good_quality_count"),

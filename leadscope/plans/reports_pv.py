@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions.chunks import SIZE, ordered_chunks
-from ..functions.exprs import (as_of_ts, count_if, date_diff_days, day, days_before, dbl, flag, ladder,
-                               pct, rank_by, rate, ratio, round_half_away, trunc_ntz)
+from ..functions.exprs import (as_of_ts, combine_rows, count_if, date_diff_days, day, days_before, dbl, flag, ladder,
+                               pct, rank_by, ratio, round_half_away, trunc_ntz)
+from ..functions.joins import shared
 
 # Sources treated as high volume by the status-anomaly report.
 HIGH_VOLUME_SOURCES = ("businessloans.com", "Lending Tree", "Fundera")
@@ -63,37 +64,58 @@ def _quality_bands(q: Column) -> dict[str, Column]:
 
 # --------------------------------------------------------------------- VW-1
 
-def source_quality_summary(pv: DataFrame, ordered: bool = True) -> DataFrame:
-    """VW-1: one row per lead source (NULL -> 'Unknown'), 44 columns."""
-    q = S.quality()
+#: Counts of the daily partials of a source, merged by sums.
+_SUMMED = ("n", "q", "q_n", "lead", "lead_n", "fraud", "fraud_n", "dq", "dq_n", "excellent", "good", "fair", "poor", "invalid",
+           "fake", "fake_phone", "disposable", "bounce", "gibberish", "email_ok", "sendable", "phone_ok", "bs",
+           "accept", "reject", "review")
+
+
+def source_days(pv: DataFrame) -> DataFrame:
+    """One row of mergeable counts and sums per source and day: what VW-1 and VW-3 are made from, in one scan."""
+    scores = {"q": S.quality(), "lead": S.lead(), "fraud": S.fraud(), "dq": S.data_quality()}
     rec = S.recommendation_upper()
-    bands = _quality_bands(q)
-    m = (S.good_rows(pv)
-         .groupBy(S.source().alias("lead_source"))
-         .agg(F.count(F.lit(1)).alias("total_leads"),
-              F.avg(q).alias("_avg_q"),
-              F.avg(S.lead()).alias("_avg_lead"),
-              F.avg(S.fraud()).alias("_avg_fraud"),
-              F.avg(S.data_quality()).alias("_avg_dq"),
-              *[v.alias(f"{k}_count") for k, v in bands.items()],
-              count_if(flag("api_fake_lead")).alias("fake_leads"),
-              count_if(flag("api_fake_phone")).alias("fake_phones"),
-              count_if(flag("api_disposable_email")).alias("disposable_emails"),
-              count_if(flag("api_bounce_likely", "bounce_likely")).alias("bounce_likely_emails"),
-              count_if(flag("api_gibberish_email")).alias("gibberish_emails"),
-              rate(F.coalesce("api_email_valid", "email_valid")).alias("_email_valid_rate"),
-              rate(F.coalesce("api_email_sendable", "email_sendable")).alias("_email_sendable_rate"),
-              rate(F.coalesce("api_phone_valid", "phone_valid")).alias("_phone_valid_rate"),
-              F.avg(F.coalesce(F.col("api_business_strength_score"), F.lit(0))).alias("_avg_bs"),
-              count_if(rec == "ACCEPT").alias("accept_recommendations"),
-              count_if(rec == "REJECT").alias("reject_recommendations"),
-              count_if(rec == "REVIEW").alias("review_recommendations"),
-              F.min("created_date").alias("first_validation_date"),
-              F.max("created_date").alias("last_validation_date"),
-              F.count_distinct(day("created_date")).alias("active_days")))
+    flags = {"fake": flag("api_fake_lead"), "fake_phone": flag("api_fake_phone"), "disposable": flag("api_disposable_email"),
+             "bounce": flag("api_bounce_likely", "bounce_likely"), "gibberish": flag("api_gibberish_email"),
+             "email_ok": F.coalesce("api_email_valid", "email_valid"),
+             "sendable": F.coalesce("api_email_sendable", "email_sendable"),
+             "phone_ok": F.coalesce("api_phone_valid", "phone_valid"),
+             "accept": rec == "ACCEPT", "reject": rec == "REJECT", "review": rec == "REVIEW"}
+    parts = S.good_rows(pv).groupBy("lead_source", day("created_date").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[x for k, c in scores.items() for x in (F.sum(c).alias(k), F.count(c).alias(f"{k}_n"))],
+        *[v.alias(k) for k, v in _quality_bands(S.quality()).items()],
+        *[count_if(c).alias(k) for k, c in flags.items()],
+        F.sum(F.coalesce(F.col("api_business_strength_score"), F.lit(0))).alias("bs"),
+        F.min("created_date").alias("first"), F.max("created_date").alias("last"))
+    return shared(parts)
+
+
+def _merged_days(parts: DataFrame, *keys: Column) -> DataFrame:
+    """Partials of :func:`source_days` summed per key (without keys: one row), and the number of days."""
+    return parts.groupBy(*keys).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(c) for c in _SUMMED],
+        F.min("first").alias("first"), F.max("last").alias("last"), F.count_distinct("day").alias("days"))
+
+
+def source_quality_summary(pv: DataFrame | None, ordered: bool = True, parts: DataFrame | None = None) -> DataFrame:
+    """VW-1: one row per lead source (NULL -> 'Unknown'), 44 columns; ``parts``: its daily partials, if at hand."""
+    parts = parts if parts is not None else source_days(pv)
+    m = _merged_days(parts, S.source().alias("lead_source"))
+    m = m.select(
+        "lead_source", F.col("n").alias("total_leads"),
+        *[ratio(k, f"{k}_n").alias(f"_avg_{k}") for k in ("q", "lead", "fraud", "dq")],
+        *[F.col(k).alias(f"{k}_count") for k in ("excellent", "good", "fair", "poor", "invalid")],
+        F.col("fake").alias("fake_leads"), F.col("fake_phone").alias("fake_phones"),
+        F.col("disposable").alias("disposable_emails"), F.col("bounce").alias("bounce_likely_emails"),
+        F.col("gibberish").alias("gibberish_emails"),
+        ratio("email_ok", "n").alias("_email_valid_rate"), ratio("sendable", "n").alias("_email_sendable_rate"),
+        ratio("phone_ok", "n").alias("_phone_valid_rate"), ratio("bs", "n").alias("_avg_bs"),
+        *[F.col(k).alias(f"{k}_recommendations") for k in ("accept", "reject", "review")],
+        F.col("first").alias("first_validation_date"), F.col("last").alias("last_validation_date"),
+        F.col("days").alias("active_days"))
     n = F.col("total_leads")
     m = m.withColumns({
-        **{f"{k}_percentage": pct(f"{k}_count", n) for k in bands},
+        **{f"{k}_percentage": pct(f"{k}_count", n) for k in ("excellent", "good", "fair", "poor", "invalid")},
         "quality_leads_percentage": pct(F.col("excellent_count") + F.col("good_count"), n),
         "fake_leads_percentage": pct("fake_leads", n),
         "fake_phones_percentage": pct("fake_phones", n),
@@ -195,35 +217,24 @@ def worst_lead_sources(summary: DataFrame, min_leads: int = 10, ordered: bool =
 
 def validation_overview(pv: DataFrame, as_of, summary: DataFrame | None = None,
                         min_leads: int = 10) -> DataFrame:
-    """VW-3: one executive row. The overall aggregate and one aggregate over
-    VW-1 (grade/risk counts and the VW-2 selection counted with the same
-    predicate) are combined by a union + max: VW-1 is computed once, and the
-    plan never joins or pairs rows."""
-    summary = summary if summary is not None else source_quality_summary(pv, ordered=False)
-    q = S.quality()
-    rec = S.recommendation_upper()
-    bands = _quality_bands(q)
-    om = S.good_rows(pv).agg(
-        F.count(F.lit(1)).alias("total_validations"),
-        F.count_distinct("lead_source").alias("total_sources"),
-        F.count_distinct(F.coalesce(F.concat("api_first_name", F.lit(" "), "api_last_name"),
-                                    F.lit("Unknown"))).alias("unique_leads"),
-        F.avg(q).alias("_avg_q"), F.avg(S.lead()).alias("_avg_lead"),
-        F.avg(S.fraud()).alias("_avg_fraud"), F.avg(S.data_quality()).alias("_avg_dq"),
-        *[v.alias(f"{k}_leads") for k, v in bands.items()],
-        count_if(flag("api_fake_lead")).alias("total_fake_leads"),
-        count_if(flag("api_fake_phone")).alias("total_fake_phones"),
-        count_if(flag("api_disposable_email")).alias("total_disposable_emails"),
-        count_if(flag("api_bounce_likely", "bounce_likely")).alias("total_bounce_likely"),
-        rate(F.coalesce("api_email_valid", "email_valid")).alias("_email_rate"),
-        rate(F.coalesce("api_phone_valid", "phone_valid")).alias("_phone_rate"),
-        count_if(rec == "ACCEPT").alias("accept_count"),
-        count_if(rec == "REJECT").alias("reject_count"),
-        count_if(rec == "REVIEW").alias("review_count"),
-        F.min("created_date").alias("earliest_validation"),
-        F.max("created_date").alias("latest_validation"),
-        F.count_distinct(day("created_date")).alias("validation_days"),
-    )
+    """VW-3: one executive row. The daily partials of all sources give the overall counts and VW-1, whose grades, risks and
+    VW-2 selection are counted; one-row results are combined by a union + max. Different names are counted from their two
+    columns alone, so that no aggregate is computed once per kind of distinct count."""
+    parts = source_days(pv)
+    summary = summary if summary is not None else source_quality_summary(None, ordered=False, parts=parts)
+    om = _merged_days(parts).select(
+        F.col("n").alias("total_validations"),
+        *[ratio(k, f"{k}_n").alias(f"_avg_{k}") for k in ("q", "lead", "fraud", "dq")],
+        *[F.col(k).alias(f"{k}_leads") for k in ("excellent", "good", "fair", "poor", "invalid")],
+        F.col("fake").alias("total_fake_leads"), F.col("fake_phone").alias("total_fake_phones"),
+        F.col("disposable").alias("total_disposable_emails"), F.col("bounce").alias("total_bounce_likely"),
+        ratio("email_ok", "n").alias("_email_rate"), ratio("phone_ok", "n").alias("_phone_rate"),
+        *[F.col(k).alias(f"{k}_count") for k in ("accept", "reject", "review")],
+        F.col("first").alias("earliest_validation"), F.col("last").alias("latest_validation"),
+        F.col("days").alias("validation_days"))
+    sources = parts.agg(F.count_distinct("lead_source").alias("total_sources"))
+    name = F.coalesce(F.concat("api_first_name", F.lit(" "), "api_last_name"), F.lit("Unknown"))
+    names = S.good_rows(pv).agg(F.count_distinct(name).alias("unique_leads"))
     g = F.col("quality_grade")
     sq = summary.agg(
         count_if(g.isin("A+", "A")).alias("high_quality_sources"),
@@ -232,8 +243,7 @@ def validation_overview(pv: DataFrame, as_of, summary: DataFrame | None = None,
         count_if(F.col("risk_level") == "HIGH_RISK").alias("high_risk_sources"),
         count_if(F.col("risk_level") == "MEDIUM_RISK").alias("medium_risk_sources"),
         count_if(needs_attention(min_leads)).alias("sources_needing_attention"))
-    parts = om.unionByName(sq, allowMissingColumns=True)
-    one = parts.agg(*[F.max(c).alias(c) for c in parts.columns])
+    one = combine_rows(om, sources, names, sq)
 
     t = F.col("total_validations")
     aq = F.col("_avg_q")
@@ -278,10 +288,15 @@ def validation_overview(pv: DataFrame, as_of, summary: DataFrame | None = None,
 
 # --------------------------------------------------------------------- VW-4 / VW-5
 
-def _simplified_aggs(q: Column, dq: Column, f0: Column, low_fraud_split: bool) -> list[Column]:
+def task_count(keyed: bool) -> Column:
+    """Number of different tasks; a count where the table is keyed by task (one row each, as upserts leave it)."""
+    return F.count("task_id") if keyed else F.count_distinct("task_id")
+
+
+def _simplified_aggs(q: Column, dq: Column, f0: Column, low_fraud_split: bool, keyed: bool) -> list[Column]:
     aggs = [
         F.count(F.lit(1)).alias("total_validations"),
-        F.count_distinct("task_id").alias("unique_leads"),
+        task_count(keyed).alias("unique_leads"),
         (F.avg(dq) / 10.0).alias("avg_data_quality_score"),
         (F.avg(dq) / 10.0).alias("median_data_quality_score"),
         (F.min(dq) / 10.0).alias("min_data_quality_score"),
@@ -312,12 +327,13 @@ def _simplified_aggs(q: Column, dq: Column, f0: Column, low_fraud_split: bool) -
     return aggs
 
 
-def simplified_overall_results(pv: DataFrame, as_of, window_days: int = 90) -> DataFrame:
+def simplified_overall_results(pv: DataFrame, as_of, window_days: int = 90, keyed: bool = False) -> DataFrame:
     """VW-4: one row over the last ``window_days`` of ``parsed_at``; scores on
-    the 0-1 scale. The 'median' columns are averages, as in the source view."""
+    the 0-1 scale. The 'median' columns are averages, as in the source view.
+    ``keyed``: the table has one row per task, so tasks needn't be told apart."""
     q, dq, f0 = S.quality(), S.data_quality3(), S.fraud0()
     rows = S.good_rows(pv).filter(F.col("parsed_at") >= days_before(as_of, window_days))
-    a = rows.agg(*_simplified_aggs(q, dq, f0, low_fraud_split=True))
+    a = rows.agg(*_simplified_aggs(q, dq, f0, low_fraud_split=True, keyed=keyed))
     t = F.col("total_validations")
     aq, af = F.col("_avg_q"), F.col("_avg_f0")
     return a.select(
@@ -338,11 +354,12 @@ def simplified_overall_results(pv: DataFrame, as_of, window_days: int = 90) -> D
     )
 
 
-def simplified_results_by_source(pv: DataFrame, as_of, window_days: int = 90, ordered: bool = True) -> DataFrame:
+def simplified_results_by_source(pv: DataFrame, as_of, window_days: int = 90, ordered: bool = True,
+                                 keyed: bool = False) -> DataFrame:
     """VW-5: VW-4 per source plus ranks, risk level and grade."""
     q, dq, f0 = S.quality(), S.data_quality3(), S.fraud0()
     rows = S.good_rows(pv).filter(F.col("parsed_at") >= days_before(as_of, window_days))
-    a = rows.groupBy(S.source().alias("lead_source")).agg(*_simplified_aggs(q, dq, f0, low_fraud_split=False))
+    a = rows.groupBy(S.source().alias("lead_source")).agg(*_simplified_aggs(q, dq, f0, low_fraud_split=False, keyed=keyed))
     t = F.col("total_validations")
     aq, af = F.col("_avg_q"), F.col("_avg_f0")
     out = a.select(

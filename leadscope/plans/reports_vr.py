@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exprs import (count_if, date_diff_days, days_before, fixed_avg, fixed_sums, ladder, pct, rank_by,
+from ..functions.exprs import (combine_rows, count_if, date_diff_days, days_before, fixed_avg, fixed_sums, ladder, pct, rank_by,
                                ratio, round_half_away, trunc_ntz)
 from ..functions.joins import shared
 from ..functions.quantiles import global_median, grouped_medians, median_by, weighted_median
@@ -36,14 +36,6 @@ def score_category(s: Column) -> Column:
     return ladder([(s >= 0.9, "Excellent"), (s >= 0.8, "Good"), (s >= 0.6, "Fair"), (s >= 0.4, "Poor")], "Invalid")
 
 
-def combine_rows(*frames: DataFrame) -> DataFrame:
-    """Put several one-row frames side by side without a join."""
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f, allowMissingColumns=True)
-    return u.agg(*[F.max(c).alias(c) for c in u.columns])
-
-
 # --------------------------------------------------------------------- partials
 
 def _partial(name: str, c: Column | str) -> list[Column]:

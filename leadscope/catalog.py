@@ -18,6 +18,7 @@ from .operators import parse as ps
 from .operators import rules as ru
 from .plans import datasets as ds
 from .plans import loaders as ld
+from .plans import report_lists as rl
 from .plans import reports_pv as rp
 from .plans import reports_vr as rv
 from .plans import retention as rt
@@ -209,7 +210,7 @@ def _dataset_queries() -> dict[str, Query]:
         "dd12_score_histogram": lambda s, d: ds.score_histogram(ld.lead_list(fx.pv(s, d), limit=None)),
         "dd13_quadrants": lambda s, d: ds.quality_fraud_quadrants(summary(s, d)),
         "dd14_worst_summary": lambda s, d: ds.worst_source_summary(worst(s, d)),
-        "dd15_source_overview": lambda s, d: ds.source_overview(summary(s, d), worst(s, d)),
+        "dd15_source_overview": lambda s, d: ds.source_overview(summary(s, d)),
         "dd16_filtered_sources": lambda s, d: ds.filtered_sources(summary(s, d), "All", 10, "Fraud Rate"),
         "dd17_trend_delta": lambda s, d: ds.trend_delta(ld.daily_trends(fx.pv(s, d), PV)),
         "dd18_comprehensive_report": lambda s, d: ds.comprehensive_report(
@@ -220,6 +221,14 @@ def _dataset_queries() -> dict[str, Query]:
         "dd21_score_bands": lambda s, d: ds.etl_score_bands(fx.pv(s, d)),
         "dd21_source_means": lambda s, d: ds.etl_source_means(fx.pv(s, d)),
         "dd21_flag_sums": lambda s, d: ds.etl_flag_sums(fx.pv(s, d)),
+        "dd14_worst_list": lambda s, d: rl.worst_sources(worst(s, d)),
+        "dd17_recent_trends": lambda s, d: rl.recent_trends(ld.daily_trends(fx.pv(s, d), PV)),
+        "dd18_band_table": lambda s, d: rl.band_table(metrics(s, d)),
+        "dd18_best_sources": lambda s, d: rl.best_sources(
+            rv.validation_by_source(rv.validation_summary(fx.vr(s, d), VR), VR)),
+        "dd18_worst_leads": lambda s, d: rl.worst_leads(ld.problematic_leads(fx.pv(s, d), limit=None)),
+        "dd19_review_list": lambda s, d: rl.review_list(ld.problematic_leads(fx.pv(s, d), limit=None)),
+        "dd21_last_means": lambda s, d: rl.last_means(ds.etl_source_means(fx.pv(s, d))),
         "dd22_top_quality_sources": lambda s, d: ds.top_quality_sources(summary(s, d)),
     }
 
@@ -238,7 +247,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    from .oracle import banded, datasets, duplicates, etl, loaders, pv_reports, retention, rules, vr_reports
+    from .oracle import banded, datasets, duplicates, etl, loaders, pv_reports, report_lists, retention, rules, vr_reports
     out: dict[str, str] = {}
     out.update(datasets.ORACLE)
     out.update(etl.ORACLE)
@@ -249,6 +258,7 @@ def oracle() -> dict[str, str]:
     out.update(duplicates.ORACLE)
     out.update(retention.ORACLE)
     out.update(vr_reports.ORACLE)
+    out.update(report_lists.ORACLE)
     return {k: v for k, v in out.items() if k in queries()}
 
 

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from ..functions import scores as S
 from ..functions.exprs import count_if, exact_avg, ladder, ratio
+from ..functions.joins import shared
 from . import loaders as ld
+from . import reports_pv as rp
 from . import reports_vr as rv
 
 # Factor names of the export (sorted, as the CSV lists them) and report labels.
@@ -153,7 +155,9 @@ def raw_json_details(df: DataFrame, raw: str = "raw_api_response", key: str = "l
 # ------------------------------------------------------------------ DD-8 .. DD-10 (creation-date analysis)
 
 def top_source_series(source_months: DataFrame, n: int = 6) -> DataFrame:
-    """DD-8: the ``n`` sources with most leads over all months, and their monthly rows."""
+    """DD-8: the ``n`` sources with most leads over all months, and their monthly rows.
+    The monthly rows are aggregated once, for the ranking and for the result."""
+    source_months = shared(source_months)
     top = (source_months.groupBy("lead_source").agg(F.sum("total_leads").alias("_n"))
            .orderBy(F.col("_n").desc(), "lead_source").limit(n).select("lead_source"))
     return source_months.join(top, "lead_source", "left_semi")
@@ -179,6 +183,7 @@ def month_over_month(months: DataFrame, source_months: DataFrame, n_top: int = 6
          - F.max(F.when(F.col("_rn") == 2, F.col("avg_data_quality_score")))).alias("quality_change"),
         (F.max(F.when(F.col("_rn") == 1, F.col("avg_fraud_score")))
          - F.max(F.when(F.col("_rn") == 2, F.col("avg_fraud_score")))).alias("fraud_change"))
+    source_months = shared(source_months)
     series = top_source_series(source_months, n_top)
     best = latest_month_slice(series).limit(1).select(F.col("lead_source").alias("top_source"))
     ws = Window.partitionBy("lead_source").orderBy(F.col("creation_month").desc())
@@ -229,14 +234,13 @@ def worst_source_summary(worst: DataFrame) -> DataFrame:
                      exact_avg("problem_score").alias("avg_problem_score"))
 
 
-def source_overview(summary: DataFrame, worst: DataFrame) -> DataFrame:
+def source_overview(summary: DataFrame, min_leads: int = 10) -> DataFrame:
     """DD-15/AGG-18: high-quality (A+/A) source count and share, sources needing
-    attention, mean of the per-source mean quality."""
-    a = summary.agg(F.count(F.lit(1)).alias("total_sources"),
-                    count_if(F.col("quality_grade").isin("A+", "A")).alias("high_quality_sources"),
-                    exact_avg("avg_quality_score").alias("avg_quality"))
-    w = worst.agg(F.count(F.lit(1)).alias("problem_sources"))
-    one = rv.combine_rows(a, w)
+    attention (VW-2's rule), mean of the per-source mean quality; one pass over VW-1."""
+    one = summary.agg(F.count(F.lit(1)).alias("total_sources"),
+                      count_if(F.col("quality_grade").isin("A+", "A")).alias("high_quality_sources"),
+                      count_if(rp.needs_attention(min_leads)).alias("problem_sources"),
+                      exact_avg("avg_quality_score").alias("avg_quality"))
     t = F.col("total_sources")
     return one.select("total_sources", "high_quality_sources",
                       F.when(t > 0, ratio("high_quality_sources", t) * 100.0).otherwise(F.lit(0.0))

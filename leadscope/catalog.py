@@ -107,6 +107,7 @@ def _rule_queries() -> dict[str, Query]:
             F.col("_domain").alias("domain"), F.col("_typo").alias("typo")),
         "val4_phone": lambda s, d: v(s, d).select("lead_id", "phone_valid", "phone_score", "phone_e164",
                                                   "phone_national", _joined("phone_issues")),
+        "val4_line_type": lambda s, d: ru.line_types(ru.validate_leads(fx.leads(s, d))),
         "val5_name": lambda s, d: v(s, d).select("lead_id", "name_score", "name_valid", _joined("name_issues")),
         "val6_company": lambda s, d: v(s, d).select("lead_id", "company_score", "company_valid",
                                                     _joined("company_issues")),
@@ -123,8 +124,7 @@ def _rule_queries() -> dict[str, Query]:
             F.get_json_object("validation_details", "$.fraud.risk_level").alias("details_fraud_risk_level"),
         ).drop("validation_details"),
         "val13_issues": lambda s, d: ru.issues_long(ru.validate_leads(fx.leads(s, d))).select(
-            "lead_id", "check", "issue",
-            F.count(F.lit(1)).over(Window.partitionBy("lead_id", "check")).alias("n_in_check")),
+            "lead_id", "check", "issue", "n_in_check"),
     }
 
 

@@ -48,6 +48,12 @@ TYPO_ROWS = 200_000
 NANP = r"^1?[2-9][0-9]{2}[2-9][0-9]{6}$"
 
 
+# North American area codes of service numbers.
+TOLL_FREE = ("800", "833", "844", "855", "866", "877", "888")
+PERSONAL = ("500", "521", "522", "533", "544", "566", "577", "588")
+PREMIUM_RATE = "900"
+
+
 def _issues(*pairs: tuple[Column, Column | str]) -> Column:
     return messages(*pairs)
 
@@ -253,9 +259,20 @@ def validation_results(leads: DataFrame, as_of) -> DataFrame:
 
 
 def issues_long(validated: DataFrame) -> DataFrame:
-    """VAL-13: one row per (lead, check, issue) from the issue arrays."""
+    """VAL-13: one row per (lead, check, issue) from the issue arrays; ``n_in_check`` is the length of the array."""
     kinds = ["email", "phone", "name", "company", "completeness", "lint"]
     tagged = F.array(*[F.struct(F.lit("data_quality" if k == "lint" else k).alias("check"),
                                 F.col(f"{k}_issues").alias("issues")) for k in kinds])
-    x = validated.select(F.col("Id").alias("lead_id"), F.inline(tagged))
-    return x.select("lead_id", "check", F.posexplode("issues").alias("position", "issue"))
+    x = validated.select(F.col("Id").alias("lead_id"), F.inline(tagged)).withColumn("n_in_check", F.size("issues").cast("bigint"))
+    return x.select("lead_id", "check", "n_in_check", F.posexplode("issues").alias("position", "issue"))
+
+
+def line_types(validated: DataFrame) -> DataFrame:
+    """VAL-4: kind of line of each valid phone, by its area code; NULL without a valid phone.
+
+    North American numbers don't tell mobile from fixed lines, so both flags are false for them, as for service numbers."""
+    area = F.substring("phone_e164", 3, 3)
+    kind = F.when(area.isin(*TOLL_FREE), "toll_free").when(area == PREMIUM_RATE, "premium_rate") \
+        .when(area.isin(*PERSONAL), "personal_number").when(area.isNotNull(), "fixed_line_or_mobile")
+    return validated.select(F.col("Id").alias("lead_id"), kind.alias("phone_line_type"),
+                            (kind == "mobile").alias("is_mobile"), (kind == "fixed_line").alias("is_landline"))

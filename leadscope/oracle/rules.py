@@ -236,6 +236,12 @@ VAL2 = _q(f"SELECT Id AS lead_id, email_valid, email_score, {_j('email_issues')}
 VAL3 = _q("SELECT dom AS domain, typo FROM (SELECT DISTINCT dom, typo FROM rules WHERE dom IS NOT NULL) t")
 VAL4 = _q(f"""SELECT Id AS lead_id, phone_valid, phone_score, phone_e164, phone_national,
   {_j('phone_issues')} AS phone_issues FROM rules""")
+VAL4_LINE = _q("""SELECT Id AS lead_id, kind AS phone_line_type, kind = 'mobile' AS is_mobile, kind = 'fixed_line' AS is_landline
+FROM (SELECT Id, CASE WHEN phone_e164 IS NULL THEN NULL
+    WHEN regexp_matches(phone_e164, '^.1(800|833|844|855|866|877|888)') THEN 'toll_free'
+    WHEN regexp_matches(phone_e164, '^.1900') THEN 'premium_rate'
+    WHEN regexp_matches(phone_e164, '^.15(00|21|22|33|44|66|77|88)') THEN 'personal_number'
+    ELSE 'fixed_line_or_mobile' END AS kind FROM rules) kinds""")
 VAL5 = _q(f"SELECT Id AS lead_id, name_score, name_score >= 0.8 AS name_valid, {_j('name_issues')} AS name_issues FROM rules")
 VAL6 = _q(f"SELECT Id AS lead_id, company_score, company_valid, {_j('company_issues')} AS company_issues FROM rules")
 VAL7 = _q(f"""SELECT Id AS lead_id, completeness_score, required_fields_filled, important_fields_filled,
@@ -257,7 +263,7 @@ VAL13 = _q("""SELECT lead_id, "check", issue, COUNT(*) OVER (PARTITION BY lead_i
 
 ORACLE = {
     "frd1_scores": FRD1, "frd7_levels": FRD7,
-    "val2_email": VAL2, "val3_domain_typos": VAL3, "val4_phone": VAL4, "val5_name": VAL5,
+    "val2_email": VAL2, "val3_domain_typos": VAL3, "val4_phone": VAL4, "val4_line_type": VAL4_LINE, "val5_name": VAL5,
     "val6_company": VAL6, "val7_completeness": VAL7, "val8_data_quality": VAL8,
     "val9_quality_score": VAL9, "val11_status": VAL11, "val13_issues": VAL13,
 }

@@ -83,3 +83,20 @@ def test_rules_empty_lead(spark):
     assert r.email_score == 0.0 and "Email is required" in r.email_issues
     assert r.name_score == 0.0 and r.company_score == 0.0 and r.completeness_score == 0.0
     assert r.lint_score == 1.0 and r.fraud_score == 0.0
+
+
+def test_line_types_and_issue_counts_without_a_shuffle(spark):
+    from leadscope.operators import rules as ru
+    from pyspark.sql import functions as F
+    v = spark.createDataFrame([("a", "+18005551234"), ("b", "+19005551234"), ("c", "+15215551234"), ("d", "+12125551234"), ("e", None)],
+                              "Id string, phone_e164 string")
+    got = {r.lead_id: (r.phone_line_type, r.is_mobile) for r in ru.line_types(v).collect()}
+    assert got == {"a": ("toll_free", False), "b": ("premium_rate", False), "c": ("personal_number", False),
+                   "d": ("fixed_line_or_mobile", False), "e": (None, None)}
+    kinds = ("email", "phone", "name", "company", "completeness", "lint")
+    issues = spark.range(1).select(F.lit("a").alias("Id"), *[F.array().cast("array<string>").alias(f"{k}_issues") for k in kinds[2:]],
+                                   F.array(F.lit("x"), F.lit("y")).alias("email_issues"),
+                                   F.lit(None).cast("array<string>").alias("phone_issues"))
+    long = ru.issues_long(issues)
+    assert sorted((r.check, r.issue, r.n_in_check) for r in long.collect()) == [("email", "x", 2), ("email", "y", 2)]
+    assert "Exchange" not in long._jdf.queryExecution().executedPlan().toString()

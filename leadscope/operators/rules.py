@@ -65,17 +65,19 @@ def domain_typos(leads: DataFrame, email: str = "Email", common: Sequence[str] =
 
     Work is proportional to the number of distinct domains, not leads; the
     result is joined back on the domain (an equi-join, so Spark may broadcast
-    it when small and shuffle otherwise)."""
+    it when small and shuffle otherwise). Store the result before a filter on
+    ``_typo``: a filter would be pushed below the distinct, to every lead."""
     dom = F.lower(F.get(F.split(F.col(email), "@"), 1))
     doms = leads.select(dom.alias("_domain")).filter(F.col("_domain").isNotNull()).distinct()
-    length, hit = F.length("_domain"), None
-    for c in common:
+    length, hit, ratios = F.length("_domain"), None, {}
+    for k, c in enumerate(common):
         # common characters are the shorter length at most, so other lengths can't reach the ratio (59.5 is rounded up)
         near = 200 * F.least(length, F.lit(len(c))) >= 59.5 * (length + len(c))
-        r = F.when(near, fuzzy_ratio(F.col("_domain"), F.lit(c)))
+        ratios[f"_r{k}"] = F.when(near, fuzzy_ratio(F.col("_domain"), F.lit(c)))
+        r = F.col(f"_r{k}")
         cond = (r >= 60) & (r < 90)
         hit = F.when(cond, F.lit(c)) if hit is None else hit.when(cond, F.lit(c))
-    return doms.select("_domain", hit.alias("_typo"))
+    return doms.withColumns(ratios).select("_domain", hit.alias("_typo"))
 
 
 # ------------------------------------------------------------------ VAL-2 .. VAL-8
@@ -194,7 +196,7 @@ def _with_typos(leads: DataFrame, most: int = TYPO_ROWS) -> DataFrame:
     """Leads with ``_typo``. Only distinct domains that have one are joined. Up to ``most`` of them are broadcast, so no
     lead is shuffled, whatever part of all leads a domain has; beyond that the join shuffles by domain and leaves a
     domain that is too large for a task to Spark's skew handling."""
-    hits = checkpointed(domain_typos(leads).filter(F.col("_typo").isNotNull()))
+    hits = checkpointed(domain_typos(leads)).filter(F.col("_typo").isNotNull())
     few = hits.limit(most + 1).count() <= most
     dom = F.lower(F.get(F.split(F.col("Email"), "@"), 1))
     return leads.withColumn("_domain", dom).join(F.broadcast(hits) if few else hits, "_domain", "left").drop("_domain")

@@ -194,12 +194,16 @@ def status_ladder(score: Column) -> Column:
 
 def _with_typos(leads: DataFrame, most: int = TYPO_ROWS) -> DataFrame:
     """Leads with ``_typo``. Only distinct domains that have one are joined. Up to ``most`` of them are broadcast, so no
-    lead is shuffled, whatever part of all leads a domain has; beyond that the join shuffles by domain and leaves a
-    domain that is too large for a task to Spark's skew handling."""
+    lead is shuffled by domain, whatever part of all leads a domain has; beyond that the join shuffles by domain and
+    leaves a domain that is too large for a task to Spark's skew handling.
+
+    Leads are dealt out evenly before the checks: a lead is some 20 bytes of a compressed table, so a scan gives all of
+    them to a task or two, however many cores there are, while the checks take most of the time."""
     hits = checkpointed(domain_typos(leads)).filter(F.col("_typo").isNotNull())
     few = hits.limit(most + 1).count() <= most
     dom = F.lower(F.get(F.split(F.col("Email"), "@"), 1))
-    return leads.withColumn("_domain", dom).join(F.broadcast(hits) if few else hits, "_domain", "left").drop("_domain")
+    rows = (leads.hint("rebalance") if few else leads).withColumn("_domain", dom)
+    return rows.join(F.broadcast(hits) if few else hits, "_domain", "left").drop("_domain")
 
 
 def validate_leads(leads: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:

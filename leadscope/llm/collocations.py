@@ -130,14 +130,15 @@ def _pairs(at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def _counted_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per pair of a block: pre, suf (ids), block, tally (the pair's number and its count, 32 bits each)."""
+    """One row per pair of a block: pre, suf (ids), tally (the pair's count above its number, 32 bits each), block. In this
+    order a row ends as the one before it does, from the number's higher bytes on, and shuffles compress best."""
     for block, places, ids in _rows(batches):
         first, second, counts, *_ = _pairs(_unpacked(places))
         for k in range(0, len(first), 1 << 16):
             some = slice(k, k + (1 << 16))
-            tally = np.arange(k, k + len(first[some])) << 32 | counts[some]
-            found = [ids[first[some]], ids[second[some]], np.full(len(tally), block), tally]
-            yield pa.record_batch([pa.array(x, pa.int64()) for x in found], names=["pre", "suf", "block", "tally"])
+            tally = counts[some] << 32 | np.arange(k, k + len(first[some]))
+            found = [ids[first[some]], ids[second[some]], tally, np.full(len(tally), block)]
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in found], names=["pre", "suf", "tally", "block"])
 
 
 def _named_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,12 +152,12 @@ def _named_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _streams(tables: Tables, rows: DataFrame, key: list[str], least: int, name: str) -> tuple[DataFrame, DataFrame]:
-    """From rows (key, block, tally): the stream of frequent keys (id, key, f) and the ids that each block's numbers
+    """From rows (key, tally, block): the stream of frequent keys (id, key, f) and the ids that each block's numbers
     have (block, numbers, ids). One shuffle: a key's rows lie together, and the least of their own ids becomes the key's."""
     together = rows.repartition(*key).sortWithinPartitions(*key).withColumn("own", F.monotonically_increasing_id())
     same = Window.partitionBy(*key)
-    named = together.withColumn("f", F.sum(F.col("tally").bitwiseAND(0xFFFFFFFF)).over(same)).withColumn("id", F.min("own").over(same)).filter(F.col("f") >= least)
-    named = tables.keep(named.withColumn("number", F.shiftright("tally", 32)).drop("tally"), f"{name}-rows")
+    named = together.withColumn("f", F.sum(F.shiftright("tally", 32)).over(same)).withColumn("id", F.min("own").over(same)).filter(F.col("f") >= least)
+    named = tables.keep(named.withColumn("number", F.col("tally").bitwiseAND(0xFFFFFFFF)).drop("tally"), f"{name}-rows")
     found = named.groupBy("block").agg(F.collect_list("number").alias("numbers"), F.collect_list("id").alias("ids"))
     return tables.keep(named.filter("own = id").select("id", *key, "f"), f"{name}-stream"), found
 
@@ -168,7 +169,7 @@ def counted(documents: DataFrame, tables: Tables, least: int = LEAST, longest: i
     total = texts.select("lang", F.expr("aggregate(counts, 0L, (a, b) -> a + b)").alias("n")).groupBy("lang").agg(F.sum("n").alias("n"))
     total = tables.keep(total, "total")
     rows = texts.select("block", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("number", "x"))
-    rows = rows.select("lang", F.col("x.words").cast("string").alias("word"), "block", F.shiftleft(F.col("number").cast("bigint"), 32).bitwiseOR(F.col("x.counts")).alias("tally"))
+    rows = rows.select("lang", F.col("x.words").cast("string").alias("word"), F.shiftleft("x.counts", 32).bitwiseOR(F.col("number").cast("bigint")).alias("tally"), "block")
     state, named, last = texts, _named_words, "texts"
     streams = []
     for order in range(1, longest + 1):
@@ -177,7 +178,7 @@ def counted(documents: DataFrame, tables: Tables, least: int = LEAST, longest: i
         if order < longest:
             met = state.select("block", "places").hint("merge").join(found, "block").select("block", "places", "numbers", found["ids"])
             state = tables.keep_by(met.mapInArrow(named, "block long, places binary, ids array<long>"), f"order{order}", "block")
-            rows, named = state.mapInArrow(_counted_pairs, "pre long, suf long, block long, tally long"), _named_pairs
+            rows, named = state.mapInArrow(_counted_pairs, "pre long, suf long, tally long, block long"), _named_pairs
         tables.drop(last, f"order{order}-rows")
         last = f"order{order}"
     return total, streams

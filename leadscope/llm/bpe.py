@@ -35,7 +35,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare_texts
 
 KEPT_WORDS = 250_000
 ARC_BITS = 19
@@ -384,7 +384,7 @@ def _encoder(spec: str) -> Encoder:
 
 def _broadcast(documents: DataFrame, path: str):
     with open(path, encoding="utf-8") as f:
-        return prepare(documents.sparkSession).sparkContext.broadcast(f.read())
+        return prepare_texts(documents.sparkSession).sparkContext.broadcast(f.read())
 
 
 def encoded(documents: DataFrame, path: str, name: str = "ids") -> DataFrame:

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare
+from .common import prepare_texts
 
 WINDOW = 13
 SHARE = 20  # contaminated: at least one of SHARE words is hit
@@ -149,7 +149,7 @@ def judged(documents: DataFrame, benchmark: DataFrame, size: int = WINDOW, block
 
     Each block's automaton reads the rows in place; a row's findings are joined within the row.
     """
-    prepare(documents.sparkSession)
+    prepare_texts(documents.sparkSession)
     own = documents.columns
     rows = documents.select(F.struct(*[documents[c] for c in own]).alias("r"))
     found = [_found(F.col("r.text"), block) for block in window_blocks(benchmark, size, block_bytes)] or [_found(F.col("r.text"), {})]

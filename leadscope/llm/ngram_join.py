@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.joins import join_groups
-from .common import blocks, bucket_count, doc_key, exchange, forget, grouped_words, having, joined_answers, mix, pack_keys, prepare, range_hash, stored
+from .common import blocks, bucket_count, doc_key, exchange, forget, grouped_words, having, joined_answers, mix, pack_keys, prepare_texts, range_hash, stored
 
 GRAM = 5
 SHARE = 80  # percent of the union
@@ -375,7 +375,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def joined(documents: DataFrame, heavy: int = HEAVY, frequent: int = FREQUENT, short: int = SHORT, orders: int = ORDERS) -> DataFrame:
     """doc_id, n_shingles, component_id, th per row."""
-    prepare(documents.sparkSession)
+    prepare_texts(documents.sparkSession)
     members = _members(documents)
     nodes = _nodes(documents, members)
     part = components(_links(nodes, _heavy(nodes, heavy, frequent), short, orders))

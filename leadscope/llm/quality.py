@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, prepare, range_hash, sampled
+from .common import mix, prepare_texts, range_hash, sampled
 
 BUCKETS, DIM, SAMPLE, EPOCHS, RATE, THRESHOLD = 1 << 16, 16, 4000, 6, 0.4, 0.3
 NGRAMS = (2, 3, 4)
@@ -137,7 +137,7 @@ def learnable() -> Column:
 
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, buckets: int = BUCKETS) -> QualityModel:
     """Learn from a bounded sample of the labelled documents (columns doc_id, text and doc_id, quality)."""
-    spark = prepare(documents.sparkSession)
+    spark = prepare_texts(documents.sparkSession)
     marked = (labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("y"))
               .filter(F.col("y").isin(0, 1) & learnable()))
     # which rows: decided on ids alone, so that only the sample's texts move; at most `sample` rows of two numbers
@@ -175,7 +175,7 @@ def score(text: Column, model: QualityModel) -> Column:
 
 def scored(documents: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted for every row."""
-    prepare(documents.sparkSession)
+    prepare_texts(documents.sparkSession)
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), score(F.col("text"), model).alias("score"))
     return rows.select("doc_id", (~F.coalesce(learnable(), F.lit(True))).alias("held_out"), "score",
                        (F.col("score") >= threshold).cast("int").alias("predicted"))
@@ -183,5 +183,5 @@ def scored(documents: DataFrame, model: QualityModel, threshold: float = THRESHO
 
 def accepted(documents: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that the classifier doesn't reject, with their own columns only."""
-    prepare(documents.sparkSession)
+    prepare_texts(documents.sparkSession)
     return documents.filter(score(F.col("text"), model) >= threshold)
